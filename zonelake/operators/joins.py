@@ -83,16 +83,25 @@ def device_readings_with_owner(steps: DataFrame, owners: DataFrame) -> DataFrame
     )
 
 
-def fuse_on_time(devices: DataFrame, accel: DataFrame, *, same_user: bool = False, weight: str = "_w") -> DataFrame:
+def fuse_on_time(
+    devices: DataFrame,
+    accel: DataFrame,
+    *,
+    same_user: bool = False,
+    weight: str = "_w",
+    accel_weight: str | None = None,
+) -> DataFrame:
     """Pair device readings with accelerometer readings of the same time.
 
     The original feature table joins on time alone: a reading of another user
     at the same instant is paired with the device too (``same_user=True``
     also requires ``email == user``).  Returns distinct feature tuples with
     their multiplicity in ``weight``; ``ml_features`` numbers and expands them.
+    Accelerometer rows count once each, or ``accel_weight`` times.
     """
     keys = ["timestamp", "x", "y", "z"] + (["user"] if same_user else [])
-    acc = accel.groupBy(*keys).agg(F.count(F.lit(1)).alias(weight))
+    copies = F.sum(accel_weight) if accel_weight else F.count(F.lit(1))
+    acc = accel.groupBy(*keys).agg(copies.cast("long").alias(weight))
     cond = F.col("sensorreadingtime") == F.col("timestamp")
     if same_user:
         cond = cond & (F.col("email") == F.col("user"))
@@ -101,7 +110,9 @@ def fuse_on_time(devices: DataFrame, accel: DataFrame, *, same_user: bool = Fals
     )
 
 
-def ml_features(devices: DataFrame, accel: DataFrame, *, same_user: bool = False) -> DataFrame:
+def ml_features(
+    devices: DataFrame, accel: DataFrame, *, same_user: bool = False, accel_weight: str | None = None
+) -> DataFrame:
     """Feature rows numbered per email in time order (one row per pair)."""
-    fused = fuse_on_time(devices, accel, same_user=same_user, weight="_w")
+    fused = fuse_on_time(devices, accel, same_user=same_user, weight="_w", accel_weight=accel_weight)
     return number_rows(fused, "email", ML_ORDER, weight="_w", distinct_input=True)

@@ -25,6 +25,10 @@ from zonelake.operators.numbering import number_rows
 from zonelake.operators.projection import keep_columns, lower_columns
 from zonelake.schemas import ACCELEROMETER_COLUMNS, CUSTOMER_COLUMNS, STEP_TRAINER_COLUMNS
 
+# Count columns of the gated (not yet numbered) sensor frames.
+DEVICES = "_devices"
+OWNERS = "_owners"
+
 # Record keys and ordering fields of the refined tables.
 TABLE_KEYS = {
     "customer_trusted": (["serialnumber"], "registrationdate"),
@@ -41,22 +45,33 @@ def customer_trusted(customers: DataFrame) -> DataFrame:
     return keep_latest(consent_filter(lower_columns(customers)), keys, order)
 
 
+def gated_accelerometer(readings: DataFrame, customers: DataFrame) -> DataFrame:
+    """Accelerometer readings of consenting users, before numbering: each
+    reading once, with the number of trusted devices of its user in
+    ``_devices`` (the original email join repeated it that many times)."""
+    readings = keep_columns(lower_columns(readings), ACCELEROMETER_COLUMNS)
+    return gate(readings, lower_columns(customers), "user", "email", weight=DEVICES)
+
+
 def accelerometer_trusted(readings: DataFrame, customers: DataFrame) -> DataFrame:
     """Accelerometer readings of consenting users, numbered per user in time order.
 
     A reading is kept once per trusted device of its user (the email join of
     the original job); the copies travel as a count until the numbering.
     """
-    readings = keep_columns(lower_columns(readings), ACCELEROMETER_COLUMNS)
-    gated = gate(readings, lower_columns(customers), "user", "email", weight="_devices")
-    return number_rows(gated, "user", "timestamp", weight="_devices")
+    return number_rows(gated_accelerometer(readings, customers), "user", "timestamp", weight=DEVICES)
+
+
+def gated_step_trainer(readings: DataFrame, customers: DataFrame) -> DataFrame:
+    """Step-trainer readings of consenting devices, before numbering, with
+    the number of trusted customer rows of the device in ``_owners``."""
+    readings = keep_columns(lower_columns(readings), STEP_TRAINER_COLUMNS)
+    return gate(readings, lower_columns(customers), "serialnumber", "serialnumber", weight=OWNERS)
 
 
 def step_trainer_trusted(readings: DataFrame, customers: DataFrame) -> DataFrame:
     """Step-trainer readings of consenting devices, numbered per device in time order."""
-    readings = keep_columns(lower_columns(readings), STEP_TRAINER_COLUMNS)
-    gated = gate(readings, lower_columns(customers), "serialnumber", "serialnumber", weight="_owners")
-    return number_rows(gated, "serialnumber", "sensorreadingtime", weight="_owners")
+    return number_rows(gated_step_trainer(readings, customers), "serialnumber", "sensorreadingtime", weight=OWNERS)
 
 
 def curated_owners(accel_trusted: DataFrame, customers: DataFrame) -> DataFrame:
@@ -83,6 +98,7 @@ def ml_curated(
     customers: DataFrame,
     *,
     same_user: bool = False,
+    accel_weight: str | None = None,
 ) -> DataFrame:
     """Machine-learning table: every device reading paired with every
     accelerometer reading of the same time, numbered per email.
@@ -90,6 +106,10 @@ def ml_curated(
     As in the original job the pairing is on time only, so a reading of
     another user at that instant is paired too; ``same_user=True`` requires
     the accelerometer user to be the device owner's email.
+
+    Only the reading columns of the trusted tables are used (``rn`` is not),
+    so the gated frames can stand in for them: ``accel_weight`` then names
+    the column counting the copies of each accelerometer reading.
     """
     devices = device_readings(step_trusted, accel_trusted, customers)
-    return ml_features(devices, accel_trusted, same_user=same_user)
+    return ml_features(devices, accel_trusted, same_user=same_user, accel_weight=accel_weight)

@@ -48,9 +48,18 @@ def _step_trusted(spark: SparkSession, sf_dir: str, customers: DataFrame | None
     return refine.step_trainer_trusted(mapped.step_trainer_feed(spark, sf_dir), customers)
 
 
-def _trusted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _gated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Trusted customers and the two gated sensor frames (not numbered).
+
+    The curated jobs read only reading columns of the trusted sensor tables,
+    never ``rn``; computing them from the gated frames skips two numberings
+    that the curated result does not depend on (what column pruning would do
+    to an unused window).
+    """
     customers = _customer_trusted(spark, sf_dir)
-    return customers, _accel_trusted(spark, sf_dir, customers), _step_trusted(spark, sf_dir, customers)
+    accel = refine.gated_accelerometer(mapped.accelerometer_feed(spark, sf_dir), customers)
+    steps = refine.gated_step_trainer(mapped.step_trainer_feed(spark, sf_dir), customers)
+    return customers, accel, steps
 
 
 def q_consent_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,29 +69,31 @@ def q_consent_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_customer_reading_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings per trusted device before the curated dedup (the fan-out of
     the customer join), counted without building the fan-out."""
-    customers = _customer_trusted(spark, sf_dir)
-    per_user = _accel_trusted(spark, sf_dir, customers).groupBy("user").agg(F.count(F.lit(1)).alias("_n"))
+    customers, accel, _ = _gated(spark, sf_dir)
+    per_user = accel.groupBy("user").agg(F.sum(refine.DEVICES).alias("_n"))
     joined = customers.join(per_user, F.col("email") == F.col("user"), "inner")
     return joined.groupBy("serialnumber").agg(F.sum("_n").alias("readings"))
 
 
 def q_customer_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = _customer_trusted(spark, sf_dir)
-    return refine.customer_curated(_accel_trusted(spark, sf_dir, customers), customers)
+    customers, accel, _ = _gated(spark, sf_dir)
+    return refine.customer_curated(accel, customers)
 
 
 def q_device_readings_with_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers, accel, steps = _trusted(spark, sf_dir)
+    customers, accel, steps = _gated(spark, sf_dir)
     return refine.device_readings(steps, accel, customers)
 
 
 def q_ml_curated(spark: SparkSession, sf_dir: str, same_user: bool = False) -> DataFrame:
-    customers, accel, steps = _trusted(spark, sf_dir)
-    return refine.ml_curated(steps, accel, customers, same_user=same_user)
+    customers, accel, steps = _gated(spark, sf_dir)
+    return refine.ml_curated(steps, accel, customers, same_user=same_user, accel_weight=refine.DEVICES)
 
 
 def _refined(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    customers, accel, steps = _trusted(spark, sf_dir)
+    customers = _customer_trusted(spark, sf_dir)
+    accel = _accel_trusted(spark, sf_dir, customers)
+    steps = _step_trusted(spark, sf_dir, customers)
     return {
         "customer_trusted": customers,
         "accelerometer_trusted": accel,
