@@ -18,10 +18,9 @@ numbering is built from steps whose per-task work is bounded:
 4. Inside each range partition a running sum of the counts, restarted per key,
    gives each row's last number *within that partition*.
 5. Only the first key of a partition can continue from earlier partitions.
-   Per partition the first key, the last key and the last key's running total
-   are aggregated into a table with at most one row per partition (a bound
-   fixed by the partition count, not by the data); the carry of each
-   partition's first key is derived from it and broadcast back.
+   The first and last row of each partition (at most two rows per partition,
+   a bound fixed by the partition count, not by the data) give each
+   partition's carry, which is broadcast back.
 6. Each row expands into its numbers ``lo..hi`` (at most ``chunk_rows``).
 
 Ties in the order columns are broken by all remaining columns, so the result
@@ -35,6 +34,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonelake.functions.columns import key_struct
 from zonelake.session import checkpoint_dir, shuffle_partitions
@@ -114,37 +114,70 @@ def number_rows(
 
     # 5. carry of each partition's first key.  Running counts grow strictly,
     # so the first row of a partition has _cum == _copies and the last one
-    # _cum == _tot: at most two rows per partition feed ``stats``, and the
-    # un-partitioned window below and the broadcast of ``carry`` are bounded
-    # by the partition count.
+    # _cum == _tot: at most two rows per partition, a table bounded by the
+    # partition count (not by the data).  As in RDD.zipWithIndex, these
+    # per-partition figures go to the driver, which chains them in partition
+    # order; the resulting carries are broadcast back.
     is_first = F.col("_cum") == F.col("_copies")
     is_last = F.col("_cum") == F.col("_tot")
-    stats = (
+    edges = (
         ranged.filter(is_first | is_last)
-        .groupBy("_part")
-        .agg(
-            F.max(F.when(is_first, key_struct(by))).alias("_first"),
-            F.max(F.when(is_last, key_struct(by))).alias("_last_key"),
-            F.max(F.when(is_last, F.col("_end"))).alias("_last_end"),
-        )
-    )
-    same_last = Window.partitionBy("_last_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
-    stats = stats.withColumn("_run", F.sum("_last_end").over(same_last))
-    in_order = Window.orderBy("_part")
-    carry = stats.select(
-        F.col("_part").alias("_c_part"),
-        F.col("_first").alias("_c_first"),
-        F.when(
-            F.lag("_last_key").over(in_order).eqNullSafe(F.col("_first")), F.lag("_run").over(in_order)
-        ).alias("_carry"),
-    ).filter(F.col("_carry").isNotNull())
-    numbered = ranged.withColumn("_key", key_struct(by)).join(
-        F.broadcast(carry),
-        (F.col("_part") == F.col("_c_part")) & F.col("_key").eqNullSafe(F.col("_c_first")),
-        "left",
+        .select("_part", key_struct(by).alias("_key"), is_first.alias("_f"), is_last.alias("_l"), "_end")
+        .collect()
     )
+    if len(edges) > 2 * n_parts:
+        raise AssertionError(f"{len(edges)} boundary rows for {n_parts} partitions")
+    carries = _carries(edges)
+    if carries:
+        key_type = ranged.select(key_struct(by)).schema.fields[0].dataType
+        carry_schema = T.StructType(
+            [
+                T.StructField("_c_part", T.IntegerType(), False),
+                T.StructField("_c_first", key_type),
+                T.StructField("_carry", T.LongType(), False),
+            ]
+        )
+        carry = F.broadcast(spark.createDataFrame(carries, carry_schema))
+        numbered = ranged.withColumn("_key", key_struct(by)).join(
+            carry,
+            (F.col("_part") == F.col("_c_part")) & F.col("_key").eqNullSafe(F.col("_c_first")),
+            "left",
+        )
+    else:
+        numbered = ranged.withColumn("_carry", F.lit(None).cast("long"))
 
     # 6. expand to numbers lo..hi
     hi = F.col("_end") + F.coalesce(F.col("_carry"), F.lit(0).cast("long"))
     lo = hi - F.col("_copies") + 1
     return numbered.select(*[F.col(c) for c in data], F.explode(F.sequence(lo, hi)).alias(name))
+
+
+def _carries(edges: list) -> list[tuple]:
+    """``(partition, first key, carry)`` for partitions whose first key
+    continues from earlier partitions.
+
+    ``edges`` holds the first and last row of every non-empty partition.  A
+    partition whose last key equals the previous partition's last key holds
+    only that key, so the running total of the current last key is extended;
+    otherwise it restarts at this partition's count of its last key.
+    """
+    first: dict[int, object] = {}
+    last: dict[int, tuple[object, int]] = {}
+    for row in edges:
+        if row["_f"]:
+            first[row["_part"]] = row["_key"]
+        if row["_l"]:
+            last[row["_part"]] = (row["_key"], row["_end"])
+    out: list[tuple] = []
+    run_key: object = None
+    run = 0
+    started = False
+    for part in sorted(last):
+        if started and first[part] == run_key:
+            out.append((part, first[part], run))
+        key, end = last[part]
+        if started and key == run_key:
+            run += end
+        else:
+            run_key, run, started = key, end, True
+    return out
