@@ -22,8 +22,11 @@ def _plain_numbering(df, by, order):
     return df.withColumn("rn", F.row_number().over(w).cast("long"))
 
 
-@pytest.mark.parametrize("seed,chunk,parts", [(1, 1 << 16, 8), (2, 7, 3), (3, 50, 16)])
-def test_number_rows_equals_row_number(spark, seed, chunk, parts):
+@pytest.mark.parametrize(
+    "seed,chunk,parts,hot",
+    [(1, 1 << 16, 8, 0), (2, 7, 3, 0), (3, 50, 16, 0), (4, 50, 8, 400), (5, 1 << 16, 8, 10**9)],
+)
+def test_number_rows_equals_row_number(spark, seed, chunk, parts, hot):
     rnd = random.Random(seed)
     data = []
     for _ in range(3000):
@@ -33,23 +36,33 @@ def test_number_rows_equals_row_number(spark, seed, chunk, parts):
         data.append((u, t, float(rnd.randint(0, 2))))
     data += [(3, 5, 1.0)] * 500  # a group of copies
     df = spark.createDataFrame(data, "u long, t long, x double")
-    got = number_rows(df, "u", "t", chunk_rows=chunk, partitions=parts)
+    got = number_rows(df, "u", "t", chunk_rows=chunk, partitions=parts, hot_rows=hot)
     assert got.columns == ["u", "t", "x", "rn"]
     assert dict(got.dtypes)["rn"] == "bigint"
     assert rows(got) == rows(_plain_numbering(df, ["u"], ["t"]))
 
 
-def test_number_rows_with_weight(spark):
+@pytest.mark.parametrize("hot", [0, 3, 10**9])
+def test_number_rows_with_weight(spark, hot):
     df = spark.createDataFrame(
         [("a", 1, 3), ("a", 2, 1), ("a", 1, 0), ("b", 5, 2), ("b", 5, None)], "k string, t int, w long"
     )
-    got = number_rows(df, "k", "t", weight="w", chunk_rows=2, partitions=4)
+    got = number_rows(df, "k", "t", weight="w", chunk_rows=2, partitions=4, hot_rows=hot)
     assert rows(got) == [("a", 1, 1), ("a", 1, 2), ("a", 1, 3), ("a", 2, 4), ("b", 5, 1), ("b", 5, 2)]
 
 
+def test_number_rows_too_many_hot_keys_takes_range_path(spark, monkeypatch):
+    import zonelake.operators.numbering as numbering
+
+    monkeypatch.setattr(numbering, "MAX_HOT_KEYS", 2)
+    df = spark.createDataFrame([(k % 5, k, 1.0) for k in range(200)] + [(None, 1, 1.0)] * 3, "u long, t long, x double")
+    got = number_rows(df, "u", "t", hot_rows=2, partitions=4)
+    assert rows(got) == rows(_plain_numbering(df, ["u"], ["t"]))
+
+
 def test_number_rows_multi_key_and_empty(spark):
     df = spark.createDataFrame([(1, "x", 3), (1, "x", 1), (1, "y", 2), (None, None, 1)], "a int, b string, t int")
-    got = number_rows(df, ["a", "b"], "t", partitions=2)
+    got = number_rows(df, ["a", "b"], "t", partitions=2, hot_rows=1)
     assert rows(got) == [(None, None, 1, 1), (1, "x", 1, 1), (1, "x", 3, 2), (1, "y", 2, 1)]
     empty = df.where("a > 100")
     assert number_rows(empty, "a", "t").count() == 0

@@ -2,8 +2,12 @@
 that stays balanced when one entity owns a large share of the rows.
 
 A plain window puts every row of an entity into one task.  With one user or
-device holding a third of a 100 TB table that task never finishes, so the
-numbering is built from steps whose per-task work is bounded:
+device holding a third of a 100 TB table that task never finishes.  So the
+rows of each entity are first counted (an aggregate combined map-side, one
+small job): entities up to ``hot_rows`` rows are numbered by a window (each
+task then sorts groups of bounded size); the few hot entities above it go
+through a range-based numbering whose per-task work is bounded whatever the
+skew:
 
 1. Identical rows get consecutive numbers and are interchangeable, so they are
    merged into one row with a count (``_copies``).  The aggregate combines
@@ -23,14 +27,17 @@ numbering is built from steps whose per-task work is bounded:
    partition's carry, which is broadcast back.
 6. Each row expands into its numbers ``lo..hi`` (at most ``chunk_rows``).
 
-Ties in the order columns are broken by all remaining columns, so the result
-is deterministic and survives task retries; ``rn`` is a long (a hot key can
-pass 2^31 rows at the target scale).
+The hot entities are broadcast to split the input only when their number is
+at most ``MAX_HOT_KEYS`` (checked with a count first); with more of them every
+entity takes the range path.  Ties in the order columns are broken by all
+remaining columns, so the result is deterministic and survives task retries;
+``rn`` is a long (a hot key can pass 2^31 rows at the target scale).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +47,10 @@ from zonelake.functions.columns import key_struct
 from zonelake.session import checkpoint_dir, shuffle_partitions
 
 CHUNK_ROWS = 1 << 16
+# Rows of one entity that a single task may sort (a few hundred MB of rows).
+HOT_ROWS = 4_000_000
+# Largest set of hot entities broadcast to split the input.
+MAX_HOT_KEYS = 10_000
 
 
 def _as_list(cols: str | Sequence[str]) -> list[str]:
@@ -56,19 +67,21 @@ def number_rows(
     distinct_input: bool = False,
     partitions: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    hot_rows: int = HOT_ROWS,
+    checkpoint_input: bool = False,
 ) -> DataFrame:
     """Append ``name``: 1, 2, ... per ``by`` group in ``order_by`` order.
 
     ``weight`` names a column holding how many copies each row stands for
     (rows with weight 0 or null vanish); it is not part of the output.
-    ``distinct_input=True`` skips step 1 when the caller guarantees that no
-    two rows are equal (their copies are then given by ``weight`` alone).
-
-    Runs one job eagerly: the range-partitioned, locally numbered rows are
-    checkpointed to the shared checkpoint folder, so that the partition
-    statistics and the output read the very same partition assignment (a
-    second evaluation of a range exchange may sample other bounds) and a
-    lost executor does not send the job back to the sources.
+    ``distinct_input=True`` skips merging equal rows on the range path when
+    the caller guarantees that no two rows are equal.
+
+    Runs one small job eagerly (the per-entity counts), and when hot
+    entities exist, the range path's checkpoint job.  The input is read
+    twice (counts, numbering); ``checkpoint_input=True`` materialises it
+    first in the shared checkpoint folder, for inputs whose lineage holds
+    shuffles that should not run twice.
     """
     by = _as_list(by)
     order_by = _as_list(order_by)
@@ -80,6 +93,60 @@ def number_rows(
         raise ValueError(f"unknown columns {missing}; frame has {data}")
     if name in data:
         raise ValueError(f"output column {name!r} already exists")
+    copies = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    df = df.select(*data, copies.alias("_copies")).filter(F.col("_copies") > 0)
+    if checkpoint_input:
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+
+    hot = df.groupBy(*by).agg(F.sum("_copies").alias("_n")).where(F.col("_n") > F.lit(hot_rows)).select(*by)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return _windowed(df, data, by, order_by, name)
+    if n_hot > MAX_HOT_KEYS:
+        return _ranged(df, data, by, order_by, name, distinct_input, partitions, chunk_rows)
+    # bounded by the count above: at most MAX_HOT_KEYS keys
+    hot_keys = F.broadcast(df.sparkSession.createDataFrame(hot.collect(), hot.schema))
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(hot_keys[c]) for c in by])
+    cold = _windowed(df.join(hot_keys, same, "left_anti"), data, by, order_by, name)
+    warm = _ranged(df.join(hot_keys, same, "left_semi"), data, by, order_by, name, distinct_input, partitions,
+                   chunk_rows)
+    return cold.unionByName(warm)
+
+
+def _windowed(df: DataFrame, data: list[str], by: list[str], order_by: list[str], name: str) -> DataFrame:
+    """Numbering of entities of bounded size: one window per entity, the
+    running sum of the copies giving each row its last number."""
+    ties = [c for c in data if c not in by and c not in order_by]
+    running = (
+        Window.partitionBy(*by)
+        .orderBy(*[F.col(c).asc_nulls_first() for c in order_by + ties])
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    hi = F.sum("_copies").over(running)
+    numbered = df.withColumn("_hi", hi)
+    lo = F.col("_hi") - F.col("_copies") + 1
+    return numbered.select(*[F.col(c) for c in data], F.explode(F.sequence(lo, F.col("_hi"))).alias(name))
+
+
+def _ranged(
+    df: DataFrame,
+    data: list[str],
+    by: list[str],
+    order_by: list[str],
+    name: str,
+    distinct_input: bool,
+    partitions: int | None,
+    chunk_rows: int,
+) -> DataFrame:
+    """Numbering that splits hot entities over range partitions (steps 1-6).
+
+    Runs one job eagerly: the range-partitioned, locally numbered rows are
+    checkpointed to the shared checkpoint folder, so that the partition
+    statistics and the output read the very same partition assignment (a
+    second evaluation of a range exchange may sample other bounds) and a
+    lost executor does not send the job back to the sources.
+    """
     spark = df.sparkSession
     checkpoint_dir(spark)
     ties = [c for c in data if c not in by and c not in order_by]
@@ -87,12 +154,7 @@ def number_rows(
     n_parts = partitions or shuffle_partitions(spark)
 
     # 1-2. merged copies, cut into bounded chunks
-    copies = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    if distinct_input:
-        bag = df.select(*data, copies.alias("_copies"))
-    else:
-        bag = df.groupBy(*data).agg(F.sum(copies).alias("_copies"))
-    bag = bag.filter(F.col("_copies") > 0)
+    bag = df if distinct_input else df.groupBy(*data).agg(F.sum("_copies").alias("_copies"))
     last_chunk = F.floor((F.col("_copies") - 1) / F.lit(chunk_rows))
     bag = bag.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
     bag = bag.withColumn(
