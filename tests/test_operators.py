@@ -52,9 +52,9 @@ def test_number_rows_with_weight(spark, hot):
 
 
 def test_number_rows_too_many_hot_keys_takes_range_path(spark, monkeypatch):
-    import zonelake.operators.numbering as numbering
+    import zonelake.operators.skew as skew
 
-    monkeypatch.setattr(numbering, "MAX_HOT_KEYS", 2)
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 2)
     df = spark.createDataFrame([(k % 5, k, 1.0) for k in range(200)] + [(None, 1, 1.0)] * 3, "u long, t long, x double")
     got = number_rows(df, "u", "t", hot_rows=2, partitions=4)
     assert rows(got) == rows(_plain_numbering(df, ["u"], ["t"]))
@@ -121,3 +121,34 @@ def test_gate_counts_and_expands(spark):
     expanded = gate(readings, customers, "user", "email")
     plain = readings.join(customers, F.col("user") == F.col("email")).select("user", "t")
     assert rows(expanded) == rows(plain)
+
+
+def test_gate_splits_hot_keys(spark, monkeypatch):
+    import zonelake.operators.joins as joins
+    from zonelake.operators.skew import find_hot_keys
+
+    monkeypatch.setattr(joins, "BROADCAST_KEYS", 0)  # force the shuffled path
+    readings = spark.createDataFrame(
+        [("a", t) for t in range(60)] + [("b", 1), ("c", 2), (None, 3)], "user string, t int"
+    )
+    customers = spark.createDataFrame([("a", "s1"), ("a", "s2"), ("b", "s3"), (None, "s4")], "email string, sn string")
+    plain = readings.join(customers, F.col("user") == F.col("email")).groupBy("user", "t").count()
+    expected = rows(plain.withColumnRenamed("count", "w"))
+    hot = find_hot_keys(readings, ["user"], threshold=10)
+    assert rows(hot.frame) == [("a",)]
+    assert rows(joins.gate(readings, customers, "user", "email", weight="w", hot=hot)) == expected
+    # without a given set: detection finds no key over HOT_ROWS, plain shuffled join
+    assert rows(joins.gate(readings, customers, "user", "email", weight="w")) == expected
+    # the shared detection counts rows x devices
+    shared = joins.gate_hot_keys(readings, "user", customers, "email", threshold=100)
+    assert rows(shared.frame) == [("a",)]
+    assert joins.gate_hot_keys(readings, "user", customers, "email", threshold=200).none
+
+
+def test_hot_key_overflow(spark, monkeypatch):
+    import zonelake.operators.skew as skew
+
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 1)
+    df = spark.createDataFrame([(k % 3,) for k in range(30)], "k int")
+    hot = skew.find_hot_keys(df, ["k"], threshold=5)
+    assert hot.overflow and hot.frame is None and not hot.none

@@ -66,7 +66,7 @@ def test_null_key_and_duplicate_key_refused(spark, store):
     assert store.commits(spark, "trusted", "n") == []
     dup = spark.createDataFrame([("a", 1), ("a", 2)], "k string, o long")
     with pytest.raises(ValueError, match="duplicated"):
-        store.write(dup, "trusted", "n", "k", "o", unique=True)
+        store.write(dup, "trusted", "n", "k", "o", unique=True, check_unique=True)
     assert store.commits(spark, "trusted", "n") == []
     # the failed attempt left an unrecorded directory that the next commit reuses
     assert store.write(dup, "trusted", "n", "k", "o") == 1

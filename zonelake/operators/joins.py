@@ -8,7 +8,9 @@ once, at the very end, by ``number_rows``; the shuffles in between move one
 row per distinct tuple.  Join strategies are left to the planner: the small
 side is broadcast when its measured size is under the session threshold
 (checked again at runtime by AQE), otherwise the join is a sort-merge join
-whose skewed partitions AQE splits.
+whose skewed partitions AQE splits.  Where the planner cannot split a skewed
+join (the consent gate, whose gate side is already partitioned by its
+aggregate), hot keys are split off explicitly (``operators.skew``).
 """
 
 from __future__ import annotations
@@ -17,8 +19,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonelake.operators.numbering import number_rows
+from zonelake.operators.skew import HOT_ROWS, HotKeys, collect_hot, find_hot_keys, split_hot
 
 ML_ORDER = "sensorreadingtime"
+# Gate tables up to this many keys (one key and one count per row, tens of
+# MB) are broadcast; the count is taken before the join is planned.
+BROADCAST_KEYS = 1_000_000
+
+
+def _matches(gate_rows: DataFrame, gate_key: str) -> DataFrame:
+    """One row per gate key with the number of gate rows holding it."""
+    return (
+        gate_rows.where(F.col(gate_key).isNotNull())
+        .groupBy(F.col(gate_key).alias("_gate_key"))
+        .agg(F.count(F.lit(1)).alias("_matches"))
+    )
+
+
+def gate_hot_keys(
+    rows: DataFrame, row_key: str, gate_rows: DataFrame, gate_key: str, threshold: int = HOT_ROWS
+) -> HotKeys:
+    """Keys whose gated output (rows x matching gate rows) exceeds
+    ``threshold``: one detection serving both the gate join and a numbering
+    by the same key.  Joins two per-key count tables, never the rows."""
+    per_key = rows.where(F.col(row_key).isNotNull()).groupBy(row_key).agg(F.count(F.lit(1)).alias("_r"))
+    out = per_key.join(_matches(gate_rows, gate_key), F.col(row_key) == F.col("_gate_key"), "inner")
+    return collect_hot(out.where(F.col("_r") * F.col("_matches") > F.lit(threshold)), [row_key])
 
 
 def gate(
@@ -28,6 +54,7 @@ def gate(
     gate_key: str,
     *,
     weight: str | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Rows of ``rows`` whose ``row_key`` equals a ``gate_key`` of ``gate_rows``.
 
@@ -37,17 +64,35 @@ def gate(
     column instead.  The gate side is first reduced to one row per key (an
     aggregate combined map-side), so it never fans out inside the shuffle.
     Null keys never match.
+
+    Strategy: when a count shows at most ``BROADCAST_KEYS`` gate keys, the
+    per-key table is broadcast and ``rows`` is not shuffled.  Otherwise the
+    keys of ``rows`` over ``HOT_ROWS`` (``hot``, found here when not given)
+    join a broadcast of just their matches, and the remaining rows, whose
+    keys are all of bounded size, take a shuffled join.
     """
-    matches = (
-        gate_rows.where(F.col(gate_key).isNotNull())
-        .groupBy(F.col(gate_key).alias("_gate_key"))
-        .agg(F.count(F.lit(1)).alias("_matches"))
-    )
-    joined = rows.join(matches, F.col(row_key) == F.col("_gate_key"), "inner")
+    matches = _matches(gate_rows, gate_key)
+    cond = F.col(row_key) == F.col("_gate_key")
+    if hot is None:
+        if matches.count() <= BROADCAST_KEYS:
+            return _gated(rows.join(F.broadcast(matches), cond, "inner"), rows.columns, weight)
+        hot = find_hot_keys(rows.where(F.col(row_key).isNotNull()), [row_key])
+    if hot.frame is None:
+        joined = rows.join(matches, cond, "inner")
+    else:
+        cold_rows, hot_rows = split_hot(rows, hot, [row_key])
+        _, hot_matches = split_hot(matches, hot, ["_gate_key"])  # one row per hot key
+        joined = cold_rows.join(matches, cond, "inner").unionByName(
+            hot_rows.join(F.broadcast(hot_matches), cond, "inner")
+        )
+    return _gated(joined, rows.columns, weight)
+
+
+def _gated(joined: DataFrame, columns: list[str], weight: str | None) -> DataFrame:
     if weight is not None:
-        return joined.select(*[F.col(c) for c in rows.columns], F.col("_matches").alias(weight))
+        return joined.select(*[F.col(c) for c in columns], F.col("_matches").alias(weight))
     copies = F.explode(F.array_repeat(F.lit(1), F.col("_matches").cast("int")))
-    return joined.select(*[F.col(c) for c in rows.columns], copies.alias("_copy")).drop("_copy")
+    return joined.select(*[F.col(c) for c in columns], copies.alias("_copy")).drop("_copy")
 
 
 def customers_with_readings(

@@ -37,20 +37,16 @@ remaining columns, so the result is deterministic and survives task retries;
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonelake.functions.columns import key_struct
+from zonelake.operators.skew import HOT_ROWS, HotKeys, find_hot_keys, split_hot
 from zonelake.session import checkpoint_dir, shuffle_partitions
 
 CHUNK_ROWS = 1 << 16
-# Rows of one entity that a single task may sort (a few hundred MB of rows).
-HOT_ROWS = 4_000_000
-# Largest set of hot entities broadcast to split the input.
-MAX_HOT_KEYS = 10_000
 
 
 def _as_list(cols: str | Sequence[str]) -> list[str]:
@@ -68,6 +64,7 @@ def number_rows(
     partitions: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
     hot_rows: int = HOT_ROWS,
+    hot: HotKeys | None = None,
     checkpoint_input: bool = False,
 ) -> DataFrame:
     """Append ``name``: 1, 2, ... per ``by`` group in ``order_by`` order.
@@ -81,7 +78,9 @@ def number_rows(
     entities exist, the range path's checkpoint job.  The input is read
     twice (counts, numbering); ``checkpoint_input=True`` materialises it
     first in the shared checkpoint folder, for inputs whose lineage holds
-    shuffles that should not run twice.
+    shuffles that should not run twice.  A caller that has already found
+    the hot entities (``skew.find_hot_keys`` on the same keys and counts)
+    passes them as ``hot`` and no count is run here.
     """
     by = _as_list(by)
     order_by = _as_list(order_by)
@@ -99,18 +98,15 @@ def number_rows(
         checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
 
-    hot = df.groupBy(*by).agg(F.sum("_copies").alias("_n")).where(F.col("_n") > F.lit(hot_rows)).select(*by)
-    n_hot = hot.count()
-    if n_hot == 0:
+    if hot is None:
+        hot = find_hot_keys(df, by, weight=F.col("_copies"), threshold=hot_rows)
+    if hot.none:
         return _windowed(df, data, by, order_by, name)
-    if n_hot > MAX_HOT_KEYS:
+    if hot.overflow:
         return _ranged(df, data, by, order_by, name, distinct_input, partitions, chunk_rows)
-    # bounded by the count above: at most MAX_HOT_KEYS keys
-    hot_keys = F.broadcast(df.sparkSession.createDataFrame(hot.collect(), hot.schema))
-    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(hot_keys[c]) for c in by])
-    cold = _windowed(df.join(hot_keys, same, "left_anti"), data, by, order_by, name)
-    warm = _ranged(df.join(hot_keys, same, "left_semi"), data, by, order_by, name, distinct_input, partitions,
-                   chunk_rows)
+    cold_rows, hot_rows_df = split_hot(df, hot, by)
+    cold = _windowed(cold_rows, data, by, order_by, name)
+    warm = _ranged(hot_rows_df, data, by, order_by, name, distinct_input, partitions, chunk_rows)
     return cold.unionByName(warm)
 
 

@@ -20,7 +20,13 @@ from pyspark.sql import DataFrame
 
 from zonelake.operators.dedup import keep_latest
 from zonelake.operators.filters import consent_filter
-from zonelake.operators.joins import customers_with_readings, device_readings_with_owner, gate, ml_features
+from zonelake.operators.joins import (
+    customers_with_readings,
+    device_readings_with_owner,
+    gate,
+    gate_hot_keys,
+    ml_features,
+)
 from zonelake.operators.numbering import number_rows
 from zonelake.operators.projection import keep_columns, lower_columns
 from zonelake.schemas import ACCELEROMETER_COLUMNS, CUSTOMER_COLUMNS, STEP_TRAINER_COLUMNS
@@ -57,9 +63,15 @@ def accelerometer_trusted(readings: DataFrame, customers: DataFrame) -> DataFram
     """Accelerometer readings of consenting users, numbered per user in time order.
 
     A reading is kept once per trusted device of its user (the email join of
-    the original job); the copies travel as a count until the numbering.
+    the original job); the copies travel as a count until the numbering.  One
+    count per user (readings x devices) finds the users too large for one
+    task, for both the gate join and the numbering.
     """
-    return number_rows(gated_accelerometer(readings, customers), "user", "timestamp", weight=DEVICES)
+    readings = keep_columns(lower_columns(readings), ACCELEROMETER_COLUMNS)
+    customers = lower_columns(customers)
+    hot = gate_hot_keys(readings, "user", customers, "email")
+    gated = gate(readings, customers, "user", "email", weight=DEVICES, hot=hot)
+    return number_rows(gated, "user", "timestamp", weight=DEVICES, hot=hot)
 
 
 def gated_step_trainer(readings: DataFrame, customers: DataFrame) -> DataFrame:
@@ -71,7 +83,11 @@ def gated_step_trainer(readings: DataFrame, customers: DataFrame) -> DataFrame:
 
 def step_trainer_trusted(readings: DataFrame, customers: DataFrame) -> DataFrame:
     """Step-trainer readings of consenting devices, numbered per device in time order."""
-    return number_rows(gated_step_trainer(readings, customers), "serialnumber", "sensorreadingtime", weight=OWNERS)
+    readings = keep_columns(lower_columns(readings), STEP_TRAINER_COLUMNS)
+    customers = lower_columns(customers)
+    hot = gate_hot_keys(readings, "serialnumber", customers, "serialnumber")
+    gated = gate(readings, customers, "serialnumber", "serialnumber", weight=OWNERS, hot=hot)
+    return number_rows(gated, "serialnumber", "sensorreadingtime", weight=OWNERS, hot=hot)
 
 
 def curated_owners(accel_trusted: DataFrame, customers: DataFrame) -> DataFrame:

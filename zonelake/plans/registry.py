@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from zonelake.operators.dedup import keep_latest
 from zonelake.operators.filters import consent_filter
+from zonelake.operators.joins import ml_features
 from zonelake.operators.projection import lower_columns
 from zonelake.plans import checks, refine
 from zonelake.session import configure
@@ -48,17 +49,24 @@ def _step_trusted(spark: SparkSession, sf_dir: str, customers: DataFrame | None
     return refine.step_trainer_trusted(mapped.step_trainer_feed(spark, sf_dir), customers)
 
 
-def _gated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Trusted customers and the two gated sensor frames (not numbered).
-
-    The curated jobs read only reading columns of the trusted sensor tables,
-    never ``rn``; computing them from the gated frames skips two numberings
-    that the curated result does not depend on (what column pruning would do
-    to an unused window).
+def _curated_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Trusted customers and the cheapest inputs equal, for the curated jobs,
+    to the trusted sensor tables.
+
+    The curated jobs never read ``rn``, and they only meet the sensor tables
+    through joins with the trusted customers, so:
+    * customers with readings: customers semi-joined on the users of the
+      gated readings are the customers semi-joined on the users of the raw
+      readings (the gate kept exactly the users that are customer emails);
+    * device readings with owner: the owners are trusted customers, so the
+      join on ``serialnumber`` already drops the readings the gate would drop;
+    * the time fusion needs each accelerometer reading with its copy count,
+      which is the gated frame with ``_devices``.
+    The SQL oracle keeps the original formulation, so it checks these rewrites.
     """
     customers = _customer_trusted(spark, sf_dir)
-    accel = refine.gated_accelerometer(mapped.accelerometer_feed(spark, sf_dir), customers)
-    steps = refine.gated_step_trainer(mapped.step_trainer_feed(spark, sf_dir), customers)
+    accel = lower_columns(mapped.accelerometer_feed(spark, sf_dir))
+    steps = lower_columns(mapped.step_trainer_feed(spark, sf_dir))
     return customers, accel, steps
 
 
@@ -68,26 +76,31 @@ def q_consent_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_customer_reading_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings per trusted device before the curated dedup (the fan-out of
-    the customer join), counted without building the fan-out."""
-    customers, accel, _ = _gated(spark, sf_dir)
-    per_user = accel.groupBy("user").agg(F.sum(refine.DEVICES).alias("_n"))
-    joined = customers.join(per_user, F.col("email") == F.col("user"), "inner")
-    return joined.groupBy("serialnumber").agg(F.sum("_n").alias("readings"))
+    the customer join), counted without building the fan-out: a device of
+    email e meets every trusted reading of e, i.e. readings(e) x devices(e)."""
+    customers, accel, _ = _curated_inputs(spark, sf_dir)
+    per_user = accel.where(F.col("user").isNotNull()).groupBy("user").agg(F.count(F.lit(1)).alias("_r"))
+    devices = customers.groupBy(F.col("email").alias("_email")).agg(F.count(F.lit(1)).alias("_d"))
+    weights = per_user.join(devices, F.col("user") == F.col("_email"), "inner")
+    joined = customers.join(weights, F.col("email") == F.col("user"), "inner")
+    return joined.groupBy("serialnumber").agg(F.sum(F.col("_r") * F.col("_d")).alias("readings"))
 
 
 def q_customer_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers, accel, _ = _gated(spark, sf_dir)
+    customers, accel, _ = _curated_inputs(spark, sf_dir)
     return refine.customer_curated(accel, customers)
 
 
 def q_device_readings_with_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers, accel, steps = _gated(spark, sf_dir)
+    customers, accel, steps = _curated_inputs(spark, sf_dir)
     return refine.device_readings(steps, accel, customers)
 
 
 def q_ml_curated(spark: SparkSession, sf_dir: str, same_user: bool = False) -> DataFrame:
-    customers, accel, steps = _gated(spark, sf_dir)
-    return refine.ml_curated(steps, accel, customers, same_user=same_user, accel_weight=refine.DEVICES)
+    customers, accel, steps = _curated_inputs(spark, sf_dir)
+    gated = refine.gated_accelerometer(accel, customers)
+    devices = refine.device_readings(steps, accel, customers)
+    return ml_features(devices, gated, same_user=same_user, accel_weight=refine.DEVICES)
 
 
 def _refined(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

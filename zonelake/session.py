@@ -20,6 +20,10 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even when its consumer then needs one more shuffle:
+    # the counts and windows above the gate joins group by the join key, and
+    # without this AQE would leave a hot user's rows in one join task
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # JSON keys are camelCase while the refined tables are lower case; the
     # landing reads rely on case-insensitive resolution.
     "spark.sql.caseSensitive": "false",

@@ -146,6 +146,7 @@ class ZoneStore:
         unique: bool = False,
         partition_by: str | Sequence[str] | None = None,
         validate: bool = True,
+        check_unique: bool = False,
     ) -> int:
         """Commit ``df`` to the table and refresh its catalog entries; returns
         the commit number.
@@ -154,9 +155,10 @@ class ZoneStore:
         (largest ``order_by``) unless ``unique=True`` says the key is unique
         by construction (a ``(key, rn)`` pair), which saves a shuffle.  With
         ``validate`` the written commit is checked before it is recorded: a
-        null key part (refused by keyed writers) and, for ``unique=True``, a
-        repeated key fail the write and leave the table as it was.  The check
-        reads the written files, not the job's lineage.
+        null key part (refused by keyed writers) fails the write and leaves
+        the table as it was; ``check_unique`` also verifies a key claimed
+        unique (one more shuffle of the written rows).  The checks read the
+        written files, not the job's lineage.
         """
         if mode not in ("replace", "upsert"):
             raise ValueError(f"mode must be 'replace' or 'upsert', not {mode!r}")
@@ -168,7 +170,7 @@ class ZoneStore:
         if not unique:
             df = keep_latest(df, keys, order_by)
         rows = df.withColumn(DELETED, F.lit(False))
-        check = (lambda written: self._validate(written, zone, table, keys, unique)) if validate else None
+        check = (lambda written: self._validate(written, zone, table, keys, unique and check_unique)) if validate else None
         return self._commit(spark, rows, zone, table, mode, keys, order_by, parts, check)
 
     @staticmethod
