@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonelake.operators.numbering import number_rows
+from zonelake.session import materialize
 from zonelake.operators.skew import HOT_ROWS, HotKeys, collect_hot, find_hot_keys, split_hot
 
 ML_ORDER = "sensorreadingtime"
@@ -74,6 +75,7 @@ def gate(
     matches = _matches(gate_rows, gate_key)
     cond = F.col(row_key) == F.col("_gate_key")
     if hot is None:
+        matches = materialize(matches)  # sized, then joined, from one pass over the gate side
         if matches.count() <= BROADCAST_KEYS:
             return _gated(rows.join(F.broadcast(matches), cond, "inner"), rows.columns, weight)
         hot = find_hot_keys(rows.where(F.col(row_key).isNotNull()), [row_key])
@@ -107,9 +109,13 @@ def customers_with_readings(
     writer collapse the fan-out; the semi-join gives the same customers
     without producing one row per reading.  The reading side is reduced to
     its distinct keys first, combined map-side, so a user with a huge share
-    of the readings costs one row per input task.
+    of the readings costs one row per input task; when a count shows at most
+    ``BROADCAST_KEYS`` of them they are broadcast.
     """
     users = readings.select(F.col(reading_key).alias("_reader")).where(F.col("_reader").isNotNull()).distinct()
+    users = materialize(users)  # one row per user: sized, then joined, from one scan of the readings
+    if users.count() <= BROADCAST_KEYS:
+        users = F.broadcast(users)  # size checked: the customer side is not shuffled
     return customers.join(users, F.col(customer_key) == F.col("_reader"), "left_semi")
 
 

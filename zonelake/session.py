@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings applied to every session handed to the library.  The time zone
 # matters for values (epoch conversions); the rest shape the physical plans:
@@ -72,3 +72,10 @@ def local_session(app: str = "zonelake", cores: str = "*", partitions: int = 8)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it from there
+    (a lineage cut: later actions and lost executors do not recompute it)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
