@@ -46,17 +46,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a private folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local-mode
+    session (tests, the bench) without one gets a private folder; on a
+    cluster a missing setting is an error, since a machine-local folder is
+    not readable from the other executors.
     """
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="zonelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    spark.sparkContext.setCheckpointDir(configured)  # makes a fresh subfolder per application
+    return spark.sparkContext.getCheckpointDir() or configured
 
 
 def local_session(app: str = "zonelake", cores: str = "*", partitions: int = 8) -> SparkSession:
