@@ -68,3 +68,39 @@ def test_incremental_customer_stream(spark, tmp_dir):
         ("s1", 5), ("s2", 6)
     ]
     assert len(store.commits(spark, "trusted", "customer_trusted")) == 2
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_refine_all_on_test_tables_matches_oracle(spark, tmp_dir):
+    import duckdb
+    import pytest
+
+    from __spark_entry__ import oracle_sql
+    from tools.check_oracle import TABLES, _digest
+    from zonelake.sources import mapped
+
+    if not os.path.isdir(SF):
+        pytest.skip("test tables not present")
+    landing = {name: feed(spark, SF) for name, feed in mapped.FEEDS.items()}
+    store = ZoneStore(os.path.join(tmp_dir, "lake"), Zones("mapped"))
+    refine_all(spark, landing, store)
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    sql = oracle_sql()
+    stored = {
+        "customer_trusted": ("trusted", "customer_trusted"),
+        "accelerometer_trusted": ("trusted", "accelerometer_trusted"),
+        "step_trainer_trusted": ("trusted", "step_trainer_trusted"),
+        "customer_curated": ("curated", "customer_curated"),
+        "ml_curated": ("curated", "machine_learning_curated"),
+    }
+    for query, (zone, table) in stored.items():
+        df = store.read(spark, zone, table)
+        got = [tuple(r) for r in df.collect()]
+        cur = con.execute(sql[query])
+        want = cur.fetchall()
+        assert len(got) == len(want), query
+        assert _digest(df.columns, got) == _digest([d[0] for d in cur.description], want), query
