@@ -88,3 +88,17 @@ def test_snapshot_as_of_latest_equals_current(spark):
     assert rows(cur) == [("a", 0)]
     assert rows(changelog.snapshot(log, "k", "o", as_of=3)) == rows(cur)
     assert rows(changelog.snapshot(log, "k", "o", as_of=2)) == [("a", 0), ("b", 1)]
+
+
+def test_compact_keeps_content_and_history(spark, store):
+    a = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], "k string, o long, v string")
+    b = spark.createDataFrame([("a", 2, "x2")], "k string, o long, v string")
+    store.write(a, "trusted", "c", "k", "o", mode="upsert")
+    store.write(b, "trusted", "c", "k", "o", mode="upsert")
+    store.delete(spark.createDataFrame([("b",)], "k string"), "trusted", "c")
+    before = rows(store.read(spark, "trusted", "c"))
+    assert store.compact(spark, "trusted", "c") == 4
+    assert store.commits(spark, "trusted", "c")[-1].kind == "replace"
+    assert rows(store.read(spark, "trusted", "c")) == before == [("a", 2, "x2")]
+    assert rows(store.read(spark, "trusted", "c", as_of=2), "k", "v") == [("a", "x2"), ("b", "y")]
+    assert store.compact(spark, "trusted", "c") == 4  # nothing to do

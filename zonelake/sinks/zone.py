@@ -180,6 +180,22 @@ class ZoneStore:
         if unique:
             assert_key(written, keys)
 
+    def compact(self, spark: SparkSession, zone: str, table: str) -> int:
+        """Write the current table as a replace commit.  Reads after an upsert
+        merge every commit since the last replace (an aggregate over the
+        log); after a compaction they read one directory again.  Earlier
+        commits stay readable with ``as_of``."""
+        done = self.commits(spark, zone, table)
+        if not done:
+            raise RuntimeError(f"table {zone}.{table} has no commit")
+        head = done[-1]
+        if head.kind == "replace":
+            return head.commit
+        current = self.read(spark, zone, table)
+        return self.write(
+            current, zone, table, head.keys, head.order_by, unique=True, partition_by=head.partition_by or None
+        )
+
     def delete(self, keys_df: DataFrame, zone: str, table: str) -> int:
         """Commit tombstones for the record keys in ``keys_df``."""
         spark = keys_df.sparkSession
