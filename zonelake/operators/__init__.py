@@ -1 +1 @@
-"""zonelake."""
+"""DataFrame operators: projection, filters, deduplication, numbering, joins, hot-key handling."""

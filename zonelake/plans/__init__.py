@@ -1 +1 @@
-"""zonelake."""
+"""The refinement jobs, their chaining through zone tables, checks and the registered queries."""

@@ -1 +1 @@
-"""zonelake."""
+"""Incremental ingest of landing files with Structured Streaming."""
