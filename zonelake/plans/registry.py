@@ -20,7 +20,7 @@ from zonelake.operators.filters import consent_filter
 from zonelake.operators.joins import ml_features
 from zonelake.operators.projection import lower_columns
 from zonelake.plans import checks, refine
-from zonelake.session import configure
+from zonelake.session import configure, materialize
 from zonelake.sinks import changelog
 from zonelake.sources import mapped
 
@@ -39,13 +39,19 @@ def _customer_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine.customer_trusted(mapped.customer_feed(configure(spark), sf_dir))
 
 
+def _stored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trusted customers written once, as the refinement stores them before
+    the sensor jobs read them (each composite query uses them several times)."""
+    return materialize(_customer_trusted(spark, sf_dir))
+
+
 def _accel_trusted(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
-    customers = customers if customers is not None else _customer_trusted(spark, sf_dir)
+    customers = customers if customers is not None else _stored_customers(spark, sf_dir)
     return refine.accelerometer_trusted(mapped.accelerometer_feed(spark, sf_dir), customers)
 
 
 def _step_trusted(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
-    customers = customers if customers is not None else _customer_trusted(spark, sf_dir)
+    customers = customers if customers is not None else _stored_customers(spark, sf_dir)
     return refine.step_trainer_trusted(mapped.step_trainer_feed(spark, sf_dir), customers)
 
 
@@ -64,7 +70,7 @@ def _curated_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
       which is the gated frame with ``_devices``.
     The SQL oracle keeps the original formulation, so it checks these rewrites.
     """
-    customers = _customer_trusted(spark, sf_dir)
+    customers = _stored_customers(spark, sf_dir)
     accel = lower_columns(mapped.accelerometer_feed(spark, sf_dir))
     steps = lower_columns(mapped.step_trainer_feed(spark, sf_dir))
     return customers, accel, steps
@@ -104,7 +110,7 @@ def q_ml_curated(spark: SparkSession, sf_dir: str, same_user: bool = False) -> D
 
 
 def _refined(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    customers = _customer_trusted(spark, sf_dir)
+    customers = _stored_customers(spark, sf_dir)
     accel = _accel_trusted(spark, sf_dir, customers)
     steps = _step_trusted(spark, sf_dir, customers)
     return {
