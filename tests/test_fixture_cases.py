@@ -101,3 +101,13 @@ def test_malformed_line_never_reaches_trusted(spark, tmp_dir):
     raw = raw.cache()
     assert raw.where(F.col("_corrupt_record").isNotNull()).count() == 1
     assert raw.count() == 7
+
+
+def test_schema_report(trusted):
+    from zonelake.plans.checks import schema_report
+
+    customers, accel, _ = trusted
+    report = schema_report({"customer_trusted": customers, "accelerometer_trusted": accel})
+    got = rows(report.where("table_name = 'accelerometer_trusted'"), "position", "column_name", "data_type")
+    assert got == [(1, "user", "string"), (2, "timestamp", "bigint"), (3, "x", "double"), (4, "y", "double"),
+                   (5, "z", "double"), (6, "rn", "bigint")]

@@ -77,3 +77,18 @@ def assert_key(df: DataFrame, keys: str | Sequence[str]) -> None:
 def preview(df: DataFrame, order: str | Sequence[str], n: int = 10) -> DataFrame:
     """The first ``n`` rows in ``order`` (a top-n: each task keeps n rows)."""
     return df.orderBy(*_as_list(order)).limit(n)
+
+
+def schema_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``(table_name, position, column_name, data_type, nullable)`` for each
+    table: the schemas the jobs write, as a table (built from the plans'
+    metadata; no data is read)."""
+    spark = next(iter(tables.values())).sparkSession
+    entries = [
+        (name, i, f.name, f.dataType.simpleString(), f.nullable)
+        for name, df in tables.items()
+        for i, f in enumerate(df.schema.fields, start=1)
+    ]
+    return spark.createDataFrame(
+        entries, "table_name string, position int, column_name string, data_type string, nullable boolean"
+    )
