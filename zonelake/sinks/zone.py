@@ -99,9 +99,9 @@ class ZoneStore:
 
     # ------------------------------------------------------------------ reads
 
-    def log(self, spark: SparkSession, zone: str, table: str) -> DataFrame:
+    def log(self, spark: SparkSession, zone: str, table: str, done: list[Commit] | None = None) -> DataFrame:
         """All committed log rows (schema merged across commits)."""
-        done = self.commits(spark, zone, table)
+        done = self.commits(spark, zone, table) if done is None else done
         if not done:
             raise RuntimeError(f"table {zone}.{table} has no commit at {self.path(zone, table)}")
         base = f"{self.path(zone, table)}/log"
@@ -117,7 +117,7 @@ class ZoneStore:
             raise RuntimeError(f"table {zone}.{table} has no commit up to {as_of}")
         head = done[-1]
         last_replace = max((c.commit for c in done if c.kind == "replace"), default=0)
-        log = self.log(spark, zone, table)
+        log = self.log(spark, zone, table, done)
         if head.kind == "replace":
             # a full snapshot on its own: read just that directory
             data = [c for c in log.columns if c not in (COMMIT, DELETED)]
@@ -227,14 +227,16 @@ class ZoneStore:
         writer.parquet(target)
         if check is not None:
             check(spark.read.parquet(target))
-        self._record(spark, zone, table, Commit(number, kind, keys, order_by, parts))
-        self.register(spark, zone, table)
+        commit = Commit(number, kind, keys, order_by, parts)
+        self._record(spark, zone, table, commit)
+        self.register(spark, zone, table, [*done, commit])
         return number
 
     # ---------------------------------------------------------------- catalog
 
-    def register(self, spark: SparkSession, zone: str, table: str) -> None:
+    def register(self, spark: SparkSession, zone: str, table: str, done: list[Commit] | None = None) -> None:
         """(Re)create ``<db>.<table>__log`` and the current view ``<db>.<table>``."""
+        done = self.commits(spark, zone, table) if done is None else done
         db = self.zones.database(zone)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
         log_name = f"`{db}`.`{table}__log`"
@@ -246,15 +248,13 @@ class ZoneStore:
         # the catalog tracks partitions of a partitioned table: list the commits
         spark.sql(f"ALTER TABLE {log_name} RECOVER PARTITIONS")
         spark.sql(f"DROP VIEW IF EXISTS `{db}`.`{table}`")
-        current = self.read(spark, zone, table)
-        cols = ", ".join(f"`{c}`" for c in current.columns)
-        done = self.commits(spark, zone, table)
+        data = [c for c in spark.table(log_name).columns if c not in (COMMIT, DELETED)]
         head = done[-1]
         last_replace = max((c.commit for c in done if c.kind == "replace"), default=0)
         if head.kind == "replace":
+            cols = ", ".join(f"`{c}`" for c in data)
             body = f"SELECT {cols} FROM {log_name} WHERE {COMMIT} = {head.commit} AND NOT {DELETED}"
         else:
-            data = [c for c in spark.table(log_name).columns if c not in (COMMIT, DELETED)]
             rest = [c for c in data if c not in head.keys and c not in head.order_by]
             packed = ", ".join(f"`{c}`" for c in [COMMIT, *head.order_by, *rest, DELETED])
             key_cols = ", ".join(f"`{k}`" for k in head.keys)
