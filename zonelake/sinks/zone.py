@@ -175,7 +175,7 @@ class ZoneStore:
 
     @staticmethod
     def _validate(written: DataFrame, zone: str, table: str, keys: list[str], unique: bool) -> None:
-        if written.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).limit(1).count():
+        if not written.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).isEmpty():
             raise ValueError(f"{zone}.{table}: rows with a null record key {keys}")
         if unique:
             assert_key(written, keys)
