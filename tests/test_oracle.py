@@ -28,3 +28,16 @@ def test_queries_match_oracle(spark):
     results = compare(spark, SF)
     failed = [r for r in results if not r["ok"]]
     assert not failed, failed
+
+
+def test_hot_paths_on_test_tables_match_oracle(spark, monkeypatch):
+    """Every user and device over 30 rows is treated as hot: the gate splits
+    them off and the numbering takes the range path, on the real tables."""
+    import zonelake.operators.joins as joins
+    import zonelake.operators.skew as skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 30)
+    monkeypatch.setattr(joins, "BROADCAST_KEYS", 0)
+    results = compare(spark, SF, ["accelerometer_trusted", "step_trainer_trusted", "customer_curated", "ml_curated"])
+    failed = [r for r in results if not r["ok"]]
+    assert not failed, failed

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from zonelake.operators.numbering import number_rows
 from zonelake.session import materialize
-from zonelake.operators.skew import HOT_ROWS, HotKeys, collect_hot, find_hot_keys, split_hot
+from zonelake.operators import skew
+from zonelake.operators.skew import HotKeys, collect_hot, find_hot_keys, split_hot
 
 ML_ORDER = "sensorreadingtime"
 # Gate tables up to this many keys (one key and one count per row, tens of
@@ -38,14 +39,15 @@ def _matches(gate_rows: DataFrame, gate_key: str) -> DataFrame:
 
 
 def gate_hot_keys(
-    rows: DataFrame, row_key: str, gate_rows: DataFrame, gate_key: str, threshold: int = HOT_ROWS
+    rows: DataFrame, row_key: str, gate_rows: DataFrame, gate_key: str, threshold: int | None = None
 ) -> HotKeys:
     """Keys whose gated output (rows x matching gate rows) exceeds
     ``threshold``: one detection serving both the gate join and a numbering
     by the same key.  Joins two per-key count tables, never the rows."""
     per_key = rows.where(F.col(row_key).isNotNull()).groupBy(row_key).agg(F.count(F.lit(1)).alias("_r"))
     out = per_key.join(_matches(gate_rows, gate_key), F.col(row_key) == F.col("_gate_key"), "inner")
-    return collect_hot(out.where(F.col("_r") * F.col("_matches") > F.lit(threshold)), [row_key])
+    limit = skew.hot_threshold(threshold)
+    return collect_hot(out.where(F.col("_r") * F.col("_matches") > F.lit(limit)), [row_key])
 
 
 def gate(

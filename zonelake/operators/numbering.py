@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonelake.functions.columns import key_struct
-from zonelake.operators.skew import HOT_ROWS, HotKeys, find_hot_keys, split_hot
+from zonelake.operators.skew import HotKeys, find_hot_keys, split_hot
 from zonelake.session import checkpoint_dir, shuffle_partitions
 
 CHUNK_ROWS = 1 << 16
@@ -63,7 +63,7 @@ def number_rows(
     distinct_input: bool = False,
     partitions: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     hot: HotKeys | None = None,
     checkpoint_input: bool = False,
 ) -> DataFrame:

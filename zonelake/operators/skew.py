@@ -22,6 +22,11 @@ HOT_ROWS = 4_000_000
 MAX_HOT_KEYS = 10_000
 
 
+def hot_threshold(threshold: int | None = None) -> int:
+    """``threshold``, or the module's ``HOT_ROWS`` as set at call time."""
+    return HOT_ROWS if threshold is None else threshold
+
+
 @dataclass(frozen=True)
 class HotKeys:
     """Outcome of a hot-key search over ``keys``.
@@ -52,9 +57,11 @@ def collect_hot(counts: DataFrame, keys: Sequence[str]) -> HotKeys:
 
 
 def find_hot_keys(
-    df: DataFrame, keys: Sequence[str], *, weight: Column | None = None, threshold: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], *, weight: Column | None = None, threshold: int | None = None
 ) -> HotKeys:
-    """Keys of ``df`` with more than ``threshold`` rows (or summed ``weight``)."""
+    """Keys of ``df`` with more than ``threshold`` rows (or summed ``weight``);
+    the threshold defaults to ``HOT_ROWS``."""
+    threshold = hot_threshold(threshold)
     size = F.sum(weight) if weight is not None else F.count(F.lit(1))
     counts = df.groupBy(*keys).agg(size.alias("_n")).where(F.col("_n") > F.lit(threshold))
     return collect_hot(counts, list(keys))
