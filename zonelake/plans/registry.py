@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.operators.dedup import keep_latest
+from zonelake.operators.dedup import distinct_rows, keep_latest
 from zonelake.operators.filters import consent_filter
 from zonelake.operators.joins import ml_features
 from zonelake.operators.projection import lower_columns
@@ -102,6 +102,23 @@ def q_device_readings_with_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine.device_readings(steps, accel, customers)
 
 
+def q_device_readings_raw_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original job's form of the device readings: the step readings
+    joined to the customer join before its dedup (one customer row per
+    accelerometer reading), collapsed by a whole-row distinct (DST-1).  Kept
+    to exercise the distinct on a real fan-out; ``device_readings_with_owner``
+    is the form to use."""
+    customers = _stored_customers(spark, sf_dir)
+    accel = _accel_trusted(spark, sf_dir, customers)
+    steps = _step_trusted(spark, sf_dir, customers)
+    fan_out = accel.join(customers, F.col("user") == F.col("email"), "inner").select("serialnumber", "email",
+                                                                                    "registrationdate")
+    joined = steps.join(fan_out, "serialnumber", "inner").select(
+        "sensorreadingtime", "serialnumber", "distancefromobject", "email", "registrationdate"
+    )
+    return distinct_rows(joined)
+
+
 def q_ml_curated(spark: SparkSession, sf_dir: str, same_user: bool = False) -> DataFrame:
     customers, accel, steps = _curated_inputs(spark, sf_dir)
     gated = refine.gated_accelerometer(accel, customers)
@@ -199,6 +216,7 @@ QUERIES: dict[str, Query] = {
     "customer_reading_fanout": q_customer_reading_fanout,
     "customer_curated": q_customer_curated,
     "device_readings_with_owner": q_device_readings_with_owner,
+    "device_readings_raw_lineage": q_device_readings_raw_lineage,
     "ml_curated": q_ml_curated,
     "ml_curated_same_user": lambda s, d: q_ml_curated(s, d, same_user=True),
     "zone_counts": q_zone_counts,
@@ -342,6 +360,7 @@ UNION ALL SELECT 'step_trainer_landing', count(*) FROM step_trainer_landing""",
     ),
     "customer_curated": _chain("SELECT * FROM customer_curated"),
     "device_readings_with_owner": _chain("SELECT * FROM device_readings"),
+    "device_readings_raw_lineage": _chain("SELECT * FROM device_readings"),
     "ml_curated": _chain("SELECT * FROM machine_learning_curated"),
     "ml_curated_same_user": _chain("SELECT * FROM ml_same_user"),
     "zone_counts": _chain(
