@@ -152,3 +152,23 @@ def test_hot_key_overflow(spark, monkeypatch):
     df = spark.createDataFrame([(k % 3,) for k in range(30)], "k int")
     hot = skew.find_hot_keys(df, ["k"], threshold=5)
     assert hot.overflow and hot.frame is None and not hot.none
+
+
+@pytest.mark.parametrize("same_user", [False, True])
+def test_fuse_on_time_salts_busy_instants(spark, monkeypatch, same_user):
+    import zonelake.operators.skew as skew
+    from zonelake.operators.joins import fuse_on_time
+
+    devices = spark.createDataFrame(
+        [(t if i % 3 else 7, f"s{i % 4}", i % 5, f"e{i % 2}", 1) for i, t in enumerate(range(40))],
+        "sensorreadingtime int, serialnumber string, distancefromobject int, email string, registrationdate int",
+    )
+    accel = spark.createDataFrame(
+        [(7 if i % 2 else i, float(i % 6), 1.0, 2.0, f"e{i % 3}") for i in range(60)] * 2,
+        "timestamp int, x double, y double, z double, user string",
+    )
+    plain = rows(fuse_on_time(devices, accel, same_user=same_user))
+    monkeypatch.setattr(skew, "HOT_ROWS", 10)
+    salted = fuse_on_time(devices, accel, same_user=same_user)
+    assert rows(salted) == plain
+    assert len(plain) > 0

@@ -15,7 +15,7 @@ aggregate), hot keys are split off explicitly (``operators.skew``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonelake.operators.numbering import number_rows
@@ -151,16 +151,65 @@ def fuse_on_time(
     also requires ``email == user``).  Returns distinct feature tuples with
     their multiplicity in ``weight``; ``ml_features`` numbers and expands them.
     Accelerometer rows count once each, or ``accel_weight`` times.
+
+    The accelerometer side is first reduced to distinct tuples with a count
+    (combined map-side).  The join is many-to-many, so one busy instant makes
+    devices x tuples pairs in the task that holds it, a size AQE cannot see
+    (it measures inputs).  Per-instant pair counts are therefore taken first;
+    instants over ``HOT_ROWS`` pairs (at most ``MAX_HOT_KEYS`` of them,
+    broadcast) are salted: their device rows get ``xxhash64 mod k`` and their
+    accelerometer tuples are repeated for every salt, so k tasks share the
+    pairs of that instant.
     """
     keys = ["timestamp", "x", "y", "z"] + (["user"] if same_user else [])
     copies = F.sum(accel_weight) if accel_weight else F.count(F.lit(1))
-    acc = accel.groupBy(*keys).agg(copies.cast("long").alias(weight))
-    cond = F.col("sensorreadingtime") == F.col("timestamp")
-    if same_user:
-        cond = cond & (F.col("email") == F.col("user"))
-    return devices.join(acc, cond, "inner").select(
-        "email", "sensorreadingtime", "serialnumber", "distancefromobject", "x", "y", "z", weight
+    # both inputs come out of shuffles and are read twice (instant counts,
+    # pairs): materialise them once
+    acc = materialize(accel.groupBy(*keys).agg(copies.cast("long").alias(weight)))
+    devices = materialize(devices)
+    out = ["email", "sensorreadingtime", "serialnumber", "distancefromobject", "x", "y", "z", weight]
+
+    def pairs(dev: DataFrame, tuples: DataFrame, extra: Column | None = None) -> DataFrame:
+        cond = F.col("sensorreadingtime") == F.col("timestamp")
+        if same_user:
+            cond = cond & (F.col("email") == F.col("user"))
+        if extra is not None:
+            cond = cond & extra
+        return dev.join(tuples, cond, "inner").select(*out)
+
+    busy = _busy_instants(devices, acc)
+    if busy is None:
+        return pairs(devices, acc)
+    instants = F.broadcast(busy)  # _busy_t, _k; at most MAX_HOT_KEYS rows
+    cold = pairs(
+        devices.join(instants, F.col("sensorreadingtime") == F.col("_busy_t"), "left_anti"),
+        acc.join(instants, F.col("timestamp") == F.col("_busy_t"), "left_anti"),
+    )
+    dev_hot = devices.join(instants, F.col("sensorreadingtime") == F.col("_busy_t"), "inner")
+    dev_hot = dev_hot.withColumn("_salt_d", F.pmod(F.xxhash64(*[F.col(c) for c in devices.columns]), F.col("_k")))
+    dev_hot = dev_hot.drop("_busy_t", "_k")
+    acc_hot = acc.join(instants, F.col("timestamp") == F.col("_busy_t"), "inner")
+    acc_hot = acc_hot.withColumn("_salt_a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)))
+    acc_hot = acc_hot.drop("_busy_t", "_k")
+    return cold.unionByName(pairs(dev_hot, acc_hot, F.col("_salt_d") == F.col("_salt_a")))
+
+
+def _busy_instants(devices: DataFrame, acc: DataFrame) -> DataFrame | None:
+    """Instants whose pairs exceed ``HOT_ROWS``, with a salt count ``_k``
+    (pairs / HOT_ROWS, at most the instant's device rows); None when there
+    are none or more than ``MAX_HOT_KEYS`` (AQE then handles the join)."""
+    limit = skew.hot_threshold()
+    n = devices.where(F.col("sensorreadingtime").isNotNull()).groupBy("sensorreadingtime").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    m = acc.groupBy("timestamp").agg(F.count(F.lit(1)).alias("_m"))
+    per = n.join(m, F.col("sensorreadingtime") == F.col("timestamp"), "inner")
+    busy = per.where(F.col("_n") * F.col("_m") > F.lit(limit)).select(
+        F.col("sensorreadingtime").alias("_busy_t"),
+        F.least(F.col("_n"), F.ceil(F.col("_n") * F.col("_m") / F.lit(limit))).cast("long").alias("_k"),
     )
+    found = collect_hot(busy, ["_busy_t", "_k"])
+    return found.frame
 
 
 def ml_features(
