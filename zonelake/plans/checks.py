@@ -19,7 +19,7 @@ def _as_list(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
+def union_all(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -28,7 +28,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def zone_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(table_name, row_count)`` for each table."""
-    return _union(
+    return union_all(
         [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
          for name, df in tables.items()]
     )

@@ -154,7 +154,7 @@ def q_consent_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _refined(spark, sf_dir)
     frames = [checks.key_violations(df, refine.TABLE_KEYS[name][0], name) for name, df in tables.items()]
-    return checks._union(frames)
+    return checks.union_all(frames)
 
 
 def q_preview_customer_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
