@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 
+import pytest
 from conftest import rows
 from fixture_data import write_landing
 
@@ -104,3 +105,20 @@ def test_refine_all_on_test_tables_matches_oracle(spark, tmp_dir):
         want = cur.fetchall()
         assert len(got) == len(want), query
         assert _digest(df.columns, got) == _digest([d[0] for d in cur.description], want), query
+
+
+def test_cli_runs_jobs_separately(spark, tmp_dir, capsys):
+    from zonelake.plans.cli import main
+
+    paths = write_landing(os.path.join(tmp_dir, "landing"))
+    root = os.path.join(tmp_dir, "lake")
+    common = ["--root", root, "--prefix", "cli"]
+    assert main(["customer-trusted", *common, "--customer", paths["customer_landing"]], spark) == 0
+    assert main(["accelerometer-trusted", *common, "--accelerometer", paths["accelerometer_landing"]], spark) == 0
+    assert main(["step-trainer-trusted", *common, "--step-trainer", paths["step_trainer_landing"]], spark) == 0
+    assert main(["curated", *common], spark) == 0
+    out = capsys.readouterr().out
+    assert "machine_learning_curated\t12" in out and "customer_curated\t3" in out
+    assert spark.table("cli_curated.machine_learning_curated").count() == 12
+    with pytest.raises(SystemExit):
+        main(["customer-trusted", *common], spark)
