@@ -77,7 +77,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
             store, spark, refine.customer_curated(accel, cust), "curated", "customer_curated", args.mode
         )
         done["machine_learning_curated"] = _commit(
-            store, spark, refine.ml_curated(steps, accel, cust), "curated", "machine_learning_curated", "replace"
+            store, spark, refine.ml_curated(steps, accel, cust, same_user=args.same_user), "curated",
+            "machine_learning_curated", "replace"
         )
     counts = checks.zone_counts(done).collect()
     return {r["table_name"]: r["row_count"] for r in counts}
@@ -91,6 +92,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--customer", help="customer landing file or folder (JSON lines)")
     p.add_argument("--accelerometer", help="accelerometer landing folder (JSON lines)")
     p.add_argument("--step-trainer", dest="step_trainer", help="step-trainer landing folder (JSON lines)")
+    p.add_argument(
+        "--same-user", dest="same_user", action="store_true",
+        help="pair device and accelerometer readings of the same user only (default: same time only)",
+    )
     p.add_argument(
         "--mode", choices=("replace", "upsert"), default="replace",
         help="customer tables: replace (default) or upsert into the existing table",

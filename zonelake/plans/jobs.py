@@ -16,7 +16,9 @@ from zonelake.plans import checks, refine
 from zonelake.sinks.zone import ZoneStore
 
 
-def refine_all(spark: SparkSession, landing: Mapping[str, DataFrame], store: ZoneStore) -> DataFrame:
+def refine_all(
+    spark: SparkSession, landing: Mapping[str, DataFrame], store: ZoneStore, *, same_user: bool = False
+) -> DataFrame:
     """Run the five jobs in dependency order; return the zone row counts.
 
     ``landing`` holds the three landing feeds (``customer_landing``,
@@ -45,7 +47,9 @@ def refine_all(spark: SparkSession, landing: Mapping[str, DataFrame], store: Zon
         True,
     )
     curated = commit(refine.customer_curated(accel, customers), "curated", "customer_curated", True)
-    ml = commit(refine.ml_curated(steps, accel, customers), "curated", "machine_learning_curated", True)
+    ml = commit(
+        refine.ml_curated(steps, accel, customers, same_user=same_user), "curated", "machine_learning_curated", True
+    )
     return checks.zone_counts(
         {
             "customer_trusted": customers,
