@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonelake.operators.numbering import number_rows
-from zonelake.session import materialize
+from zonelake.session import materialize, materialize_counted
 from zonelake.operators import skew
 from zonelake.operators.skew import HotKeys, collect_hot, find_hot_keys, split_hot
 
@@ -77,8 +77,8 @@ def gate(
     matches = _matches(gate_rows, gate_key)
     cond = F.col(row_key) == F.col("_gate_key")
     if hot is None:
-        matches = materialize(matches)  # sized, then joined, from one pass over the gate side
-        if matches.count() <= BROADCAST_KEYS:
+        matches, n_keys = materialize_counted(matches)  # sized and joined from one pass over the gate side
+        if n_keys <= BROADCAST_KEYS:
             return _gated(rows.join(F.broadcast(matches), cond, "inner"), rows.columns, weight)
         hot = find_hot_keys(rows.where(F.col(row_key).isNotNull()), [row_key])
     if hot.frame is None:
@@ -115,8 +115,8 @@ def customers_with_readings(
     ``BROADCAST_KEYS`` of them they are broadcast.
     """
     users = readings.select(F.col(reading_key).alias("_reader")).where(F.col("_reader").isNotNull()).distinct()
-    users = materialize(users)  # one row per user: sized, then joined, from one scan of the readings
-    if users.count() <= BROADCAST_KEYS:
+    users, n_users = materialize_counted(users)  # one row per user: sized and joined from one scan
+    if n_users <= BROADCAST_KEYS:
         users = F.broadcast(users)  # size checked: the customer side is not shuffled
     return customers.join(users, F.col(customer_key) == F.col("_reader"), "left_semi")
 

@@ -84,3 +84,14 @@ def materialize(df: DataFrame) -> DataFrame:
     (a lineage cut: later actions and lost executors do not recompute it)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``materialize`` that also returns the row count, observed while the
+    rows are written (no second job)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    seen = Observation()
+    out = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return out, int(seen.get["rows"])
