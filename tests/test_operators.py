@@ -172,3 +172,11 @@ def test_fuse_on_time_salts_busy_instants(spark, monkeypatch, same_user):
     salted = fuse_on_time(devices, accel, same_user=same_user)
     assert rows(salted) == plain
     assert len(plain) > 0
+
+
+def test_number_rows_nan_key_spanning_partitions(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, t) for t in range(40)] + [(1.0, t) for t in range(5)], "k double, t int")
+    got = number_rows(df, "k", "t", hot_rows=0, partitions=6)
+    ranks = sorted(r["rn"] for r in got.collect() if r["k"] != r["k"])
+    assert ranks == list(range(1, 41))

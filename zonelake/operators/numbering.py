@@ -221,21 +221,32 @@ def _carries(edges: list) -> list[tuple]:
     """
     first: dict[int, object] = {}
     last: dict[int, tuple[object, int]] = {}
+    raw: dict[int, object] = {}
     for row in edges:
         if row["_f"]:
-            first[row["_part"]] = row["_key"]
+            first[row["_part"]] = _same_as_spark(row["_key"])
+            raw[row["_part"]] = row["_key"]
         if row["_l"]:
-            last[row["_part"]] = (row["_key"], row["_end"])
+            last[row["_part"]] = (_same_as_spark(row["_key"]), row["_end"])
     out: list[tuple] = []
     run_key: object = None
     run = 0
     started = False
     for part in sorted(last):
         if started and first[part] == run_key:
-            out.append((part, first[part], run))
+            out.append((part, raw[part], run))
         key, end = last[part]
         if started and key == run_key:
             run += end
         else:
             run_key, run, started = key, end, True
     return out
+
+
+def _same_as_spark(key: object) -> object:
+    """Key value compared the way Spark groups it: NaN equals NaN."""
+    if isinstance(key, float) and key != key:
+        return ("NaN",)
+    if isinstance(key, tuple):
+        return tuple(_same_as_spark(v) for v in key)
+    return key
