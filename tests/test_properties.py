@@ -81,3 +81,43 @@ def test_keep_latest_random(spark, data):
         if r[0] not in best or cand > null_first((best[r[0]][1], best[r[0]][2])):
             best[r[0]] = r
     assert rows(keep_latest(df, "k", "t")) == sorted(best.values(), key=null_first)
+
+
+log_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", "c"]),
+        st.sampled_from([None, 1, 2]),
+        st.sampled_from([None, "x", "y"]),
+        st.integers(min_value=1, max_value=4),
+        st.booleans(),
+    ),
+    min_size=1,
+    max_size=25,
+)
+
+
+def _model_latest(log, as_of=None, after=None):
+    best = {}
+    for k, o, v, c, d in log:
+        if (as_of is not None and c > as_of) or (after is not None and c <= after):
+            continue
+        rank = null_first((c, o, v, d))
+        if k not in best or rank > null_first(best[k][1:]):
+            best[k] = (k, c, o, v, d)
+    return best
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(log=log_rows, as_of=st.sampled_from([None, 1, 2, 3]))
+def test_snapshot_and_changes_match_model(spark, log, as_of):
+    from zonelake.sinks import changelog
+
+    df = spark.createDataFrame(
+        [(k, o, v, c, d) for k, o, v, c, d in log], "k string, o int, v string, _commit long, _deleted boolean"
+    )
+    got = rows(changelog.snapshot(df, "k", "o", as_of=as_of))
+    want = sorted(((k, o, v) for k, c, o, v, d in _model_latest(log, as_of=as_of).values() if not d), key=null_first)
+    assert got == want
+    changed = rows(changelog.changes_since(df, "k", "o", 2), "k", "o", "v", "_commit", "_deleted")
+    want_changed = sorted(((k, o, v, c, d) for k, c, o, v, d in _model_latest(log, after=2).values()), key=null_first)
+    assert changed == want_changed
