@@ -29,6 +29,12 @@ ML_ORDER = "sensorreadingtime"
 BROADCAST_KEYS = 1_000_000
 
 
+def gate_matches(gate_rows: DataFrame, gate_key: str) -> tuple[DataFrame, int]:
+    """The gate's per-key table (``_gate_key``, ``_matches``), materialised
+    once and counted while written: shared by ``gate_hot_keys`` and ``gate``."""
+    return materialize_counted(_matches(gate_rows, gate_key))
+
+
 def _matches(gate_rows: DataFrame, gate_key: str) -> DataFrame:
     """One row per gate key with the number of gate rows holding it."""
     return (
@@ -39,13 +45,22 @@ def _matches(gate_rows: DataFrame, gate_key: str) -> DataFrame:
 
 
 def gate_hot_keys(
-    rows: DataFrame, row_key: str, gate_rows: DataFrame, gate_key: str, threshold: int | None = None
+    rows: DataFrame,
+    row_key: str,
+    gate_rows: DataFrame | None = None,
+    gate_key: str | None = None,
+    threshold: int | None = None,
+    *,
+    matches: DataFrame | None = None,
 ) -> HotKeys:
     """Keys whose gated output (rows x matching gate rows) exceeds
     ``threshold``: one detection serving both the gate join and a numbering
-    by the same key.  Joins two per-key count tables, never the rows."""
+    by the same key.  Joins two per-key count tables, never the rows.  The
+    gate side is ``gate_rows``/``gate_key`` or a ``gate_matches`` table."""
+    if matches is None:
+        matches = _matches(gate_rows, gate_key)
     per_key = rows.where(F.col(row_key).isNotNull()).groupBy(row_key).agg(F.count(F.lit(1)).alias("_r"))
-    out = per_key.join(_matches(gate_rows, gate_key), F.col(row_key) == F.col("_gate_key"), "inner")
+    out = per_key.join(matches, F.col(row_key) == F.col("_gate_key"), "inner")
     limit = skew.hot_threshold(threshold)
     return collect_hot(out.where(F.col("_r") * F.col("_matches") > F.lit(limit)), [row_key])
 
@@ -58,6 +73,7 @@ def gate(
     *,
     weight: str | None = None,
     hot: HotKeys | None = None,
+    matches: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """Rows of ``rows`` whose ``row_key`` equals a ``gate_key`` of ``gate_rows``.
 
@@ -72,14 +88,15 @@ def gate(
     per-key table is broadcast and ``rows`` is not shuffled.  Otherwise the
     keys of ``rows`` over ``HOT_ROWS`` (``hot``, found here when not given)
     join a broadcast of just their matches, and the remaining rows, whose
-    keys are all of bounded size, take a shuffled join.
+    keys are all of bounded size, take a shuffled join.  ``matches`` passes
+    a ``gate_matches`` result (table and key count) computed by the caller.
     """
-    matches = _matches(gate_rows, gate_key)
+    table, n_keys = matches if matches is not None else gate_matches(gate_rows, gate_key)
+    matches = table
     cond = F.col(row_key) == F.col("_gate_key")
+    if n_keys <= BROADCAST_KEYS:
+        return _gated(rows.join(F.broadcast(matches), cond, "inner"), rows.columns, weight)
     if hot is None:
-        matches, n_keys = materialize_counted(matches)  # sized and joined from one pass over the gate side
-        if n_keys <= BROADCAST_KEYS:
-            return _gated(rows.join(F.broadcast(matches), cond, "inner"), rows.columns, weight)
         hot = find_hot_keys(rows.where(F.col(row_key).isNotNull()), [row_key])
     if hot.frame is None:
         joined = rows.join(matches, cond, "inner")

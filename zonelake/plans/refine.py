@@ -25,6 +25,7 @@ from zonelake.operators.joins import (
     device_readings_with_owner,
     gate,
     gate_hot_keys,
+    gate_matches,
     ml_features,
 )
 from zonelake.operators.numbering import number_rows
@@ -69,8 +70,9 @@ def accelerometer_trusted(readings: DataFrame, customers: DataFrame) -> DataFram
     """
     readings = keep_columns(lower_columns(readings), ACCELEROMETER_COLUMNS)
     customers = lower_columns(customers)
-    hot = gate_hot_keys(readings, "user", customers, "email")
-    gated = gate(readings, customers, "user", "email", weight=DEVICES, hot=hot)
+    matches = gate_matches(customers, "email")
+    hot = gate_hot_keys(readings, "user", matches=matches[0])
+    gated = gate(readings, customers, "user", "email", weight=DEVICES, hot=hot, matches=matches)
     return number_rows(gated, "user", "timestamp", weight=DEVICES, hot=hot)
 
 
@@ -85,8 +87,9 @@ def step_trainer_trusted(readings: DataFrame, customers: DataFrame) -> DataFrame
     """Step-trainer readings of consenting devices, numbered per device in time order."""
     readings = keep_columns(lower_columns(readings), STEP_TRAINER_COLUMNS)
     customers = lower_columns(customers)
-    hot = gate_hot_keys(readings, "serialnumber", customers, "serialnumber")
-    gated = gate(readings, customers, "serialnumber", "serialnumber", weight=OWNERS, hot=hot)
+    matches = gate_matches(customers, "serialnumber")
+    hot = gate_hot_keys(readings, "serialnumber", matches=matches[0])
+    gated = gate(readings, customers, "serialnumber", "serialnumber", weight=OWNERS, hot=hot, matches=matches)
     return number_rows(gated, "serialnumber", "sensorreadingtime", weight=OWNERS, hot=hot)
 
 
