@@ -172,6 +172,15 @@ def test_fuse_on_time_salts_busy_instants(spark, monkeypatch, same_user):
     salted = fuse_on_time(devices, accel, same_user=same_user)
     assert rows(salted) == plain
     assert len(plain) > 0
+    # one device row against many tuples: the accelerometer side is split
+    one = devices.where("sensorreadingtime = 7").limit(1)
+    many = spark.createDataFrame(
+        [(7, float(i), 1.0, 2.0, f"e{i % 2}") for i in range(40)], "timestamp int, x double, y double, z double, user string"
+    )
+    monkeypatch.setattr(skew, "HOT_ROWS", 10**9)
+    plain_one = rows(fuse_on_time(one, many, same_user=same_user))
+    monkeypatch.setattr(skew, "HOT_ROWS", 5)
+    assert rows(fuse_on_time(one, many, same_user=same_user)) == plain_one
 
 
 def test_number_rows_nan_key_spanning_partitions(spark):

@@ -197,35 +197,45 @@ def fuse_on_time(
     busy = _busy_instants(devices, acc)
     if busy is None:
         return pairs(devices, acc)
-    instants = F.broadcast(busy)  # _busy_t, _k; at most MAX_HOT_KEYS rows
+    instants = F.broadcast(busy)  # _busy_t, _k, _split_dev; at most MAX_HOT_KEYS rows
     cold = pairs(
         devices.join(instants, F.col("sensorreadingtime") == F.col("_busy_t"), "left_anti"),
         acc.join(instants, F.col("timestamp") == F.col("_busy_t"), "left_anti"),
     )
-    dev_hot = devices.join(instants, F.col("sensorreadingtime") == F.col("_busy_t"), "inner")
-    dev_hot = dev_hot.withColumn("_salt_d", F.pmod(F.xxhash64(*[F.col(c) for c in devices.columns]), F.col("_k")))
-    dev_hot = dev_hot.drop("_busy_t", "_k")
-    acc_hot = acc.join(instants, F.col("timestamp") == F.col("_busy_t"), "inner")
-    acc_hot = acc_hot.withColumn("_salt_a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)))
-    acc_hot = acc_hot.drop("_busy_t", "_k")
+
+    def salted(side: DataFrame, key: str, split: Column, name: str) -> DataFrame:
+        # the split side takes one salt per row, the other side every salt
+        own = F.array(F.pmod(F.xxhash64(*[F.col(c) for c in side.columns]), F.col("_k")))
+        every = F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)
+        hot_rows = side.join(instants, F.col(key) == F.col("_busy_t"), "inner")
+        return hot_rows.withColumn(name, F.explode(F.when(split, own).otherwise(every))).drop(
+            "_busy_t", "_k", "_split_dev"
+        )
+
+    dev_hot = salted(devices, "sensorreadingtime", F.col("_split_dev"), "_salt_d")
+    acc_hot = salted(acc, "timestamp", ~F.col("_split_dev"), "_salt_a")
     return cold.unionByName(pairs(dev_hot, acc_hot, F.col("_salt_d") == F.col("_salt_a")))
 
 
 def _busy_instants(devices: DataFrame, acc: DataFrame) -> DataFrame | None:
     """Instants whose pairs exceed ``HOT_ROWS``, with a salt count ``_k``
-    (pairs / HOT_ROWS, at most the instant's device rows); None when there
-    are none or more than ``MAX_HOT_KEYS`` (AQE then handles the join)."""
+    (pairs / HOT_ROWS, at most the rows of the larger side) and which side
+    is split (``_split_dev``: the devices, when they are the larger side);
+    None when there are none or more than ``MAX_HOT_KEYS`` (AQE then handles
+    the join)."""
     limit = skew.hot_threshold()
     n = devices.where(F.col("sensorreadingtime").isNotNull()).groupBy("sensorreadingtime").agg(
         F.count(F.lit(1)).alias("_n")
     )
     m = acc.groupBy("timestamp").agg(F.count(F.lit(1)).alias("_m"))
     per = n.join(m, F.col("sensorreadingtime") == F.col("timestamp"), "inner")
+    larger = F.greatest(F.col("_n"), F.col("_m"))
     busy = per.where(F.col("_n") * F.col("_m") > F.lit(limit)).select(
         F.col("sensorreadingtime").alias("_busy_t"),
-        F.least(F.col("_n"), F.ceil(F.col("_n") * F.col("_m") / F.lit(limit))).cast("long").alias("_k"),
+        F.least(larger, F.ceil(F.col("_n") * F.col("_m") / F.lit(limit))).cast("long").alias("_k"),
+        (F.col("_n") >= F.col("_m")).alias("_split_dev"),
     )
-    found = collect_hot(busy, ["_busy_t", "_k"])
+    found = collect_hot(busy, ["_busy_t", "_k", "_split_dev"])
     return found.frame
 
 
