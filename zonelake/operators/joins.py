@@ -244,5 +244,6 @@ def ml_features(
 ) -> DataFrame:
     """Feature rows numbered per email in time order (one row per pair)."""
     fused = fuse_on_time(devices, accel, same_user=same_user, weight="_w", accel_weight=accel_weight)
-    # the fused pairs come out of three shuffled joins: materialise them once
-    return number_rows(fused, "email", ML_ORDER, weight="_w", distinct_input=True, checkpoint_input=True)
+    # the fusion's inputs are materialised; the pairs (larger than their
+    # inputs) are recomputed from them rather than written
+    return number_rows(fused, "email", ML_ORDER, weight="_w", distinct_input=True)
