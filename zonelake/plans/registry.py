@@ -270,12 +270,10 @@ _LATEST_CUSTOMER = (
     "sharewithpublicasofdate DESC NULLS LAST, sharewithfriendsasofdate DESC NULLS LAST) = 1"
 )
 
-# The trusted and curated zones as one chain of CTEs, written like the
-# original jobs: join, then keep-latest / distinct, then row_number.
-CHAIN_SQL = f"""
-WITH customer_landing AS ({CUSTOMER_LANDING_SQL}),
-accelerometer_landing AS ({ACCEL_LANDING_SQL}),
-step_trainer_landing AS ({STEP_LANDING_SQL}),
+# The trusted and curated zones as one chain of CTEs over the landing tables
+# customer_landing, accelerometer_landing and step_trainer_landing, written
+# like the original jobs: join, then keep-latest / distinct, then row_number.
+JOBS_SQL = f"""
 consenting AS (SELECT * FROM customer_landing WHERE sharewithresearchasofdate IS NOT NULL),
 customer_trusted AS (SELECT * FROM consenting QUALIFY {_LATEST_CUSTOMER}),
 accelerometer_trusted AS (
@@ -311,6 +309,13 @@ ml_same_user AS (
   FROM ml_pairs WHERE email = "user")
 """
 
+CHAIN_SQL = f"""
+WITH customer_landing AS ({CUSTOMER_LANDING_SQL}),
+accelerometer_landing AS ({ACCEL_LANDING_SQL}),
+step_trainer_landing AS ({STEP_LANDING_SQL}),
+{JOBS_SQL}"""
+
+
 
 def _chain(select: str) -> str:
     return CHAIN_SQL + select
