@@ -74,8 +74,14 @@ def _rows(records):
     return sorted((tuple(r) for r in records), key=null_first)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_jobs_on_random_landing_match_sql(spark, seed):
+@pytest.mark.parametrize("seed,forced_hot", [(1, False), (2, False), (3, False), (4, True), (5, True)])
+def test_jobs_on_random_landing_match_sql(spark, monkeypatch, seed, forced_hot):
+    if forced_hot:  # every entity and instant over 3 rows takes the skew paths
+        import zonelake.operators.joins as joins
+        import zonelake.operators.skew as skew
+
+        monkeypatch.setattr(skew, "HOT_ROWS", 3)
+        monkeypatch.setattr(joins, "BROADCAST_KEYS", 0)
     customers, readings, steps = _landing(seed)
     c_df = spark.createDataFrame([tuple(r.values()) for r in customers], CUSTOMER_DDL)
     a_df = spark.createDataFrame([tuple(r.values()) for r in readings], ACCEL_DDL)
