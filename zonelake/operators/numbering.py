@@ -160,11 +160,19 @@ def _ranged(
     # 3. range partitions over the full order
     asc = [F.col(c).asc_nulls_first() for c in sort_cols]
     ranged = bag.repartitionByRange(n_parts, *asc).withColumn("_part", F.spark_partition_id())
+    # the windows below re-shuffle by partition; route each range partition
+    # through a label whose hash bucket is its own, so no window task holds
+    # two range partitions (plain indexes collide under the hash)
+    labels = F.broadcast(_bucket_labels(spark, n_parts))
+    ranged = ranged.join(labels, F.col("_part") == F.col("_bucket"), "left").drop("_bucket")
+    # labels are >= 0 and distinct; a partition without one (more range
+    # partitions than window buckets) takes -(index + 1): slots stay 1:1
+    ranged = ranged.withColumn("_slot", F.coalesce(F.col("_label"), -(F.col("_part") + 1))).drop("_label")
 
     # 4. running count inside a partition, restarted per key; materialised
-    running = Window.partitionBy("_part").orderBy(*asc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole_part = Window.partitionBy("_part")
-    key_in_part = Window.partitionBy("_part", *by)
+    running = Window.partitionBy("_slot").orderBy(*asc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole_part = Window.partitionBy("_slot")
+    key_in_part = Window.partitionBy("_slot", *by)
     ranged = ranged.withColumn("_cum", F.sum("_copies").over(running))
     ranged = ranged.withColumn("_tot", F.sum("_copies").over(whole_part))
     ranged = ranged.withColumn("_end", F.col("_cum") - F.min(F.col("_cum") - F.col("_copies")).over(key_in_part))
@@ -210,6 +218,26 @@ def _ranged(
     return numbered.select(*[F.col(c) for c in data], F.explode(F.sequence(lo, hi)).alias(name))
 
 
+def _window_partitions(spark) -> int:
+    """Partition count of the exchange the planner puts under a window."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    if initial and spark.conf.get("spark.sql.adaptive.enabled", "true") == "true":
+        return int(initial)
+    return shuffle_partitions(spark)
+
+
+def _bucket_labels(spark, n_parts: int) -> DataFrame:
+    """``(_bucket, _label)``: for each range partition index below the window
+    exchange's partition count, an int label that the exchange's hash
+    (Murmur3, as ``F.hash``) sends to the bucket of that index.  At most
+    ``n_parts`` rows, from a job over ``16 * partitions`` candidate ints."""
+    width = _window_partitions(spark)
+    candidates = spark.range(0, 16 * max(width, 1)).select(F.col("id").cast("int").alias("_label"))
+    bucket = F.pmod(F.hash(F.col("_label")), F.lit(width))
+    found = candidates.select(bucket.alias("_bucket"), "_label").where(F.col("_bucket") < F.lit(n_parts))
+    return found.groupBy("_bucket").agg(F.min("_label").alias("_label"))
+
+
 def _carries(edges: list) -> list[tuple]:
     """``(partition, first key, carry)`` for partitions whose first key
     continues from earlier partitions.
