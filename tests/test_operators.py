@@ -189,3 +189,13 @@ def test_number_rows_nan_key_spanning_partitions(spark):
     got = number_rows(df, "k", "t", hot_rows=0, partitions=6)
     ranks = sorted(r["rn"] for r in got.collect() if r["k"] != r["k"])
     assert ranks == list(range(1, 41))
+
+
+def test_bucket_labels_hash_to_their_own_bucket(spark):
+    from zonelake.operators.numbering import _bucket_labels
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    labels = _bucket_labels(spark, n)
+    placed = labels.repartition(n, "_label").select("_bucket", F.spark_partition_id().alias("pid")).collect()
+    assert len(placed) == n
+    assert all(r["_bucket"] == r["pid"] for r in placed)
