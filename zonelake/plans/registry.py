@@ -55,7 +55,9 @@ def _step_trusted(spark: SparkSession, sf_dir: str, customers: DataFrame | None
     return refine.step_trainer_trusted(mapped.step_trainer_feed(spark, sf_dir), customers)
 
 
-def _curated_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _curated_inputs(
+    spark: SparkSession, sf_dir: str, *, reuse_customers: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Trusted customers and the cheapest inputs equal, for the curated jobs,
     to the trusted sensor tables.
 
@@ -69,8 +71,9 @@ def _curated_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     * the time fusion needs each accelerometer reading with its copy count,
       which is the gated frame with ``_devices``.
     The SQL oracle keeps the original formulation, so it checks these rewrites.
+    The customers are stored first only for queries that read them twice.
     """
-    customers = _stored_customers(spark, sf_dir)
+    customers = _stored_customers(spark, sf_dir) if reuse_customers else _customer_trusted(spark, sf_dir)
     accel = lower_columns(mapped.accelerometer_feed(spark, sf_dir))
     steps = lower_columns(mapped.step_trainer_feed(spark, sf_dir))
     return customers, accel, steps
@@ -84,7 +87,7 @@ def q_customer_reading_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings per trusted device before the curated dedup (the fan-out of
     the customer join), counted without building the fan-out: a device of
     email e meets every trusted reading of e, i.e. readings(e) x devices(e)."""
-    customers, accel, _ = _curated_inputs(spark, sf_dir)
+    customers, accel, _ = _curated_inputs(spark, sf_dir, reuse_customers=True)
     per_user = accel.where(F.col("user").isNotNull()).groupBy("user").agg(F.count(F.lit(1)).alias("_r"))
     devices = customers.groupBy(F.col("email").alias("_email")).agg(F.count(F.lit(1)).alias("_d"))
     weights = per_user.join(devices, F.col("user") == F.col("_email"), "inner")
@@ -120,7 +123,7 @@ def q_device_readings_raw_lineage(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def q_ml_curated(spark: SparkSession, sf_dir: str, same_user: bool = False) -> DataFrame:
-    customers, accel, steps = _curated_inputs(spark, sf_dir)
+    customers, accel, steps = _curated_inputs(spark, sf_dir, reuse_customers=True)
     gated = refine.gated_accelerometer(accel, customers)
     devices = refine.device_readings(steps, accel, customers)
     return ml_features(devices, gated, same_user=same_user, accel_weight=refine.DEVICES)
