@@ -199,3 +199,21 @@ def test_bucket_labels_hash_to_their_own_bucket(spark):
     placed = labels.repartition(n, "_label").select("_bucket", F.spark_partition_id().alias("pid")).collect()
     assert len(placed) == n
     assert all(r["_bucket"] == r["pid"] for r in placed)
+
+
+def test_bounds_from_session_settings(spark):
+    import zonelake.operators.joins as joins
+    import zonelake.operators.skew as skew
+
+    assert skew.hot_threshold(None, spark) == skew.HOT_ROWS
+    spark.conf.set("spark.zonelake.hotRows", "7")
+    spark.conf.set("spark.zonelake.broadcastKeys", "3")
+    try:
+        assert skew.hot_threshold(None, spark) == 7
+        assert skew.hot_threshold(5, spark) == 5
+        assert joins.broadcast_keys(spark) == 3
+        df = spark.createDataFrame([(1,)] * 8 + [(2,)] * 2, "k int")
+        assert rows(skew.find_hot_keys(df, ["k"]).frame) == [(1,)]
+    finally:
+        spark.conf.unset("spark.zonelake.hotRows")
+        spark.conf.unset("spark.zonelake.broadcastKeys")

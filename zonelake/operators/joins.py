@@ -29,6 +29,11 @@ ML_ORDER = "sensorreadingtime"
 BROADCAST_KEYS = 1_000_000
 
 
+def broadcast_keys(spark) -> int:
+    """``spark.zonelake.broadcastKeys``, or ``BROADCAST_KEYS``."""
+    return skew.bound(spark, "broadcastKeys", BROADCAST_KEYS)
+
+
 def gate_matches(gate_rows: DataFrame, gate_key: str) -> tuple[DataFrame, int]:
     """The gate's per-key table (``_gate_key``, ``_matches``), materialised
     once and counted while written: shared by ``gate_hot_keys`` and ``gate``."""
@@ -61,7 +66,7 @@ def gate_hot_keys(
         matches = _matches(gate_rows, gate_key)
     per_key = rows.where(F.col(row_key).isNotNull()).groupBy(row_key).agg(F.count(F.lit(1)).alias("_r"))
     out = per_key.join(matches, F.col(row_key) == F.col("_gate_key"), "inner")
-    limit = skew.hot_threshold(threshold)
+    limit = skew.hot_threshold(threshold, rows.sparkSession)
     return collect_hot(out.where(F.col("_r") * F.col("_matches") > F.lit(limit)), [row_key])
 
 
@@ -94,7 +99,7 @@ def gate(
     table, n_keys = matches if matches is not None else gate_matches(gate_rows, gate_key)
     matches = table
     cond = F.col(row_key) == F.col("_gate_key")
-    if n_keys <= BROADCAST_KEYS:
+    if n_keys <= broadcast_keys(rows.sparkSession):
         return _gated(rows.join(F.broadcast(matches), cond, "inner"), rows.columns, weight)
     if hot is None:
         hot = find_hot_keys(rows.where(F.col(row_key).isNotNull()), [row_key])
@@ -133,7 +138,7 @@ def customers_with_readings(
     """
     users = readings.select(F.col(reading_key).alias("_reader")).where(F.col("_reader").isNotNull()).distinct()
     users, n_users = materialize_counted(users)  # one row per user: sized and joined from one scan
-    if n_users <= BROADCAST_KEYS:
+    if n_users <= broadcast_keys(customers.sparkSession):
         users = F.broadcast(users)  # size checked: the customer side is not shuffled
     return customers.join(users, F.col(customer_key) == F.col("_reader"), "left_semi")
 
@@ -223,7 +228,7 @@ def _busy_instants(devices: DataFrame, acc: DataFrame) -> DataFrame | None:
     is split (``_split_dev``: the devices, when they are the larger side);
     None when there are none or more than ``MAX_HOT_KEYS`` (AQE then handles
     the join)."""
-    limit = skew.hot_threshold()
+    limit = skew.hot_threshold(None, devices.sparkSession)
     n = devices.where(F.col("sensorreadingtime").isNotNull()).groupBy("sensorreadingtime").agg(
         F.count(F.lit(1)).alias("_n")
     )

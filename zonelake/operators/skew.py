@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of one key that a single task may take (a few hundred MB of rows).
@@ -22,9 +22,24 @@ HOT_ROWS = 4_000_000
 MAX_HOT_KEYS = 10_000
 
 
-def hot_threshold(threshold: int | None = None) -> int:
-    """``threshold``, or the module's ``HOT_ROWS`` as set at call time."""
-    return HOT_ROWS if threshold is None else threshold
+def bound(spark: SparkSession | None, name: str, default: int) -> int:
+    """A size bound: the session setting ``spark.zonelake.<name>`` when set,
+    else ``default`` (the module constant, read at call time)."""
+    if spark is not None:
+        value = spark.conf.get(f"spark.zonelake.{name}", None)
+        if value:
+            return int(value)
+    return default
+
+
+def hot_threshold(threshold: int | None = None, spark: SparkSession | None = None) -> int:
+    """``threshold``, or ``spark.zonelake.hotRows``, or ``HOT_ROWS``."""
+    return bound(spark, "hotRows", HOT_ROWS) if threshold is None else threshold
+
+
+def max_hot_keys(spark: SparkSession | None = None) -> int:
+    """``spark.zonelake.maxHotKeys``, or ``MAX_HOT_KEYS``."""
+    return bound(spark, "maxHotKeys", MAX_HOT_KEYS)
 
 
 @dataclass(frozen=True)
@@ -51,7 +66,7 @@ def collect_hot(counts: DataFrame, keys: Sequence[str]) -> HotKeys:
     n = hot.count()
     if n == 0:
         return HotKeys(tuple(keys), None)
-    if n > MAX_HOT_KEYS:
+    if n > max_hot_keys(counts.sparkSession):
         return HotKeys(tuple(keys), None, overflow=True)
     return HotKeys(tuple(keys), hot.sparkSession.createDataFrame(hot.collect(), hot.schema))
 
@@ -61,7 +76,7 @@ def find_hot_keys(
 ) -> HotKeys:
     """Keys of ``df`` with more than ``threshold`` rows (or summed ``weight``);
     the threshold defaults to ``HOT_ROWS``."""
-    threshold = hot_threshold(threshold)
+    threshold = hot_threshold(threshold, df.sparkSession)
     size = F.sum(weight) if weight is not None else F.count(F.lit(1))
     counts = df.groupBy(*keys).agg(size.alias("_n")).where(F.col("_n") > F.lit(threshold))
     return collect_hot(counts, list(keys))
