@@ -12,7 +12,10 @@ writer in overwrite mode) writes the deduplicated frame as a full snapshot;
 ``upsert`` appends a deduplicated batch; ``delete`` appends key tombstones.
 The current table, a past commit (``as_of``) and the changes after a commit
 are all ``changelog.snapshot`` / ``changes_since`` over the log, with the
-commit filter pruned to directories.
+commit filter pruned to directories; ``compact`` writes the current table as
+a replace commit so that reads go back to one directory.  Before a commit is
+recorded its files are checked for null record keys (and, on request,
+repeated keys); a failed check leaves the table as it was.
 
 Catalog: ``<db>.<table>__log`` is an external Parquet table over ``log``
 (schema merged, so columns added by later commits appear, old rows null) and
