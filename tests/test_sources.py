@@ -66,3 +66,17 @@ def test_landing_stats(spark, tmp_dir):
     assert stats["size_bytes"] == size
     assert stats["malformed"] == 1
     assert stats["mean_record_bytes"] == pytest.approx(size / 7)
+
+
+def test_landing_stats_over_several_files_and_single_file_table(spark, tmp_dir):
+    paths = write_landing(tmp_dir)
+    folder = paths["step_trainer_landing"]
+    with open(os.path.join(folder, "part-1.json"), "w") as fh:
+        fh.write(json.dumps({"sensorReadingTime": 1, "serialNumber": "s9", "distanceFromObject": 2}) + "\n")
+    stats = landing_stats(spark, folder, schemas.STEP_TRAINER).first()
+    assert (stats["records"], stats["objects"], stats["malformed"]) == (7, 2, 0)
+    sizes = sum(os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder) if f.endswith(".json"))
+    assert stats["size_bytes"] == sizes
+    table = register_landing(spark, "single_landing", "customer_landing", schemas.CUSTOMER, paths["customer_landing"])
+    assert table.count() == 5
+    assert table.where("shareWithResearchAsOfDate is null").count() == 1
