@@ -217,3 +217,19 @@ def test_bounds_from_session_settings(spark):
     finally:
         spark.conf.unset("spark.zonelake.hotRows")
         spark.conf.unset("spark.zonelake.broadcastKeys")
+
+
+def test_carries_chain_a_key_across_partitions():
+    from zonelake.operators.numbering import _carries
+
+    def edge(part, key, first, last, end):
+        return {"_part": part, "_key": (key,), "_f": first, "_l": last, "_end": end}
+
+    # p0: a..b (3 rows of b)   p1: only b (5 rows)   p2: b..c   p4: c..d (p3 empty)
+    edges = [
+        edge(0, "a", True, False, 2), edge(0, "b", False, True, 3),
+        edge(1, "b", True, False, 1), edge(1, "b", False, True, 5),
+        edge(2, "b", True, False, 1), edge(2, "c", False, True, 4),
+        edge(4, "c", True, False, 1), edge(4, "d", False, True, 2),
+    ]
+    assert _carries(edges) == [(1, ("b",), 3), (2, ("b",), 8), (4, ("c",), 4)]
