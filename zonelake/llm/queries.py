@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram_join, quality, sharding, substring, urls
+from . import decontaminate, ngram_join, quality, sharding, substring, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -37,6 +41,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_url_filters": op2_url_filters,
     "op3_ngram_join": op3_ngram_join,
+    "op6_decontamination": op6_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
