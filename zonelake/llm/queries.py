@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, quality, sharding, substring, urls
+from ..session import checkpoint_dir
+from . import decontaminate, ngram_join, quality, sharding, substring, token_files, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +36,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def _vocabulary(name: str) -> Path:
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{checkpoint_dir(spark)}/token-files-{uuid.uuid4()}"  # shared by all executors
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), path, _vocabulary("word_bpe_49k.json").read_text())
+    return token_files.read_index(spark, path)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -42,6 +58,7 @@ QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op3_ngram_join": op3_ngram_join,
     "op6_decontamination": op6_decontamination,
+    "op8_token_files": op8_token_files,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
