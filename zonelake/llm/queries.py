@@ -9,13 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import decontaminate, ngram_join, quality, sharding, substring, token_files, urls
+from . import decontaminate, ngram_join, pieces, quality, sharding, substring, token_files, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> Path:
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name))
+
+
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), 8)
 
@@ -32,14 +38,15 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.load_vocabulary(str(_vocabulary("piece_bpe_32k.model")))
+    encoded = pieces.encode(_table(spark, sf_dir, "documents"), vocabulary)
+    decoded = pieces.decode(encoded, vocabulary)
+    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.crc32("decoded").alias("decoded_crc32"))
 
-def _vocabulary(name: str) -> Path:
-    import public_tokenizers
 
-    return Path(public_tokenizers.path(name))
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +64,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_url_filters": op2_url_filters,
     "op3_ngram_join": op3_ngram_join,
+    "op4_sentencepiece": op4_sentencepiece,
     "op6_decontamination": op6_decontamination,
     "op8_token_files": op8_token_files,
     "op9_substring_dedup": op9_substring_dedup,
