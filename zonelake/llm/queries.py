@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import decontaminate, ngram_join, pieces, quality, sharding, substring, token_files, urls
+from . import decontaminate, lines, ngram_join, pieces, quality, sharding, substring, token_files, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.duplicate_lines(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/token-files-{uuid.uuid4()}"  # shared by all executors
     token_files.write_tokens(_table(spark, sf_dir, "documents"), path, _vocabulary("word_bpe_49k.json").read_text())
@@ -66,6 +70,7 @@ QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_decontamination": op6_decontamination,
+    "op7_line_dedup": op7_line_dedup,
     "op8_token_files": op8_token_files,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
