@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import decontaminate, lines, ngram_join, pieces, quality, sharding, substring, token_files, urls
+from . import decontaminate, html_text, lines, ngram_join, pieces, quality, sharding, substring, token_files, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.crc32("decoded").alias("decoded_crc32"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op3_ngram_join": op3_ngram_join,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_html_extraction": op5_html_extraction,
     "op6_decontamination": op6_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op8_token_files": op8_token_files,
