@@ -136,10 +136,18 @@ def judge_quality(
     documents enough for the test (a null one too, unless labelled) has no cutoffs, so only the base rule acts.  Repeated rows stay; an
     empty table gives an empty result; labels of unknown documents and null labels are ignored.
     """
-    keep = keep or {}
-    counts = materialize(text_counts(docs, id_col, text_col, {"stratum": F.col(stratum_col).cast("string"), **keep}))
+    keep, stratum = keep or {}, {"stratum": F.col(stratum_col).cast("string")}
+    counts = text_counts(docs, id_col, text_col, stratum)
+    narrow = counts if keep else materialize(counts)  # with further columns, texts perhaps, counting again is cheaper than storing them
+    if keep:
+        # a generator: the optimizer would copy the counting into every condition on it
+        counts = text_counts(docs, id_col, text_col, stratum | keep)
+        names = [c for c in counts.columns if c not in ("_id", "stratum", *keep)]
+        counts = counts.select("_id", "stratum", *keep, F.inline(F.array(F.struct(*names))))
+    else:
+        counts = narrow
     marked = labels.select(F.col(id_col).alias("_id"), F.expr(good).alias("good"))
-    cutoffs = calibrate(counts, marked, risk, delta).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cut"))
+    cutoffs = calibrate(narrow, marked, risk, delta).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cut"))
     cutoffs = cutoffs.withColumnRenamed("stratum", "_stratum")
     base = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
     passed = [F.coalesce(_fails(rule, F.col("cut")[rule]), F.lit(False)) for rule in RULES]

@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _vocabulary(name: str) -> Path:
+def vocabulary_file(name: str) -> Path:
     import public_tokenizers
 
     return Path(public_tokenizers.path(name))
@@ -39,7 +39,7 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = pieces.load_vocabulary(str(_vocabulary("piece_bpe_32k.model")))
+    vocabulary = pieces.load_vocabulary(str(vocabulary_file("piece_bpe_32k.model")))
     encoded = pieces.encode(_table(spark, sf_dir, "documents"), vocabulary)
     decoded = pieces.decode(encoded, vocabulary)
     return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.crc32("decoded").alias("decoded_crc32"))
@@ -59,7 +59,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/token-files-{uuid.uuid4()}"  # shared by all executors
-    token_files.write_tokens(_table(spark, sf_dir, "documents"), path, _vocabulary("word_bpe_49k.json").read_text())
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), path, vocabulary_file("word_bpe_49k.json").read_text())
     return token_files.read_index(spark, path)
 
 
