@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from . import decontaminate, html_text, lines, ngram_join, pieces, quality, sharding, substring, token_files, urls
+from .oracles import ORACLE_SQL  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,5 +81,3 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
-
-ORACLE_SQL: dict[str, str] = {}
