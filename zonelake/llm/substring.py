@@ -119,12 +119,16 @@ def _emit(table, mask: int, bits: int, crowded):
             first = first[which]
             again = (first != np.arange(len(at))) & (head[first] == head) & (tail[first] == tail)
             rows = words.rows()
+            row, place = rows[at], at - words.starts[rows[at]]
+            copy = again & (doc[row] == doc[row[first]]) & (dig[row] == dig[row[first]]) & (place == place[first])  # a repeated row
+            at, head, tail, again = at[~copy], head[~copy], tail[~copy], again[~copy]
             # the group of a suffix: its class by the shortest prefix that is not crowded
             route = mix(w.names.of(at, SPAN))
             for i in range(len(PREFIXES) - 1, -1, -1):
                 cls = w.prefix(at, PREFIXES[i], bits)
                 route = np.where(crowded[i][cls], route, mix((cls * len(PREFIXES) + i).astype(np.uint64)))
             one = ~again
+            route >>= np.uint64(62 - bits)  # a few for each prefix class
             yield _rows(route[one], head[one], tail[one], doc, dig, rows[at[one]], at[one] - words.starts[rows[at[one]]], 0)
             if again.any():
                 a = at[again]
@@ -132,7 +136,7 @@ def _emit(table, mask: int, bits: int, crowded):
                 new[1:] = (a[1:] != a[:-1] + 1) | (rows[a[1:]] != rows[a[:-1]])
                 begin, end = a[new], a[np.append(np.flatnonzero(new)[1:] - 1, len(a) - 1)] + SPAN
                 zero = np.zeros(len(begin), np.uint64)
-                yield _rows(mix(begin.astype(np.uint64) + dig.view(np.uint64)[rows[begin]]), zero, zero, doc, dig, rows[begin], begin - words.starts[rows[begin]], end - begin)
+                yield _rows(mix(begin.astype(np.uint64) + dig.view(np.uint64)[rows[begin]]) >> np.uint64(62 - bits), zero, zero, doc, dig, rows[begin], begin - words.starts[rows[begin]], end - begin)
 
     return run
 
@@ -143,7 +147,7 @@ _EMITTED = "route int, head long, tail long, doc long, dig long, at int, length
 def _rows(route, head, tail, doc, dig, row, at, length) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
-            pa.array((route >> np.uint64(33)).astype(np.int32)),
+            pa.array(route.astype(np.int32)),
             _u64(head),
             _u64(tail),
             pa.array(doc[row]),
@@ -156,49 +160,48 @@ def _rows(route, head, tail, doc, dig, row, at, length) -> pa.RecordBatch:
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Leaves but the least of every internal node of depth SPAN; marked spans pass."""
-    last = None
+    """Leaves but the least of every internal node of depth SPAN; marked spans pass.  A span is begin * 2^32 + end."""
+    node, least = None, None  # the open node and its least leaf
     for batch in batches:
         if not batch.num_rows:
             continue
-        head, tail, length = (batch.column(c).to_numpy() for c in ("head", "tail", "length"))
+        head, tail, length, doc, dig, at = (batch.column(c).to_numpy() for c in ("head", "tail", "length", "doc", "dig", "at"))
         same = np.zeros(len(head), dtype=bool)
         same[1:] = (head[1:] == head[:-1]) & (tail[1:] == tail[:-1]) & (length[1:] == 0) & (length[:-1] == 0)
-        same[0] = last == (head[0], tail[0], 0) and length[0] == 0
-        last = (head[-1], tail[-1], length[-1])
-        marked = same | (length > 0)
+        same[0] = node == (head[0], tail[0]) and length[0] == 0
+        begin = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
+        first = [np.where(same & (begin == 0) & same[0], least[k], x[begin]) if same[0] else x[begin] for k, x in enumerate((doc, dig, at))]
+        copy = (doc == first[0]) & (dig == first[1]) & (at == first[2])  # the least leaf again, from a repeated row
+        node, least = (head[-1], tail[-1]) if length[-1] == 0 else None, [x[-1] for x in first]
+        marked = (same & ~copy) | (length > 0)
         out = batch.filter(pa.array(marked)).select(["doc", "dig", "at"])
-        yield out.append_column("till", pa.array((out.column("at").to_numpy() + np.where(length[marked] > 0, length[marked], SPAN)).astype(np.int32)))
+        at = out.column("at").to_numpy().astype(np.int64)
+        yield out.set_column(2, "span", pa.array((at << 32) + at + np.where(length[marked] > 0, length[marked], SPAN)))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without their marked spans, words joined by one space."""
     for batch in slices(batches, "text"):
-        words = split_words(batch.column("text"))
-        n, rows = len(words.codes), words.rows()
+        words = split_words(batch.column("text"), coded=False)
+        n, rows = len(words.begin), words.rows()
         spans = batch.column("spans")
         depth = np.zeros(n + 1, dtype=np.int64)
         for i in np.flatnonzero(spans.is_valid().to_numpy(zero_copy_only=False)):
-            flat = spans[int(i)].values
-            begin, end = (flat.field(k).to_numpy() + words.starts[i] for k in (0, 1))
-            np.add.at(depth, begin, 1)
-            np.add.at(depth, end, -1)
+            flat = spans[int(i)].values.to_numpy()
+            size = words.starts[i + 1] - words.starts[i] + 1
+            here = depth[words.starts[i] : words.starts[i + 1] + 1]
+            here += np.bincount(flat >> 32, minlength=size) - np.bincount(flat & 0xFFFFFFFF, minlength=size)
         keep = np.cumsum(depth[:-1]) == 0
-        size = words.end - words.begin
-        spaced = words.data[words.end - 1] == 32 if n else np.zeros(0, bool)
+        # kept words with a space after each but the last of a row: +1 where such a run of bytes begins, -1 where it ends
         kept_rows = rows[keep]
-        last = np.flatnonzero(keep)[np.append(kept_rows[1:] != kept_rows[:-1], True)] if keep.any() else np.zeros(0, np.int64)
-        out_size = np.where(keep, size, 0)
-        cut_end = words.end.copy()
-        drop = last[spaced[last]]
-        out_size[drop] -= 1
-        cut_end[drop] -= 1
-        # bytes of kept words: +1 where one begins, -1 where it ends
+        begin, end = words.begin[keep], words.end[keep] + 1
+        if len(kept_rows):
+            end[np.append(kept_rows[1:] != kept_rows[:-1], True)] -= 1
         edge = np.zeros(len(words.data) + 1, dtype=np.int8)
-        edge[words.begin[keep]] += 1
-        np.subtract.at(edge, cut_end[keep], 1)
+        edge[begin] += 1
+        edge -= np.bincount(end, minlength=len(edge)).astype(np.int8)
         body = words.data[np.cumsum(edge[:-1], dtype=np.int8) > 0]
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, out_size, len(batch))).astype(np.int64)])
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(kept_rows, end - begin, len(batch))).astype(np.int64)])
         text = pa.Array.from_buffers(pa.large_string(), len(batch), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(body))])
         total = np.diff(words.starts)
         removed = np.bincount(rows, ~keep, len(batch)).astype(np.int64)
@@ -243,9 +246,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .mapInArrow(_emit(table, mask, bits, crowded), _EMITTED)
         .repartition(parts, "route")
         .sortWithinPartitions("head", "tail", "length", "doc", "dig", "at")
-        .mapInArrow(_subtrees, "doc long, dig long, at int, till int")
+        .mapInArrow(_subtrees, "doc long, dig long, span long")
         .groupBy("doc", "dig")
-        .agg(F.collect_list(F.struct("at", "till")).alias("spans"))  # at most one span for each word of the document
+        .agg(F.collect_list("span").alias("spans"))  # at most one span for each word of the document
     )
     return base.join(spans, ["doc", "dig"], "left").select("id", "text", "spans").mapInArrow(
         _cut, f"id {docs.schema[id_col].dataType.simpleString()}, n_words long, n_removed long, text string"

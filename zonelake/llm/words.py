@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 
 #: bytes of text worked on at once in a Python worker
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[32, *range(9, 14)]] = True
@@ -24,16 +24,16 @@ _ODD = 0x9E3779B97F4A7C15
 _ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in pieces of about SLICE_BYTES of ``column`` (one row at least)."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of about ``size`` (SLICE_BYTES) bytes of ``column`` (one row at least)."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        ends = np.cumsum(binary(batch.column(column))[1][1:] - binary(batch.column(column))[1][:-1])
+        ends = binary(batch.column(column))[1][1:]
         at = 0
         while at < batch.num_rows:
             done = int(ends[at - 1]) if at else 0
-            n = max(1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")) - at)
+            n = max(1, int(np.searchsorted(ends, done + (size or SLICE_BYTES), "right")) - at)
             yield batch.slice(at, n)
             at += n
 
@@ -52,7 +52,7 @@ def binary(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Words:
     """``codes`` index ``words``; those of row i are codes[starts[i]:starts[i + 1]].  ``data`` are the bytes with every
-    white-space byte turned into a space; word k is data[begin[k]:end[k]], a space included if one follows."""
+    white-space byte turned into a space; word k is data[begin[k]:end[k]]."""
 
     codes: np.ndarray
     starts: np.ndarray
@@ -66,24 +66,32 @@ class Words:
         return np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
 
 
-def split_words(texts: pa.Array) -> Words:
+def split_words(texts: pa.Array, coded: bool = True) -> Words:
+    """The words of every row; without ``coded`` only where they stand."""
     raw, offs = binary(texts)
     data = raw.copy()
     space = _SPACES[data]
     data[space] = 32
-    bound = np.zeros(len(data) + 1, dtype=bool)
-    bound[1:] = space
-    bound[offs] = True
-    bounds = np.flatnonzero(bound)
-    begin, end = bounds[:-1], bounds[1:]
-    runs = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(np.ascontiguousarray(bounds)), pa.py_buffer(data)])
-    coded = runs.dictionary_encode()
-    order: dict[bytes, int] = {}
-    to = np.array([order.setdefault(w.rstrip(b" "), len(order)) for w in coded.dictionary.to_pylist()], dtype=np.int64)
-    is_word = data[begin] != 32 if len(begin) else np.zeros(0, bool)
-    begin, end = begin[is_word], end[is_word]
-    codes = to[coded.indices.to_numpy(zero_copy_only=False)[is_word]] if len(begin) else np.zeros(0, np.int64)
-    return Words(codes, np.searchsorted(begin, offs), list(order), data, begin, end)
+    # a word begins where no space is, after a space or at the begin of a row
+    first = ~space
+    first[1:] &= space[:-1]
+    row_begins = offs[:-1][offs[:-1] < len(data)]
+    first[row_begins] = ~space[row_begins]
+    begin = np.flatnonzero(first)
+    last = ~space
+    last[:-1] &= space[1:]
+    row_ends = offs[1:][offs[1:] > 0] - 1
+    last[row_ends] = ~space[row_ends]
+    end = np.flatnonzero(last) + 1
+    starts = np.searchsorted(begin, offs)
+    if not coded:
+        return Words(np.zeros(len(begin), np.int64), starts, [], data, begin, end)
+    # without the spaces the words lie one after another
+    ends = np.concatenate([[0], np.cumsum(end - begin)])
+    runs = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(data[~space])])
+    dictionary = runs.dictionary_encode()
+    codes = dictionary.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return Words(codes, starts, dictionary.dictionary.to_pylist(), data, begin, end)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
