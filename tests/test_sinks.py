@@ -31,6 +31,7 @@ def test_fixture_commit_log_with_schema_evolution(spark, store):
     db = store.zones.database("trusted")
     assert rows(spark.table(f"{db}.t"), "k", "v", "n") == [("a", "x2", 5), ("b", "y", None), ("c", "z", 6)]
     assert spark.table(f"{db}.t__log").count() == 4
+    assert rows(spark.table(f"{db}.t__log"), "_commit") == [(1,), (1,), (2,), (2,)]
 
 
 def test_replace_hides_earlier_commits_and_dedups(spark, store):
@@ -68,7 +69,7 @@ def test_null_key_and_duplicate_key_refused(spark, store):
     with pytest.raises(ValueError, match="duplicated"):
         store.write(dup, "trusted", "n", "k", "o", unique=True, check_unique=True)
     assert store.commits(spark, "trusted", "n") == []
-    # the failed attempt left an unrecorded directory that the next commit reuses
+    # the failed attempt left an unrecorded directory, which nothing reads
     assert store.write(dup, "trusted", "n", "k", "o") == 1
     assert rows(store.read(spark, "trusted", "n")) == [("a", 2)]
 
@@ -90,15 +91,85 @@ def test_snapshot_as_of_latest_equals_current(spark):
     assert rows(changelog.snapshot(log, "k", "o", as_of=2)) == [("a", 0), ("b", 1)]
 
 
-def test_compact_keeps_content_and_history(spark, store):
-    a = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], "k string, o long, v string")
-    b = spark.createDataFrame([("a", 2, "x2")], "k string, o long, v string")
-    store.write(a, "trusted", "c", "k", "o", mode="upsert")
-    store.write(b, "trusted", "c", "k", "o", mode="upsert")
-    store.delete(spark.createDataFrame([("b",)], "k string"), "trusted", "c")
-    before = rows(store.read(spark, "trusted", "c"))
-    assert store.compact(spark, "trusted", "c") == 4
-    assert store.commits(spark, "trusted", "c")[-1].kind == "replace"
-    assert rows(store.read(spark, "trusted", "c")) == before == [("a", 2, "x2")]
-    assert rows(store.read(spark, "trusted", "c", as_of=2), "k", "v") == [("a", "x2"), ("b", "y")]
-    assert store.compact(spark, "trusted", "c") == 4  # nothing to do
+def test_a_failed_read_of_the_records_is_an_error(spark, store, monkeypatch):
+    """Only a missing folder means an empty table; nothing is ever overwritten."""
+    import zonelake.sinks.zone as zone
+
+    row = lambda k: spark.createDataFrame([(k, 1)], "k string, o long")
+    for k in "ab":
+        store.write(row(k), "trusted", "t", "k", "o", mode="upsert")
+    with monkeypatch.context() as m:
+        m.setattr(zone, "_list", lambda *_: (_ for _ in ()).throw(OSError("store not reachable")))
+        with pytest.raises(OSError):
+            store.write(row("c"), "trusted", "t", "k", "o", mode="upsert")
+    with monkeypatch.context() as m:
+        m.setattr(zone, "COMMITS_SCHEMA", "no schema at all (")
+        with pytest.raises(Exception):
+            store.write(row("c"), "trusted", "t", "k", "o", mode="upsert")
+    assert store.write(row("c"), "trusted", "t", "k", "o", mode="upsert") == 3
+    assert rows(store.read(spark, "trusted", "t"), "k") == [("a",), ("b",), ("c",)]
+    assert [c.commit for c in store.commits(spark, "trusted", "t")] == [1, 2, 3]
+
+
+def test_leftovers_of_a_crashed_writer_are_skipped(spark, store):
+    frame = spark.createDataFrame([("a", 1)], "k string, o long")
+    store.write(frame, "trusted", "t", "k", "o")
+    frame.write.parquet(f"{store.path('trusted', 't')}/data/2-crashed")
+    os.makedirs(f"{store.path('trusted', 't')}/_commits/2/_temporary")
+    assert store.write(frame, "trusted", "t", "k", "o", mode="upsert") == 3
+    assert store.read(spark, "trusted", "t").count() == 1
+
+
+def test_replace_begins_a_new_schema(spark, store):
+    old = spark.createDataFrame([("a", 1, 5, "x")], "k string, o long, v int, w string")
+    new = spark.createDataFrame([("a", 2, "five")], "k string, o long, v string")
+    store.write(old, "trusted", "t", "k", "o")
+    with pytest.raises(ValueError, match="column v is int"):
+        store.write(new, "trusted", "t", "k", "o", mode="upsert")
+    store.write(new, "trusted", "t", "k", "o")
+    assert store.read(spark, "trusted", "t").collect() == [("a", 2, "five")]
+    assert store.read(spark, "trusted", "t", as_of=1).collect() == [("a", 1, 5, "x")]
+    assert spark.table(f"{store.zones.database('trusted')}.t").collect() == [("a", 2, "five")]
+
+
+def test_partition_values_keep_their_type_and_deletes_work(spark, store):
+    frame = spark.createDataFrame([("a", 1, "007"), ("b", 1, "x"), ("c", 1, None)], "k string, o long, part string")
+    store.write(frame, "trusted", "t", "k", "o", partition_by="part")
+    table = f"{store.zones.database('trusted')}.t"
+    assert rows(store.read(spark, "trusted", "t"), "k", "part") == rows(spark.table(table), "k", "part") == [("a", "007"), ("b", "x"), ("c", None)]
+    store.delete(frame.where("k = 'b'"), "trusted", "t")
+    assert rows(store.read(spark, "trusted", "t"), "k", "part") == rows(spark.table(table), "k", "part") == [("a", "007"), ("c", None)]
+    assert dict(store.log(spark, "trusted", "t").dtypes)["_commit"] == "bigint"
+
+
+def test_changes_report_what_a_replace_left_out(spark, store):
+    both = spark.createDataFrame([("a", 1), ("z", 1)], "k string, o long")
+    store.write(both, "trusted", "t", "k", "o")
+    store.write(both.where("k = 'a'"), "trusted", "t", "k", "o")
+    assert rows(store.changes(spark, "trusted", "t", since=1), "k", "_commit", "_deleted") == [("a", 2, False), ("z", 2, True)]
+    assert rows(store.changes(spark, "trusted", "t", since=0), "k", "_deleted") == [("a", False)]
+    assert store.changes(spark, "trusted", "t", since=2).collect() == []
+
+
+def test_event_order(spark, store):
+    """A late record changes nothing; after a delete only later commits count."""
+    row = lambda o, v: spark.createDataFrame([("a", o, v)], "k string, o long, v string")
+    write = lambda o, v: store.write(row(o, v), "trusted", "t", "k", "o", mode="upsert", order="event")
+    table = f"{store.zones.database('trusted')}.t"
+    write(9, "new")
+    write(3, "late")
+    assert store.read(spark, "trusted", "t").collect() == spark.table(table).collect() == [("a", 9, "new")]
+    assert store.changes(spark, "trusted", "t", since=1).collect() == []
+    store.delete(row(0, ""), "trusted", "t")
+    assert store.read(spark, "trusted", "t").collect() == spark.table(table).collect() == []
+    write(1, "again")
+    assert store.read(spark, "trusted", "t").collect() == spark.table(table).collect() == [("a", 1, "again")]
+    with pytest.raises(ValueError):
+        store.write(row(1, ""), "trusted", "t", "k", "o", order="size")
+
+
+def test_a_batch_is_committed_once(spark, store):
+    frame = spark.createDataFrame([("a", 1)], "k string, o long")
+    assert store.write(frame, "trusted", "t", "k", "o", mode="upsert", batch="stream#0") == 1
+    assert store.write(frame, "trusted", "t", "k", "o", mode="upsert", batch="stream#0") == 1
+    assert store.write(frame, "trusted", "t", "k", "o", mode="upsert", batch="stream#1") == 2

@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _as_list(cols: str | Sequence[str]) -> list[str]:
-    return [cols] if isinstance(cols, str) else list(cols)
+from zonelake.operators.projection import as_list
 
 
 def keep_latest(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
@@ -26,8 +24,8 @@ def keep_latest(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequen
     form one group of their own; struct ordering puts nulls first, so a row
     with a null ordering value only wins when no other row exists for its key.
     """
-    keys = _as_list(keys)
-    order_by = _as_list(order_by)
+    keys = as_list(keys)
+    order_by = as_list(order_by)
     missing = [c for c in keys + order_by if c not in df.columns]
     if missing:
         raise ValueError(f"unknown columns {missing}; frame has {df.columns}")

@@ -8,6 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+def as_list(cols: str | Sequence[str] | None) -> list[str]:
+    """Column names given as one name, several or none."""
+    return [] if cols is None else [cols] if isinstance(cols, str) else list(cols)
+
+
 def lower_columns(df: DataFrame) -> DataFrame:
     """Rename every column to lower case.
 

@@ -12,18 +12,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonelake.operators.projection import as_list
 from zonelake.schemas import CONSENT_COLUMN
 
 
-def _as_list(cols: str | Sequence[str]) -> list[str]:
-    return [cols] if isinstance(cols, str) else list(cols)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def union_all(frames: list[DataFrame], missing: bool = False) -> DataFrame:
+    """Union by name; with ``missing`` a column that a frame lacks is null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=missing), frames)
 
 
 def zone_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -55,7 +50,7 @@ def key_violations(df: DataFrame, keys: str | Sequence[str], table_name: str = "
     """``(table_name, null_keys, duplicate_keys)``: rows with a null key part,
     and keys held by more than one row.  Counted per key with an aggregate
     combined map-side."""
-    keys = _as_list(keys)
+    keys = as_list(keys)
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     return per_key.agg(
@@ -69,14 +64,14 @@ def assert_key(df: DataFrame, keys: str | Sequence[str]) -> None:
     row = key_violations(df, keys).first()
     if row["null_keys"] or row["duplicate_keys"]:
         raise ValueError(
-            f"record key {list(_as_list(keys))}: {row['null_keys']} rows with null key, "
+            f"record key {list(as_list(keys))}: {row['null_keys']} rows with null key, "
             f"{row['duplicate_keys']} duplicated keys"
         )
 
 
 def preview(df: DataFrame, order: str | Sequence[str], n: int = 10) -> DataFrame:
     """The first ``n`` rows in ``order`` (a top-n: each task keeps n rows)."""
-    return df.orderBy(*_as_list(order)).limit(n)
+    return df.orderBy(*as_list(order)).limit(n)
 
 
 def schema_report(tables: Mapping[str, DataFrame]) -> DataFrame:

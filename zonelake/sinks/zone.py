@@ -2,61 +2,49 @@
 
 Layout of a table at ``<root>/<zone>/<table>``::
 
-    log/_commit=<n>/part-*.parquet   rows of commit n (with ``_deleted``)
-    _commits/*.json                  one record per finished commit
-
-A commit is visible once its record is written; a crashed writer leaves a
-directory without a record, which readers ignore and the next writer
-overwrites.  ``replace`` (what the original jobs did: an upsert-configured
-writer in overwrite mode) writes the deduplicated frame as a full snapshot;
-``upsert`` appends a deduplicated batch; ``delete`` appends key tombstones.
-The current table, a past commit (``as_of``) and the changes after a commit
-are all ``changelog.snapshot`` / ``changes_since`` over the log, with the
-commit filter pruned to directories; ``compact`` writes the current table as
-a replace commit so that reads go back to one directory.  Before a commit is
-recorded its files are checked for null record keys (and, on request,
-repeated keys); a failed check leaves the table as it was.
-
-Catalog: ``<db>.<table>__log`` is an external Parquet table over ``log``
-(schema merged, so columns added by later commits appear, old rows null) and
-``<db>.<table>`` a view of the current snapshot.  Both entries are recreated
-on every commit.  One writer per table; commit numbers increase by one.
+    data/<n>-<attempt>/...     rows of commit n (with ``_deleted``), a fresh directory for every attempt
+    _commits/<n>/part-*.json   the record of commit n: what it is, its directory and the schema of its rows
+
+A commit is visible once its record is written.  Data and record directories are only ever created (an existing one
+is an error), so no attempt can touch what another one wrote; what a crashed writer leaves has no record and is
+skipped.  ``replace`` (what the original jobs did: an upsert-configured writer in overwrite mode) writes the
+deduplicated frame as a full snapshot and begins a new schema; ``upsert`` appends a deduplicated batch, which may add
+columns but not change their types; ``delete`` appends key tombstones.  Every commit is read with the schema that its
+record states, so partition values keep their types.
+
+The current table, a past commit (``as_of``) and the changes after a commit are ``changelog`` functions over the
+commits since the last replace.  Before a commit is recorded its files are checked for null record keys (and, on
+request, repeated keys); a failed check leaves the table as it was.
+
+Catalog: ``<db>.<table>__<n>`` is an external Parquet table over the rows of commit n, for the commits since the last
+replace; ``<db>.<table>__log`` a view of their rows with ``_commit`` and ``<db>.<table>`` a view of the current table.
+They are recreated on every commit.  One writer per table; commit numbers increase.
 """
 
 from __future__ import annotations
 
 import json
-from functools import reduce
+import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonelake.operators.dedup import keep_latest
-from zonelake.operators.projection import lower_columns
-from zonelake.plans.checks import assert_key
-from zonelake.sinks.changelog import COMMIT, DELETED, changes_since, snapshot
+from zonelake.operators.projection import as_list, lower_columns
+from zonelake.plans.checks import assert_key, union_all
+from zonelake.sinks.changelog import COMMIT, DELETED, META, changes_since, missing_keys, snapshot
 from zonelake.sources.catalog import DEFAULT_ZONES, Zones
 
-COMMITS_SCHEMA = T.StructType(
-    [
-        T.StructField("commit", T.LongType()),
-        T.StructField("kind", T.StringType()),
-        T.StructField("keys", T.ArrayType(T.StringType())),
-        T.StructField("order_by", T.ArrayType(T.StringType())),
-        T.StructField("partition_by", T.ArrayType(T.StringType())),
-    ]
+COMMITS_SCHEMA = (
+    "commit long, kind string, keys array<string>, order_by array<string>, partition_by array<string>,"
+    " order string, directory string, columns string, batch string"
 )
 
 
-def _as_list(cols: str | Sequence[str] | None) -> list[str]:
-    if cols is None:
-        return []
-    return [cols] if isinstance(cols, str) else list(cols)
-
-
 @dataclass(frozen=True)
 class Commit:
     commit: int
@@ -64,6 +52,21 @@ class Commit:
     keys: list[str]
     order_by: list[str]
     partition_by: list[str]
+    order: str = "commit"
+    directory: str = ""
+    columns: str = ""  # schema of the rows, as JSON
+    batch: str | None = field(default=None)  # name of the source batch, if it came from a stream
+
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.columns))
+
+
+def _list(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; empty if the folder does not exist.  Any other failure is raised."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
 
 
 @dataclass(frozen=True)
@@ -81,59 +84,63 @@ class ZoneStore:
     # ---------------------------------------------------------------- commits
 
     def commits(self, spark: SparkSession, zone: str, table: str) -> list[Commit]:
-        """Finished commits in order (a tiny read: one record per commit)."""
+        """Finished commits in order (a tiny read: one record per commit).  No records folder means no commit; a
+        folder that cannot be read is an error."""
         path = f"{self.path(zone, table)}/_commits"
-        try:
-            rows = spark.read.schema(COMMITS_SCHEMA).json(path).collect()
-        except Exception:  # noqa: BLE001 - no commit yet
+        if not _list(spark, path):
             return []
-        return sorted(
-            (Commit(r["commit"], r["kind"], list(r["keys"]), list(r["order_by"]), list(r["partition_by"] or []))
-             for r in rows),
-            key=lambda c: c.commit,
-        )
-
-    def _record(self, spark: SparkSession, zone: str, table: str, c: Commit) -> None:
-        record = json.dumps(
-            {"commit": c.commit, "kind": c.kind, "keys": c.keys, "order_by": c.order_by, "partition_by": c.partition_by}
-        )
-        rec = spark.createDataFrame([(record,)], "value string")
-        rec.coalesce(1).write.mode("append").text(f"{self.path(zone, table)}/_commits")
+        rows = spark.read.schema(COMMITS_SCHEMA).json(f"{path}/*").collect()
+        done = [Commit(**r.asDict()) for r in rows if r["commit"] is not None]
+        return sorted(done, key=lambda c: c.commit)
+
+    def _done(self, spark: SparkSession, zone: str, table: str, as_of: int | None = None) -> list[Commit]:
+        done = [c for c in self.commits(spark, zone, table) if as_of is None or c.commit <= as_of]
+        if not done:
+            raise RuntimeError(f"table {zone}.{table} has no commit{f' up to {as_of}' if as_of is not None else ''} at {self.path(zone, table)}")
+        return done
 
     # ------------------------------------------------------------------ reads
 
-    def log(self, spark: SparkSession, zone: str, table: str, done: list[Commit] | None = None) -> DataFrame:
-        """All committed log rows (schema merged across commits)."""
-        done = self.commits(spark, zone, table) if done is None else done
-        if not done:
-            raise RuntimeError(f"table {zone}.{table} has no commit at {self.path(zone, table)}")
-        base = f"{self.path(zone, table)}/log"
-        df = spark.read.option("mergeSchema", "true").option("basePath", base).parquet(base)
-        return df.where(F.col(COMMIT) <= F.lit(done[-1].commit))
+    def _rows(self, spark: SparkSession, zone: str, table: str, commit: Commit) -> DataFrame:
+        rows = spark.read.schema(commit.schema).parquet(f"{self.path(zone, table)}/data/{commit.directory}")
+        return rows.withColumn(COMMIT, F.lit(commit.commit).cast("long"))
+
+    def log(self, spark: SparkSession, zone: str, table: str, commits: list[Commit] | None = None, done: list[Commit] | None = None) -> DataFrame:
+        """Rows of ``commits`` (default: those since the last replace) with ``_commit`` and ``_deleted``, in the columns of all
+        commits since the last replace; a column that a commit lacks is null in its rows."""
+        live = _since_replace(self._done(spark, zone, table) if done is None else done)
+        commits = live if commits is None else commits
+        known = {f.name: f.dataType for c in live for f in c.schema.fields}
+        rows = union_all([self._rows(spark, zone, table, c) for c in commits], missing=True)
+        absent = {c: F.lit(None).cast(t) for c, t in known.items() if c not in rows.columns}
+        data = [c for c in known if c != DELETED]
+        return rows.withColumns(absent).select(*data, *META) if absent else rows.select(*data, *META)
 
     def read(self, spark: SparkSession, zone: str, table: str, *, as_of: int | None = None) -> DataFrame:
         """The table as of commit ``as_of`` (default: the latest)."""
-        done = self.commits(spark, zone, table)
-        if as_of is not None:
-            done = [c for c in done if c.commit <= as_of]
-        if not done:
-            raise RuntimeError(f"table {zone}.{table} has no commit up to {as_of}")
-        head = done[-1]
-        last_replace = max((c.commit for c in done if c.kind == "replace"), default=0)
-        log = self.log(spark, zone, table, done)
-        if head.kind == "replace":
-            # a full snapshot on its own: read just that directory
-            data = [c for c in log.columns if c not in (COMMIT, DELETED)]
-            return log.where(F.col(COMMIT) == F.lit(head.commit)).where(~F.col(DELETED)).select(*data)
-        return snapshot(log, head.keys, head.order_by, as_of=head.commit, after=last_replace - 1)
+        live = _since_replace(self._done(spark, zone, table, as_of))
+        log, head = self.log(spark, zone, table, live, live), live[-1]
+        if head.kind == "replace":  # a full snapshot on its own
+            return log.drop(*META)
+        return snapshot(log, head.keys, head.order_by, order=head.order)
 
     def changes(self, spark: SparkSession, zone: str, table: str, since: int) -> DataFrame:
-        """Latest version of every key written after commit ``since``, with
-        ``_commit`` and ``_deleted`` (incremental read)."""
-        done = self.commits(spark, zone, table)
-        if not done:
-            raise RuntimeError(f"table {zone}.{table} has no commit")
-        return changes_since(self.log(spark, zone, table), done[-1].keys, done[-1].order_by, since)
+        """Latest version of every key written after commit ``since``, with ``_commit`` and ``_deleted``
+        (incremental read).  Keys that a replace left out are reported as deleted by it."""
+        done = self._done(spark, zone, table)
+        head, after = done[-1], [c for c in done if c.commit > since]
+        if not after:
+            return self.log(spark, zone, table).where(F.lit(False))
+        live = _since_replace(after)
+        if head.order == "event" and live[0].kind != "replace":
+            live = _since_replace(done)
+        found = changes_since(self.log(spark, zone, table, live, done), head.keys, head.order_by, since, order=head.order)
+        if live[0].kind != "replace" or live[0].commit <= since:
+            return found
+        if done[0].commit > since:
+            return found
+        old = self.read(spark, zone, table, as_of=since)
+        return found.unionByName(missing_keys(old, found, head.keys, live[0].commit), allowMissingColumns=True)
 
     # ----------------------------------------------------------------- writes
 
@@ -146,35 +153,42 @@ class ZoneStore:
         order_by: str | Sequence[str],
         *,
         mode: str = "replace",
+        order: str = "commit",
         unique: bool = False,
         partition_by: str | Sequence[str] | None = None,
         validate: bool = True,
         check_unique: bool = False,
+        batch: str | None = None,
     ) -> int:
-        """Commit ``df`` to the table and refresh its catalog entries; returns
-        the commit number.
-
-        Column names are lower-cased.  Rows are reduced to one per record key
-        (largest ``order_by``) unless ``unique=True`` says the key is unique
-        by construction (a ``(key, rn)`` pair), which saves a shuffle.  With
-        ``validate`` the written commit is checked before it is recorded: a
-        null key part (refused by keyed writers) fails the write and leaves
-        the table as it was; ``check_unique`` also verifies a key claimed
-        unique (one more shuffle of the written rows).  The checks read the
-        written files, not the job's lineage.
+        """Commit ``df`` to the table and refresh its catalog entries; returns the commit number.
+
+        Column names are lower-cased.  Rows are reduced to one per record key (largest ``order_by``) unless
+        ``unique=True`` says the key is unique by construction (a ``(key, rn)`` pair), which saves a shuffle.
+        ``order`` says which row of a key wins over upserts: of the later commit (``commit``) or of the larger
+        ``order_by`` value, whatever the commit (``event``; late records then change nothing).  With ``validate`` the
+        written commit is checked before it is recorded: a null key part (refused by keyed writers) fails the write;
+        ``check_unique`` also verifies a key claimed unique (one more shuffle of the written rows).  The checks
+        read the written files, not the job's lineage.  ``batch`` names a source batch: one that is already
+        committed is not committed again.
         """
         if mode not in ("replace", "upsert"):
             raise ValueError(f"mode must be 'replace' or 'upsert', not {mode!r}")
-        spark = df.sparkSession
-        keys = _as_list(keys)
-        order_by = _as_list(order_by)
-        parts = _as_list(partition_by)
+        if order not in ("commit", "event"):
+            raise ValueError(f"order must be 'commit' or 'event', not {order!r}")
+        keys, order_by = as_list(keys), as_list(order_by)
+        done = self.commits(df.sparkSession, zone, table)
+        for c in done:
+            if batch is not None and c.batch == batch:
+                return c.commit
         df = lower_columns(df)
+        if mode == "upsert" and done:
+            _check_types(df.schema, _since_replace(done), zone, table)
         if not unique:
             df = keep_latest(df, keys, order_by)
         rows = df.withColumn(DELETED, F.lit(False))
         check = (lambda written: self._validate(written, zone, table, keys, unique and check_unique)) if validate else None
-        return self._commit(spark, rows, zone, table, mode, keys, order_by, parts, check)
+        new = Commit(0, mode, keys, order_by, as_list(partition_by), order, batch=batch)
+        return self._commit(rows, zone, table, new, done, check)
 
     @staticmethod
     def _validate(written: DataFrame, zone: str, table: str, keys: list[str], unique: bool) -> None:
@@ -183,101 +197,81 @@ class ZoneStore:
         if unique:
             assert_key(written, keys)
 
-    def compact(self, spark: SparkSession, zone: str, table: str) -> int:
-        """Write the current table as a replace commit.  Reads after an upsert
-        merge every commit since the last replace (an aggregate over the
-        log); after a compaction they read one directory again.  Earlier
-        commits stay readable with ``as_of``."""
-        done = self.commits(spark, zone, table)
-        if not done:
-            raise RuntimeError(f"table {zone}.{table} has no commit")
-        head = done[-1]
-        if head.kind == "replace":
-            return head.commit
-        current = self.read(spark, zone, table)
-        return self.write(
-            current, zone, table, head.keys, head.order_by, unique=True, partition_by=head.partition_by or None
-        )
-
     def delete(self, keys_df: DataFrame, zone: str, table: str) -> int:
-        """Commit tombstones for the record keys in ``keys_df``."""
-        spark = keys_df.sparkSession
-        done = self.commits(spark, zone, table)
-        if not done:
-            raise RuntimeError(f"table {zone}.{table} has no commit")
+        """Commit tombstones for the record keys in ``keys_df`` (stored without partitions)."""
+        done = self._done(keys_df.sparkSession, zone, table)
         head = done[-1]
         marks = lower_columns(keys_df).select(*head.keys).distinct().withColumn(DELETED, F.lit(True))
-        return self._commit(spark, marks, zone, table, "delete", head.keys, head.order_by, head.partition_by)
+        return self._commit(marks, zone, table, Commit(0, "delete", head.keys, head.order_by, [], head.order), done)
 
     def _commit(
-        self,
-        spark: SparkSession,
-        rows: DataFrame,
-        zone: str,
-        table: str,
-        kind: str,
-        keys: list[str],
-        order_by: list[str],
-        parts: list[str],
-        check: Callable[[DataFrame], None] | None = None,
+        self, rows: DataFrame, zone: str, table: str, new: Commit, done: list[Commit], check: Callable[[DataFrame], None] | None = None
     ) -> int:
-        done = self.commits(spark, zone, table)
-        number = (done[-1].commit if done else 0) + 1
-        target = f"{self.path(zone, table)}/log/{COMMIT}={number}"
-        writer = rows.write.mode("overwrite")
-        if parts:
-            writer = writer.partitionBy(*parts)
-        writer.parquet(target)
+        spark, base = rows.sparkSession, self.path(zone, table)
+        # past every number in use, recorded or left over
+        number = 1 + max([0, *(int(n) for n in _list(spark, f"{base}/_commits") if n.isdigit()), *(c.commit for c in done)])
+        directory = f"{number}-{uuid.uuid4().hex[:12]}"
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+        writer = rows.write.mode("errorifexists")
+        if new.partition_by:
+            writer = writer.partitionBy(*new.partition_by)
+        writer.parquet(f"{base}/data/{directory}")
+        commit = Commit(**asdict(new) | {"commit": number, "directory": directory, "columns": schema.json()})
         if check is not None:
-            check(spark.read.parquet(target))
-        commit = Commit(number, kind, keys, order_by, parts)
-        self._record(spark, zone, table, commit)
+            check(self._rows(spark, zone, table, commit))
+        record = spark.createDataFrame([(json.dumps(asdict(commit)),)], "value string")
+        record.coalesce(1).write.mode("errorifexists").text(f"{base}/_commits/{number}")
         self.register(spark, zone, table, [*done, commit])
         return number
 
     # ---------------------------------------------------------------- catalog
 
     def register(self, spark: SparkSession, zone: str, table: str, done: list[Commit] | None = None) -> None:
-        """(Re)create ``<db>.<table>__log`` and the current view ``<db>.<table>``."""
-        done = self.commits(spark, zone, table) if done is None else done
-        db = self.zones.database(zone)
+        """(Re)create the catalog entries of the commits since the last replace and the two views over them."""
+        done = self._done(spark, zone, table) if done is None else done
+        live, db = _since_replace(done), self.zones.database(zone)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-        log_name = f"`{db}`.`{table}__log`"
-        spark.sql(f"DROP TABLE IF EXISTS {log_name}")
-        spark.sql(
-            f"CREATE TABLE {log_name} USING parquet OPTIONS (mergeSchema 'true') "
-            f"LOCATION '{self.path(zone, table)}/log'"
-        )
-        # the catalog tracks partitions of a partitioned table: list the commits
-        spark.sql(f"ALTER TABLE {log_name} RECOVER PARTITIONS")
-        spark.sql(f"DROP VIEW IF EXISTS `{db}`.`{table}`")
-        data = [c for c in spark.table(log_name).columns if c not in (COMMIT, DELETED)]
-        head = done[-1]
-        last_replace = max((c.commit for c in done if c.kind == "replace"), default=0)
-        if head.kind == "replace":
-            cols = ", ".join(f"`{c}`" for c in data)
-            body = f"SELECT {cols} FROM {log_name} WHERE {COMMIT} = {head.commit} AND NOT {DELETED}"
-        else:
-            rest = [c for c in data if c not in head.keys and c not in head.order_by]
-            packed = ", ".join(f"`{c}`" for c in [COMMIT, *head.order_by, *rest, DELETED])
-            key_cols = ", ".join(f"`{k}`" for k in head.keys)
+        name = f"`{db}`.`{table}"  # the closing quote follows
+        for c in done[:-1] if done[-1].kind == "replace" else []:
+            spark.sql(f"DROP TABLE IF EXISTS {name}__{c.commit}`")
+        columns: dict[str, T.DataType] = {}
+        for c in live:
+            columns |= {f.name: f.dataType for f in c.schema.fields}
+        parts = []
+        for c in live:
+            own = {f.name for f in c.schema.fields}
+            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in c.schema.fields)
+            by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in c.partition_by)})" if c.partition_by else ""
+            spark.sql(f"DROP TABLE IF EXISTS {name}__{c.commit}`")
+            spark.sql(f"CREATE TABLE {name}__{c.commit}` ({ddl}) USING parquet {by} LOCATION '{self.path(zone, table)}/data/{c.directory}'")
+            if c.partition_by:
+                spark.sql(f"ALTER TABLE {name}__{c.commit}` RECOVER PARTITIONS")
+            picks = [f"`{x}`" if x in own else f"CAST(NULL AS {t.simpleString()}) AS `{x}`" for x, t in columns.items()]
+            parts.append(f"SELECT {', '.join(picks)}, CAST({c.commit} AS BIGINT) AS {COMMIT} FROM {name}__{c.commit}`")
+        spark.sql(f"CREATE OR REPLACE VIEW {name}__log` AS {' UNION ALL '.join(parts)}")
+        head, data = live[-1], [c for c in columns if c != DELETED]
+        plain = ", ".join(f"`{c}`" for c in data)
+        body = f"SELECT {plain} FROM {name}__log` WHERE NOT {DELETED}"
+        if head.kind != "replace":
+            keys = ", ".join(f"`{k}`" for k in head.keys)
+            order = [COMMIT, *head.order_by] if head.order == "commit" else [*head.order_by, COMMIT]
+            packed = ", ".join(f"`{c}`" for c in [*order, *(c for c in data if c not in head.keys and c not in order), DELETED])
             picks = ", ".join(f"`{c}`" if c in head.keys else f"_latest.`{c}` AS `{c}`" for c in data)
-            body = (
-                f"SELECT {picks} FROM (SELECT {key_cols}, max(struct({packed})) AS _latest FROM {log_name} "
-                f"WHERE {COMMIT} >= {last_replace} AND {COMMIT} <= {head.commit} GROUP BY {key_cols}) "
-                f"WHERE NOT _latest.{DELETED}"
-            )
-        spark.sql(f"CREATE VIEW `{db}`.`{table}` AS {body}")
-
-
-def write_zone(
-    df: DataFrame,
-    store: ZoneStore,
-    zone: str,
-    table: str,
-    keys: str | Sequence[str],
-    order_by: str | Sequence[str],
-    **options: object,
-) -> int:
-    """Function form of ``ZoneStore.write``."""
-    return store.write(df, zone, table, keys, order_by, **options)  # type: ignore[arg-type]
+            rows = f"SELECT *, max(CASE WHEN {DELETED} THEN {COMMIT} END) OVER (PARTITION BY {keys}) AS _gone FROM {name}__log`"
+            source = f"({rows}) WHERE {COMMIT} >= coalesce(_gone, 0)" if head.order == "event" else f"{name}__log`"
+            body = f"SELECT {picks} FROM (SELECT {keys}, max(struct({packed})) AS _latest FROM {source} GROUP BY {keys}) WHERE NOT _latest.{DELETED}"
+        spark.sql(f"CREATE OR REPLACE VIEW {name}` AS {body}")
+
+
+def _since_replace(done: list[Commit]) -> list[Commit]:
+    """The commits from the last replace on (all, if there is none)."""
+    at = max((i for i, c in enumerate(done) if c.kind == "replace"), default=0)
+    return done[at:]
+
+
+def _check_types(schema: T.StructType, live: list[Commit], zone: str, table: str) -> None:
+    """An upsert may add columns; a column of another type must come by a replace."""
+    known = {f.name: f.dataType for c in live for f in c.schema.fields}
+    for f in schema.fields:
+        if f.name in known and known[f.name] != f.dataType:
+            raise ValueError(f"{zone}.{table}: column {f.name} is {known[f.name].simpleString()}, not {f.dataType.simpleString()}; replace the table")

@@ -2,9 +2,9 @@
 
 New JSON files arriving in a landing directory are picked up by the file
 stream source; every micro-batch is refined by a batch function and
-committed to a keyed zone table as an upsert.  Replaying a micro-batch after
-a failure commits the same rows again, which leaves the table unchanged, so
-the sink is idempotent and the query can restart from its checkpoint.
+committed to a keyed zone table as an upsert that names the batch.  A micro-batch that is replayed after
+a failure is found committed and skipped, so every batch is committed once.  Which of two records of a key wins is
+told by the table's order (``event`` by default: a late record changes nothing).
 
 Only jobs whose result per key depends on that key's rows alone can run this
 way (the consenting-customer table); numbered tables depend on all earlier
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from zonelake.sinks.zone import ZoneStore
+from zonelake.sources.landing import typed_lines
 
 
 def ingest_landing(
@@ -36,18 +37,17 @@ def ingest_landing(
     refine: Callable[[DataFrame], DataFrame] = lambda df: df,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    order: str = "event",
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is there
     and stops (a scheduled incremental run), otherwise it keeps polling."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(landing_path)
+    stream = typed_lines(reader.text(landing_path), schema)
 
-    def commit(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001 - id kept by the checkpoint
-        if batch.isEmpty():
-            return
-        store.write(refine(batch), zone, table, keys, order_by, mode="upsert")
+    def commit(batch: DataFrame, batch_id: int) -> None:
+        store.write(refine(batch), zone, table, keys, order_by, mode="upsert", order=order, batch=f"{checkpoint}#{batch_id}")
 
     writer = stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
