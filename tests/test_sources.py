@@ -36,6 +36,32 @@ def test_camel_case_keys_resolve_case_insensitively(spark, tmp_dir):
     assert lower_columns(picked).collect() == [(100, 8)]
 
 
+def test_any_case_of_keys_gives_equal_rows(spark, tmp_dir):
+    records = [{"sensorReadingTime": 1, "serialNumber": "s", "distanceFromObject": 2}, {"sensorReadingTime": 2, "serialNumber": "7", "distanceFromObject": None}]
+    got = []
+    for name, change in (("camel", str), ("lower", str.lower), ("upper", str.upper)):
+        os.makedirs(os.path.join(tmp_dir, name))
+        with open(os.path.join(tmp_dir, name, "a.json"), "w") as fh:
+            fh.write("\n".join(json.dumps({change(k): v for k, v in r.items()}) for r in records) + "\n\nnot json\n")
+        frame = read_landing(spark, os.path.join(tmp_dir, name), schemas.STEP_TRAINER, keep_corrupt=True, required=["serialNumber"])
+        assert frame.columns == [*schemas.STEP_TRAINER.fieldNames(), "_corrupt_record"]
+        got.append(rows(frame))
+    assert got[0] == got[1] == got[2] == [(None, None, None, "not json"), (1, "s", 2, None), (2, "7", None, None)]
+    with pytest.raises(RuntimeError, match="no record has the key email"):
+        read_landing(spark, os.path.join(tmp_dir, "camel"), schemas.STEP_TRAINER, required=["email"])
+    table = register_landing(spark, "cases_landing", "upper", lower_columns(frame.drop("_corrupt_record")).schema, os.path.join(tmp_dir, "upper"))
+    assert rows(table.where("serialnumber is not null")) == [(1, "s", 2), (2, "7", None)]
+
+
+def test_values_that_do_not_fit_are_null(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "odd.json")
+    with open(path, "w") as fh:
+        fh.write('{"user": "a", "timestamp": "soon", "x": "1e3", "y": true, "z": 5}\n{"user": 7, "timestamp": 12}\n[1]\n3\n{}\n')
+    got = rows(read_landing(spark, path, schemas.ACCELEROMETER))
+    assert ("a", None, 1000.0, None, 5.0) in got and ("7", 12, None, None, None) in got
+    assert landing_stats(spark, path, schemas.ACCELEROMETER).first()["malformed"] == 3
+
+
 def test_keys_differing_in_case_fail_at_read(spark, tmp_dir):
     path = os.path.join(tmp_dir, "clash")
     os.makedirs(path)
@@ -43,6 +69,8 @@ def test_keys_differing_in_case_fail_at_read(spark, tmp_dir):
         fh.write(json.dumps({"User": "a", "user": "b"}) + "\n")
     with pytest.raises(RuntimeError):
         read_landing(spark, path)
+    with pytest.raises(Exception, match="(?i)duplicate"):
+        read_landing(spark, path, schemas.ACCELEROMETER).collect()
 
 
 def test_register_landing_and_read_zone(spark, tmp_dir):

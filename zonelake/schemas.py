@@ -80,3 +80,10 @@ LANDING_SCHEMAS = {
     "accelerometer_landing": ACCELEROMETER,
     "step_trainer_landing": STEP_TRAINER,
 }
+
+# Keys that some record of a feed must have: those the jobs join by and order by.
+REQUIRED_KEYS = {
+    "customer_landing": ["email", "serialNumber", "registrationDate"],
+    "accelerometer_landing": ["user", "timestamp"],
+    "step_trainer_landing": ["sensorReadingTime", "serialNumber"],
+}

@@ -1,26 +1,44 @@
 """Landing zone: JSON-lines files, read with a declared schema.
 
 The raw feeds are JSON lines, one directory per feed (the customer feed may
-be a single file).  Reads use an explicit schema: inference would cost a full
-pass over the files and types whole-number doubles as longs.  Malformed lines
-are kept (PERMISSIVE) with every field null and the raw text in the corrupt
+be a single file).  Reads use a declared schema: inference would cost a full
+pass over the files and types whole-number doubles as longs.  Every line is
+parsed once, into its keys and values, and the declared fields are taken by name
+whatever the case of the keys (a struct parse would match the case and give nulls
+without a word).  Malformed lines are kept with every field null and the raw text in the corrupt
 column when it is requested; the consent filter and the inner joins drop
-them, ``landing_stats`` counts them.
+them, ``landing_stats`` counts them.  Keys of one record that differ only in case are an error.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
 
+# a line's keys in lower case with their values as text; null for a malformed line
+_KEYS = "transform_keys(from_json(value, 'map<string,string>'), (k, v) -> lower(k))"
+
+
+def _field(f: T.StructField) -> str:
+    """SQL for a declared field of the parsed line; a value that does not fit its type is null."""
+    return f"try_cast(element_at(_line, '{f.name.lower()}') AS {f.dataType.simpleString()}) AS `{f.name}`"
+
 
-def _with_corrupt(schema: T.StructType, corrupt_column: str) -> T.StructType:
-    if corrupt_column in schema.fieldNames():
-        return schema
-    return T.StructType(list(schema.fields) + [T.StructField(corrupt_column, T.StringType())])
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value`` (raw text) and ``_line`` (parsed) of every line that is not blank, with the file's metadata."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select("value", F.expr(_KEYS).alias("_line"), F.col("_metadata.file_path").alias("_file"))
+
+
+def typed_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared fields of raw JSON lines (column ``value``), a batch or a stream."""
+    parsed = lines.where(F.trim("value") != "").select(F.expr(_KEYS).alias("_line"))
+    return parsed.select(*[F.expr(_field(f)) for f in schema.fields])
 
 
 def read_landing(
@@ -30,23 +48,32 @@ def read_landing(
     *,
     keep_corrupt: bool = False,
     corrupt_column: str = CORRUPT_COLUMN,
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """Read a JSON-lines file or directory (any URI scheme Hadoop knows).
 
-    Without ``schema`` the schema is inferred from the data.  Failures (a
-    missing path, an unreadable schema, clashing keys) are raised as
-    ``RuntimeError`` naming the path; the schema is resolved here, so they
-    surface at the read rather than at the first action.
+    Without ``schema`` the schema is inferred from the data.  ``required`` names fields that some record must have; a
+    feed with records of which none has such a key is refused (in a good feed this looks at the first
+    records only).  Failures (a missing path, an unreadable schema, clashing keys, a missing key) are raised as
+    ``RuntimeError`` naming the path.
     """
-    reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
-    if schema is not None:
-        reader = reader.schema(_with_corrupt(schema, corrupt_column) if keep_corrupt else schema)
     try:
-        df = reader.json(path)
-        df.schema  # noqa: B018 - resolve now so a bad path fails here
+        if schema is None:
+            reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
+            df = reader.json(path)
+            df.schema  # noqa: B018 - resolve now so a bad path fails here
+            return df
+        lines = _lines(spark, path)
+        lines.schema  # noqa: B018
+        wanted = [F.expr(_field(f)) for f in schema.fields if f.name != corrupt_column]
+        if keep_corrupt:
+            wanted.append(F.when(F.col("_line").isNull(), F.col("value")).alias(corrupt_column))
+        for name in required:
+            if lines.where(F.expr(f"map_contains_key(_line, '{name.lower()}')")).isEmpty() and not lines.isEmpty():
+                raise ValueError(f"no record has the key {name}")
+        return lines.select(*wanted)
     except Exception as exc:  # noqa: BLE001 - re-raised with the path
         raise RuntimeError(f"failed to read landing data at {path}: {exc}") from exc
-    return df
 
 
 def infer_landing_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> T.StructType:
@@ -65,44 +92,33 @@ def register_landing(
     schema: T.StructType,
     path: str,
 ) -> DataFrame:
-    """Catalog a landing feed as an external JSON table over ``path`` and
-    return it.  Re-registering replaces the entry, never the files."""
+    """Catalog a landing feed as a typed view over the text files at ``path`` and return it; keys are matched as in
+    ``read_landing``.  Re-registering replaces the entries, never the files."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    name = f"`{database}`.`{table}`"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(f"{database}.{table}", path=path, source="json", schema=schema)
+    lines = f"`{database}`.`{table}__lines`"
+    spark.sql(f"DROP TABLE IF EXISTS {lines}")
+    spark.sql(f"CREATE TABLE {lines} (value STRING) USING text LOCATION '{path}'")
+    fields = ", ".join(_field(f) for f in schema.fields)
+    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` AS SELECT {fields} FROM (SELECT {_KEYS} AS _line FROM {lines} WHERE trim(value) <> '')")
     return spark.table(f"{database}.{table}")
 
 
-def landing_stats(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    *,
-    corrupt_column: str = CORRUPT_COLUMN,
-) -> DataFrame:
-    """Table statistics of a landing feed, one row: records, objects (files),
-    total bytes, mean record size and malformed records.
+def landing_stats(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Table statistics of a landing feed, one row: records, objects (files, empty ones too),
+    total bytes, mean record size and malformed records (lines that are no JSON object, or without any declared field).
 
     Rows are counted per file first (combined map-side), so the result needs
     one shuffle of one row per file and task.
     """
-    df = read_landing(spark, path, schema, keep_corrupt=True, corrupt_column=corrupt_column)
-    fields = [c for c in schema.fieldNames()]
-    # a malformed line has every declared field null and the raw text kept
-    malformed = F.col(corrupt_column).isNotNull() & F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull()
-    per_file = df.select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_size").alias("_size"),
-        malformed.cast("long").alias("_bad"),
-    )
-    files = per_file.groupBy("_file").agg(
-        F.count(F.lit(1)).alias("_rows"), F.max("_size").alias("_size"), F.sum("_bad").alias("_bad")
-    )
-    return files.agg(
-        F.sum("_rows").cast("long").alias("records"),
-        F.count(F.lit(1)).alias("objects"),
-        F.sum("_size").cast("long").alias("size_bytes"),
-        (F.sum("_size") / F.sum("_rows")).alias("mean_record_bytes"),
-        F.sum("_bad").cast("long").alias("malformed"),
+    known = " OR ".join(f"element_at(_line, '{f.name.lower()}') IS NOT NULL" for f in schema.fields)
+    rows = _lines(spark, path).select("_file", F.expr(f"NOT coalesce({known}, false)").cast("long").alias("_bad"))
+    counted = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"), F.sum("_bad").alias("_bad"))
+    objects = spark.read.format("binaryFile").load(path).select(F.col("path").alias("_file"), F.lit(0).alias("_rows"), F.lit(0).alias("_bad"), F.col("length").alias("_size"))
+    both = counted.withColumn("_size", F.lit(None).cast("long")).unionByName(objects)
+    return both.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("records"),
+        F.count("_size").alias("objects"),
+        F.coalesce(F.sum("_size"), F.lit(0)).cast("long").alias("size_bytes"),
+        F.try_divide(F.sum("_size"), F.sum("_rows")).alias("mean_record_bytes"),
+        F.coalesce(F.sum("_bad"), F.lit(0)).cast("long").alias("malformed"),
     )
