@@ -142,16 +142,48 @@ def test_gate_splits_hot_keys(spark, monkeypatch):
     # the shared detection counts rows x devices
     shared = joins.gate_hot_keys(readings, "user", customers, "email", threshold=100)
     assert rows(shared.frame) == [("a",)]
-    assert joins.gate_hot_keys(readings, "user", customers, "email", threshold=200).none
+    assert joins.gate_hot_keys(readings, "user", customers, "email", threshold=200).frame is None
 
 
-def test_hot_key_overflow(spark, monkeypatch):
+def test_more_hot_keys_than_are_broadcast(spark, monkeypatch):
+    """The largest hot keys are split off; the rest is numbered and joined like other keys, with equal results."""
+    import zonelake.operators.joins as joins
     import zonelake.operators.skew as skew
 
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 1)
-    df = spark.createDataFrame([(k % 3,) for k in range(30)], "k int")
-    hot = skew.find_hot_keys(df, ["k"], threshold=5)
-    assert hot.overflow and hot.frame is None and not hot.none
+    readings = spark.createDataFrame([(f"k{k}", t) for k in range(20) for t in range(10 + k)], "user string, timestamp int")
+    customers = spark.createDataFrame([(f"k{k}",) for k in range(0, 20, 2) for _ in range(1 + k % 3)], "email string")
+    want = rows(joins.gate(readings, customers, "user", "email", weight="w"))
+    ranks = rows(number_rows(readings, "user", "timestamp"))
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 5)
+    monkeypatch.setattr(skew, "HOT_ROWS", 8)
+    monkeypatch.setattr(joins, "BROADCAST_KEYS", 0)
+    assert rows(skew.find_hot_keys(readings, ["user"]).frame) == [(f"k{k}",) for k in range(15, 20)]
+    assert rows(joins.gate(readings, customers, "user", "email", weight="w")) == want
+    assert rows(number_rows(readings, "user", "timestamp")) == ranks
+
+
+@pytest.mark.parametrize("hot_rows", [0, 10**9])
+def test_numbering_keeps_the_zeros(spark, hot_rows):
+    values = [("u", 5, -0.0), ("u", 5, 0.0), ("u", 5, 0.0), ("u", 1, -0.0), ("v", 5, 0.0), ("v", 5, None)]
+    frame = spark.createDataFrame(values, "user string, timestamp int, x double")
+    got = sorted(number_rows(frame, "user", "timestamp", hot_rows=hot_rows).collect(), key=lambda r: (r.user, r.rn))
+    assert [(r.user, r.timestamp, str(r.x)) for r in got] == [
+        ("u", 1, "-0.0"), ("u", 5, "-0.0"), ("u", 5, "0.0"), ("u", 5, "0.0"), ("v", 5, "None"), ("v", 5, "0.0"),
+    ]
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10**9])
+def test_fusion_keeps_the_zeros(spark, monkeypatch, hot_rows):
+    import zonelake.operators.skew as skew
+    from zonelake.operators.joins import fuse_on_time
+
+    monkeypatch.setattr(skew, "HOT_ROWS", hot_rows)
+    devices = spark.createDataFrame([(7, "s", 1, "e", 1), (7, "t", 1, "e", 1)], "sensorreadingtime int, serialnumber string, distancefromobject int, email string, registrationdate int")
+    accel = spark.createDataFrame([(7, x, 1.0, z, "u") for x, z in ((-0.0, 0.0), (0.0, 0.0), (0.0, 0.0), (0.0, -0.0))], "timestamp int, x double, y double, z double, user string")
+    got = fuse_on_time(devices, accel).collect()
+    assert sorted((r.serialnumber, str(r.x), str(r.z), r._w) for r in got) == [
+        (s, x, z, n) for s in "st" for x, z, n in (("-0.0", "0.0", 1), ("0.0", "-0.0", 1), ("0.0", "0.0", 2))
+    ]
 
 
 @pytest.mark.parametrize("same_user", [False, True])
@@ -191,16 +223,6 @@ def test_number_rows_nan_key_spanning_partitions(spark):
     assert ranks == list(range(1, 41))
 
 
-def test_bucket_labels_hash_to_their_own_bucket(spark):
-    from zonelake.operators.numbering import _bucket_labels
-
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    labels = _bucket_labels(spark, n)
-    placed = labels.repartition(n, "_label").select("_bucket", F.spark_partition_id().alias("pid")).collect()
-    assert len(placed) == n
-    assert all(r["_bucket"] == r["pid"] for r in placed)
-
-
 def test_bounds_from_session_settings(spark):
     import zonelake.operators.joins as joins
     import zonelake.operators.skew as skew
@@ -217,19 +239,3 @@ def test_bounds_from_session_settings(spark):
     finally:
         spark.conf.unset("spark.zonelake.hotRows")
         spark.conf.unset("spark.zonelake.broadcastKeys")
-
-
-def test_carries_chain_a_key_across_partitions():
-    from zonelake.operators.numbering import _carries
-
-    def edge(part, key, first, last, end):
-        return {"_part": part, "_key": (key,), "_f": first, "_l": last, "_end": end}
-
-    # p0: a..b (3 rows of b)   p1: only b (5 rows)   p2: b..c   p4: c..d (p3 empty)
-    edges = [
-        edge(0, "a", True, False, 2), edge(0, "b", False, True, 3),
-        edge(1, "b", True, False, 1), edge(1, "b", False, True, 5),
-        edge(2, "b", True, False, 1), edge(2, "c", False, True, 4),
-        edge(4, "c", True, False, 1), edge(4, "d", False, True, 2),
-    ]
-    assert _carries(edges) == [(1, ("b",), 3), (2, ("b",), 8), (4, ("c",), 4)]

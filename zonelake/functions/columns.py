@@ -3,9 +3,9 @@ stays inside whole-stage codegen; nothing runs in Python per row."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,3 +41,36 @@ def json_int(doc: str | Column, field: str) -> Column:
 def key_struct(cols: Sequence[str]) -> Column:
     """Struct of key columns; compared null-safely as one value."""
     return F.struct(*[F.col(c) for c in cols])
+
+
+def zero_sign(c: str) -> Column:
+    """Whether a float column holds the negative zero, which grouping and ordering take for the positive one."""
+    return (F.col(c) == 0) & F.col(c).cast("string").startswith("-")
+
+
+def float_columns(df: DataFrame, cols: Iterable[str] | None = None) -> list[str]:
+    """The float and double columns among ``cols`` (default: all)."""
+    kinds = dict(df.dtypes)
+    return [c for c in (df.columns if cols is None else cols) if kinds[c] in ("float", "double")]
+
+
+def group_keeping_zeros(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
+    """``groupBy(keys).agg(...)`` in which the two float zeros are different values and keep their sign."""
+    floats = float_columns(df, keys)
+    signs = [zero_sign(c).alias(f"_neg_{c}") for c in floats]
+    out = df.groupBy(*keys, *signs).agg(*aggregates)
+    kinds = dict(df.dtypes)
+    for c in floats:
+        out = out.withColumn(c, F.when(F.col(f"_neg_{c}"), F.lit(-0.0).cast(kinds[c])).otherwise(F.col(c)))
+    return out.drop(*[f"_neg_{c}" for c in floats])
+
+
+def total_order(df: DataFrame, cols: list[str]) -> list[Column]:
+    """Ascending order on ``cols`` (nulls first) that also tells the two float zeros apart, the negative one first."""
+    floats = set(float_columns(df, cols))
+    order = []
+    for c in cols:
+        order.append(F.col(c).asc_nulls_first())
+        if c in floats:
+            order.append(zero_sign(c).desc())
+    return order

@@ -15,10 +15,12 @@ aggregate), hot keys are split off explicitly (``operators.skew``).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonelake.operators.numbering import number_rows
+from zonelake.functions.columns import group_keeping_zeros
+from zonelake.operators.numbering import CHUNK_ROWS, number_rows
 from zonelake.session import materialize, materialize_counted
 from zonelake.operators import skew
 from zonelake.operators.skew import HotKeys, collect_hot, find_hot_keys, split_hot
@@ -65,9 +67,9 @@ def gate_hot_keys(
     if matches is None:
         matches = _matches(gate_rows, gate_key)
     per_key = rows.where(F.col(row_key).isNotNull()).groupBy(row_key).agg(F.count(F.lit(1)).alias("_r"))
-    out = per_key.join(matches, F.col(row_key) == F.col("_gate_key"), "inner")
+    out = per_key.join(matches, F.col(row_key) == F.col("_gate_key"), "inner").withColumn("_n", F.col("_r") * F.col("_matches"))
     limit = skew.hot_threshold(threshold, rows.sparkSession)
-    return collect_hot(out.where(F.col("_r") * F.col("_matches") > F.lit(limit)), [row_key])
+    return collect_hot(out.where(F.col("_n") > F.lit(limit)), [row_key], "_n")
 
 
 def gate(
@@ -117,8 +119,11 @@ def gate(
 def _gated(joined: DataFrame, columns: list[str], weight: str | None) -> DataFrame:
     if weight is not None:
         return joined.select(*[F.col(c) for c in columns], F.col("_matches").alias(weight))
-    copies = F.explode(F.array_repeat(F.lit(1), F.col("_matches").cast("int")))
-    return joined.select(*[F.col(c) for c in columns], copies.alias("_copy")).drop("_copy")
+    # in chunks, so that no row makes an unbounded array
+    chunks = joined.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_matches") - 1) / F.lit(CHUNK_ROWS)))))
+    left = F.least(F.lit(CHUNK_ROWS).cast("long"), F.col("_matches") - F.col("_chunk") * CHUNK_ROWS)
+    copies = F.explode(F.array_repeat(F.lit(1), left.cast("int")))
+    return chunks.select(*[F.col(c) for c in columns], copies.alias("_copy")).drop("_copy")
 
 
 def customers_with_readings(
@@ -133,13 +138,9 @@ def customers_with_readings(
     writer collapse the fan-out; the semi-join gives the same customers
     without producing one row per reading.  The reading side is reduced to
     its distinct keys first, combined map-side, so a user with a huge share
-    of the readings costs one row per input task; when a count shows at most
-    ``BROADCAST_KEYS`` of them they are broadcast.
+    of the readings costs one row per input task.  The planner broadcasts them if their measured size allows.
     """
     users = readings.select(F.col(reading_key).alias("_reader")).where(F.col("_reader").isNotNull()).distinct()
-    users, n_users = materialize_counted(users)  # one row per user: sized and joined from one scan
-    if n_users <= broadcast_keys(customers.sparkSession):
-        users = F.broadcast(users)  # size checked: the customer side is not shuffled
     return customers.join(users, F.col(customer_key) == F.col("_reader"), "left_semi")
 
 
@@ -165,30 +166,43 @@ def fuse_on_time(
     same_user: bool = False,
     weight: str = "_w",
     accel_weight: str | None = None,
+    persist: bool = False,
 ) -> DataFrame:
+    """The pairs of ``_fuse``."""
+    return _fuse(devices, accel, same_user=same_user, weight=weight, accel_weight=accel_weight, persist=persist)[0]
+
+
+def _fuse(
+    devices: DataFrame, accel: DataFrame, *, same_user: bool, weight: str, accel_weight: str | None, persist: bool
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pair device readings with accelerometer readings of the same time.
 
     The original feature table joins on time alone: a reading of another user
     at the same instant is paired with the device too (``same_user=True``
     also requires ``email == user``).  Returns distinct feature tuples with
     their multiplicity in ``weight``; ``ml_features`` numbers and expands them.
-    Accelerometer rows count once each, or ``accel_weight`` times.
+    Accelerometer rows count once each, or ``accel_weight`` times.  Also returns the two stored inputs.
 
     The accelerometer side is first reduced to distinct tuples with a count
-    (combined map-side).  The join is many-to-many, so one busy instant makes
+    (combined map-side; the two zeros of a coordinate stay apart).  The join is many-to-many, so one busy instant makes
     devices x tuples pairs in the task that holds it, a size AQE cannot see
     (it measures inputs).  Per-instant pair counts are therefore taken first;
-    instants over ``HOT_ROWS`` pairs (at most ``MAX_HOT_KEYS`` of them,
-    broadcast) are salted: their device rows get ``xxhash64 mod k`` and their
-    accelerometer tuples are repeated for every salt, so k tasks share the
-    pairs of that instant.
+    the largest instants over ``HOT_ROWS`` pairs are dealt over a grid: their device rows get one of ``a`` numbers and are
+    repeated for each of ``b``, the tuples the other way round, with a and b such that a cell makes about ``HOT_ROWS`` pairs
+    and either side is repeated about as often as the square root of the cells.
+
+    ``persist`` keeps the two inputs, which are read twice, in executor memory and disk instead of the checkpoint folder
+    (the original job's choice); the caller unpersists them by ``spark.catalog.clearCache()``.
     """
     keys = ["timestamp", "x", "y", "z"] + (["user"] if same_user else [])
     copies = F.sum(accel_weight) if accel_weight else F.count(F.lit(1))
-    # both inputs come out of shuffles and are read twice (instant counts,
-    # pairs): materialise them once
-    acc = materialize(accel.groupBy(*keys).agg(copies.cast("long").alias(weight)))
-    devices = materialize(devices)
+    stored = (lambda df: df.persist(StorageLevel.MEMORY_AND_DISK)) if persist else materialize
+    acc = stored(group_keeping_zeros(accel, keys, copies.cast("long").alias(weight)))
+    devices = stored(devices)
+    return _fused(devices, acc, same_user, weight), devices, acc
+
+
+def _fused(devices: DataFrame, acc: DataFrame, same_user: bool, weight: str) -> DataFrame:
     out = ["email", "sensorreadingtime", "serialnumber", "distancefromobject", "x", "y", "z", weight]
 
     def pairs(dev: DataFrame, tuples: DataFrame, extra: Column | None = None) -> DataFrame:
@@ -202,53 +216,60 @@ def fuse_on_time(
     busy = _busy_instants(devices, acc)
     if busy is None:
         return pairs(devices, acc)
-    instants = F.broadcast(busy)  # _busy_t, _k, _split_dev; at most MAX_HOT_KEYS rows
+    instants = F.broadcast(busy)  # _busy_t, _a, _b; at most MAX_HOT_KEYS rows
     cold = pairs(
         devices.join(instants, F.col("sensorreadingtime") == F.col("_busy_t"), "left_anti"),
         acc.join(instants, F.col("timestamp") == F.col("_busy_t"), "left_anti"),
     )
 
-    def salted(side: DataFrame, key: str, split: Column, name: str) -> DataFrame:
-        # the split side takes one salt per row, the other side every salt
-        own = F.array(F.pmod(F.xxhash64(*[F.col(c) for c in side.columns]), F.col("_k")))
-        every = F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)
+    def dealt(side: DataFrame, key: str, own: str, other: str, mark: str) -> DataFrame:
         hot_rows = side.join(instants, F.col(key) == F.col("_busy_t"), "inner")
-        return hot_rows.withColumn(name, F.explode(F.when(split, own).otherwise(every))).drop(
-            "_busy_t", "_k", "_split_dev"
-        )
+        one = F.pmod(F.xxhash64(*[F.col(c) for c in side.columns]), F.col(own))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        return hot_rows.withColumn(f"{mark}{own}", one).withColumn(f"{mark}{other}", every).drop("_busy_t", "_a", "_b")
 
-    dev_hot = salted(devices, "sensorreadingtime", F.col("_split_dev"), "_salt_d")
-    acc_hot = salted(acc, "timestamp", ~F.col("_split_dev"), "_salt_a")
-    return cold.unionByName(pairs(dev_hot, acc_hot, F.col("_salt_d") == F.col("_salt_a")))
+    dev_hot = dealt(devices, "sensorreadingtime", "_a", "_b", "_d")
+    acc_hot = dealt(acc, "timestamp", "_b", "_a", "_t")
+    cell = (F.col("_d_a") == F.col("_t_a")) & (F.col("_d_b") == F.col("_t_b"))
+    return cold.unionByName(pairs(dev_hot, acc_hot, cell))
 
 
 def _busy_instants(devices: DataFrame, acc: DataFrame) -> DataFrame | None:
-    """Instants whose pairs exceed ``HOT_ROWS``, with a salt count ``_k``
-    (pairs / HOT_ROWS, at most the rows of the larger side) and which side
-    is split (``_split_dev``: the devices, when they are the larger side);
-    None when there are none or more than ``MAX_HOT_KEYS`` (AQE then handles
-    the join)."""
-    limit = skew.hot_threshold(None, devices.sparkSession)
+    """The largest instants whose pairs exceed ``HOT_ROWS``, with the grid ``_a`` (of the devices) x ``_b`` (of the tuples); None
+    if there are none.  With s device rows and t tuples in a cell, s * t is the limit, and s its root unless a side is shorter."""
+    limit = float(skew.hot_threshold(None, devices.sparkSession))
     n = devices.where(F.col("sensorreadingtime").isNotNull()).groupBy("sensorreadingtime").agg(
         F.count(F.lit(1)).alias("_n")
     )
     m = acc.groupBy("timestamp").agg(F.count(F.lit(1)).alias("_m"))
-    per = n.join(m, F.col("sensorreadingtime") == F.col("timestamp"), "inner")
-    larger = F.greatest(F.col("_n"), F.col("_m"))
-    busy = per.where(F.col("_n") * F.col("_m") > F.lit(limit)).select(
+    per = n.join(m, F.col("sensorreadingtime") == F.col("timestamp"), "inner").withColumn("_pairs", F.col("_n") * F.col("_m"))
+    s = F.least(F.col("_n").cast("double"), F.greatest(F.lit(max(limit, 1.0) ** 0.5), F.lit(limit) / F.col("_m")))
+    busy = per.where(F.col("_pairs") > F.lit(limit)).select(
         F.col("sensorreadingtime").alias("_busy_t"),
-        F.least(larger, F.ceil(F.col("_n") * F.col("_m") / F.lit(limit))).cast("long").alias("_k"),
-        (F.col("_n") >= F.col("_m")).alias("_split_dev"),
+        F.ceil(F.col("_n") / s).cast("long").alias("_a"),
+        F.greatest(F.lit(1), F.least(F.col("_m"), F.ceil(F.col("_m") * s / F.lit(max(limit, 1.0))))).cast("long").alias("_b"),
+        "_pairs",
     )
-    found = collect_hot(busy, ["_busy_t", "_k", "_split_dev"])
-    return found.frame
+    return collect_hot(busy, ["_busy_t"], "_pairs", "_a", "_b").frame
+
+
+def _hot_emails(devices: DataFrame, acc: DataFrame, same_user: bool, weight: str) -> HotKeys:
+    """Emails with the most feature rows, from two tables of counts; the pairs themselves are not made for it."""
+    by = ["timestamp"] + (["user"] if same_user else [])
+    per_time = acc.groupBy(*by).agg(F.sum(weight).alias("_m"))
+    per_email = devices.groupBy("email", "sensorreadingtime").agg(F.count(F.lit(1)).alias("_n"))
+    cond = F.col("sensorreadingtime") == F.col("timestamp")
+    if same_user:
+        cond = cond & (F.col("email") == F.col("user"))
+    counts = per_email.join(per_time, cond, "inner").groupBy("email").agg(F.sum(F.col("_n") * F.col("_m")).alias("_rows"))
+    limit = skew.hot_threshold(None, devices.sparkSession)
+    return collect_hot(counts.where(F.col("_rows") > F.lit(limit)), ["email"], "_rows")
 
 
 def ml_features(
-    devices: DataFrame, accel: DataFrame, *, same_user: bool = False, accel_weight: str | None = None
+    devices: DataFrame, accel: DataFrame, *, same_user: bool = False, accel_weight: str | None = None, persist: bool = False
 ) -> DataFrame:
     """Feature rows numbered per email in time order (one row per pair)."""
-    fused = fuse_on_time(devices, accel, same_user=same_user, weight="_w", accel_weight=accel_weight)
-    # the fusion's inputs are materialised; the pairs (larger than their
-    # inputs) are recomputed from them rather than written
-    return number_rows(fused, "email", ML_ORDER, weight="_w", distinct_input=True)
+    fused, devices, acc = _fuse(devices, accel, same_user=same_user, weight="_w", accel_weight=accel_weight, persist=persist)
+    hot = _hot_emails(devices, acc, same_user, "_w")
+    return number_rows(fused, "email", ML_ORDER, weight="_w", distinct_input=True, hot=hot)

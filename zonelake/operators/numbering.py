@@ -17,20 +17,18 @@ skew:
 2. Counts above ``chunk_rows`` are cut into chunks, so no single row later
    expands into an unbounded run and the chunks of one row can be spread.
 3. The rows are range-partitioned on the full order (key, order columns,
-   every other column, chunk).  Sampled range bounds split a hot key over as
+   every other column, chunk) and sorted in their partitions.  Sampled range bounds split a hot key over as
    many partitions as its size needs.
-4. Inside each range partition a running sum of the counts, restarted per key,
-   gives each row's last number *within that partition*.
-5. Only the first key of a partition can continue from earlier partitions.
-   The first and last row of each partition (at most two rows per partition,
-   a bound fixed by the partition count, not by the data) give each
-   partition's carry, which is broadcast back.
-6. Each row expands into its numbers ``lo..hi`` (at most ``chunk_rows``).
-
-The hot entities are broadcast to split the input only when their number is
-at most ``MAX_HOT_KEYS`` (checked with a count first); with more of them every
-entity takes the range path.  Ties in the order columns are broken by all
-remaining columns, so the result is deterministic and survives task retries;
+4. Each row expands into its copies (at most ``chunk_rows``), which then lie in the full order, so
+   ``monotonically_increasing_id`` is their position in the partition: no second shuffle.  This is
+   checkpointed, so that the counts below and the output see one and the same assignment.
+5. A key's rows begin in one partition and go on in the next ones.  Per partition and key there is one count (at most hot
+   keys + partitions of them); chained in partition order they give what each key has before each partition,
+   which is broadcast back and added.
+
+The hot entities are the largest ``MAX_HOT_KEYS`` (broadcast to split the input); with more of them the others
+stay with the window, each at most 1/``MAX_HOT_KEYS`` of the rows.  Ties in the order columns are broken by all
+remaining columns, the negative zero before the positive one, so the result is deterministic and survives task retries;
 ``rn`` is a long (a hot key can pass 2^31 rows at the target scale).
 """
 
@@ -40,19 +38,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from zonelake.functions.columns import key_struct
+from zonelake.functions.columns import group_keeping_zeros, key_struct, total_order
+from zonelake.operators.projection import as_list
 from zonelake.operators.skew import HotKeys, find_hot_keys, split_hot
 from zonelake.session import checkpoint_dir, shuffle_partitions
 
 CHUNK_ROWS = 1 << 16
 
 
-def _as_list(cols: str | Sequence[str]) -> list[str]:
-    return [cols] if isinstance(cols, str) else list(cols)
-
-
 def number_rows(
     df: DataFrame,
     by: str | Sequence[str],
@@ -65,7 +59,6 @@ def number_rows(
     chunk_rows: int = CHUNK_ROWS,
     hot_rows: int | None = None,
     hot: HotKeys | None = None,
-    checkpoint_input: bool = False,
 ) -> DataFrame:
     """Append ``name``: 1, 2, ... per ``by`` group in ``order_by`` order.
 
@@ -76,14 +69,12 @@ def number_rows(
 
     Runs one small job eagerly (the per-entity counts), and when hot
     entities exist, the range path's checkpoint job.  The input is read
-    twice (counts, numbering); ``checkpoint_input=True`` materialises it
-    first in the shared checkpoint folder, for inputs whose lineage holds
-    shuffles that should not run twice.  A caller that has already found
+    twice (counts, numbering).  A caller that has already found
     the hot entities (``skew.find_hot_keys`` on the same keys and counts)
     passes them as ``hot`` and no count is run here.
     """
-    by = _as_list(by)
-    order_by = _as_list(order_by)
+    by = as_list(by)
+    order_by = as_list(order_by)
     if not by:
         raise ValueError("number_rows needs at least one partition column")
     data = [c for c in df.columns if c != weight]
@@ -94,16 +85,11 @@ def number_rows(
         raise ValueError(f"output column {name!r} already exists")
     copies = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     df = df.select(*data, copies.alias("_copies")).filter(F.col("_copies") > 0)
-    if checkpoint_input:
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
 
     if hot is None:
         hot = find_hot_keys(df, by, weight=F.col("_copies"), threshold=hot_rows)
-    if hot.none:
+    if hot.frame is None:
         return _windowed(df, data, by, order_by, name)
-    if hot.overflow:
-        return _ranged(df, data, by, order_by, name, distinct_input, partitions, chunk_rows)
     cold_rows, hot_rows_df = split_hot(df, hot, by)
     cold = _windowed(cold_rows, data, by, order_by, name)
     warm = _ranged(hot_rows_df, data, by, order_by, name, distinct_input, partitions, chunk_rows)
@@ -116,7 +102,7 @@ def _windowed(df: DataFrame, data: list[str], by: list[str], order_by: list[str]
     ties = [c for c in data if c not in by and c not in order_by]
     running = (
         Window.partitionBy(*by)
-        .orderBy(*[F.col(c).asc_nulls_first() for c in order_by + ties])
+        .orderBy(*total_order(df, order_by + ties))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     hi = F.sum("_copies").over(running)
@@ -135,146 +121,34 @@ def _ranged(
     partitions: int | None,
     chunk_rows: int,
 ) -> DataFrame:
-    """Numbering that splits hot entities over range partitions (steps 1-6).
-
-    Runs one job eagerly: the range-partitioned, locally numbered rows are
-    checkpointed to the shared checkpoint folder, so that the partition
-    statistics and the output read the very same partition assignment (a
-    second evaluation of a range exchange may sample other bounds) and a
-    lost executor does not send the job back to the sources.
-    """
+    """Numbering that splits hot entities over range partitions (steps 1-5); runs its checkpoint job eagerly."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     ties = [c for c in data if c not in by and c not in order_by]
-    sort_cols = by + order_by + ties + ["_chunk"]
-    n_parts = partitions or shuffle_partitions(spark)
 
     # 1-2. merged copies, cut into bounded chunks
-    bag = df if distinct_input else df.groupBy(*data).agg(F.sum("_copies").alias("_copies"))
+    bag = df if distinct_input else group_keeping_zeros(df, data, F.sum("_copies").alias("_copies"))
     last_chunk = F.floor((F.col("_copies") - 1) / F.lit(chunk_rows))
     bag = bag.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
     bag = bag.withColumn(
         "_copies", F.least(F.lit(chunk_rows).cast("long"), F.col("_copies") - F.col("_chunk") * chunk_rows)
     )
 
-    # 3. range partitions over the full order
-    asc = [F.col(c).asc_nulls_first() for c in sort_cols]
-    ranged = bag.repartitionByRange(n_parts, *asc).withColumn("_part", F.spark_partition_id())
-    # the windows below re-shuffle by partition; route each range partition
-    # through a label whose hash bucket is its own, so no window task holds
-    # two range partitions (plain indexes collide under the hash)
-    labels = F.broadcast(_bucket_labels(spark, n_parts))
-    ranged = ranged.join(labels, F.col("_part") == F.col("_bucket"), "left").drop("_bucket")
-    # labels are >= 0 and distinct; a partition without one (more range
-    # partitions than window buckets) takes -(index + 1): slots stay 1:1
-    ranged = ranged.withColumn("_slot", F.coalesce(F.col("_label"), -(F.col("_part") + 1))).drop("_label")
-
-    # 4. running count inside a partition, restarted per key; materialised
-    running = Window.partitionBy("_slot").orderBy(*asc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole_part = Window.partitionBy("_slot")
-    key_in_part = Window.partitionBy("_slot", *by)
-    ranged = ranged.withColumn("_cum", F.sum("_copies").over(running))
-    ranged = ranged.withColumn("_tot", F.sum("_copies").over(whole_part))
-    ranged = ranged.withColumn("_end", F.col("_cum") - F.min(F.col("_cum") - F.col("_copies")).over(key_in_part))
-    ranged = ranged.select(*data, "_copies", "_part", "_cum", "_tot", "_end").checkpoint(eager=True)
-
-    # 5. carry of each partition's first key.  Running counts grow strictly,
-    # so the first row of a partition has _cum == _copies and the last one
-    # _cum == _tot: at most two rows per partition, a table bounded by the
-    # partition count (not by the data).  As in RDD.zipWithIndex, these
-    # per-partition figures go to the driver, which chains them in partition
-    # order; the resulting carries are broadcast back.
-    is_first = F.col("_cum") == F.col("_copies")
-    is_last = F.col("_cum") == F.col("_tot")
-    edges = (
-        ranged.filter(is_first | is_last)
-        .select("_part", key_struct(by).alias("_key"), is_first.alias("_f"), is_last.alias("_l"), "_end")
-        .collect()
+    # 3-4. the full order over range partitions, copies as rows, positions
+    full = total_order(bag, by + order_by + ties + ["_chunk"])
+    ranged = bag.repartitionByRange(partitions or shuffle_partitions(spark), *full).sortWithinPartitions(*full)
+    ranged = ranged.select(*data, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
+    ranged = ranged.select(*data, F.monotonically_increasing_id().alias("_at")).checkpoint(eager=True)
+    ranged = ranged.withColumn("_part", F.shiftright("_at", 33))
+
+    # 5. what each key has before each partition
+    counts = ranged.groupBy("_part", key_struct(by).alias("_key")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = (
+        F.sum("_n").over(Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     )
-    if len(edges) > 2 * n_parts:
-        raise AssertionError(f"{len(edges)} boundary rows for {n_parts} partitions")
-    carries = _carries(edges)
-    if carries:
-        key_type = ranged.select(key_struct(by)).schema.fields[0].dataType
-        carry_schema = T.StructType(
-            [
-                T.StructField("_c_part", T.IntegerType(), False),
-                T.StructField("_c_first", key_type),
-                T.StructField("_carry", T.LongType(), False),
-            ]
-        )
-        carry = F.broadcast(spark.createDataFrame(carries, carry_schema))
-        numbered = ranged.withColumn("_key", key_struct(by)).join(
-            carry,
-            (F.col("_part") == F.col("_c_part")) & F.col("_key").eqNullSafe(F.col("_c_first")),
-            "left",
-        )
-    else:
-        numbered = ranged.withColumn("_carry", F.lit(None).cast("long"))
-
-    # 6. expand to numbers lo..hi
-    hi = F.col("_end") + F.coalesce(F.col("_carry"), F.lit(0).cast("long"))
-    lo = hi - F.col("_copies") + 1
-    return numbered.select(*[F.col(c) for c in data], F.explode(F.sequence(lo, hi)).alias(name))
-
-
-def _window_partitions(spark) -> int:
-    """Partition count of the exchange the planner puts under a window."""
-    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    if initial and spark.conf.get("spark.sql.adaptive.enabled", "true") == "true":
-        return int(initial)
-    return shuffle_partitions(spark)
-
-
-def _bucket_labels(spark, n_parts: int) -> DataFrame:
-    """``(_bucket, _label)``: for each range partition index below the window
-    exchange's partition count, an int label that the exchange's hash
-    (Murmur3, as ``F.hash``) sends to the bucket of that index.  At most
-    ``n_parts`` rows, from a job over ``16 * partitions`` candidate ints."""
-    width = _window_partitions(spark)
-    candidates = spark.range(0, 16 * max(width, 1)).select(F.col("id").cast("int").alias("_label"))
-    bucket = F.pmod(F.hash(F.col("_label")), F.lit(width))
-    found = candidates.select(bucket.alias("_bucket"), "_label").where(F.col("_bucket") < F.lit(n_parts))
-    return found.groupBy("_bucket").agg(F.min("_label").alias("_label"))
-
-
-def _carries(edges: list) -> list[tuple]:
-    """``(partition, first key, carry)`` for partitions whose first key
-    continues from earlier partitions.
-
-    ``edges`` holds the first and last row of every non-empty partition.  A
-    partition whose last key equals the previous partition's last key holds
-    only that key, so the running total of the current last key is extended;
-    otherwise it restarts at this partition's count of its last key.
-    """
-    first: dict[int, object] = {}
-    last: dict[int, tuple[object, int]] = {}
-    raw: dict[int, object] = {}
-    for row in edges:
-        if row["_f"]:
-            first[row["_part"]] = _same_as_spark(row["_key"])
-            raw[row["_part"]] = row["_key"]
-        if row["_l"]:
-            last[row["_part"]] = (_same_as_spark(row["_key"]), row["_end"])
-    out: list[tuple] = []
-    run_key: object = None
-    run = 0
-    started = False
-    for part in sorted(last):
-        if started and first[part] == run_key:
-            out.append((part, raw[part], run))
-        key, end = last[part]
-        if started and key == run_key:
-            run += end
-        else:
-            run_key, run, started = key, end, True
-    return out
-
-
-def _same_as_spark(key: object) -> object:
-    """Key value compared the way Spark groups it: NaN equals NaN."""
-    if isinstance(key, float) and key != key:
-        return ("NaN",)
-    if isinstance(key, tuple):
-        return tuple(_same_as_spark(v) for v in key)
-    return key
+    cells = counts.withColumn("_before", F.coalesce(before, F.lit(0).cast("long"))).select(
+        F.col("_part").alias("_c_part"), F.col("_key").alias("_c_key"), (F.col("_before") + 1 - F.col("_first")).alias("_shift")
+    )
+    same = (F.col("_part") == F.col("_c_part")) & key_struct(by).eqNullSafe(F.col("_c_key"))
+    numbered = ranged.join(F.broadcast(cells), same, "inner")
+    return numbered.select(*[F.col(c) for c in data], (F.col("_at") + F.col("_shift")).alias(name))

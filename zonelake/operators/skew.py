@@ -1,8 +1,7 @@
 """Hot keys: keys holding more rows than one task should take.
 
 Found with one aggregate (counts per key, combined map-side, so the count
-itself is skew-safe).  Their set is brought to the driver only after a count
-has shown it holds at most ``MAX_HOT_KEYS`` keys; it is then small enough to
+itself is skew-safe).  The largest ``MAX_HOT_KEYS`` of them are brought to the driver, a set small enough to
 broadcast, and callers route the rows of those keys through a path that does
 not gather them into one task.
 """
@@ -44,31 +43,24 @@ def max_hot_keys(spark: SparkSession | None = None) -> int:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Outcome of a hot-key search over ``keys``.
+    """The largest hot keys over ``keys``: ``frame`` holds at most ``MAX_HOT_KEYS`` of them, or is None if no key is hot.
 
-    ``frame`` holds the hot key tuples (at most ``MAX_HOT_KEYS`` rows) or is
-    None; ``overflow`` says there were more than that many.
+    Any other key holds at most the hot threshold or, where more keys are hot, at most 1/``MAX_HOT_KEYS`` of all rows (it is not
+    among the largest), so what is not split stays a bounded share of the input.
     """
 
     keys: tuple[str, ...]
     frame: DataFrame | None
-    overflow: bool = False
 
-    @property
-    def none(self) -> bool:
-        return self.frame is None and not self.overflow
 
-
-def collect_hot(counts: DataFrame, keys: Sequence[str]) -> HotKeys:
-    """``counts`` holds the hot key tuples (computed lazily); bound-check and
-    bring them to the driver."""
-    hot = counts.select(*keys)
-    n = hot.count()
-    if n == 0:
-        return HotKeys(tuple(keys), None)
-    if n > max_hot_keys(counts.sparkSession):
-        return HotKeys(tuple(keys), None, overflow=True)
-    return HotKeys(tuple(keys), hot.sparkSession.createDataFrame(hot.collect(), hot.schema))
+def collect_hot(counts: DataFrame, keys: Sequence[str], size: str, *more: str) -> HotKeys:
+    """The ``MAX_HOT_KEYS`` largest rows of ``counts`` (hot key tuples with their ``size``), brought to the driver in one job;
+    ``more`` names columns that go along."""
+    spark = counts.sparkSession
+    columns = [*keys, *more]
+    top = counts.orderBy(F.desc(size)).limit(max_hot_keys(spark)).select(*columns)
+    rows = top.collect()
+    return HotKeys(tuple(columns), spark.createDataFrame(rows, top.schema) if rows else None)
 
 
 def find_hot_keys(
@@ -79,7 +71,7 @@ def find_hot_keys(
     threshold = hot_threshold(threshold, df.sparkSession)
     size = F.sum(weight) if weight is not None else F.count(F.lit(1))
     counts = df.groupBy(*keys).agg(size.alias("_n")).where(F.col("_n") > F.lit(threshold))
-    return collect_hot(counts, list(keys))
+    return collect_hot(counts, list(keys), "_n")
 
 
 def matches_hot(df: DataFrame, hot: DataFrame, on: Sequence[str], hot_cols: Sequence[str]) -> Column:

@@ -21,16 +21,17 @@ from pyspark.sql import DataFrame
 from zonelake.operators.dedup import keep_latest
 from zonelake.operators.filters import consent_filter
 from zonelake.operators.joins import (
+    broadcast_keys,
     customers_with_readings,
     device_readings_with_owner,
     gate,
-    gate_hot_keys,
     gate_matches,
     ml_features,
 )
 from zonelake.operators.numbering import number_rows
 from zonelake.operators.projection import keep_columns, lower_columns
 from zonelake.schemas import ACCELEROMETER_COLUMNS, CUSTOMER_COLUMNS, STEP_TRAINER_COLUMNS
+from zonelake.session import materialize
 
 # Count columns of the gated (not yet numbered) sensor frames.
 DEVICES = "_devices"
@@ -60,20 +61,24 @@ def gated_accelerometer(readings: DataFrame, customers: DataFrame) -> DataFrame:
     return gate(readings, lower_columns(customers), "user", "email", weight=DEVICES)
 
 
+def _numbered(readings: DataFrame, customers: DataFrame, row_key: str, gate_key: str, order: str, weight: str) -> DataFrame:
+    """Gated readings with their copies, numbered.  The landing rows are parsed once: the gated frame is stored, and the hot
+    keys of the numbering are counted on what is stored."""
+    matches = gate_matches(customers, gate_key)
+    if matches[1] > broadcast_keys(readings.sparkSession):  # the gate counts keys before it joins
+        readings = materialize(readings)
+    gated = materialize(gate(readings, customers, row_key, gate_key, weight=weight, matches=matches))
+    return number_rows(gated, row_key, order, weight=weight)
+
+
 def accelerometer_trusted(readings: DataFrame, customers: DataFrame) -> DataFrame:
     """Accelerometer readings of consenting users, numbered per user in time order.
 
     A reading is kept once per trusted device of its user (the email join of
-    the original job); the copies travel as a count until the numbering.  One
-    count per user (readings x devices) finds the users too large for one
-    task, for both the gate join and the numbering.
+    the original job); the copies travel as a count until the numbering.
     """
     readings = keep_columns(lower_columns(readings), ACCELEROMETER_COLUMNS)
-    customers = lower_columns(customers)
-    matches = gate_matches(customers, "email")
-    hot = gate_hot_keys(readings, "user", matches=matches[0])
-    gated = gate(readings, customers, "user", "email", weight=DEVICES, hot=hot, matches=matches)
-    return number_rows(gated, "user", "timestamp", weight=DEVICES, hot=hot)
+    return _numbered(readings, lower_columns(customers), "user", "email", "timestamp", DEVICES)
 
 
 def gated_step_trainer(readings: DataFrame, customers: DataFrame) -> DataFrame:
@@ -86,11 +91,7 @@ def gated_step_trainer(readings: DataFrame, customers: DataFrame) -> DataFrame:
 def step_trainer_trusted(readings: DataFrame, customers: DataFrame) -> DataFrame:
     """Step-trainer readings of consenting devices, numbered per device in time order."""
     readings = keep_columns(lower_columns(readings), STEP_TRAINER_COLUMNS)
-    customers = lower_columns(customers)
-    matches = gate_matches(customers, "serialnumber")
-    hot = gate_hot_keys(readings, "serialnumber", matches=matches[0])
-    gated = gate(readings, customers, "serialnumber", "serialnumber", weight=OWNERS, hot=hot, matches=matches)
-    return number_rows(gated, "serialnumber", "sensorreadingtime", weight=OWNERS, hot=hot)
+    return _numbered(readings, lower_columns(customers), "serialnumber", "serialnumber", "sensorreadingtime", OWNERS)
 
 
 def curated_owners(accel_trusted: DataFrame, customers: DataFrame) -> DataFrame:
@@ -106,9 +107,13 @@ def customer_curated(accel_trusted: DataFrame, customers: DataFrame) -> DataFram
     return keep_latest(curated_owners(accel_trusted, customers), keys, order)
 
 
-def device_readings(step_trusted: DataFrame, accel_trusted: DataFrame, customers: DataFrame) -> DataFrame:
-    """Distinct device readings with the owner's email and registration date."""
-    return device_readings_with_owner(step_trusted, curated_owners(accel_trusted, customers))
+def device_readings(
+    step_trusted: DataFrame, accel_trusted: DataFrame, customers: DataFrame, owners: DataFrame | None = None
+) -> DataFrame:
+    """Distinct device readings with the owner's email and registration date.  ``owners``: the stored curated
+    customers, which are the owners where customers are unique per device (they are once they are trusted)."""
+    owners = curated_owners(accel_trusted, customers) if owners is None else lower_columns(owners)
+    return device_readings_with_owner(step_trusted, owners)
 
 
 def ml_curated(
@@ -116,8 +121,10 @@ def ml_curated(
     accel_trusted: DataFrame,
     customers: DataFrame,
     *,
+    owners: DataFrame | None = None,
     same_user: bool = False,
     accel_weight: str | None = None,
+    persist: bool = False,
 ) -> DataFrame:
     """Machine-learning table: every device reading paired with every
     accelerometer reading of the same time, numbered per email.
@@ -128,7 +135,8 @@ def ml_curated(
 
     Only the reading columns of the trusted tables are used (``rn`` is not),
     so the gated frames can stand in for them: ``accel_weight`` then names
-    the column counting the copies of each accelerometer reading.
+    the column counting the copies of each accelerometer reading.  ``owners``: see ``device_readings``;
+    ``persist``: keep the fusion's inputs in executors rather than in the checkpoint folder.
     """
-    devices = device_readings(step_trusted, accel_trusted, customers)
-    return ml_features(devices, accel_trusted, same_user=same_user, accel_weight=accel_weight)
+    devices = device_readings(step_trusted, accel_trusted, customers, owners)
+    return ml_features(devices, accel_trusted, same_user=same_user, accel_weight=accel_weight, persist=persist)
