@@ -34,6 +34,9 @@ HEADLINE = [
     "customer_curated",
     "ml_curated",
 ]
+# timed too, not part of the headline sum: the same feature table without the trusted sensor tables, and the
+# heaviest composites
+MORE = ["ml_curated_from_landing", "zone_counts", "key_check"]
 
 
 def _pipeline_seconds(spark: SparkSession, sf_dir: str, scratch: str, warm: bool = True) -> dict[str, float]:
@@ -56,7 +59,9 @@ def _pipeline_seconds(spark: SparkSession, sf_dir: str, scratch: str, warm: bool
         df = feed(spark, sf_dir)
         df.toDF(*[camel.get(c.lower(), c) for c in df.columns]).write.mode("overwrite").json(f"{landing_dir}/{name}")
     t0 = time.perf_counter()
-    landing = {n: read_landing(spark, f"{landing_dir}/{n}", schemas.LANDING_SCHEMAS[n]) for n in mapped.FEEDS}
+    landing = {
+        n: read_landing(spark, f"{landing_dir}/{n}", schemas.LANDING_SCHEMAS[n], required=schemas.REQUIRED_KEYS[n]) for n in mapped.FEEDS
+    }
     counts = refine_all(spark, landing, ZoneStore(os.path.join(scratch, "lake"), Zones(f"bench{int(warm)}")))
     rows = {r["table_name"]: r["row_count"] for r in counts.collect()}
     return {"refine_all_json_seconds": round(time.perf_counter() - t0, 3), "rows": rows}
@@ -88,7 +93,7 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
-    for name in HEADLINE:
+    for name in HEADLINE + MORE:
         runs = []
         for _ in range(repeat):
             t0 = time.perf_counter()
@@ -104,9 +109,10 @@ def main() -> None:
         json.dumps(
             {
                 "metric": "total_query_seconds",
-                "value": round(sum(times.values()), 3),
+                "value": round(sum(times[name] for name in HEADLINE), 3),
                 "unit": "sec",
-                "queries": times,
+                "queries": {name: times[name] for name in HEADLINE},
+                "more": {name: times[name] for name in MORE},
                 "rows": rows,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": int(cpus),

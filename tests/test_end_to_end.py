@@ -24,14 +24,20 @@ def test_refine_all_through_tables(spark, tmp_dir):
         name: read_landing(spark, paths[name], schemas.LANDING_SCHEMAS[name]) for name in schemas.LANDING_SCHEMAS
     }
     store = ZoneStore(os.path.join(tmp_dir, "lake"), Zones("e2e"))
-    counts = {r["table_name"]: r["row_count"] for r in refine_all(spark, landing, store).collect()}
-    assert counts == {
+    expected = {
         "customer_trusted": 3,
         "accelerometer_trusted": 7,
         "step_trainer_trusted": 5,
         "customer_curated": 3,
         "machine_learning_curated": 12,
     }
+    report = refine_all(spark, landing, store, expected=expected).collect()
+    assert {r["table_name"]: r["row_count"] for r in report} == expected
+    assert {r["table_name"]: r["columns"] for r in report}["step_trainer_trusted"] == (
+        "struct<sensorreadingtime:bigint,serialnumber:string,distancefromobject:int,rn:bigint>"
+    )
+    with pytest.raises(AssertionError, match="customer_curated"):
+        refine_all(spark, landing, store, expected=expected | {"customer_curated": 4})
     ml = spark.table("e2e_curated.machine_learning_curated")
     assert rows(ml, "email", "rn") == [("a", i) for i in range(1, 13)]
     assert spark.table("e2e_trusted.customer_trusted").where("sharewithresearchasofdate is null").count() == 0
@@ -152,7 +158,7 @@ def test_stream_replay_leaves_table_unchanged(spark, tmp_dir):
         fh.write(json.dumps({"serialNumber": "s1", "email": "a", "registrationDate": 3, "shareWithResearchAsOfDate": 3}))
     store = ZoneStore(os.path.join(tmp_dir, "lake"), Zones("replay"))
     keys, order = refine.TABLE_KEYS["customer_trusted"]
-    for attempt in range(2):  # a fresh checkpoint replays the same files
+    for attempt in range(2):  # a fresh checkpoint is another stream of the same files
         ingest_landing(
             spark, landing, schemas.CUSTOMER, store, "trusted", "customer_trusted", keys, order,
             os.path.join(tmp_dir, f"ckpt{attempt}"), refine=refine.customer_trusted,

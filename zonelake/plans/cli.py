@@ -18,10 +18,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from zonelake import schemas
-from zonelake.plans import checks, refine
+from zonelake.plans import refine
+from zonelake.plans.jobs import report
 from zonelake.session import configure
 from zonelake.sinks.zone import ZoneStore
-from zonelake.sources.catalog import Zones
+from zonelake.sources.catalog import Zones, read_zone
 from zonelake.sources.landing import read_landing
 
 JOBS = ("customer-trusted", "accelerometer-trusted", "step-trainer-trusted", "curated", "all")
@@ -39,11 +40,11 @@ def _commit(store: ZoneStore, spark: SparkSession, df: DataFrame, zone: str, tab
     # or a (key, rn) pair), so the writer skips its own deduplication
     keys, order = refine.TABLE_KEYS[table]
     store.write(df, zone, table, keys, order, mode=mode, unique=True)
-    return store.read(spark, zone, table)
+    return read_zone(spark, zone, table, store.zones)
 
 
-def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
-    """Run one job (or all); return the committed tables' row counts."""
+def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, tuple[int, str]]:
+    """Run one job (or all); return the committed tables' row counts and schemas."""
     configure(spark)
     store = ZoneStore(args.root, Zones(args.prefix))
     store.zones.create(spark)
@@ -52,10 +53,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     def landing(name: str, path: str | None) -> DataFrame:
         if not path:
             raise SystemExit(f"{FLAGS[name]} is required for job {args.job}")
-        return read_landing(spark, path, schemas.LANDING_SCHEMAS[name])
+        return read_landing(spark, path, schemas.LANDING_SCHEMAS[name], required=schemas.REQUIRED_KEYS[name])
 
     def table(zone: str, name: str) -> DataFrame:
-        return done[name] if name in done else store.read(spark, zone, name)
+        if name not in done:
+            store.register(spark, zone, name)  # this application's catalog may not know the table yet
+        return done[name] if name in done else read_zone(spark, zone, name, store.zones)
 
     def customers() -> DataFrame:
         return table("trusted", "customer_trusted")
@@ -77,11 +80,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
             store, spark, refine.customer_curated(accel, cust), "curated", "customer_curated", args.mode
         )
         done["machine_learning_curated"] = _commit(
-            store, spark, refine.ml_curated(steps, accel, cust, same_user=args.same_user), "curated",
+            store, spark, refine.ml_curated(steps, accel, cust, owners=done["customer_curated"] if args.mode == "replace" else None, same_user=args.same_user), "curated",
             "machine_learning_curated", "replace"
         )
-    counts = checks.zone_counts(done).collect()
-    return {r["table_name"]: r["row_count"] for r in counts}
+    return {r["table_name"]: (r["row_count"], r["columns"]) for r in report(done).collect()}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -106,8 +108,8 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     session = spark or SparkSession.builder.appName(f"zonelake {args.job}").getOrCreate()
-    for table, n in run(session, args).items():
-        print(f"{table}\t{n}")
+    for table, (n, columns) in run(session, args).items():
+        print(f"{table}\t{n}\t{columns}")
     return 0
 
 

@@ -11,15 +11,23 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zonelake.plans import checks, refine
 from zonelake.sinks.zone import ZoneStore
+from zonelake.sources.catalog import read_zone
 
 
 def refine_all(
-    spark: SparkSession, landing: Mapping[str, DataFrame], store: ZoneStore, *, same_user: bool = False
+    spark: SparkSession,
+    landing: Mapping[str, DataFrame],
+    store: ZoneStore,
+    *,
+    same_user: bool = False,
+    expected: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """Run the five jobs in dependency order; return the zone row counts.
+    """Run the five jobs in dependency order; return the run report: ``(table_name, row_count, columns)``, the
+    schema of each table as it was written.  Counts other than ``expected`` are an error.
 
     ``landing`` holds the three landing feeds (``customer_landing``,
     ``accelerometer_landing``, ``step_trainer_landing``), read with
@@ -31,7 +39,7 @@ def refine_all(
     def commit(df: DataFrame, zone: str, table: str, unique: bool) -> DataFrame:
         key, order = keys[table]
         store.write(df, zone, table, key, order, unique=unique)
-        return store.read(spark, zone, table)
+        return read_zone(spark, zone, table, store.zones)  # through the catalog, as the original jobs did
 
     customers = commit(refine.customer_trusted(landing["customer_landing"]), "trusted", "customer_trusted", True)
     accel = commit(
@@ -48,14 +56,22 @@ def refine_all(
     )
     curated = commit(refine.customer_curated(accel, customers), "curated", "customer_curated", True)
     ml = commit(
-        refine.ml_curated(steps, accel, customers, same_user=same_user), "curated", "machine_learning_curated", True
-    )
-    return checks.zone_counts(
-        {
-            "customer_trusted": customers,
-            "accelerometer_trusted": accel,
-            "step_trainer_trusted": steps,
-            "customer_curated": curated,
-            "machine_learning_curated": ml,
-        }
+        refine.ml_curated(steps, accel, customers, owners=curated, same_user=same_user), "curated", "machine_learning_curated", True
     )
+    tables = {
+        "customer_trusted": customers,
+        "accelerometer_trusted": accel,
+        "step_trainer_trusted": steps,
+        "customer_curated": curated,
+        "machine_learning_curated": ml,
+    }
+    return report(tables, expected)
+
+
+def report(tables: Mapping[str, DataFrame], expected: Mapping[str, int] | None = None) -> DataFrame:
+    """``(table_name, row_count, columns)``; counts other than ``expected`` are an error."""
+    counts = checks.zone_counts(tables)
+    if expected is not None:
+        checks.assert_counts(counts, expected)
+    columns = F.create_map(*[F.lit(x) for name, df in tables.items() for x in (name, df.schema.simpleString())])
+    return counts.withColumn("columns", columns[F.col("table_name")])

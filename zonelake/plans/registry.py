@@ -10,19 +10,23 @@ aggregate forms, so agreement checks those rewrites too.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonelake.operators.dedup import distinct_rows, keep_latest
 from zonelake.operators.filters import consent_filter
-from zonelake.operators.joins import ml_features
 from zonelake.operators.projection import lower_columns
 from zonelake.plans import checks, refine
-from zonelake.session import configure, materialize
-from zonelake.sinks import changelog
+from zonelake.plans.jobs import refine_all
+from zonelake.schemas import REQUIRED_KEYS
+from zonelake.session import checkpoint_dir, configure, materialize
+from zonelake.sinks.zone import ZoneStore
 from zonelake.sources import mapped
+from zonelake.sources.catalog import Zones, read_zone
+from zonelake.sources.landing import infer_landing_schema, landing_stats, read_landing, register_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,28 +59,10 @@ def _step_trusted(spark: SparkSession, sf_dir: str, customers: DataFrame | None
     return refine.step_trainer_trusted(mapped.step_trainer_feed(spark, sf_dir), customers)
 
 
-def _curated_inputs(
-    spark: SparkSession, sf_dir: str, *, reuse_customers: bool = False
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Trusted customers and the cheapest inputs equal, for the curated jobs,
-    to the trusted sensor tables.
-
-    The curated jobs never read ``rn``, and they only meet the sensor tables
-    through joins with the trusted customers, so:
-    * customers with readings: customers semi-joined on the users of the
-      gated readings are the customers semi-joined on the users of the raw
-      readings (the gate kept exactly the users that are customer emails);
-    * device readings with owner: the owners are trusted customers, so the
-      join on ``serialnumber`` already drops the readings the gate would drop;
-    * the time fusion needs each accelerometer reading with its copy count,
-      which is the gated frame with ``_devices``.
-    The SQL oracle keeps the original formulation, so it checks these rewrites.
-    The customers are stored first only for queries that read them twice.
-    """
-    customers = _stored_customers(spark, sf_dir) if reuse_customers else _customer_trusted(spark, sf_dir)
-    accel = lower_columns(mapped.accelerometer_feed(spark, sf_dir))
-    steps = lower_columns(mapped.step_trainer_feed(spark, sf_dir))
-    return customers, accel, steps
+def _trusted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three trusted tables."""
+    customers = _stored_customers(configure(spark), sf_dir)
+    return customers, _accel_trusted(spark, sf_dir, customers), _step_trusted(spark, sf_dir, customers)
 
 
 def q_consent_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,23 +72,22 @@ def q_consent_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_customer_reading_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings per trusted device before the curated dedup (the fan-out of
     the customer join), counted without building the fan-out: a device of
-    email e meets every trusted reading of e, i.e. readings(e) x devices(e)."""
-    customers, accel, _ = _curated_inputs(spark, sf_dir, reuse_customers=True)
-    per_user = accel.where(F.col("user").isNotNull()).groupBy("user").agg(F.count(F.lit(1)).alias("_r"))
-    devices = customers.groupBy(F.col("email").alias("_email")).agg(F.count(F.lit(1)).alias("_d"))
-    weights = per_user.join(devices, F.col("user") == F.col("_email"), "inner")
-    joined = customers.join(weights, F.col("email") == F.col("user"), "inner")
-    return joined.groupBy("serialnumber").agg(F.sum(F.col("_r") * F.col("_d")).alias("readings"))
+    email e meets every trusted reading of e."""
+    customers = _stored_customers(configure(spark), sf_dir)
+    accel = _accel_trusted(spark, sf_dir, customers)
+    per_user = accel.groupBy("user").agg(F.count(F.lit(1)).alias("_r"))
+    joined = customers.join(per_user, F.col("email") == F.col("user"), "inner")
+    return joined.groupBy("serialnumber").agg(F.sum("_r").alias("readings"))
 
 
 def q_customer_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers, accel, _ = _curated_inputs(spark, sf_dir)
-    return refine.customer_curated(accel, customers)
+    customers = _stored_customers(configure(spark), sf_dir)
+    return refine.customer_curated(_accel_trusted(spark, sf_dir, customers), customers)
 
 
 def q_device_readings_with_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers, accel, steps = _curated_inputs(spark, sf_dir)
-    return refine.device_readings(steps, accel, customers)
+    customers = _stored_customers(configure(spark), sf_dir)
+    return refine.device_readings(_step_trusted(spark, sf_dir, customers), _accel_trusted(spark, sf_dir, customers), customers)
 
 
 def q_device_readings_raw_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,25 +108,108 @@ def q_device_readings_raw_lineage(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def q_ml_curated(spark: SparkSession, sf_dir: str, same_user: bool = False) -> DataFrame:
-    customers, accel, steps = _curated_inputs(spark, sf_dir, reuse_customers=True)
-    gated = refine.gated_accelerometer(accel, customers)
-    devices = refine.device_readings(steps, accel, customers)
-    return ml_features(devices, gated, same_user=same_user, accel_weight=refine.DEVICES)
+    """From the trusted tables, as the original job."""
+    customers, accel, steps = _trusted(spark, sf_dir)
+    return refine.ml_curated(steps, accel, customers, same_user=same_user)
+
+
+def q_ml_curated_from_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table without the trusted sensor tables.
+
+    The curated jobs never read ``rn`` and meet the sensor tables only through joins with the trusted customers, so the
+    gated readings with their copy count stand for accelerometer_trusted, and the raw step readings for
+    step_trainer_trusted.
+    """
+    customers = _stored_customers(configure(spark), sf_dir)
+    accel = refine.gated_accelerometer(landing(spark, sf_dir, "accelerometer_landing"), customers)
+    steps = landing(spark, sf_dir, "step_trainer_landing")
+    return refine.ml_curated(steps, accel, customers, same_user=False, accel_weight=refine.DEVICES)
 
 
 def _refined(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    customers = _stored_customers(spark, sf_dir)
-    accel = _accel_trusted(spark, sf_dir, customers)
-    steps = _step_trusted(spark, sf_dir, customers)
+    customers, accel, steps = _trusted(spark, sf_dir)
+    accel, steps = materialize(accel), materialize(steps)  # each has several readers here
+    curated = materialize(refine.customer_curated(accel, customers))
     return {
         "customer_trusted": customers,
         "accelerometer_trusted": accel,
         "step_trainer_trusted": steps,
-        "customer_curated": refine.customer_curated(accel, customers),
-        "machine_learning_curated": refine.ml_curated(steps, accel, customers),
+        "customer_curated": curated,
+        "machine_learning_curated": refine.ml_curated(steps, accel, customers, owners=curated),
     }
 
 
+# ------------------------------------------------- JSON files, catalog and stored tables
+
+_made: dict[tuple, object] = {}  # what this application has written, by (application, table folder, what)
+
+
+def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[str], object]) -> object:
+    """``make(folder)`` in a new folder beside the checkpoints, once per application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _made:
+        _made[key] = make(f"{checkpoint_dir(configure(spark))}/{what}-{uuid.uuid4().hex[:12]}")
+    return _made[key]
+
+
+def _json_files(spark: SparkSession, sf_dir: str) -> str:
+    """The mapped feeds as JSON-lines files, a folder each."""
+
+    def make(folder: str) -> str:
+        for name, feed in mapped.FEEDS.items():
+            feed(spark, sf_dir).write.json(f"{folder}/{name}")
+        return folder
+
+    return _once(spark, sf_dir, "landing", make)
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> ZoneStore:
+    """All five jobs from the JSON files into zone tables."""
+
+    def make(folder: str) -> ZoneStore:
+        files = _json_files(spark, sf_dir)
+        read = {
+            name: read_landing(spark, f"{files}/{name}", feed(spark, sf_dir).schema, required=REQUIRED_KEYS[name])
+            for name, feed in mapped.FEEDS.items()
+        }
+        store = ZoneStore(folder, Zones("q" + folder.rsplit("-", 1)[1]))
+        refine_all(spark, read, store)
+        return store
+
+    return _once(spark, sf_dir, "lake", make)
+
+
+def _stored(zone: str, table: str) -> Query:
+    """A table that the jobs have stored, read through the catalog."""
+    return lambda spark, sf_dir: read_zone(spark, zone, table, _lake(spark, sf_dir).zones)
+
+
+def _cataloged(name: str) -> Query:
+    """A landing feed through its catalog table, whose columns are declared in lower case."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        files = _json_files(spark, sf_dir)
+        schema = lower_columns(mapped.FEEDS[name](spark, sf_dir)).schema
+        return register_landing(spark, "q" + files.rsplit("-", 1)[1], name, schema, f"{files}/{name}")
+
+    return query
+
+
+def q_landing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = _json_files(spark, sf_dir)
+    stats = [
+        landing_stats(spark, f"{files}/{name}", feed(spark, sf_dir).schema).select(F.lit(name).alias("table_name"), "records", "malformed")
+        for name, feed in mapped.FEEDS.items()
+    ]
+    return checks.union_all(stats)
+
+
+def q_landing_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = _json_files(spark, sf_dir)
+    frames = {n: lower_columns(spark.createDataFrame([], infer_landing_schema(spark, f"{files}/{n}"))) for n in mapped.FEEDS}
+    return checks.schema_report(frames).select("table_name", "column_name", "data_type")
+
+
 def q_zone_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.zone_counts(_refined(spark, sf_dir))
 
@@ -169,42 +237,45 @@ def q_preview_ml_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Fixed values of the upsert scenario: customer landing records are spread
-# over commits 1, 2 and 4 by device parity and registration date modulo 3,
-# and commit 3 deletes every device whose latest record has no research
+# over commits 1, 2 and 4 by device parity and registration date modulo 3 (all of them, no filter on the
+# whole), and commit 3 deletes every device whose latest record has no research
 # consent (a withdrawal).
-def _commit_of() -> F.Column:
+def _commit_of() -> Column:
     even = F.when(F.col("serialnumber") % 2 == 0, 1).otherwise(2)
     third = F.when(F.col("registrationdate") % 3 == 0, 1).otherwise(2)
     return (even * third).cast("long")
 
 
-def _customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = landing(spark, sf_dir, "customer_landing")
-    return feed.withColumn(changelog.COMMIT, _commit_of()).withColumn(changelog.DELETED, F.lit(False))
+def _customer_commits(spark: SparkSession, sf_dir: str, deletes: bool) -> ZoneStore:
+    """The customer feed as upserts 1, 2 and 4 (3 without the deletes between) of a stored table."""
 
+    def make(folder: str) -> ZoneStore:
+        store = ZoneStore(folder, Zones("q" + folder.rsplit("-", 1)[1]))
+        feed = landing(spark, sf_dir, "customer_landing")
+        for n in (1, 2, 4):
+            if n == 4 and deletes:
+                latest = keep_latest(feed, "serialnumber", "registrationdate")
+                store.delete(latest.where(F.col("sharewithresearchasofdate").isNull()), "trusted", "customer")
+            store.write(feed.where(_commit_of() == n), "trusted", "customer", "serialnumber", "registrationdate", mode="upsert")
+        return store
 
-def _customer_log_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _customer_log(spark, sf_dir)
-    latest = keep_latest(landing(spark, sf_dir, "customer_landing"), "serialnumber", "registrationdate")
-    gone = latest.where(F.col("sharewithresearchasofdate").isNull()).select("serialnumber")
-    return changelog.with_tombstones(log, changelog.tombstones(gone, 3))
+    return _once(spark, sf_dir, "commits-with-deletes" if deletes else "commits", make)
 
 
 def q_upsert_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.snapshot(_customer_log(spark, sf_dir), "serialnumber", "registrationdate")
+    return _customer_commits(spark, sf_dir, False).read(spark, "trusted", "customer")
 
 
 def q_as_of_commit_2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.snapshot(_customer_log(spark, sf_dir), "serialnumber", "registrationdate", as_of=2)
+    return _customer_commits(spark, sf_dir, True).read(spark, "trusted", "customer", as_of=2)
 
 
 def q_changes_since_commit_2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _customer_log_with_deletes(spark, sf_dir)
-    return changelog.changes_since(log, "serialnumber", "registrationdate", 2)
+    return _customer_commits(spark, sf_dir, True).changes(spark, "trusted", "customer", since=2)
 
 
 def q_upsert_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.snapshot(_customer_log_with_deletes(spark, sf_dir), "serialnumber", "registrationdate")
+    return read_zone(spark, "trusted", "customer", _customer_commits(spark, sf_dir, True).zones)
 
 
 QUERIES: dict[str, Query] = {
@@ -221,7 +292,18 @@ QUERIES: dict[str, Query] = {
     "device_readings_with_owner": q_device_readings_with_owner,
     "device_readings_raw_lineage": q_device_readings_raw_lineage,
     "ml_curated": q_ml_curated,
+    "ml_curated_from_landing": q_ml_curated_from_landing,
     "ml_curated_same_user": lambda s, d: q_ml_curated(s, d, same_user=True),
+    "catalog_customer_landing": _cataloged("customer_landing"),
+    "catalog_accelerometer_landing": _cataloged("accelerometer_landing"),
+    "catalog_step_trainer_landing": _cataloged("step_trainer_landing"),
+    "landing_stats": q_landing_stats,
+    "landing_schemas": q_landing_schemas,
+    "stored_customer_trusted": _stored("trusted", "customer_trusted"),
+    "stored_accelerometer_trusted": _stored("trusted", "accelerometer_trusted"),
+    "stored_step_trainer_trusted": _stored("trusted", "step_trainer_trusted"),
+    "stored_customer_curated": _stored("curated", "customer_curated"),
+    "stored_machine_learning_curated": _stored("curated", "machine_learning_curated"),
     "zone_counts": q_zone_counts,
     "consent_check": q_consent_check,
     "key_check": q_key_check,
@@ -370,7 +452,25 @@ UNION ALL SELECT 'step_trainer_landing', count(*) FROM step_trainer_landing""",
     "device_readings_with_owner": _chain("SELECT * FROM device_readings"),
     "device_readings_raw_lineage": _chain("SELECT * FROM device_readings"),
     "ml_curated": _chain("SELECT * FROM machine_learning_curated"),
+    "ml_curated_from_landing": _chain("SELECT * FROM machine_learning_curated"),
     "ml_curated_same_user": _chain("SELECT * FROM ml_same_user"),
+    "catalog_customer_landing": CUSTOMER_LANDING_SQL,
+    "catalog_accelerometer_landing": ACCEL_LANDING_SQL,
+    "catalog_step_trainer_landing": STEP_LANDING_SQL,
+    "landing_stats": " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS records, CAST(0 AS BIGINT) AS malformed FROM ({q})"
+        for n, q in (("customer_landing", CUSTOMER_LANDING_SQL), ("accelerometer_landing", ACCEL_LANDING_SQL), ("step_trainer_landing", STEP_LANDING_SQL))
+    ),
+    # an inferred schema has a bigint for every whole number; columns that are null in all rows are absent from the files
+    "landing_schemas": " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, column_name, CASE WHEN column_type = 'VARCHAR' THEN 'string' ELSE lower(replace(column_type, 'INTEGER', 'BIGINT')) END AS data_type FROM (DESCRIBE {q})"
+        for n, q in (("customer_landing", CUSTOMER_LANDING_SQL), ("accelerometer_landing", ACCEL_LANDING_SQL), ("step_trainer_landing", STEP_LANDING_SQL))
+    ),
+    "stored_customer_trusted": _chain("SELECT * FROM customer_trusted"),
+    "stored_accelerometer_trusted": _chain("SELECT * FROM accelerometer_trusted"),
+    "stored_step_trainer_trusted": _chain("SELECT * FROM step_trainer_trusted"),
+    "stored_customer_curated": _chain("SELECT * FROM customer_curated"),
+    "stored_machine_learning_curated": _chain("SELECT * FROM machine_learning_curated"),
     "zone_counts": _chain(
         """SELECT 'customer_trusted' AS table_name, count(*) AS row_count FROM customer_trusted
 UNION ALL SELECT 'accelerometer_trusted', count(*) FROM accelerometer_trusted
