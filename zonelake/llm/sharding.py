@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, shuffle_partitions
@@ -99,22 +102,38 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     dealt_rows = materialize(
         sized.join(placed, "key").select("id", "size", "crc", "shard", F.monotonically_increasing_id().alias("at"))
     ).withColumn("part", F.shiftright("at", 33))
-    offset, starts = [0] * shards, []
-    for r in sorted(dealt_rows.groupBy("shard", "part").count().collect()):  # shards x partitions rows
-        starts.append((r["shard"], r["part"], offset[r["shard"]]))
+    offset, starts = [0] * shards, {}
+    for r in sorted(dealt_rows.groupBy("part", "shard").count().collect()):  # shards x partitions rows
+        starts.setdefault(r["part"], [0] * shards)[r["shard"]] = offset[r["shard"]]
         offset[r["shard"]] += r["count"]
-    starts = spark.createDataFrame(starts, "shard int, part long, start long")
-    in_part = Window.partitionBy("shard", "part").orderBy("at")
+    given = spark.sparkContext.broadcast(starts)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Slots in the order of the stored rows: a partition's rows of a shard follow those of earlier partitions."""
+        free: dict[int, np.ndarray] = {}
+        for batch in batches:
+            part, shard = (batch.column(c).to_numpy() for c in ("part", "shard"))
+            slot = np.zeros(len(batch), np.int64)
+            for p in np.unique(part).tolist():
+                here = np.flatnonzero(part == p)
+                order = np.argsort(shard[here], kind="stable")
+                dealt = shard[here][order]
+                next_ = free.setdefault(p, np.array(given.value[p], np.int64))
+                slot[here[order]] = next_[dealt] + np.arange(len(dealt)) - np.searchsorted(dealt, dealt)
+                next_ += np.bincount(dealt, minlength=shards)
+            yield batch.select(["id", "size", "crc", "shard"]).append_column("slot", pa.array(slot))
+
+    kind = docs.schema[id_col].dataType.simpleString()
     return (
-        dealt_rows.withColumn("n", F.row_number().over(in_part))
-        .join(F.broadcast(starts), ["shard", "part"])
+        dealt_rows.select("id", "size", "crc", "shard", "part")
+        .mapInArrow(number, f"id {kind}, size long, crc long, shard int, slot long")
         .select(
             F.col("id").alias(id_col),
             "size",
             F.col("crc").alias("text_crc32"),
             F.lit("bytes").alias("law"),
-            F.col("shard").cast("int").alias("shard"),
-            (F.col("start") + F.col("n") - 1).cast("long").alias("slot"),
+            "shard",
+            "slot",
             F.lit(None).cast("int").alias("grown_shard"),
         )
     )
