@@ -21,15 +21,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import binary, slices, worker_cache
+from .words import binary, coded_runs, slices, worker_cache
 
-#: units whose ids a worker keeps
-CACHED_UNITS = 400_000
-#: pairs of pieces that a worker keeps
-CACHED_PAIRS = 2_000_000
+#: units whose ids a worker keeps, and pairs of pieces
+CACHED_UNITS, CACHED_PAIRS = 700_000, 500_000
+#: bytes of units that are indexed at once (an edge takes about 60 bytes, a byte has about five)
+INDEX_BYTES = 400_000
 
 _SPACE = "▁"
 
@@ -85,11 +85,11 @@ class PairTable:
 
     def put(self, keys: np.ndarray, fits: np.ndarray) -> None:
         """Distinct pairs that are not in the table."""
-        if 3 * (self.used + len(keys)) > len(self.keys):
+        if 2 * (self.used + len(keys)) > len(self.keys):
             old = self.keys >= 0
             if self.used + len(keys) <= CACHED_PAIRS:
                 keys, fits = np.concatenate([self.keys[old], keys]), np.concatenate([self.fits[old], fits])
-            self._clear(1 << (6 * len(keys)).bit_length())
+            self._clear(1 << (4 * len(keys)).bit_length())
         self.used += len(keys)
         slot = self._slot(keys)
         left = np.arange(len(keys))
@@ -195,8 +195,8 @@ class Encoder:
         at, length, piece = at[real], np.repeat(self.lengths, n)[real], np.repeat(self.listed_ids, n)[real]
         return at.astype(np.int32), (at + length).astype(np.int32), piece.astype(np.int32)
 
-    def _encode_cores(self, cores: list[bytes]) -> list[list[int]]:
-        """Ids of units with one leading space at most; unknown characters as (unknown edge) ids."""
+    def _encode_cores(self, cores: list[bytes]) -> list[bytes]:
+        """Ids (32-bit, as bytes) of units with one leading space at most."""
         size = np.array([len(c) for c in cores], np.int64)
         text = np.frombuffer(b"\xff".join(cores), np.uint8)  # no UTF-8 byte
         begin = np.cumsum(size + 1) - size - 1
@@ -226,7 +226,6 @@ class Encoder:
             rest = np.flatnonzero(~begins & (left >= 0))
             good[rest] = self.fitting(left[rest], p[rest])
             kept[e[good]], origin[e[good]] = p[good], s[good]
-        out: list[list[int]] = [[] for _ in cores]
         # walk back from the ends of all units at once
         unit, at = np.arange(len(cores)), begin + size
         steps = []
@@ -239,38 +238,44 @@ class Encoder:
             at = origin[at]
             live = at > begin[unit]
             unit, at = unit[live], at[live]
-        if steps:
-            unit = np.concatenate([s[0] for s in steps[::-1]])
-            ids = np.concatenate([s[1] for s in steps[::-1]])
-            places = np.concatenate([s[2] for s in steps[::-1]])
-            order = np.argsort(unit, kind="stable")
-            unit, ids, places = unit[order], ids[order], places[order]
-            cuts = np.searchsorted(unit, np.arange(len(cores) + 1))
-            flat = ids.tolist()
-            for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-                out[k] = flat[a:b]
-            for k in np.unique(unit[ids == self.unknown_edge]).tolist():
-                bytes_, a = [], cuts[k]
-                for i in range(a, cuts[k + 1]):
-                    stop = places[i + 1] if i + 1 < cuts[k + 1] else begin[k] + size[k]
-                    bytes_ += self.byte_ids[text[places[i] : stop]].tolist() if ids[i] == self.unknown_edge else [int(ids[i])]
-                out[k] = bytes_
+        if not steps:
+            return [b"" for _ in cores]
+        unit = np.concatenate([s[0] for s in steps[::-1]])
+        ids = np.concatenate([s[1] for s in steps[::-1]])
+        places = np.concatenate([s[2] for s in steps[::-1]])
+        order = np.argsort(unit, kind="stable")
+        unit, ids, places = unit[order], ids[order], places[order]
+        cuts = np.searchsorted(unit, np.arange(len(cores) + 1)).tolist()
+        flat = ids.astype(np.int32).tobytes()
+        out = [flat[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
+        for k in np.unique(unit[ids == self.unknown_edge]).tolist():
+            spelled: list[int] = []
+            for i in range(cuts[k], cuts[k + 1]):
+                stop = places[i + 1] if i + 1 < cuts[k + 1] else begin[k] + size[k]
+                spelled += self.byte_ids[text[places[i] : stop]].tolist() if ids[i] == self.unknown_edge else [int(ids[i])]
+            out[k] = np.array(spelled, np.int32).tobytes()
         return out
 
     def learn(self, units: list[bytes]) -> None:
         """Encode units: spaces beyond the first are a run of their own, joined by the first if that stays alone."""
-        cores = {u[max(len(u) - len(u.lstrip(b" ")) - 1, 0) :] for u in units}
-        cores = [c for c in cores if c]
-        ids = dict(zip(cores, self._encode_cores(cores))) if cores else {}
+        extra = {u: len(u) - len(u.lstrip(b" ")) - 1 for u in units if u[:2] == b"  "}
+        cores = list({u[extra[u] :] if u in extra else u for u in units} - {b""}) if extra else units
+        ids, part, size = {}, [], 0
+        for core in cores:
+            part.append(core)
+            size += len(core)
+            if size >= INDEX_BYTES:
+                ids.update(zip(part, self._encode_cores(part)))
+                part, size = [], 0
+        if part:
+            ids.update(zip(part, self._encode_cores(part)))
         space = self.ids.get(" ")
-        for u in units:
-            extra = max(len(u) - len(u.lstrip(b" ")) - 1, 0)
-            found = ids.get(u[extra:], [])
-            if extra:
-                joins = bool(found) and found[0] == space
-                run = [self.ids[p] for p in self.merge(" " * (extra + joins))]
-                found = run + found[joins:]
-            self.units[u] = np.array(found, np.int32).tobytes()
+        for u, n in extra.items():
+            found = np.frombuffer(ids[u[n:]], np.int32)
+            joins = bool(len(found)) and found[0] == space
+            run = [self.ids[p] for p in self.merge(" " * (n + joins))]
+            ids[u] = np.array(run, np.int32).tobytes() + found[int(joins) :].tobytes()
+        self.units.update((u, ids[u]) for u in units)
 
 
 def _cut_units(texts: pa.Array):
@@ -288,8 +293,8 @@ def _cut_units(texts: pa.Array):
     bounds = np.flatnonzero(bound)
     if len(bounds) < 2:
         return [], np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
-    runs = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-    return runs.dictionary.to_pylist(), runs.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.searchsorted(bounds, offs)
+    codes, units = coded_runs(data, bounds)
+    return units, codes, np.searchsorted(bounds, offs)
 
 
 def _encoder(vocabulary: dict) -> Encoder:
@@ -304,13 +309,14 @@ def _encode(texts: pa.Array, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
     """(ids, where each row's begin) of texts with their leading space."""
     units, codes, starts = _cut_units(texts)
     cache = encoder.units
-    new = [u for u in units if u not in cache]
-    if len(cache) + len(new) > CACHED_UNITS:  # keep what this slice has
-        kept = {u: cache[u] for u in units if u in cache}
-        cache.clear()
-        cache.update(kept)
-    encoder.learn(new)
-    pieces = [cache[u] for u in units]
+    pieces = list(map(cache.get, units))
+    new = [u for u, ids in zip(units, pieces) if ids is None]
+    if new:
+        if len(cache) + len(new) > CACHED_UNITS:  # keep what this slice has
+            cache.clear()
+            cache.update((u, ids) for u, ids in zip(units, pieces) if ids is not None)
+        encoder.learn(new)
+        pieces = list(map(cache.get, units))
     size = np.array([len(p) >> 2 for p in pieces], np.int64)
     flat = np.frombuffer(b"".join(pieces), np.int32)
     n = size[codes] if len(codes) else size[:0]
@@ -319,8 +325,32 @@ def _encode(texts: pa.Array, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.concatenate([[0], np.cumsum(n)])[starts]
 
 
-def encode(docs: DataFrame, vocabulary: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def _byte_table(vocabulary: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all pieces, where each begins)."""
+    table = [p.encode() for p in vocabulary["pieces"]]
+    for b, i in enumerate(vocabulary["bytes"]):
+        table[i] = bytes([b])
+    for i in vocabulary["control"]:
+        table[i] = b""
+    table[vocabulary["unknown"]] = " \u2047 ".encode()
+    return np.frombuffer(b"".join(table), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in table])])
+
+
+def _decode(ids: np.ndarray, starts: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> pa.Array:
+    """Texts of the rows of ids."""
+    flat, place = table
+    n = place[ids + 1] - place[ids]
+    data = flat[np.repeat(place[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())] if len(ids) else flat[:0]
+    bounds = np.concatenate([[0], np.cumsum(n)])[starts]
+    # the space that encoding put first
+    begins = bounds[:-1] + ((bounds[1:] > bounds[:-1]) & (np.append(data, 0)[bounds[:-1]] == 32))
+    whole = data.tobytes()
+    return pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(begins.tolist(), bounds[1:].tolist())], pa.string())
+
+
+def encode(docs: DataFrame, vocabulary: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), decoded: bool = False) -> DataFrame:
     """(id, ids, columns named in ``keep``): the ids of every whole text, as the model's own BPE gives them.
+    With ``decoded`` also the text that the ids decode to, in the same pass.
 
     A space is put before a text that is not empty; null and empty texts have no ids.  Repeated rows, null ids and other
     columns are as they are; an empty table gives an empty result.
@@ -331,31 +361,30 @@ def encode(docs: DataFrame, vocabulary: dict, id_col: str = "doc_id", text_col:
     rows = docs.select(F.struct(F.col(id_col).alias("id"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]).alias("row"), spaced.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value)
+        encoder, table = _encoder(shared.value), _byte_table(shared.value)
         for batch in slices(batches, "text"):
             ids, starts = _encode(batch.column("text"), encoder)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids))], ["row", "ids"])
+            columns = [batch.column("row"), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids))]
+            yield pa.RecordBatch.from_arrays([*columns, _decode(ids, starts, table)] if decoded else columns, names)
 
-    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>")
-    return out.select(F.col("row.id").alias(id_col), "ids", *[F.col(f"row.k{i}").alias(c) for i, c in enumerate(keep)])
+    names = ["row", "ids", *["decoded"] * decoded]
+    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>" + ", decoded string" * decoded)
+    return out.select(F.col("row.id").alias(id_col), *names[1:], *[F.col(f"row.k{i}").alias(c) for i, c in enumerate(keep)])
 
 
 def decode(encoded: DataFrame, vocabulary: dict, ids_col: str = "ids", as_col: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its ids in a further column.  Byte ids give their bytes (U+FFFD for those that are no UTF-8), control ids nothing,
-    unknown ones U+2047 in spaces; the space that encoding put first goes.  Null ids give null; ids outside the vocabulary are an error."""
+    unknown ones U+2047 in spaces; a first space goes.  Null ids give null; ids outside the vocabulary are an error."""
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
 
     @F.pandas_udf("string")
     def text_of(lists):
         import pandas as pd
 
-        v = shared.value
-        table = [p.encode() for p in v["pieces"]]
-        for b, i in enumerate(v["bytes"]):
-            table[i] = bytes([b])
-        for i in v["control"]:
-            table[i] = b""
-        table[v["unknown"]] = " ⁇ ".encode()
-        return pd.Series([None if x is None else b"".join([table[i] for i in x.tolist()]).decode("utf-8", "replace").removeprefix(" ") for x in lists], dtype=object)
+        table = _byte_table(shared.value)
+        have = [x if x is not None else np.zeros(0, np.int64) for x in lists]
+        starts = np.concatenate([[0], np.cumsum([len(x) for x in have])]).astype(np.int64)
+        texts = _decode(np.concatenate([*have, np.zeros(0, np.int64)]).astype(np.int64), starts, table).to_pylist()
+        return pd.Series([None if x is None else t for x, t in zip(lists, texts)], dtype=object)
 
     return encoded.withColumn(as_col, text_of(F.col(ids_col)))

@@ -41,9 +41,8 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = pieces.load_vocabulary(str(vocabulary_file("piece_bpe_32k.model")))
-    encoded = pieces.encode(_table(spark, sf_dir, "documents"), vocabulary)
-    decoded = pieces.decode(encoded, vocabulary)
-    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.crc32("decoded").alias("decoded_crc32"))
+    encoded = pieces.encode(_table(spark, sf_dir, "documents"), vocabulary, decoded=True)
+    return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.crc32("decoded").alias("decoded_crc32"))
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,10 +88,19 @@ def split_words(texts: pa.Array, coded: bool = True) -> Words:
         return Words(np.zeros(len(begin), np.int64), starts, [], data, begin, end)
     # without the spaces the words lie one after another
     ends = np.concatenate([[0], np.cumsum(end - begin)])
-    runs = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(data[~space])])
-    dictionary = runs.dictionary_encode()
-    codes = dictionary.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    return Words(codes, starts, dictionary.dictionary.to_pylist(), data, begin, end)
+    codes, words = coded_runs(data[~space], ends)
+    return Words(codes, starts, words, data, begin, end)
+
+
+def coded_runs(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """(codes, distinct runs) of the runs of bytes between neighbouring bounds."""
+    small = len(data) < 1 << 31
+    offsets = bounds.astype(np.int32 if small else np.int64)
+    runs = pa.Array.from_buffers(pa.binary() if small else pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+    coded = runs.dictionary_encode()
+    whole, at = binary(coded.dictionary)
+    whole, at = whole.tobytes(), at.tolist()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), [whole[a:b] for a, b in zip(at, at[1:])]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
