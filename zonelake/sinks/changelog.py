@@ -33,11 +33,6 @@ def tombstones(keys_df: DataFrame, commit: int) -> DataFrame:
     return keys_df.withColumn(COMMIT, F.lit(commit).cast("long")).withColumn(DELETED, F.lit(True))
 
 
-def with_tombstones(log: DataFrame, deletes: DataFrame) -> DataFrame:
-    """Append delete markers to a log; missing columns are null."""
-    return log.unionByName(deletes, allowMissingColumns=True)
-
-
 def _winners(log: DataFrame, keys: list[str], order_by: list[str], order: str) -> DataFrame:
     """The winning row of each key, deletes included."""
     data = [c for c in log.columns if c not in META]
