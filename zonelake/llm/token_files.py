@@ -16,6 +16,9 @@ segment: part, seq     place of the segment: range partition, number in it
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,8 +35,42 @@ from .words import slices, split_words, worker_cache
 SAMPLE = 64
 #: id that ends a document
 END_ID = 1
-#: words whose ids a worker keeps
-CACHED_WORDS = 400_000
+#: words, and parts of words, whose ids a worker keeps
+CACHED, CACHED_PARTS = 1_000_000, 700_000
+#: bytes of text of a segment
+SEGMENT_BYTES = 6 << 20
+
+# fixed value: the rules of a lower-casing BPE tokenizer with word ends, as its file states them
+RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "model": {
+        "type": "BPE",
+        "dropout": None,
+        "unk_token": None,
+        "continuing_subword_prefix": None,
+        "end_of_word_suffix": "</w>",
+        "fuse_unk": False,
+        "byte_fallback": False,
+        "ignore_merges": False,
+    },
+}
+#: ASCII and Latin-1 letters, then ASCII punctuation but the apostrophe
+_SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)\Z")
 
 _SEGMENT = (
     "part int, seq int, start long, n_docs int, n_ids long, doc_ids binary, nulls binary, width int, ids binary,"
@@ -78,42 +115,93 @@ class EliasFano:
         return ((ones - np.arange(self.n)) << self.bits) | self._low(np.arange(self.n))
 
 
-def _encode(texts: pa.Array, tokenizer, cache: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, ids of each row) of whole texts.  The tokenizer never joins words over white space, so each distinct word is encoded
-    once and the ids are put together."""
-    words = split_words(texts)
-    new = [w for w in words.words if w not in cache]
-    if len(cache) + len(new) > CACHED_WORDS:
-        cache.clear()
-        new = words.words
-    for word, encoding in zip(new, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-        cache[word] = np.array(encoding.ids, np.uint32).tobytes()
-    pieces = [cache[w] for w in words.words]
-    size = np.array([len(p) >> 2 for p in pieces], np.int64)
-    flat = np.frombuffer(b"".join(pieces), np.uint32)
-    n = size[words.codes]
-    begin = (np.cumsum(size) - size)[words.codes]
-    ids = flat[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())] if len(n) else flat[:0]
-    ends = np.concatenate([[0], np.cumsum(n)])
-    return ids, np.diff(ends[words.starts])
-
-
-def _tokenizer(text: str):
-    from tokenizers import Tokenizer
+class WordEncoder:
+    """Ids of texts by the tokenizers library.
+
+    A tokenizer whose rules are RULES never joins anything over white space, and cuts a word of Latin letters and
+    following punctuation between the two.  Then each distinct word is encoded once and the ids are put together: words of that form part by part with
+    the library's BPE model, others with its whole chain.  Any other tokenizer gets whole texts.
+    """
 
+    def __init__(self, text: str):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer = Tokenizer.from_str(text)
+        self.by_word = by_word(text)
+        self.cache: dict[str, bytes] = {}  # of parts of words
+        self.known: dict[bytes, bytes] = {}  # of words
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.table = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xC0, 0x100)) if c.isalpha()}
+
+    def _part(self, part: str) -> bytes:
+        ids = self.cache.get(part)
+        if ids is None:
+            tokens = self.tokenizer.model.tokenize(part.lower().translate(self.table))
+            ids = self.cache[part] = np.array([t.id for t in tokens], np.uint32).tobytes()
+        return ids
+
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as bytes."""
+        known = self.known
+        out = list(map(known.get, words))
+        new = [k for k, ids in enumerate(out) if ids is None]
+        if len(known) + len(new) > CACHED:
+            known.clear()  # but for these words
+            known.update((w, ids) for w, ids in zip(words, out) if ids is not None)
+        if len(self.cache) > CACHED_PARTS:
+            self.cache.clear()
+        other = []
+        for k in new:
+            m = _SIMPLE.match(text := words[k].decode("utf-8", "replace"))
+            if m:
+                letters, marks = m.groups()
+                known[words[k]] = out[k] = self._part(letters) + self._part(marks) if marks else self._part(letters)
+            else:
+                other.append((k, text))
+        for (k, _), encoding in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)):
+            known[words[k]] = out[k] = np.array(encoding.ids, np.uint32).tobytes()
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each row) of whole texts."""
+        if not self.by_word:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
+        words = split_words(texts)
+        pieces = self.words(words.words)
+        size = np.array([len(p) >> 2 for p in pieces], np.int64)
+        flat = np.frombuffer(b"".join(pieces), np.uint32)
+        n = size[words.codes]
+        begin = (np.cumsum(size) - size)[words.codes]
+        ids = flat[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())] if len(n) else flat[:0]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        return ids, np.diff(ends[words.starts])
+
+
+def by_word(tokenizer_json: str) -> bool:
+    """Whether the rules before the BPE model, and its settings, are RULES."""
+    held = json.loads(tokenizer_json)
+    model = {k: v for k, v in held["model"].items() if k not in ("vocab", "merges")}
+    spaced = any(set(t["content"]) & set(" \t\n\x0b\f\r") or t["lstrip"] or t["rstrip"] or t["normalized"] or t["content"][0].isalpha() for t in held["added_tokens"])
+    return not spaced and {"normalizer": held["normalizer"], "pre_tokenizer": held["pre_tokenizer"], "model": model} == RULES
+
+
+def _encoder(text: str) -> WordEncoder:
     held = worker_cache("tokenizer")
     if held.get("text") != text:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         held.clear()
-        held.update(text=text, tokenizer=Tokenizer.from_str(text), cache={})
-    return held["tokenizer"], held["cache"]
+        held.update(text=text, encoder=WordEncoder(text))
+    return held["encoder"]
 
 
 def _segments(model, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, cache = _tokenizer(model.value)
+        encoder = _encoder(model.value)
         part, start = TaskContext.get().partitionId(), 0
-        for seq, batch in enumerate(slices(batches, "text")):
-            ids, counts = _encode(batch.column("text"), tokenizer, cache)
+        for seq, batch in enumerate(slices(batches, "text", SEGMENT_BYTES)):
+            ids, counts = encoder.encode(batch.column("text"))
             ends = np.cumsum(counts + 1)
             out = np.full(int(ends[-1]), END_ID, f"<u{width}")
             where = np.ones(len(out), bool)
