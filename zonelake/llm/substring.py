@@ -141,21 +141,22 @@ def _emit(table, mask: int, bits: int, crowded):
     return run
 
 
-_EMITTED = "route int, head long, tail long, doc long, dig long, at int, length int"
+# what changes from row to row stands together, which the shuffle's compression favours; place: at * 2^24 + route
+_EMITTED = "doc long, dig long, length int, place long, head long, tail long"
+_ROUTE_BITS = 24
 
 
 def _rows(route, head, tail, doc, dig, row, at, length) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(route.astype(np.int32)),
-            _u64(head),
-            _u64(tail),
             pa.array(doc[row]),
             pa.array(dig[row]),
-            pa.array(at.astype(np.int32)),
             pa.array(np.broadcast_to(np.asarray(length, np.int32), (len(at),)).astype(np.int32)),
+            pa.array((at.astype(np.int64) << _ROUTE_BITS) + route.astype(np.int64)),
+            _u64(head),
+            _u64(tail),
         ],
-        ["route", "head", "tail", "doc", "dig", "at", "length"],
+        ["doc", "dig", "length", "place", "head", "tail"],
     )
 
 
@@ -165,7 +166,7 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        head, tail, length, doc, dig, at = (batch.column(c).to_numpy() for c in ("head", "tail", "length", "doc", "dig", "at"))
+        head, tail, length, doc, dig, at = (batch.column(c).to_numpy() for c in ("head", "tail", "length", "doc", "dig", "place"))
         same = np.zeros(len(head), dtype=bool)
         same[1:] = (head[1:] == head[:-1]) & (tail[1:] == tail[:-1]) & (length[1:] == 0) & (length[:-1] == 0)
         same[0] = node == (head[0], tail[0]) and length[0] == 0
@@ -174,8 +175,8 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         copy = (doc == first[0]) & (dig == first[1]) & (at == first[2])  # the least leaf again, from a repeated row
         node, least = (head[-1], tail[-1]) if length[-1] == 0 else None, [x[-1] for x in first]
         marked = (same & ~copy) | (length > 0)
-        out = batch.filter(pa.array(marked)).select(["doc", "dig", "at"])
-        at = out.column("at").to_numpy().astype(np.int64)
+        out = batch.filter(pa.array(marked)).select(["doc", "dig", "place"])
+        at = at[marked] >> _ROUTE_BITS
         yield out.set_column(2, "span", pa.array((at << 32) + at + np.where(length[marked] > 0, length[marked], SPAN)))
 
 
@@ -224,7 +225,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64(text).alias("dig"), text.alias("text")
     )
     parts = shuffle_partitions(spark)
-    bits = max(12, (8 * parts).bit_length())
+    bits = min(max(12, (8 * parts).bit_length()), _ROUTE_BITS - 2)
     survey = materialize(
         base.select("text").mapInArrow(_survey(bits), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")).filter("kind > 0 OR n > 1")
     )
@@ -244,8 +245,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = (
         base.select("doc", "dig", "text")
         .mapInArrow(_emit(table, mask, bits, crowded), _EMITTED)
-        .repartition(parts, "route")
-        .sortWithinPartitions("head", "tail", "length", "doc", "dig", "at")
+        .repartition(parts, F.col("place").bitwiseAND((1 << _ROUTE_BITS) - 1))
+        .sortWithinPartitions("head", "tail", "length", "doc", "dig", "place")
         .mapInArrow(_subtrees, "doc long, dig long, span long")
         .groupBy("doc", "dig")
         .agg(F.collect_list("span").alias("spans"))  # at most one span for each word of the document
