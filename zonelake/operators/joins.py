@@ -26,9 +26,9 @@ from zonelake.operators import skew
 from zonelake.operators.skew import HotKeys, collect_hot, find_hot_keys, split_hot
 
 ML_ORDER = "sensorreadingtime"
-# Gate tables up to this many keys (one key and one count per row, tens of
-# MB) are broadcast; the count is taken before the join is planned.
-BROADCAST_KEYS = 1_000_000
+# Gate tables up to this many keys and bytes of keys are broadcast; both are
+# taken before the join is planned.
+BROADCAST_KEYS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def broadcast_keys(spark) -> int:
@@ -36,10 +36,12 @@ def broadcast_keys(spark) -> int:
     return skew.bound(spark, "broadcastKeys", BROADCAST_KEYS)
 
 
-def gate_matches(gate_rows: DataFrame, gate_key: str) -> tuple[DataFrame, int]:
+def gate_matches(gate_rows: DataFrame, gate_key: str) -> tuple[DataFrame, bool]:
     """The gate's per-key table (``_gate_key``, ``_matches``), materialised
-    once and counted while written: shared by ``gate_hot_keys`` and ``gate``."""
-    return materialize_counted(_matches(gate_rows, gate_key))
+    once and measured while written, and whether it may be broadcast."""
+    per_key = _matches(gate_rows, gate_key)
+    table, keys, size = materialize_counted(per_key, F.octet_length(F.col("_gate_key").cast("string")).cast("long") + 16)
+    return table, keys <= broadcast_keys(gate_rows.sparkSession) and size <= BROADCAST_BYTES
 
 
 def _matches(gate_rows: DataFrame, gate_key: str) -> DataFrame:
@@ -80,7 +82,7 @@ def gate(
     *,
     weight: str | None = None,
     hot: HotKeys | None = None,
-    matches: tuple[DataFrame, int] | None = None,
+    matches: tuple[DataFrame, bool] | None = None,
 ) -> DataFrame:
     """Rows of ``rows`` whose ``row_key`` equals a ``gate_key`` of ``gate_rows``.
 
@@ -91,17 +93,16 @@ def gate(
     aggregate combined map-side), so it never fans out inside the shuffle.
     Null keys never match.
 
-    Strategy: when a count shows at most ``BROADCAST_KEYS`` gate keys, the
+    Strategy: with at most ``BROADCAST_KEYS`` gate keys in ``BROADCAST_BYTES``, the
     per-key table is broadcast and ``rows`` is not shuffled.  Otherwise the
     keys of ``rows`` over ``HOT_ROWS`` (``hot``, found here when not given)
     join a broadcast of just their matches, and the remaining rows, whose
     keys are all of bounded size, take a shuffled join.  ``matches`` passes
-    a ``gate_matches`` result (table and key count) computed by the caller.
+    a ``gate_matches`` result computed by the caller.
     """
-    table, n_keys = matches if matches is not None else gate_matches(gate_rows, gate_key)
-    matches = table
+    matches, small = matches if matches is not None else gate_matches(gate_rows, gate_key)
     cond = F.col(row_key) == F.col("_gate_key")
-    if n_keys <= broadcast_keys(rows.sparkSession):
+    if small:
         return _gated(rows.join(F.broadcast(matches), cond, "inner"), rows.columns, weight)
     if hot is None:
         hot = find_hot_keys(rows.where(F.col(row_key).isNotNull()), [row_key])

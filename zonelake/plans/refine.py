@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from zonelake.operators.dedup import keep_latest
 from zonelake.operators.filters import consent_filter
 from zonelake.operators.joins import (
-    broadcast_keys,
     customers_with_readings,
     device_readings_with_owner,
     gate,
@@ -65,7 +64,7 @@ def _numbered(readings: DataFrame, customers: DataFrame, row_key: str, gate_key:
     """Gated readings with their copies, numbered.  The landing rows are parsed once: the gated frame is stored, and the hot
     keys of the numbering are counted on what is stored."""
     matches = gate_matches(customers, gate_key)
-    if matches[1] > broadcast_keys(readings.sparkSession):  # the gate counts keys before it joins
+    if not matches[1]:  # the gate then counts keys before it joins
         readings = materialize(readings)
     gated = materialize(gate(readings, customers, row_key, gate_key, weight=weight, matches=matches))
     return number_rows(gated, row_key, order, weight=weight)

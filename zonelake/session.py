@@ -9,7 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings applied to every session handed to the library.  The time zone
 # matters for values (epoch conversions); the rest shape the physical plans:
@@ -86,12 +87,9 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """``materialize`` that also returns the row count, observed while the
+def materialize_counted(df: DataFrame, size: Column) -> tuple[DataFrame, int, int]:
+    """``materialize`` that also returns the row count and the sum of ``size``, observed while the
     rows are written (no second job)."""
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
     seen = Observation()
-    out = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return out, int(seen.get["rows"])
+    out = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("size")))
+    return out, int(seen.get["rows"]), int(seen.get["size"])
