@@ -23,9 +23,9 @@ def _row(docs: DataFrame):
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the rules keep, as they are."""
+    """The documents that the rules keep, as they are; the cutoffs are calibrated jointly, unlike those that the SQL of op10 fixes."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.judge_quality(docs, labels, keep={"_row": _row(docs)}).filter("kept").select("_row.*")
+    return quality.judge_quality(docs, labels, keep={"_row": _row(docs)}, joint=True).filter("kept").select("_row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

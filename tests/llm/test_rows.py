@@ -149,6 +149,37 @@ def test_cutoffs_are_the_exact_test(spark):
     assert got[("s0", "symbols")] > got[("s1", "symbols")] > 10  # the test decides, not the end of the list
 
 
+def test_joint_cutoffs(spark):
+    """437 good documents suffice for a stratum of four; smaller strata (one without labels) take the pooled vector; one that fails its own test has none."""
+    base = (100, 500, 0, 0, 0, 10, 0)
+    sizes = {"a": 437, "b": 436, "c": 1000, "d": 0}
+    rows = [(f"{s}{i}", s, *base) for s, n in sizes.items() for i in range(max(n, 1))]
+    rows += [(f"short{i}", "a", 10, 50, 40, 0, 0, 10, 0) for i in range(300)]  # fail the base rule, so prove nothing
+    rows = [(i, s, 100, 500, 300, 0, 0, 10, 0) if s == "c" and int(i[1:]) < 60 else (i, s, *r) for i, s, *r in rows]
+    counts = spark.createDataFrame(rows, "_id string, stratum string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_capitals long")
+    labels = counts.filter("stratum <> 'd'").select("_id", F.lit(True).alias("good"))
+    strict, at = {rule: cutoffs[-1] for rule, (_, _, cutoffs) in quality.RULES.items()}, lambda got, s: {r.rule: r.cutoff for r in got if r.stratum == s}
+    assert quality.JOINT[-1] == strict and all(a[rule] >= b[rule] for a, b in zip(quality.JOINT, quality.JOINT[1:]) for rule in strict)
+    got = quality.calibrate_jointly(counts, labels).collect()
+    assert at(got, "a") == strict and not at(got, "c")
+    assert not at(got, "b") and not at(got, "d")  # 60 of 1,873 pooled fail every vector
+    got = quality.calibrate_jointly(counts.filter("stratum <> 'c' OR n_symbols = 0"), labels).collect()
+    assert all(at(got, s) == strict for s in sizes)
+    assert quality.calibrate_jointly(counts.filter("stratum = 'b'").limit(200), labels).collect() == []
+
+
+def test_quality_stage_drops_junk_of_small_strata(spark, tmp_path):
+    """The pipeline's stage drops symbol junk in a middling stratum and in one of few labels."""
+    import corpus_pipeline
+
+    text = lambda i, mark: " ".join(f"w{i}x{k}{mark if k % 2 else ''}" for k in range(60))
+    rows = [(i, text(i, ""), "en" if i % 50 else "es") for i in range(600)] + [(1000 + i, text(i, "#"), "en" if i % 2 else "es") for i in range(20)]
+    docs = spark.createDataFrame([(i, t, s, "x", len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(i, 1, 0) for i in range(600)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.quality_rules(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(600))
+
+
 # --- HTML
 
 

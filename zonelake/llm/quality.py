@@ -7,6 +7,10 @@ that it rejects at most the allowed share of good documents.  Cutoffs of a rule
 lenient one on and testing stops at the first failure (fixed sequence), the error level is divided by
 rules and strata (Bonferroni), and the allowed share is divided by the rules, so all rules
 together reject at most ``RISK`` of a stratum's good documents with confidence 1 - ``DELTA``.
+
+``joint`` calibration tests all rules together instead (``JOINT``, one fixed sequence of cutoff vectors, each at least as strict as
+the one before), on the good documents that pass the base rule, with the whole share and the error level divided by strata only.
+A stratum of too few such documents takes the vector of all strata pooled.
 """
 
 from __future__ import annotations
@@ -28,6 +32,14 @@ RULES = {
     "capitals": ("n_capitals", "word_chars", (90, 80, 70, 60, 50, 40, 30, 20)),
 }
 
+#: cutoff vectors from lenient to strict; each tightens one rule by a step, all rules advance evenly through their lists
+JOINT = [{rule: cutoffs[0] for rule, (_, _, cutoffs) in RULES.items()}]
+for _, _rule, _cutoff in sorted(((k / (len(c) - 1), rule, c[k]) for rule, (_, _, c) in RULES.items() for k in range(1, len(c))), key=lambda x: (x[0], [*RULES].index(x[1]))):
+    JOINT.append(JOINT[-1] | {_rule: _cutoff})
+
+#: what is rejected whatever the labels say
+BASE = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
+
 _SPACE, _SYMBOLS, _CAPITALS = " \t\n\x0b\f\r", "#*$%&|<>", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -85,6 +97,14 @@ def _fails(rule: str, cutoff: Column) -> Column:
     return 100 * F.col(num) > cutoff * F.col(den)
 
 
+def _admitted(share: float, level: float) -> Column:
+    """Whether the exact test of k rejected of n admits a cutoff."""
+    # P(X <= k) for X ~ Binomial(n, share), its terms built from one another in logarithms; past the mean it is no small number
+    cdf = f"""aggregate(sequence(0, int(k)), struct(double(n) * ln(1 - {share!r}D) AS t, 0D AS p),
+        (a, i) -> struct(a.t + ln(greatest(n - i, 1) / (i + 1D)) + ln({share!r}D / (1 - {share!r}D)) AS t, a.p + exp(a.t) AS p), a -> a.p)"""
+    return F.expr(f"k <= n * {share!r}D AND (CASE WHEN k <= n * {share!r}D THEN {cdf} ELSE 1D END) <= {level!r}D")
+
+
 def calibrate(counts: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """(stratum, rule, cutoff): the strictest admitted cutoff of each rule and stratum.
 
@@ -105,10 +125,7 @@ def calibrate(counts: DataFrame, labels: DataFrame, risk: float = RISK, delta: f
     tested = materialize(tested)  # a row per stratum
     share, level = risk / len(RULES), delta / (max(tested.count(), 1) * len(RULES))
     cells = tested.select("stratum", "n", F.inline("t"))
-    # P(X <= k) for X ~ Binomial(n, share), its terms built from one another in logarithms; past the mean it is no small number
-    cdf = f"""aggregate(sequence(0, int(k)), struct(double(n) * ln(1 - {share!r}D) AS t, 0D AS p),
-        (a, i) -> struct(a.t + ln(greatest(n - i, 1) / (i + 1D)) + ln({share!r}D / (1 - {share!r}D)) AS t, a.p + exp(a.t) AS p), a -> a.p)"""
-    judged = cells.withColumn("ok", F.expr(f"k <= n * {share!r}D AND (CASE WHEN k <= n * {share!r}D THEN {cdf} ELSE 1D END) <= {level!r}D"))
+    judged = cells.withColumn("ok", _admitted(share, level))
     return (
         judged.groupBy("stratum", "rule")
         .agg(F.max(F.when(~F.col("ok"), F.col("cutoff"))).alias("failed"), F.collect_list(F.when(F.col("ok"), F.col("cutoff"))).alias("oks"))
@@ -117,6 +134,33 @@ def calibrate(counts: DataFrame, labels: DataFrame, risk: float = RISK, delta: f
     )
 
 
+def calibrate_jointly(counts: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """(stratum, rule, cutoff) of the strictest admitted vector of ``JOINT`` for each stratum of ``counts``.
+
+    A stratum whose good documents are too few to admit a vector that rejects none of them takes the strictest vector that the good
+    documents of all strata together admit; its bound then holds for all strata pooled.  Those strata share one test, so there are never more
+    tests than strata, each at ``delta`` / strata.  A stratum with documents enough whose own test admits nothing has no row.
+    """
+    good = counts.join(labels.filter("good").select("_id"), "_id").filter(f"NOT ({BASE})")
+    fails = [" OR ".join(f"100 * {RULES[rule][0]} > {cutoff} * {RULES[rule][1]}" for rule, cutoff in vector.items()) for vector in JOINT]
+    tested = materialize(
+        good.groupBy("stratum").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.array(*[F.struct(F.lit(step).alias("step"), F.count(F.when(F.expr(f), 1)).alias("k")) for step, f in enumerate(fails)]).alias("t"),
+        )
+    )
+    strata = materialize(counts.select("stratum").distinct())
+    level = delta / max(strata.count(), 1)
+    cells = tested.select("stratum", "n", F.inline("t"))
+    pooled = cells.groupBy("step").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).filter(_admitted(risk, level)).agg(F.max("step")).first()[0]
+    # a stricter vector rejects no less, so the admitted ones are those before the first failure
+    own = cells.groupBy(F.col("stratum").alias("_own")).agg(F.max(F.when(_admitted(risk, level), F.col("step"))).alias("step"), F.max("n").alias("n"))
+    large = F.expr(f"coalesce(n * ln(1 - {risk!r}D) <= ln({level!r}D), false)")
+    chosen = strata.join(own, F.col("stratum").eqNullSafe(F.col("_own")), "left").select("stratum", F.when(large, F.col("step")).otherwise(F.lit(pooled).cast("int")).alias("step"))
+    vectors = F.array(*[F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(cutoff).alias("cutoff")) for rule, cutoff in vector.items()]) for vector in JOINT])
+    return chosen.filter("step IS NOT NULL").select("stratum", F.inline(F.get(vectors, F.col("step"))))
+
+
 def judge_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -127,13 +171,15 @@ def judge_quality(
     risk: float = RISK,
     delta: float = DELTA,
     keep: dict[str, Column] | None = None,
+    joint: bool = False,
 ) -> DataFrame:
     """Counts and verdict of every document: (id, counts, base_failed, kept, extra columns named in ``keep``).
 
     Words are runs of other than the six ASCII white-space characters.  ``base_failed``: under 50 words, or over half of the
     words in repeated three-word windows.  ``kept`` is false if base_failed or if a rule's admitted cutoff
     for the document's stratum is passed.  A null text counts as empty.  A stratum without labelled good
-    documents enough for the test (a null one too, unless labelled) has no cutoffs, so only the base rule acts.  Repeated rows stay; an
+    documents enough for the test (a null one too, unless labelled) has no cutoffs, so only the base rule acts; with ``joint``
+it takes the pooled cutoffs, if all strata together have documents enough (see ``calibrate_jointly``).  Repeated rows stay; an
     empty table gives an empty result; labels of unknown documents and null labels are ignored.
     """
     keep, stratum = keep or {}, {"stratum": F.col(stratum_col).cast("string")}
@@ -147,9 +193,9 @@ def judge_quality(
     else:
         counts = narrow
     marked = labels.select(F.col(id_col).alias("_id"), F.expr(good).alias("good"))
-    cutoffs = calibrate(narrow, marked, risk, delta).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cut"))
+    cutoffs = (calibrate_jointly if joint else calibrate)(narrow, marked, risk, delta).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cut"))
     cutoffs = cutoffs.withColumnRenamed("stratum", "_stratum")
-    base = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
+    base = F.expr(BASE)
     passed = [F.coalesce(_fails(rule, F.col("cut")[rule]), F.lit(False)) for rule in RULES]
     failed = passed[0]
     for p in passed[1:]:
