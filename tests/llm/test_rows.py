@@ -233,3 +233,21 @@ def test_html_joined_plans(spark, sf, monkeypatch):
     monkeypatch.setattr(html_text, "MAX_PLANS", -1)
     assert tuples(html_text.main_text(pages), "page_id", "text") == want
     assert all(text for _, text in want)
+
+
+def test_html_every_page_counts(spark):
+    """A rare second template of a large host is known, and its pages have a main path of their own."""
+    teaser = "<body><article><p>short {0}</p></article><div class=post><p>long text {0} " + "of the post " * 30 + "</p></div><div class=end>Rare notice</div></body>"
+    plain = "<body><div class=a><p>page {0} has a text</p></div><div class=end>Usual notice</div></body>"
+    other = "<body><div class=a><p>page {0} has a text</p><h2>part {0}</h2></div><section class=z><p>Rare line</p></section></body>"
+    rows = [(i, f"http://big.org/{i}", (teaser if i % 50 == 7 else other if i % 50 == 9 else plain).format(i)) for i in range(500)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+    for i, _, _ in rows:
+        post = f"long text {i} " + "of the post " * 30
+        assert got[i] == (post.strip() if i % 50 == 7 else f"page {i} has a text" + f"\n\npart {i}" * (i % 50 == 9)), i
+
+
+def test_html_copies_prove_nothing(spark):
+    page = "<body><div class=a><p>the same words</p></div><div class=b>and these</div></body>"
+    frame = spark.createDataFrame([(i, f"http://h.org/{i}", page) for i in range(20)], "page_id long, url string, html string").repartition(4)
+    assert {r.text for r in html_text.main_text(frame).collect()} == {"the same words\n\nand these"}

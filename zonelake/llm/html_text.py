@@ -7,29 +7,35 @@ optional part or a repeated group.  It begins as the first sample page and is al
 * an element on one side only becomes optional;
 * a text that differs becomes a slot; one that never differs is part of the template.
 
-The wrapper then says once per host where the main text is (the ``article``-like element whose slots hold the most text,
-else the body) and what else is template: elements whose text is mostly links, and, outside an article, texts that no page changes.
-Every page is read by its host's plan, whole; a page that the plan does not fit is read by its own structure.
+Every page of a host takes part: pages of equal skeleton (their folded trees without the texts) merge into one, in tasks first, and all
+different skeletons of a host are aligned, in SALTS parts that are then aligned with each other.
 
-A wrapper is inferred from at most SAMPLE pages of a host, chosen by hash (a bounded sample); extraction covers all pages.
+Each skeleton then says where its pages' main text is (the ``article``-like element whose slots hold the most text, else the
+body); the host's wrapper says what is template: elements whose text is mostly links, and, outside an article, texts that no page (or no page
+of a skeleton) changes.  Every page is read whole; a page that is all template is read by its own structure.
 """
 
 from __future__ import annotations
 
 import html
 import json
+import pickle
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from .words import slices
 
-#: pages of a host that its wrapper is inferred from, and how many different ones prove a text to be template
-SAMPLE, PROOF = 8, 3
+#: how many different pages prove a text outside an article to be template, in a host's wrapper and in a skeleton alone
+PROOF, SKELETON_PROOF = 3, 8
+#: parts in which the skeletons of a host are aligned, and the skeletons that a task holds before it sends them on
+SALTS, HELD = 64, 4096
 #: plans that may be broadcast, in bytes; beyond that pages are joined with them
 MAX_PLANS = 32 << 20
 #: share of link text from which an element outside an article is a menu
@@ -161,12 +167,13 @@ def parse(page: str) -> Node:
 class Part:
     """A part of a wrapper: an element (or a group, its key in brackets) with parts, or a text (key '#')."""
 
-    __slots__ = ("key", "parts", "text", "optional", "repeated", "never", "main", "chars", "links", "pages")
+    __slots__ = ("key", "parts", "text", "always", "optional", "repeated", "never", "main", "chars", "links", "pages")
 
     def __init__(self, key, never=False, main=False):
         self.key, self.never, self.main = key, never, main
         self.parts: list[Part] = []
-        self.text: str | None = None  # of the template; None: a slot (or no text)
+        self.text: str | int | None = None  # of the template, or its hash; None: a slot (or no text)
+        self.always: frozenset[int] = frozenset()  # hashes of the texts that each page with this part has in it
         self.optional = self.repeated = False
         self.chars = self.links = 0  # characters in the sample, and those of them in links
         self.pages = 1
@@ -187,6 +194,7 @@ def fold(node: Node, link: bool = False) -> Part:
                 continue
             p = Part("#")
             p.text, p.chars, p.links = text, len(text), len(text) if link else 0
+            p.always = frozenset((xxhash.xxh3_64_intdigest(text),))
         else:
             p = fold(kid, link or kid.tag == "a")
         parts.append(p)
@@ -228,6 +236,7 @@ def align(a: Part, b: Part, same_page: bool = False) -> Part:
     out.pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
     if a.key == "#":
         out.text = a.text if a.text == b.text else None
+        out.always = a.always | b.always if same_page else a.always & b.always
         return out
     x, y = a.parts, b.parts
     if len(x) * len(y) > MAX_CELLS:
@@ -253,8 +262,47 @@ def align(a: Part, b: Part, same_page: bool = False) -> Part:
     return out
 
 
+def skeleton(part: Part) -> str:
+    """The folded tree without its texts."""
+    mark = "*" * part.repeated + "?" * part.optional
+    return f"#{mark}" if part.key == "#" else f"<{part.key}{mark} {int(part.never)}{int(part.main)}>{''.join(map(skeleton, part.parts))}</>"
+
+
+def merge(a: Part, b: Part) -> None:
+    """Adds a page (or pages) of the same skeleton to ``a``."""
+    a.chars, a.links = a.chars + b.chars, a.links + b.links
+    if a.key == "#":
+        a.text, a.always = a.text if a.text == b.text else None, a.always & b.always
+    for x, y in zip(a.parts, b.parts):
+        merge(x, y)
+
+
+def _seen(part: Part, pages: int) -> None:
+    part.pages = pages
+    for p in part.parts:
+        _seen(p, pages)
+
+
+def _dump(part: Part) -> bytes:
+    def flat(p: Part):
+        text = xxhash.xxh3_64_intdigest(p.text) if isinstance(p.text, str) else p.text
+        return (p.key, p.never, p.main, p.optional, p.repeated, p.chars, p.links, p.pages, text, tuple(p.always), [flat(x) for x in p.parts])
+
+    return zlib.compress(pickle.dumps(flat(part), 5), 1)
+
+
+def _load(raw: bytes) -> Part:
+    def build(f) -> Part:
+        p = Part(*f[:3])
+        p.optional, p.repeated, p.chars, p.links, p.pages, p.text = f[3:9]
+        p.always, p.parts = frozenset(f[9]), [build(x) for x in f[10]]
+        return p
+
+    return build(pickle.loads(zlib.decompress(raw)))
+
+
 def infer(pages: list[str]) -> Part | None:
-    """The wrapper of a host's sample; equal pages count once, so that copies prove nothing."""
+    """The wrapper of some pages; equal pages count once, so that copies prove nothing."""
     wrapper = None
     for page in sorted(set(pages)):
         folded = fold(parse(page))
@@ -275,9 +323,14 @@ def _slot_chars(part: Part, different: int) -> int:
     return 0 if part.never else sum(_slot_chars(p, different) for p in part.parts)
 
 
-def plan(wrapper: Part, different: int) -> dict:
-    """Where the main text is (a path of keys, or none) and, outside an article, which paths are template."""
-    best, best_chars, drop = None, 0, []
+def _mark(path: str, text: int) -> int:
+    """A text at a path, as one number."""
+    return xxhash.xxh3_64_intdigest(f"{path}\0{text}")
+
+
+def plan(wrapper: Part, different: int, proof: int = PROOF) -> dict:
+    """Where the main text is (a path of keys, or none), which paths are menus, and which texts at which paths are template."""
+    best, best_chars, drop, texts = None, 0, [], set()
     stack = [(wrapper, (wrapper.key,), False)]
     while stack:
         part, path, inside = stack.pop()
@@ -290,20 +343,24 @@ def plan(wrapper: Part, different: int) -> dict:
             if not inner and chars > best_chars:
                 best, best_chars = path, chars
             inside = not inner
-        elif not inside and len(path) > 2:
-            texts = [p for p in part.parts if p.key == "#"]
-            template = texts and len(texts) == len(part.parts) and all(t.text is not None and t.pages >= PROOF for t in texts) and different >= PROOF
-            if template or (part.chars and part.links >= LINKS * part.chars):
-                drop.append("/".join(path))
+        elif not inside and len(path) > 2 and part.chars and part.links >= LINKS * part.chars:
+            drop.append("/".join(path))
+        if not inside:
+            texts.update(_mark("/".join(path), t) for p in part.parts if p.key == "#" and min(different, p.pages) >= proof for t in p.always)
         stack += [(p, (*path, p.key), inside) for p in part.parts]
-    return {"main": "/".join(best) if best else None, "drop": sorted(set(drop))}
+    return {"main": "/".join(best) if best else None, "drop": sorted(set(drop)), "texts": sorted(texts)}
+
+
+def _choices(part: Part) -> int:
+    """Elements of a wrapper that may hold the main text."""
+    return 0 if part.never else part.main + sum(_choices(p) for p in part.parts)
 
 
 # --- extraction
 
 
-def _blocks(node: Node, path: str, drop: frozenset, inside: bool) -> list[str]:
-    """Texts of the blocks under a node, in page order."""
+def _blocks(node: Node, path: str, drop: frozenset, inside: bool, texts: frozenset = frozenset()) -> list[str]:
+    """Texts of the blocks under a node, in page order, without the menus ``drop`` and the template's ``texts``."""
     out: list[str] = []
     held: list[str] = []
 
@@ -321,7 +378,8 @@ def _blocks(node: Node, path: str, drop: frozenset, inside: bool) -> list[str]:
             continue
         at, where = item
         if isinstance(at, str):
-            held.append(at)
+            if not (texts and (text := _tidy(at)) and _mark(where, xxhash.xxh3_64_intdigest(text)) in texts):
+                held.append(at)
             continue
         if at.tag == "br":
             held.append(" ")
@@ -333,7 +391,7 @@ def _blocks(node: Node, path: str, drop: frozenset, inside: bool) -> list[str]:
         if block:
             flush()
             todo.append(None)
-        todo += [(kid, f"{where}/{kid.key}" if not isinstance(kid, str) else "") for kid in reversed(at.kids)]
+        todo += [(kid, f"{where}/{kid.key}" if not isinstance(kid, str) else where) for kid in reversed(at.kids)]
     flush()
     return out
 
@@ -347,49 +405,118 @@ def _find(root: Node, path: list[str]) -> list[Node]:
 
 
 def extract(page: str | None, how: dict | None) -> str:
-    """Main text of one page by its host's plan, or by its own structure where that finds nothing."""
+    """Main text of one page by the plan of its host and skeleton, or by its own structure where that finds nothing."""
     if not page:
         return ""
     root = parse(page)
-    if how and how["main"]:
-        found = [b for n in _find(root, how["main"].split("/")) for b in _blocks(n, how["main"], frozenset(), True)]
-        if found:
-            return "\n\n".join(found)
-    own = plan(fold(root), 1)
-    if own["main"]:
-        found = [b for n in _find(root, own["main"].split("/")) for b in _blocks(n, own["main"], frozenset(), True)]
+    folded = fold(root)
+    own, how = plan(folded, 1), how or {}
+    mains = how.get("mains")
+    main = (mains.get(str(xxhash.xxh3_64_intdigest(skeleton(folded)))) if mains else None) or own["main"]
+    template = frozenset(how.get("texts", ()))
+    for texts in (template, frozenset()) if template else (template,):
+        for path in dict.fromkeys(p for p in (main, own["main"]) if p):
+            found = [b for n in _find(root, path.split("/")) for b in _blocks(n, path, frozenset(), True, texts)]
+            if found:
+                return "\n\n".join(found)
+        drop = frozenset(own["drop"]) | frozenset(how.get("drop", ()) if not main else ())
+        found = _blocks(root, root.key, drop, False, texts)
         if found:
-            return "\n\n".join(found)
-    drop = frozenset(own["drop"]) | frozenset(how["drop"] if how and not how["main"] else ())
-    return "\n\n".join(_blocks(root, root.key, drop, False))
+            break
+    return "\n\n".join(found)
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, Iterator[dict]]]:
+    """Runs of rows of equal keys, of batches sorted by them."""
+    from itertools import groupby
+
+    rows = (row for batch in batches for row in batch.to_pylist())
+    return groupby(rows, key=lambda row: tuple(row[k] for k in keys))
+
+
+def _plans(rows: DataFrame) -> DataFrame:
+    """(host, plan): the template of every host by all its pages, and the main path of each skeleton with several choices."""
+
+    def fold_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], list] = {}
+
+        def send():
+            keys, values = list(held), list(held.values())
+            out = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64())]
+            out += [pa.array([_dump(v[0]) for v in values], pa.binary()), pa.array([sorted(v[1]) for v in values], pa.list_(pa.int64()))]
+            held.clear()
+            return pa.RecordBatch.from_arrays(out, ["host", "skeleton", "part", "seen"])
+
+        for batch in slices(batches, "html"):
+            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+                if not page:
+                    continue
+                part = fold(parse(page))
+                key = host, _signed(xxhash.xxh3_64_intdigest(skeleton(part)))
+                name = _signed(xxhash.xxh3_64_intdigest(page))
+                if key not in held:
+                    held[key] = [part, {name}]
+                elif name not in held[key][1]:  # copies prove nothing
+                    merge(held[key][0], part)
+                    held[key][1] = set(sorted(held[key][1] | {name})[:SKELETON_PROOF])
+                if len(held) >= HELD:
+                    yield send()
+        if held:
+            yield send()
+
+    def merge_equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (host, name), group in _grouped(batches, ["host", "skeleton"]):
+            part, seen = None, set()
+            for row in group:
+                other = _load(row["part"])
+                merge(part, other) if part else None
+                part, seen = part or other, set(sorted(seen | set(row["seen"]))[:SKELETON_PROOF])
+            _seen(part, len(seen))
+            how = plan(part, len(seen), SKELETON_PROOF)
+            more = {"mains": {str(name % (1 << 64)): how["main"]} if how["main"] and _choices(part) > 1 else {}, "texts": how["texts"]}
+            yield pa.RecordBatch.from_pylist([{"host": host, "skeleton": name, "part": _dump(part), "more": json.dumps(more)}], _ALIGNED)
+
+    def align_all(batches: Iterator[pa.RecordBatch], keys: list[str], last: bool) -> Iterator[pa.RecordBatch]:
+        for (host, *_), group in _grouped(batches, keys):
+            wrapper, mains, texts, first = None, {}, set(), 0
+            for row in group:
+                other = _load(row["part"])
+                wrapper, first = (align(wrapper, other), first) if wrapper else (other, row["skeleton"])
+                more = json.loads(row["more"])
+                mains |= more["mains"]
+                texts.update(more["texts"])
+            if last:
+                how = plan(wrapper, wrapper.pages)
+                yield pa.RecordBatch.from_pylist([{"host": host, "plan": json.dumps({"drop": how["drop"], "texts": sorted(texts.union(how["texts"])), "mains": mains})}])
+            else:
+                yield pa.RecordBatch.from_pylist([{"host": host, "skeleton": first, "part": _dump(wrapper), "more": json.dumps({"mains": mains, "texts": sorted(texts)})}], _ALIGNED)
+
+    kinds = "host string, skeleton long, part binary, more string"
+    folded = rows.select("host", "html").mapInArrow(fold_pages, "host string, skeleton long, part binary, seen array<long>")
+    equal = folded.repartition("host", "skeleton").sortWithinPartitions("host", "skeleton", "seen").mapInArrow(merge_equal, kinds)
+    salted = equal.withColumn("salt", F.pmod("skeleton", F.lit(SALTS))).repartition("host", "salt").sortWithinPartitions("host", "salt", "skeleton")
+    parts = salted.mapInArrow(lambda batches: align_all(batches, ["host", "salt"], False), kinds)
+    return parts.repartition("host").sortWithinPartitions("host", "skeleton").mapInArrow(lambda batches: align_all(batches, ["host"], True), "host string, plan string")
+
+
+def _signed(name: int) -> int:
+    return name - (1 << 64) if name >> 63 else name
+
+
+_ALIGNED = pa.schema([("host", pa.string()), ("skeleton", pa.int64()), ("part", pa.binary()), ("more", pa.string())])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) of every row: blocks joined by two line feeds, white space in a block made one space.
 
     Null or empty pages have the empty text.  A URL without a host (null too) shares one wrapper with its like.  Repeated rows stay
-    and are sampled once; an empty table gives an empty result; other columns are ignored.  Elements are never cut
+    and prove nothing; an empty table gives an empty result; other columns are ignored.  Elements are never cut
     short; nesting deeper than 150 is read as if it ended there.
     """
     spark = pages.sparkSession
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col).cast("string"), r"://([^/?#]*)", 1)), F.lit(""))
-    pick = F.xxhash64(F.col(id_col), F.col(url_col))
-    rows = pages.select(
-        F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"), host.alias("host"), pick.alias("pick")
-    )
-    # one page for each host and hash class, found on narrow rows and combined map-side; then its html
-    chosen = materialize(rows.groupBy("host", F.pmod("pick", F.lit(SAMPLE)).alias("bucket")).agg(F.min("pick").alias("pick")).select("host", "pick"))
-    sample = rows.select("host", "pick", "html").join(chosen, ["host", "pick"]).groupBy("host", "pick").agg(F.min("html").alias("html"))
-
-    def wrap(frame):
-        import pandas as pd
-
-        texts = frame["html"].tolist()
-        wrapper = infer(texts)
-        how = plan(wrapper, len(set(texts))) if wrapper else {"main": None, "drop": []}
-        return pd.DataFrame({"host": [frame["host"].iloc[0]], "plan": [json.dumps(how)]})
-
-    plans = materialize(sample.groupBy("host").applyInPandas(wrap, "host string, plan string"))
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"), host.alias("host"))
+    plans = materialize(_plans(rows))
     schema = f"id {pages.schema[id_col].dataType.simpleString()}, url {pages.schema[url_col].dataType.simpleString()}, text string, n_chars long"
     small = (plans.agg(F.sum(F.octet_length("host") + F.octet_length("plan"))).first()[0] or 0) <= MAX_PLANS
     shared = spark.sparkContext.broadcast(dict(plans.collect()) if small else {})
@@ -402,7 +529,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             texts = []
             for page, raw in zip(batch.column("html").to_pylist(), given):
                 if raw is not None and raw not in read:
-                    read[raw] = json.loads(raw)
+                    how = json.loads(raw)
+                    read[raw] = how | {"texts": frozenset(how["texts"])}
                 texts.append(extract(page, read.get(raw)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["id", "url", "text", "n_chars"]
