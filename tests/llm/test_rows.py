@@ -251,3 +251,24 @@ def test_html_copies_prove_nothing(spark):
     page = "<body><div class=a><p>the same words</p></div><div class=b>and these</div></body>"
     frame = spark.createDataFrame([(i, f"http://h.org/{i}", page) for i in range(20)], "page_id long, url string, html string").repartition(4)
     assert {r.text for r in html_text.main_text(frame).collect()} == {"the same words\n\nand these"}
+
+
+def test_html_marks_do_not_decide_alone():
+    """A marked element around the page's article, or most of its text, is read; other marked ones are not."""
+    article = "<article><h1>Head</h1><p>main text of the page</p></article>"
+    comments = "<div class='comments'><article class='comment'><p>a much longer comment than the text of the page itself is</p></article></div>"
+    for mark in ("layout has-sidebar", "with-banner", "menu-open", "social-history", "no-comments"):
+        assert html_text.extract(f"<body><div class='{mark}'>{article}<div class='share'>share</div>{comments}</div></body>", None) == "Head\n\nmain text of the page", mark
+    titled = f"<body><main><h1>T</h1><div class='layout has-sidebar'>{article.replace('main text', 'main text ' * 9)}</div></main></body>"
+    assert "main text of the page" in html_text.extract(titled, None)
+    assert html_text.extract(f"<body>{article}{comments}</body>", None) == "Head\n\nmain text of the page"
+    assert html_text.extract("<body><div class='menu-open'><p>all of the text is in here</p></div><div class='share'>share</div></body>", None) == "all of the text is in here"
+    assert html_text.extract("<body><p>the text of this page</p><div class='comments'><p>me too</p></div></body>", None) == "the text of this page"
+
+
+def test_html_template_in_articles(spark):
+    """A line that stands in the article of every page of a host goes, a line of some pages stays."""
+    page = "<body><article><h1>Head {0}</h1><p>text {0}</p>{1}<p>Subscribe to our letter</p><section class=discussion><p>Join in</p></section></article></body>"
+    rows = [(i, f"http://h.org/{i}", page.format(i, "<p>rare line</p>" * (i % 5 == 0))) for i in range(20)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {i: f"Head {i}\n\ntext {i}" + "\n\nrare line" * (i % 5 == 0) for i in range(20)}

@@ -11,8 +11,9 @@ Every page of a host takes part: pages of equal skeleton (their folded trees wit
 different skeletons of a host are aligned, in SALTS parts that are then aligned with each other.
 
 Each skeleton then says where its pages' main text is (the ``article``-like element whose slots hold the most text, else the
-body); the host's wrapper says what is template: elements whose text is mostly links, and, outside an article, texts that no page (or no page
-of a skeleton) changes.  Every page is read whole; a page that is all template is read by its own structure.
+body); the host's wrapper says what is template: elements whose text is mostly links, and texts that no page (or no page
+of a skeleton) changes.  An element with a class or id of MARKS is excluded, unless the page's only article is in it, or most of the text where there
+is no article.  Every page is read whole; a page that is all template is read by its own structure.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from .words import slices
 
 #: how many different pages prove a text outside an article to be template, in a host's wrapper and in a skeleton alone
 PROOF, SKELETON_PROOF = 3, 8
+#: and one in an article, if it stands on half of the wrapper's pages too
+ARTICLE_PROOF = 8
 #: parts in which the skeletons of a host are aligned, and the skeletons that a task holds before it sends them on
 SALTS, HELD = 64, 4096
 #: plans that may be broadcast, in bytes; beyond that pages are joined with them
@@ -80,13 +83,14 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "key", "never", "main", "kids")
+    __slots__ = ("tag", "key", "never", "marked", "main", "kids")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.kids = tag, []
         marks: set[str] = set()
         key = tag
         self.never, self.main = tag in NEVER, tag in MAIN
+        self.marked = False  # by its class or id only; the wrapper decides
         if attributes:
             for name, value in _ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), value.strip("\"'").lower()
@@ -100,8 +104,8 @@ class Node:
                 else:
                     self.never |= name == "hidden" or value == "true"
             if tag not in ("html", "body", *MAIN):
-                self.never |= bool(marks & MARKS)
-                self.main |= bool(marks & MAIN_MARKS) and tag in ("div", "section") and not self.never
+                self.marked = bool(marks & MARKS) and not self.never
+                self.main |= bool(marks & MAIN_MARKS) and tag in ("div", "section") and not self.never and not self.marked
         self.key = key
 
 
@@ -167,10 +171,10 @@ def parse(page: str) -> Node:
 class Part:
     """A part of a wrapper: an element (or a group, its key in brackets) with parts, or a text (key '#')."""
 
-    __slots__ = ("key", "parts", "text", "always", "optional", "repeated", "never", "main", "chars", "links", "pages")
+    __slots__ = ("key", "parts", "text", "always", "optional", "repeated", "never", "marked", "main", "chars", "links", "pages")
 
-    def __init__(self, key, never=False, main=False):
-        self.key, self.never, self.main = key, never, main
+    def __init__(self, key, never=False, main=False, marked=False):
+        self.key, self.never, self.main, self.marked = key, never, main, marked
         self.parts: list[Part] = []
         self.text: str | int | None = None  # of the template, or its hash; None: a slot (or no text)
         self.always: frozenset[int] = frozenset()  # hashes of the texts that each page with this part has in it
@@ -185,7 +189,7 @@ def _tidy(text: str) -> str:
 
 def fold(node: Node, link: bool = False) -> Part:
     """The wrapper of one page: its tree, repeated neighbours folded."""
-    part = Part(node.key, node.never, node.main)
+    part = Part(node.key, node.never, node.main, node.marked)
     parts = []
     for kid in node.kids:
         if isinstance(kid, str):
@@ -230,7 +234,7 @@ def _any_order(parts: list[Part]) -> list[Part]:
 
 def align(a: Part, b: Part, same_page: bool = False) -> Part:
     """One wrapper for both: common parts in order, the others optional, differing texts slots."""
-    out = Part(a.key, a.never, a.main)
+    out = Part(a.key, a.never, a.main, a.marked)
     out.optional, out.repeated = a.optional or b.optional, a.repeated or b.repeated
     out.chars, out.links = a.chars + b.chars, a.links + b.links
     out.pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
@@ -265,7 +269,7 @@ def align(a: Part, b: Part, same_page: bool = False) -> Part:
 def skeleton(part: Part) -> str:
     """The folded tree without its texts."""
     mark = "*" * part.repeated + "?" * part.optional
-    return f"#{mark}" if part.key == "#" else f"<{part.key}{mark} {int(part.never)}{int(part.main)}>{''.join(map(skeleton, part.parts))}</>"
+    return f"#{mark}" if part.key == "#" else f"<{part.key}{mark} {int(part.never)}{int(part.main)}{int(part.marked)}>{''.join(map(skeleton, part.parts))}</>"
 
 
 def merge(a: Part, b: Part) -> None:
@@ -286,16 +290,16 @@ def _seen(part: Part, pages: int) -> None:
 def _dump(part: Part) -> bytes:
     def flat(p: Part):
         text = xxhash.xxh3_64_intdigest(p.text) if isinstance(p.text, str) else p.text
-        return (p.key, p.never, p.main, p.optional, p.repeated, p.chars, p.links, p.pages, text, tuple(p.always), [flat(x) for x in p.parts])
+        return (p.key, p.never, p.main, p.marked, p.optional, p.repeated, p.chars, p.links, p.pages, text, tuple(p.always), [flat(x) for x in p.parts])
 
     return zlib.compress(pickle.dumps(flat(part), 5), 1)
 
 
 def _load(raw: bytes) -> Part:
     def build(f) -> Part:
-        p = Part(*f[:3])
-        p.optional, p.repeated, p.chars, p.links, p.pages, p.text = f[3:9]
-        p.always, p.parts = frozenset(f[9]), [build(x) for x in f[10]]
+        p = Part(*f[:4])
+        p.optional, p.repeated, p.chars, p.links, p.pages, p.text = f[4:10]
+        p.always, p.parts = frozenset(f[10]), [build(x) for x in f[11]]
         return p
 
     return build(pickle.loads(zlib.decompress(raw)))
@@ -316,11 +320,46 @@ def expression(part: Part) -> str:
     return f"( {body} )" + ("*" if part.optional else "+") if part.repeated else f"( {body} )?" if part.optional else body
 
 
-def _slot_chars(part: Part, different: int) -> int:
+def _slot_chars(part: Part, different: int, shut: frozenset = frozenset()) -> int:
     """Characters of a part that are no template and not excluded."""
     if part.key == "#":
         return 0 if part.text is not None and different >= PROOF and part.pages >= PROOF else part.chars
-    return 0 if part.never else sum(_slot_chars(p, different) for p in part.parts)
+    return 0 if part.never or part in shut else sum(_slot_chars(p, different, shut) for p in part.parts)
+
+
+def _has_article(part: Part) -> bool:
+    return not part.never and ((part.main and part.chars > 0) or any(_has_article(p) for p in part.parts))
+
+
+def _unmarked_chars(part: Part) -> int:
+    return part.chars if part.key == "#" else sum(_unmarked_chars(p) for p in part.parts if not (p.never or p.marked))
+
+
+def _shut(wrapper: Part, different: int) -> frozenset:
+    """The marked parts that are excluded: all but those with the page's only article-like parts or, without any such, most of its slot text."""
+    marked: list[Part] = []
+    todo, article = [wrapper], False
+    while todo:  # the outermost marked parts, and whether an article is outside of them
+        part = todo.pop()
+        if part.marked:
+            marked.append(part)
+        elif not part.never and part.key != "#":
+            chars = _unmarked_chars(part) if part.main else 0  # of a container only a title may be outside
+            article |= chars > 0 and (part.key.split(".")[0] == "article" or 10 * chars >= part.chars)
+            todo += part.parts
+    if not marked or article:
+        return frozenset(marked)
+    chars = _slot_chars(wrapper, different)
+    keep = [p for p in marked if not p.never and _has_article(p)]
+    keep = keep or [p for p in marked if 2 * _slot_chars(p, different) > chars and p.links < LINKS * p.chars]
+    out = set(marked).difference(keep)
+    for part in keep:
+        part.marked = False
+        try:
+            out |= _shut(part, different)
+        finally:
+            part.marked = True
+    return frozenset(out)
 
 
 def _mark(path: str, text: int) -> int:
@@ -331,35 +370,39 @@ def _mark(path: str, text: int) -> int:
 def plan(wrapper: Part, different: int, proof: int = PROOF) -> dict:
     """Where the main text is (a path of keys, or none), which paths are menus, and which texts at which paths are template."""
     best, best_chars, drop, texts = None, 0, [], set()
+    shut, opened = _shut(wrapper, different), []
     stack = [(wrapper, (wrapper.key,), False)]
     while stack:
         part, path, inside = stack.pop()
-        if part.never or part.key == "#":
+        if part.never or part in shut or part.key == "#":
             continue
+        if part.marked:
+            opened.append("/".join(path))
         if part.main and not inside:
-            chars = _slot_chars(part, different)
+            chars = _slot_chars(part, different, shut)
             # an article in a main element is the nearer one
-            inner = [p for p in part.parts if p.key.split(".")[0] == "article" and _slot_chars(p, different) * 2 > chars]
+            inner = [p for p in part.parts if p.key.split(".")[0] == "article" and _slot_chars(p, different, shut) * 2 > chars]
             if not inner and chars > best_chars:
                 best, best_chars = path, chars
             inside = not inner
         elif not inside and len(path) > 2 and part.chars and part.links >= LINKS * part.chars:
             drop.append("/".join(path))
-        if not inside:
-            texts.update(_mark("/".join(path), t) for p in part.parts if p.key == "#" and min(different, p.pages) >= proof for t in p.always)
+        # in an article a wrong proof loses main text: more pages, and most of the wrapper's
+        least = max(proof, ARTICLE_PROOF, different / 2) if inside else proof
+        texts.update(_mark("/".join(path), t) for p in part.parts if p.key == "#" and min(different, p.pages) >= least for t in p.always)
         stack += [(p, (*path, p.key), inside) for p in part.parts]
-    return {"main": "/".join(best) if best else None, "drop": sorted(set(drop)), "texts": sorted(texts)}
+    return {"main": "/".join(best) if best else None, "open": sorted(set(opened)), "drop": sorted(set(drop)), "texts": sorted(texts)}
 
 
 def _choices(part: Part) -> int:
-    """Elements of a wrapper that may hold the main text."""
-    return 0 if part.never else part.main + sum(_choices(p) for p in part.parts)
+    """Elements of a wrapper that may hold the main text, and marked ones."""
+    return 0 if part.never else part.main + part.marked + sum(_choices(p) for p in part.parts)
 
 
 # --- extraction
 
 
-def _blocks(node: Node, path: str, drop: frozenset, inside: bool, texts: frozenset = frozenset()) -> list[str]:
+def _blocks(node: Node, path: str, drop: frozenset, inside: bool, texts: frozenset = frozenset(), opened: frozenset = frozenset()) -> list[str]:
     """Texts of the blocks under a node, in page order, without the menus ``drop`` and the template's ``texts``."""
     out: list[str] = []
     held: list[str] = []
@@ -384,7 +427,7 @@ def _blocks(node: Node, path: str, drop: frozenset, inside: bool, texts: frozens
         if at.tag == "br":
             held.append(" ")
             continue
-        if at.never or (at.tag == "header" and not inside) or where in drop:
+        if at.never or (at.marked and where not in opened) or (at.tag == "header" and not inside) or where in drop:
             flush() if at.tag in BLOCKS else None
             continue
         block = at.tag in BLOCKS
@@ -396,11 +439,12 @@ def _blocks(node: Node, path: str, drop: frozenset, inside: bool, texts: frozens
     return out
 
 
-def _find(root: Node, path: list[str]) -> list[Node]:
+def _find(root: Node, path: list[str], opened: frozenset) -> list[Node]:
     """Elements at a path, not in excluded ones, in page order."""
-    level = [root]
+    level, where = [root], path[0]
     for key in path[1:]:
-        level = [k for n in level for k in n.kids if not isinstance(k, str) and k.key == key and not k.never]
+        where = f"{where}/{key}"
+        level = [k for n in level for k in n.kids if not isinstance(k, str) and k.key == key and not k.never and (not k.marked or where in opened)]
     return level
 
 
@@ -412,15 +456,16 @@ def extract(page: str | None, how: dict | None) -> str:
     folded = fold(root)
     own, how = plan(folded, 1), how or {}
     mains = how.get("mains")
-    main = (mains.get(str(xxhash.xxh3_64_intdigest(skeleton(folded)))) if mains else None) or own["main"]
+    mine = (mains.get(str(xxhash.xxh3_64_intdigest(skeleton(folded)))) if mains else None) or own
+    choices = [(c["main"], frozenset(c["open"])) for c in ((mine, own) if mine is not own else (own,))]
     template = frozenset(how.get("texts", ()))
     for texts in (template, frozenset()) if template else (template,):
-        for path in dict.fromkeys(p for p in (main, own["main"]) if p):
-            found = [b for n in _find(root, path.split("/")) for b in _blocks(n, path, frozenset(), True, texts)]
+        for path, opened in choices:
+            found = [b for n in _find(root, path.split("/"), opened) for b in _blocks(n, path, frozenset(), True, texts, opened)] if path else []
             if found:
                 return "\n\n".join(found)
-        drop = frozenset(own["drop"]) | frozenset(how.get("drop", ()) if not main else ())
-        found = _blocks(root, root.key, drop, False, texts)
+        drop = frozenset(own["drop"]) | frozenset(how.get("drop", ()) if not mine["main"] else ())
+        found = _blocks(root, root.key, drop, False, texts, choices[0][1])
         if found:
             break
     return "\n\n".join(found)
@@ -473,7 +518,7 @@ def _plans(rows: DataFrame) -> DataFrame:
                 part, seen = part or other, set(sorted(seen | set(row["seen"]))[:SKELETON_PROOF])
             _seen(part, len(seen))
             how = plan(part, len(seen), SKELETON_PROOF)
-            more = {"mains": {str(name % (1 << 64)): how["main"]} if how["main"] and _choices(part) > 1 else {}, "texts": how["texts"]}
+            more = {"mains": {str(name % (1 << 64)): {"main": how["main"], "open": how["open"]}} if (how["main"] or how["open"]) and _choices(part) > 1 else {}, "texts": how["texts"]}
             yield pa.RecordBatch.from_pylist([{"host": host, "skeleton": name, "part": _dump(part), "more": json.dumps(more)}], _ALIGNED)
 
     def align_all(batches: Iterator[pa.RecordBatch], keys: list[str], last: bool) -> Iterator[pa.RecordBatch]:
