@@ -141,12 +141,12 @@ def calibrate_jointly(counts: DataFrame, labels: DataFrame, risk: float = RISK,
     documents of all strata together admit; its bound then holds for all strata pooled.  Those strata share one test, so there are never more
     tests than strata, each at ``delta`` / strata.  A stratum with documents enough whose own test admits nothing has no row.
     """
-    good = counts.join(labels.filter("good").select("_id"), "_id").filter(f"NOT ({BASE})")
+    good = counts.join(labels.filter("good").select("_id"), "_id")  # no filter by BASE: the optimizer would copy the counting into it
     fails = [" OR ".join(f"100 * {RULES[rule][0]} > {cutoff} * {RULES[rule][1]}" for rule, cutoff in vector.items()) for vector in JOINT]
     tested = materialize(
         good.groupBy("stratum").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.array(*[F.struct(F.lit(step).alias("step"), F.count(F.when(F.expr(f), 1)).alias("k")) for step, f in enumerate(fails)]).alias("t"),
+            F.count(F.when(F.expr(f"NOT ({BASE})"), 1)).alias("n"),
+            F.array(*[F.struct(F.lit(step).alias("step"), F.count(F.when(F.expr(f"NOT ({BASE}) AND ({f})"), 1)).alias("k")) for step, f in enumerate(fails)]).alias("t"),
         )
     )
     strata = materialize(counts.select("stratum").distinct())
