@@ -103,10 +103,61 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+#: unsigned crc32 (reflected polynomial 0xEDB88320) of a text of ASCII characters
+CRC32 = """xor(list_reduce(list_concat([4294967295], list_transform(range(1, length({s}) + 1), lambda i: ord(substr({s}, i, 1))::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def _part(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR) || ':' || {column} END"
+
+
+def _levels(name: str, base: str) -> str:
+    """All levels of the trees of ``base`` (lang, idx, hash): (lang, level, idx, hash)."""
+    return f"""{name}(lang, level, idx, hash, n) AS (
+    SELECT lang, 0, idx, hash, count(*) OVER (PARTITION BY lang) FROM {base}
+    UNION ALL
+    SELECT lang, level + 1, idx // 2, sha256(string_agg(hash, '' ORDER BY idx)), (n + 1) // 2 FROM {name} WHERE n > 1 GROUP BY lang, level, idx // 2, n
+)"""
+
+
+def _climb(name: str, levels: str, start: str) -> str:
+    """Every row of ``start`` (doc_id, lang, idx, hash) folded with its siblings up its tree; the proof grows with them."""
+    return f"""{name}(doc_id, lang, level, idx, hash, proof, n) AS (
+    SELECT s.doc_id, s.lang, 0, s.idx, s.hash, s.proof, l.n FROM {start} s JOIN {levels} l ON l.lang IS NOT DISTINCT FROM s.lang AND l.level = 0 AND l.idx = s.idx
+    UNION ALL
+    SELECT c.doc_id, c.lang, c.level + 1, c.idx // 2, sha256(CASE WHEN c.idx % 2 = 1 THEN coalesce(l.hash, '') || c.hash ELSE c.hash || coalesce(l.hash, '') END),
+        c.proof || coalesce(l.hash, ''), (c.n + 1) // 2
+    FROM {name} c LEFT JOIN {levels} l ON l.lang IS NOT DISTINCT FROM c.lang AND l.level = c.level AND l.idx = xor(c.idx, 1) WHERE c.n > 1
+)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, lang, sha256({" || ".join(_part(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS hash,
+        sha256({" || ".join(_part(c) for c in ("doc_id", "source", "lang", "changed", "text"))}) AS presented
+    FROM (SELECT *, CASE WHEN {CRC32.format(s="doc_id::VARCHAR")} % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS changed FROM documents)
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, hash) - 1 AS idx FROM leaves),
+{_levels("lower", "placed")},
+subroots AS (SELECT lang, hash, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS turn FROM lower WHERE n = 1),
+tops AS (SELECT '' AS lang, turn AS idx, hash FROM subroots),
+{_levels("upper", "tops")},
+begin AS (SELECT doc_id, lang, idx, presented AS hash, '' AS proof FROM placed),
+{_climb("climb", "lower", "begin")},
+turned AS (SELECT c.doc_id, '' AS lang, s.turn AS idx, c.hash, c.proof, s.hash AS subroot FROM climb c JOIN subroots s ON s.lang IS NOT DISTINCT FROM c.lang WHERE c.n = 1),
+{_climb("rise", "upper", "turned")},
+root AS (SELECT hash FROM upper WHERE n = 1)
+SELECT doc_id, p.hash AS leaf, t.subroot, r.hash AS root, sha256(f.proof) AS proof_sha256, f.hash AS folded_root, f.hash = r.hash AS verified
+FROM rise f JOIN placed p USING (doc_id) JOIN turned t USING (doc_id), root r WHERE f.n = 1
+"""
+
+
 ORACLE_SQL = {
     "op2_url_filters": URL_FILTERS,
     "op3_ngram_join": NGRAM_JOIN,
     "op7_line_dedup": LINE_DEDUP,
     "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_quality_rules": _quality(),
+    "op11_merkle_manifest": MERKLE,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import decontaminate, html_text, lines, ngram_join, pieces, quality, sharding, substring, token_files, urls
+from . import decontaminate, html_text, lines, merkle, ngram_join, pieces, quality, sharding, substring, token_files, urls
 from .oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -68,6 +68,13 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{checkpoint_dir(spark)}/manifest-{uuid.uuid4()}"  # shared by all executors
+    leaf = merkle.digest(*[F.col(c) for c in merkle.LEAF])
+    manifest = merkle.build_manifest(_table(spark, sf_dir, "documents"), path, leaf, merkle.tampered_leaf())
+    return merkle.verify(manifest).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_url_filters": op2_url_filters,
@@ -79,4 +86,5 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
