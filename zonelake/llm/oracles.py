@@ -153,6 +153,37 @@ FROM rise f JOIN placed p USING (doc_id) JOIN turned t USING (doc_id), root r WH
 """
 
 
+PREFIX_TRIE = f"""
+WITH turns AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS p, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT DISTINCT c, c - c % 20 AS head, {CRC32.format(s="c::VARCHAR")} % 4 AS h FROM turns),
+rebuilt AS (
+    SELECT c, 0 AS own, p, role, text FROM convs JOIN turns USING (c) WHERE p >= h
+    UNION ALL SELECT v.c, -1, t.p, t.role, t.text FROM convs v JOIN turns t ON t.c = v.head WHERE t.p < v.h
+),
+paths AS (
+    SELECT c, row_number() OVER w AS d, list(struct_pack(role := role, text := text)) OVER w AS path, text FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY own, p)
+    UNION ALL SELECT c, 0, [], '' FROM convs
+),
+named AS (SELECT c, d, CASE WHEN d = 0 THEN '' ELSE sha256(path::VARCHAR) END AS name, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS w FROM paths),
+ends AS (
+    SELECT name, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends FROM named JOIN (SELECT c, max(d) AS d FROM named GROUP BY c) USING (c, d) GROUP BY name
+),
+nodes AS (SELECT name, min(c) AS c, any_value(d) AS d, count(*) AS n, any_value(w) AS w FROM named GROUP BY name),
+up AS (SELECT v.name, v.c, v.d, v.n, v.w, u.name AS above FROM nodes v LEFT JOIN named u ON u.c = v.c AND u.d = v.d - 1),
+kids AS (SELECT above AS name, count(*) AS k FROM up WHERE above IS NOT NULL GROUP BY above),
+below AS (
+    SELECT u.name, sum((v.n - 1) * v.w)::BIGINT AS saved, count(*) FILTER (WHERE k IS NULL) AS leaves
+    FROM nodes v JOIN named u ON u.c = v.c AND u.d <= v.d LEFT JOIN kids k ON k.name = v.name GROUP BY u.name
+)
+SELECT v.c AS conv_id, v.d AS depth, u.c AS parent_conv_id, v.n AS n_convs, coalesce(k, 0) AS n_children, leaves AS n_leaves, saved AS saved_tokens,
+    coalesce(e.ends, sha256('')) AS ends_sha256
+FROM up v LEFT JOIN nodes u ON u.name = v.above LEFT JOIN kids USING (name) JOIN below b ON b.name = v.name LEFT JOIN ends e ON e.name = v.name
+"""
+
+
 ORACLE_SQL = {
     "op2_url_filters": URL_FILTERS,
     "op3_ngram_join": NGRAM_JOIN,
@@ -160,4 +191,5 @@ ORACLE_SQL = {
     "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_quality_rules": _quality(),
     "op11_merkle_manifest": MERKLE,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

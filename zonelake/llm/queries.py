@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import decontaminate, html_text, lines, merkle, ngram_join, pieces, quality, sharding, substring, token_files, urls
+from . import decontaminate, html_text, lines, merkle, ngram_join, pieces, prefix_trie, quality, sharding, substring, token_files, urls
 from .oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -75,6 +75,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(manifest).withColumnRenamed("id", "doc_id")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_url_filters": op2_url_filters,
@@ -87,4 +91,5 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }

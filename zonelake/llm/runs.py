@@ -44,17 +44,25 @@ def powers(n: np.ndarray) -> np.ndarray:
     return out
 
 
-def _scan(key: str, names: list[str], sums: list[str], carry: dict):
+def _scan(key: str, names: list[str], sums: list[str], carry: dict, after: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, n0, held = None, 0, {c: 0 for c in names + sums}
+        last, n0, held, part, waiting = None, 0, {c: 0 for c in names + sums}, None, None
+
+        def ended(out: dict, next_key) -> pa.RecordBatch:
+            flags = np.concatenate([out.pop("_new")[1:], [next_key is None or next_key != last]])
+            return pa.RecordBatch.from_pydict(out | {"last": pa.array(flags)})
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             keys = batch.column(key)
-            if last is None:
-                before = carry.get(batch.column("part")[0].as_py())
+            if part is None:
+                part = batch.column("part")[0].as_py()
+                before = carry.get(part)
                 if before is not None:  # always of the partition's first run
                     last, n0, held = before["key"], before["n"], {c: before[c] for c in names + sums}
+            if waiting is not None:
+                yield ended(waiting, keys[0].as_py())
             new = np.ones(len(keys), dtype=bool)
             new[1:] = pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1)).to_numpy(zero_copy_only=False)
             new[0] = keys[0].as_py() != last
@@ -68,45 +76,55 @@ def _scan(key: str, names: list[str], sums: list[str], carry: dict):
             out = {c: batch.column(c) for c in batch.schema.names}
             for c in names + sums:
                 x = batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                total = np.cumsum(x * powers(pos) if c in names else x, dtype=np.uint64)
+                x = x * powers(pos) if c in names else x
+                total = np.cumsum(x, dtype=np.uint64)
                 value = total - np.concatenate([[np.uint64(0)], total])[begin][run_of]
                 if goes_on:
                     value[run_of == 0] += np.uint64(held[c])
                 out[c] = pa.array(value.view(np.int64))
+                out[f"{c}_before"] = pa.array((value - x).view(np.int64))
                 held[c] = int(value[-1])
             last, n0 = keys[-1].as_py(), int(pos[-1]) + 1
-            yield pa.RecordBatch.from_pydict(out | {"pos": pa.array(pos.astype(np.int64))})
+            waiting = out | {"pos": pa.array(pos.astype(np.int64)), "_new": new}
+        if waiting is not None:
+            yield ended(waiting, after.get(part))
 
     return run
 
 
 def number_runs(rows: DataFrame, key: str, names: tuple[str, ...] = (), sums: tuple[str, ...] = ()) -> DataFrame:
-    """``rows`` (of ``sorted_rows``) with ``pos``, the position from 0 in the run of ``key`` (not null).
+    """``rows`` (of ``sorted_rows``) with ``pos``, the position from 0 in the run of ``key`` (not null), and ``last``, whether
+    the run ends there.
 
     A column of ``sums`` (long) becomes its running sum within the run; one of ``names`` becomes the sum of its values times
     powers of BASE by position, modulo 2^64: random values (digests) thus give equal names to equal prefixes only.
+    ``<column>_before`` is the value without the row's own.
     """
     cols, given = rows.columns, [*names, *sums]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", pos long"
+    added = [f"{c}_before" for c in given] + ["pos", "last"]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields] + [f"`{c}` {'boolean' if c == 'last' else 'long'}" for c in added])
 
-    def scan(carry: dict) -> DataFrame:
-        return rows.mapInArrow(_scan(key, list(names), list(sums), carry), schema)
+    def scan(carry: dict, after: dict) -> DataFrame:
+        return rows.mapInArrow(_scan(key, list(names), list(sums), carry, after), schema)
 
     ends = (
-        scan({})
+        scan({}, {})
         .groupBy("part")
-        .agg(F.min_by(key, "at").alias("first"), F.max_by(F.struct(F.col(key).alias("key"), (F.col("pos") + 1).alias("n"), *given), "at").alias("last"))
+        .agg(F.min_by(key, "at").alias("first"), F.max_by(F.struct(F.col(key).alias("key"), (F.col("pos") + 1).alias("n"), *given), "at").alias("end"))
         .collect()  # a row a partition
     )
-    carry, state = {}, None
+    carry, after, state, before = {}, {}, None, None
     for e in sorted(ends, key=lambda e: e["part"]):
-        last = e["last"].asDict()
+        end = e["end"].asDict()
+        if before is not None:
+            after[before] = e["first"]
+        before = e["part"]
         if state is not None and state["key"] == e["first"]:
             carry[e["part"]] = state
-            if last["key"] == e["first"]:  # one run only: it goes on
+            if end["key"] == e["first"]:  # one run only: it goes on
                 factor = pow(BASE, state["n"], 1 << 64)
                 for c in given:
-                    last[c] = (state[c] + (last[c] * factor if c in names else last[c])) & _WRAP
-                last["n"] += state["n"]
-        state = last | {c: last[c] & _WRAP for c in given}
-    return scan(carry).select(*cols, "pos")
+                    end[c] = (state[c] + (end[c] * factor if c in names else end[c])) & _WRAP
+                end["n"] += state["n"]
+        state = end | {c: end[c] & _WRAP for c in given}
+    return scan(carry, after).select(*cols, *added)
