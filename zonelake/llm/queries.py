@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import decontaminate, html_text, lines, merkle, ngram_join, pieces, prefix_trie, quality, sharding, substring, token_files, urls
+from . import decontaminate, fingerprints, html_text, lines, merkle, ngram_join, pieces, prefix_trie, quality, sharding, substring, token_files, urls
 from .oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -75,6 +75,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(manifest).withColumnRenamed("id", "doc_id")
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return fingerprints.compare_neighbours(docs, fingerprints.rarity(docs))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.build_trie(_table(spark, sf_dir, "conversations"))
 
@@ -91,5 +96,6 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_fingerprints": op12_fingerprints,
     "op13_prefix_trie": op13_prefix_trie,
 }
