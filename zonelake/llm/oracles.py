@@ -180,7 +180,7 @@ below AS (
 )
 SELECT v.c AS conv_id, v.d AS depth, u.c AS parent_conv_id, v.n AS n_convs, coalesce(k, 0) AS n_children, leaves AS n_leaves, saved AS saved_tokens,
     coalesce(e.ends, sha256('')) AS ends_sha256
-FROM up v LEFT JOIN nodes u ON u.name = v.above LEFT JOIN kids USING (name) JOIN below b ON b.name = v.name LEFT JOIN ends e ON e.name = v.name
+FROM up v LEFT JOIN nodes u ON u.name = v.above LEFT JOIN kids q ON q.name = v.name JOIN below b ON b.name = v.name LEFT JOIN ends e ON e.name = v.name
 """
 
 
