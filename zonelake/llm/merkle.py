@@ -5,8 +5,8 @@
    of them, a stored row that links to that node and holds the siblings on the way.  So no group is larger than 2^bits rows
    and every pass has 1/2^bits of the rows of the one before.
 3. The groups' roots, sorted, go through the same passes; a group's root is a row of its own, which links into the tree above.
-4. ``verify`` climbs with a Spark recursive query: a row per leaf joins the row it links to, appends that row's siblings and
-   folds them into the hash it presents, until nothing is above.  With bits=1 a step is one level; with 8 it is eight.
+4. ``verify`` climbs with Spark recursive queries: a row joins the row it links to, appends that row's siblings or folds
+   them into the hash it presents, until nothing is above.  With bits=1 a step is one level; with 8 it is eight.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .runs import number_runs, sorted_rows
@@ -24,8 +24,8 @@ from .runs import number_runs, sorted_rows
 LEAF = ("doc_id", "source", "lang", "n_chars", "text")
 #: levels per stored row
 BITS = 8
-#: rows above the leaves that the climb may broadcast (under 800 bytes each: a hash, its links and at most BITS siblings)
-BROADCAST_NODES = 1 << 16
+#: rows above the leaves that the climb may broadcast (under 4 KB each: a hash, its links and at most 40 or so siblings)
+BROADCAST_NODES = 1 << 14
 #: no session may cut the recursion: one row per leaf and step is made
 ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 
@@ -156,34 +156,69 @@ _FOLD = """aggregate(transform({p}, (s, i) -> named_struct('s', s, 'left', shift
     (h, x) -> sha2(CASE WHEN x.s = '' THEN h WHEN x.left THEN concat(x.s, h) ELSE concat(h, x.s) END, 256))"""
 
 
+_LINK = "n.tree = c.up_tree AND n.level = c.up_level AND n.idx = c.up_idx"
+
+
+def _climb(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
+    """The result of a recursive query, stored in the checkpoint folder."""
+    before = spark.conf.get(ROW_LIMIT, None)
+    spark.conf.set(ROW_LIMIT, "-1")
+    try:
+        return spark.sql(query, **frames).checkpoint(eager=True)
+    finally:
+        spark.conf.set(ROW_LIMIT, before) if before is not None else spark.conf.unset(ROW_LIMIT)
+
+
 def verify(manifest: Manifest) -> DataFrame:
-    """(id, leaf, subroot, root, proof_sha256, folded_root, verified) of every leaf, by a recursive climb of the stored rows.
+    """(id, leaf, subroot, root, proof_sha256, folded_root, verified) of every leaf, by recursive climbs of the stored rows.
 
     ``folded_root`` is what the presented hash folds to, and ``verified`` whether that is the root; ``proof_sha256`` is the digest
-    of all siblings from the leaf up to the root.  The rows above the leaves (1/2^bits of them) are broadcast up to
-    BROADCAST_NODES and joined by their keys beyond it.  The result is stored in the checkpoint folder.
+    of all siblings from the leaf up to the root.  Leaves below one stored row have the same siblings from there on: a first
+    climb appends them once per such row, a second one starts from every leaf and folds, so what travels from step to step is a
+    row of bounded size.  The rows above the leaves (1/2^bits of them) are broadcast up to BROADCAST_NODES and
+    joined by their keys beyond it.
     """
     spark = manifest.leaves.sparkSession
     hint = "/*+ BROADCAST(n) */" if manifest.n_nodes <= BROADCAST_NODES else ""
-    query = f"""
-    WITH RECURSIVE climb(row, leaf, up_tree, up_level, up_idx, folded, proof, subroot) AS (
-        SELECT row, hash, up_tree, up_level, up_idx, {_FOLD.format(p="path", i="idx", h="row.presented")}, array_join(path, ''), CAST(NULL AS STRING)
-        FROM {{leaves}}
-        UNION ALL
-        SELECT {hint} c.row, c.leaf, n.up_tree, n.up_level, n.up_idx, {_FOLD.format(p="n.path", i="n.turn", h="c.folded")},
-            concat(c.proof, array_join(n.path, '')), CASE WHEN n.level = -1 THEN n.hash ELSE c.subroot END
-        FROM climb c JOIN {{nodes}} n ON n.tree = c.up_tree AND n.level = c.up_level AND n.idx = c.up_idx
+    ways = _climb(
+        spark,
+        f"""
+        WITH RECURSIVE climb(tree, level, idx, up_tree, up_level, up_idx, siblings) AS (
+            SELECT n.tree, n.level, n.idx, up_tree, up_level, up_idx, path FROM {{nodes}} n
+            UNION ALL
+            SELECT {hint} c.tree, c.level, c.idx, n.up_tree, n.up_level, n.up_idx, concat(c.siblings, n.path) FROM climb c JOIN {{nodes}} n ON {_LINK}
+        )
+        SELECT tree, level, idx, array_join(siblings, '') AS proof FROM climb WHERE up_tree IS NULL
+        """,
+        nodes=manifest.nodes,
+    )
+    fold = _FOLD.format(p="path", i="c.idx", h="row.presented"), _FOLD.format(p="n.path", i="n.turn", h="lower(hex(c.folded))")
+    climbed = _climb(
+        spark,
+        f"""
+        WITH RECURSIVE climb(id, leaf, proof, up_tree, up_level, up_idx, folded, subroot) AS (
+            SELECT {hint} row.id, unhex(hash), unhex(sha2(concat(array_join(path, ''), n.proof), 256)), up_tree, up_level, up_idx, unhex({fold[0]}), CAST(NULL AS BINARY)
+            FROM {{leaves}} c JOIN {{ways}} n ON {_LINK}
+            UNION ALL
+            SELECT {hint} c.id, c.leaf, c.proof, n.up_tree, n.up_level, n.up_idx, unhex({fold[1]}), CASE WHEN n.level = -1 THEN unhex(n.hash) ELSE c.subroot END
+            FROM climb c JOIN {{nodes}} n ON {_LINK}
+        )
+        SELECT id, leaf, subroot, proof, folded FROM climb WHERE up_tree IS NULL
+        """,
+        leaves=manifest.leaves,
+        ways=ways,
+        nodes=manifest.nodes,
+    )
+    root, text = F.lit(manifest.root).cast("string"), lambda c: F.lower(F.hex(c))
+    return climbed.select(
+        "id",
+        text("leaf").alias("leaf"),
+        text("subroot").alias("subroot"),
+        root.alias("root"),
+        text("proof").alias("proof_sha256"),
+        text("folded").alias("folded_root"),
+        (text("folded") == root).alias("verified"),
     )
-    SELECT row.id AS id, leaf, subroot, sha2(proof, 256) AS proof_sha256, folded AS folded_root FROM climb WHERE up_tree IS NULL AND subroot IS NOT NULL
-    """
-    before = spark.conf.get(ROW_LIMIT, None)
-    spark.conf.set(ROW_LIMIT, "-1")
-    try:
-        climbed = spark.sql(query, leaves=manifest.leaves, nodes=manifest.nodes).checkpoint(eager=True)
-    finally:
-        spark.conf.set(ROW_LIMIT, before) if before is not None else spark.conf.unset(ROW_LIMIT)
-    root = F.lit(manifest.root).cast("string")
-    return climbed.select("id", "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root", (F.col("folded_root") == root).alias("verified"))
 
 
 def tampered_leaf(id_col: str = "doc_id", columns: tuple[str, ...] = LEAF, changed: str = "n_chars", every: int = 7) -> Column:
