@@ -108,3 +108,52 @@ def test_landing_stats_over_several_files_and_single_file_table(spark, tmp_dir):
     table = register_landing(spark, "single_landing", "customer_landing", schemas.CUSTOMER, paths["customer_landing"])
     assert table.count() == 5
     assert table.where("shareWithResearchAsOfDate is null").count() == 1
+
+
+def _scan(df):
+    """The physical plan as text."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_json_source_parses_once_and_takes_the_consent_filter(spark, tmp_dir):
+    from zonelake.operators.filters import consent_filter
+
+    paths = write_landing(tmp_dir)
+    read = lower_columns(read_landing(spark, paths["customer_landing"], schemas.CUSTOMER, required=schemas.REQUIRED_KEYS["customer_landing"]))
+    plan = _scan(consent_filter(read).select("email"))
+    assert "FileScan json" in plan and "PushedFilters: [IsNotNull(shareWithResearchAsOfDate)]" in plan
+    assert "ReadSchema: struct<email:string,shareWithResearchAsOfDate:string>" in plan and "from_json" not in plan
+    table = register_landing(spark, "scan_landing", "customer", schemas.CUSTOMER, paths["customer_landing"])
+    assert "PushedFilters: [IsNotNull(shareWithResearchAsOfDate)]" in _scan(table.where("shareWithResearchAsOfDate IS NOT NULL"))
+    assert rows(consent_filter(read)) == rows(consent_filter(lower_columns(read_landing(spark, paths["customer_landing"], schemas.CUSTOMER, exact_keys=True))))
+
+
+def test_files_of_different_spellings_and_a_late_change(spark, tmp_dir):
+    """Several spellings: every line's keys are compared; one that changes after the first records needs ``exact_keys``."""
+    folder = os.path.join(tmp_dir, "mixed")
+    os.makedirs(folder)
+    for name, keys in (("a", ("user", "timestamp")), ("b", ("USER", "TimeStamp"))):
+        with open(os.path.join(folder, f"{name}.json"), "w") as fh:
+            fh.write("\n".join(json.dumps({keys[0]: name, keys[1]: i}) for i in range(3)) + "\n{broken\n")
+    got = read_landing(spark, folder, schemas.ACCELEROMETER, required=["user"], keep_corrupt=True)
+    assert rows(got, "user", "timestamp", "_corrupt_record") == [(None, None, "{broken")] * 2 + [(n, i, None) for n in "ab" for i in range(3)]
+    table = register_landing(spark, "mixed_landing", "accelerometer", schemas.ACCELEROMETER, folder)
+    assert table.where("user = 'b'").count() == 3
+    late = os.path.join(tmp_dir, "late.json")
+    with open(late, "w") as fh:
+        fh.write("\n".join(json.dumps({"user" if i < 1500 else "User": "u", "timestamp": i}) for i in range(1600)))
+    assert read_landing(spark, late, schemas.ACCELEROMETER, exact_keys=True).where("user IS NULL").count() == 0
+
+
+def test_both_ways_of_reading_agree(spark, tmp_dir):
+    """Values that do not fit, escapes, nested values and malformed lines: the JSON source and the map give equal rows."""
+    path = os.path.join(tmp_dir, "odd.json")
+    lines = ['{"user": "a\\u00e9\\n\\"b", "timestamp": "soon", "x": "1e3", "y": true, "z": 5}', '{"user": {"k":[1,2]}, "timestamp": 12.0, "x": 0.10}', "  ", "[1]", "3", "{}",
+             '{"user": null, "timestamp": 9223372036854775808, "x": -0.0}', '{"user": "cut', '{"user": 1.5, "z": 1E2}']
+    with open(path, "w") as fh:
+        fh.write("\n".join(lines))
+    one = read_landing(spark, path, schemas.ACCELEROMETER)
+    other = read_landing(spark, path, schemas.ACCELEROMETER, exact_keys=True)
+    assert "FileScan json" in _scan(one) and "FileScan text" in _scan(other)
+    assert rows(one.where("user IS NOT NULL")) == rows(other.where("user IS NOT NULL"))
+    assert rows(one) == rows(other)
