@@ -91,33 +91,33 @@ def test_snapshot_as_of_latest_equals_current(spark):
     assert rows(changelog.snapshot(log, "k", "o", as_of=2)) == [("a", 0), ("b", 1)]
 
 
-def test_a_failed_read_of_the_records_is_an_error(spark, store, monkeypatch):
-    """Only a missing folder means an empty table; nothing is ever overwritten."""
-    import zonelake.sinks.zone as zone
-
+def test_a_failed_read_of_the_commits_is_an_error(spark, store):
+    """Only a missing folder means an empty table; a finished commit is never written again."""
     row = lambda k: spark.createDataFrame([(k, 1)], "k string, o long")
     for k in "ab":
         store.write(row(k), "trusted", "t", "k", "o", mode="upsert")
-    with monkeypatch.context() as m:
-        m.setattr(zone, "_list", lambda *_: (_ for _ in ()).throw(OSError("store not reachable")))
-        with pytest.raises(OSError):
-            store.write(row("c"), "trusted", "t", "k", "o", mode="upsert")
-    with monkeypatch.context() as m:
-        m.setattr(zone, "COMMITS_SCHEMA", "no schema at all (")
-        with pytest.raises(Exception):
-            store.write(row("c"), "trusted", "t", "k", "o", mode="upsert")
+    bad = f"{store.path('trusted', 't')}/commits/part-bad.parquet"
+    with open(bad, "w") as fh:
+        fh.write("no parquet")
+    with pytest.raises(Exception, match="part-bad|not a Parquet"):
+        store.write(row("c"), "trusted", "t", "k", "o", mode="upsert")
+    os.remove(bad)
     assert store.write(row("c"), "trusted", "t", "k", "o", mode="upsert") == 3
     assert rows(store.read(spark, "trusted", "t"), "k") == [("a",), ("b",), ("c",)]
     assert [c.commit for c in store.commits(spark, "trusted", "t")] == [1, 2, 3]
 
 
-def test_leftovers_of_a_crashed_writer_are_skipped(spark, store):
+def test_leftovers_of_a_crashed_writer_are_not_read(spark, store):
+    """Rows of a commit that was not finished are neither read nor kept when its number is written."""
     frame = spark.createDataFrame([("a", 1)], "k string, o long")
     store.write(frame, "trusted", "t", "k", "o")
-    frame.write.parquet(f"{store.path('trusted', 't')}/data/2-crashed")
-    os.makedirs(f"{store.path('trusted', 't')}/_commits/2/_temporary")
-    assert store.write(frame, "trusted", "t", "k", "o", mode="upsert") == 3
-    assert store.read(spark, "trusted", "t").count() == 1
+    crashed = spark.createDataFrame([("z", 9, False)], "k string, o long, _deleted boolean")
+    crashed.write.parquet(f"{store.path('trusted', 't')}/rows/_commit=2")
+    os.makedirs(f"{store.path('trusted', 't')}/commits/_temporary/0")
+    table = f"{store.zones.database('trusted')}.t"
+    assert rows(store.read(spark, "trusted", "t")) == rows(spark.table(table)) == [("a", 1)]
+    assert store.write(frame.selectExpr("'b' AS k", "o"), "trusted", "t", "k", "o", mode="upsert") == 2
+    assert rows(store.read(spark, "trusted", "t"), "k") == rows(spark.table(table), "k") == [("a",), ("b",)]
 
 
 def test_replace_begins_a_new_schema(spark, store):
@@ -173,3 +173,65 @@ def test_a_batch_is_committed_once(spark, store):
     assert store.write(frame, "trusted", "t", "k", "o", mode="upsert", batch="stream#0") == 1
     assert store.write(frame, "trusted", "t", "k", "o", mode="upsert", batch="stream#0") == 1
     assert store.write(frame, "trusted", "t", "k", "o", mode="upsert", batch="stream#1") == 2
+
+
+def test_types_widen_over_commits_and_others_are_refused(spark, store):
+    """int to bigint and float to double, in either order; the rows of earlier commits are read in the wider type."""
+    commits = [("a", 1, 5, 0.5, "k string, o long, v int, w float"), ("b", 1, 1 << 40, 0.1, "k string, o long, v long, w double"), ("c", 1, 7, 0.25, "k string, o long, v smallint, w float")]
+    for k, o, v, w, schema in commits:
+        store.write(spark.createDataFrame([(k, o, v, w)], schema), "trusted", "t", "k", "o", mode="upsert")
+    table = spark.table(f"{store.zones.database('trusted')}.t")
+    want = [("a", 1, 5, 0.5), ("b", 1, 1 << 40, 0.1), ("c", 1, 7, 0.25)]
+    assert rows(store.read(spark, "trusted", "t")) == rows(table) == want
+    assert dict(table.dtypes)["v"] == "bigint" and dict(table.dtypes)["w"] == "double"
+    assert dict(store.read(spark, "trusted", "t", as_of=1).dtypes)["v"] == "int"
+    for other in ("v string", "v double", "v boolean"):
+        with pytest.raises(ValueError, match="column v is bigint"):
+            store.write(spark.createDataFrame([("d", 1, None)], f"k string, o long, {other}"), "trusted", "t", "k", "o", mode="upsert")
+    assert len(store.commits(spark, "trusted", "t")) == 3
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_table_functions_and_pruned_partitions(spark, store):
+    """As of and changes as SQL functions, equal to the reads; only the wanted commits' partitions are listed."""
+    for n, k in enumerate("abca", 1):
+        store.write(spark.createDataFrame([(k, n)], "k string, o long"), "trusted", "t", "k", "o", mode="upsert")
+    store.delete(spark.createDataFrame([("b",)], "k string"), "trusted", "t")
+    db = store.zones.database("trusted")
+    for n in range(6):
+        got = rows(spark.sql(f"SELECT k, o FROM {db}__t__as_of({n})"))
+        assert got == (rows(store.read(spark, "trusted", "t", as_of=n)) if n else [])
+        columns = "k, o, _commit, _deleted"
+        assert rows(spark.sql(f"SELECT {columns} FROM {db}__t__changes({n})")) == rows(store.changes(spark, "trusted", "t", since=n).select(*columns.split(", ")))
+    for df in (store.read(spark, "trusted", "t", as_of=2), spark.sql(f"SELECT * FROM {db}__t__as_of(2)")):
+        assert "_commit" in _plan(df).split("PartitionFilters: [")[1].split("]")[0]
+        assert sorted({f.split("_commit=")[1].split("/")[0] for f in df.inputFiles()}) >= ["1", "2"]
+    changed = store.changes(spark, "trusted", "t", since=3)
+    assert "PartitionFilters: [isnotnull(_commit" in _plan(changed)
+
+
+def test_the_layout_of_partitions_is_the_tables(spark, store):
+    frame = spark.createDataFrame([("a", 1, "p")], "k string, o long, part string")
+    store.write(frame, "trusted", "t", "k", "o", partition_by="part")
+    with pytest.raises(ValueError, match="is partitioned by"):
+        store.write(frame, "trusted", "t", "k", "o", partition_by="o")
+    store.write(frame.selectExpr("'b' AS k", "o", "part"), "trusted", "t", "k", "o", mode="upsert")
+    assert rows(store.read(spark, "trusted", "t"), "k", "part") == [("a", "p"), ("b", "p")]
+
+
+def test_partitions_of_the_batch_are_replaced_and_no_others(spark, tmp_dir):
+    from zonelake.sinks.partitions import read_partitions, replace_partitions
+
+    schema = "k string, o long, part string"
+    name, path = f"p{os.path.basename(tmp_dir)[-6:].lower().replace('-', '_')}_trusted.parts", os.path.join(tmp_dir, "t")
+    put = lambda data: replace_partitions(spark.createDataFrame(data, schema), path, "part", "k", "o", name=name)
+    put([("a", 1, "007"), ("a", 2, "007"), ("b", 1, "x"), ("c", 1, None)])
+    assert rows(spark.table(name)) == [("a", 2, "007"), ("b", 1, "x"), ("c", 1, None)]
+    put([("d", 1, "007"), ("e", 1, None), ("f", 1, "new")])
+    put([])
+    want = [("b", 1, "x"), ("d", 1, "007"), ("e", 1, None), ("f", 1, "new")]
+    assert rows(spark.table(name)) == rows(read_partitions(spark, path, spark.createDataFrame([], schema).schema)) == want
+    assert "PartitionFilters: [isnotnull(part" in _plan(spark.table(name).where("part = 'x'"))

@@ -20,9 +20,10 @@ from zonelake.operators.dedup import distinct_rows, keep_latest
 from zonelake.operators.filters import consent_filter
 from zonelake.operators.projection import lower_columns
 from zonelake.plans import checks, refine
-from zonelake.plans.jobs import refine_all
+from zonelake.plans.jobs import refine_all, report
 from zonelake.schemas import REQUIRED_KEYS
 from zonelake.session import checkpoint_dir, configure, materialize
+from zonelake.sinks.partitions import replace_partitions
 from zonelake.sinks.zone import ZoneStore
 from zonelake.sources import mapped
 from zonelake.sources.catalog import Zones, read_zone
@@ -267,17 +268,75 @@ def q_upsert_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_as_of_commit_2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _customer_commits(spark, sf_dir, True).read(spark, "trusted", "customer", as_of=2)
+    """By the table function of the log."""
+    return spark.sql(f"SELECT * FROM {_customer_commits(spark, sf_dir, True).zones.database('trusted')}__customer__as_of(2)")
 
 
 def q_changes_since_commit_2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _customer_commits(spark, sf_dir, True).changes(spark, "trusted", "customer", since=2)
+    return spark.sql(f"SELECT * FROM {_customer_commits(spark, sf_dir, True).zones.database('trusted')}__customer__changes(2)")
 
 
 def q_upsert_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_zone(spark, "trusted", "customer", _customer_commits(spark, sf_dir, True).zones)
 
 
+def q_replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that held every customer record's device, replaced by the trusted customers."""
+
+    def make(folder: str) -> ZoneStore:
+        store = ZoneStore(folder, Zones("q" + folder.rsplit("-", 1)[1]))
+        feed = landing(spark, sf_dir, "customer_landing")
+        store.write(feed.withColumn("customername", F.upper("customername")), "trusted", "customer", "serialnumber", "registrationdate")
+        store.write(refine.customer_trusted(feed), "trusted", "customer", "serialnumber", "registrationdate")
+        return store
+
+    return read_zone(spark, "trusted", "customer", _once(spark, sf_dir, "replaced", make).zones)
+
+
+def q_replaced_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest record of every device in four partitions, two of which are replaced by their consenting devices."""
+
+    def make(folder: str) -> str:
+        feed = landing(spark, sf_dir, "customer_landing").withColumn("part", (F.col("serialnumber") % 4).cast("int"))
+        name = f"q{folder.rsplit('-', 1)[1]}_trusted.customer_parts"
+        replace_partitions(feed, folder, "part", "serialnumber", "registrationdate", name=name)
+        latest = keep_latest(feed, "serialnumber", "registrationdate").filter("part IN (1, 2) AND sharewithresearchasofdate IS NOT NULL")
+        replace_partitions(latest.withColumn("phone", F.lit(None).cast("string")), folder, "part", "serialnumber", "registrationdate", name=name)
+        return name
+
+    return spark.table(_once(spark, sf_dir, "partitions", make))
+
+
+def q_evolved_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three commits of customer records: the second one adds ``share``, the third one widens ``days`` (int to bigint) and
+    ``share`` (float to double)."""
+
+    def make(folder: str) -> ZoneStore:
+        store = ZoneStore(folder, Zones("q" + folder.rsplit("-", 1)[1]))
+        feed = landing(spark, sf_dir, "customer_landing")
+        days, share = F.floor(F.col("registrationdate") / 86_400_000), F.col("serialnumber") % 8 / 8
+        shapes = {1: {"days": days.cast("int")}, 2: {"days": days.cast("int"), "share": share.cast("float")}, 4: {"days": F.col("registrationdate"), "share": share / 1024}}
+        for n, columns in shapes.items():
+            rows = feed.where(_commit_of() == n).select("serialnumber", "registrationdate", *[c.alias(k) for k, c in columns.items()])
+            store.write(rows, "trusted", "customer", "serialnumber", "registrationdate", mode="upsert")
+        return store
+
+    return read_zone(spark, "trusted", "customer", _once(spark, sf_dir, "evolved", make).zones)
+
+
+def q_ml_curated_persisted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table with the device table held in executor memory, as the original job's option."""
+    customers, accel, steps = _trusted(spark, sf_dir)
+    return refine.ml_curated(steps, accel, customers, persist=True)
+
+
+def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count and schema of each table that the jobs stored, read through the catalog."""
+    zones = _lake(spark, sf_dir).zones
+    stored = {n: read_zone(spark, "curated" if n in ("customer_curated", "machine_learning_curated") else "trusted", n, zones) for n in refine.TABLE_KEYS}
+    return report(stored)
+
+
 QUERIES: dict[str, Query] = {
     "customer_landing": lambda s, d: landing(s, d, "customer_landing"),
     "accelerometer_landing": lambda s, d: landing(s, d, "accelerometer_landing"),
@@ -313,6 +372,11 @@ QUERIES: dict[str, Query] = {
     "as_of_commit_2": q_as_of_commit_2,
     "changes_since_commit_2": q_changes_since_commit_2,
     "upsert_with_deletes": q_upsert_with_deletes,
+    "replaced_table": q_replaced_table,
+    "replaced_partitions": q_replaced_partitions,
+    "evolved_table": q_evolved_table,
+    "ml_curated_persisted": q_ml_curated_persisted,
+    "run_report": q_run_report,
 }
 
 
@@ -348,6 +412,7 @@ _CUSTOMER_COLS = (
     "customername, email, phone, birthday, serialnumber, registrationdate, lastupdatedate, "
     "sharewithresearchasofdate, sharewithpublicasofdate, sharewithfriendsasofdate"
 )
+_CUSTOMER_TYPES = ",".join(f"{c}:{'string' if c in ('customername', 'phone', 'birthday') else 'bigint'}" for c in _CUSTOMER_COLS.split(", "))
 _LATEST_CUSTOMER = (
     "row_number() OVER (PARTITION BY serialnumber ORDER BY registrationdate DESC NULLS LAST, "
     "customername DESC NULLS LAST, email DESC NULLS LAST, phone DESC NULLS LAST, birthday DESC NULLS LAST, "
@@ -507,4 +572,31 @@ FROM key_counts GROUP BY table_name"""
     + f"SELECT * FROM (SELECT * FROM log_d WHERE _commit > 2) QUALIFY {_LATEST_IN_LOG}",
     "upsert_with_deletes": _LOG_SQL
     + f"SELECT {_CUSTOMER_COLS} FROM (SELECT * FROM log_d QUALIFY {_LATEST_IN_LOG}) WHERE NOT _deleted",
+    "replaced_table": _chain("SELECT * FROM customer_trusted"),
+    "replaced_partitions": f"""
+WITH customer_landing AS ({CUSTOMER_LANDING_SQL}),
+latest AS (SELECT *, CAST(serialnumber % 4 AS INTEGER) AS part FROM customer_landing QUALIFY {_LATEST_CUSTOMER})
+SELECT * FROM latest WHERE part IN (0, 3)
+UNION ALL
+SELECT * REPLACE (CAST(NULL AS VARCHAR) AS phone) FROM latest WHERE part IN (1, 2) AND sharewithresearchasofdate IS NOT NULL""",
+    "evolved_table": _LOG_SQL
+    + """
+SELECT serialnumber, registrationdate, CASE WHEN _commit < 4 THEN CAST(floor(registrationdate / 86400000) AS BIGINT) ELSE registrationdate END AS days,
+       CASE _commit WHEN 2 THEN serialnumber % 8 / 8.0::DOUBLE WHEN 4 THEN serialnumber % 8 / 8.0::DOUBLE / 1024 END AS share
+FROM log QUALIFY row_number() OVER (PARTITION BY serialnumber ORDER BY _commit DESC, registrationdate DESC) = 1""",
+    "ml_curated_persisted": _chain("SELECT * FROM machine_learning_curated"),
+    "run_report": _chain(
+        "SELECT table_name, row_count, columns FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS row_count, 'struct<{c}>' AS columns FROM {t}"
+            for t, c in {
+                "customer_trusted": _CUSTOMER_TYPES,
+                "accelerometer_trusted": "user:bigint,timestamp:bigint,x:double,y:double,z:double,rn:bigint",
+                "step_trainer_trusted": "sensorreadingtime:bigint,serialnumber:bigint,distancefromobject:int,rn:bigint",
+                "customer_curated": _CUSTOMER_TYPES,
+                "machine_learning_curated": "email:bigint,sensorreadingtime:bigint,serialnumber:bigint,distancefromobject:int,x:double,y:double,z:double,rn:bigint",
+            }.items()
+        )
+        + ")"
+    ),
 }

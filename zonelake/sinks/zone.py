@@ -1,48 +1,43 @@
-"""Keyed zone tables: storage, catalog entries, replace / upsert / delete.
+"""Keyed zone tables as plain Parquet logs: replace / upsert / delete, catalog entries and table functions.
 
-Layout of a table at ``<root>/<zone>/<table>``::
+A table at ``<root>/<zone>/<table>`` is two Parquet tables that Spark writes and reads::
 
-    data/<n>-<attempt>/...     rows of commit n (with ``_deleted``), a fresh directory for every attempt
-    _commits/<n>/part-*.json   the record of commit n: what it is, its directory and the schema of its rows
+    rows/_commit=<n>/...   the rows of commit n with ``_deleted``, partitioned by ``_commit`` (then by ``partition_by``)
+    commits/...            one row per finished commit: what it is, the table's keys, order and columns since the last replace
 
-A commit is visible once its record is written.  Data and record directories are only ever created (an existing one
-is an error), so no attempt can touch what another one wrote; what a crashed writer leaves has no record and is
-skipped.  ``replace`` (what the original jobs did: an upsert-configured writer in overwrite mode) writes the
-deduplicated frame as a full snapshot and begins a new schema; ``upsert`` appends a deduplicated batch, which may add
-columns but not change their types; ``delete`` appends key tombstones.  Every commit is read with the schema that its
-record states, so partition values keep their types.
+A commit's rows are written (and checked) first and count once its row is in ``commits``; a number that was not finished is
+written anew, whatever it left.  ``replace`` begins a new schema; an ``upsert`` may add columns and widen types (``WIDER``); narrower
+values are stored in the wider type, earlier files are read in it.  The current table, a past commit and the changes
+after a commit are ``changelog`` functions over a range of ``_commit``, which prunes the partitions of all other commits.
 
-The current table, a past commit (``as_of``) and the changes after a commit are ``changelog`` functions over the
-commits since the last replace.  Before a commit is recorded its files are checked for null record keys (and, on
-request, repeated keys); a failed check leaves the table as it was.
-
-Catalog: ``<db>.<table>__<n>`` is an external Parquet table over the rows of commit n, for the commits since the last
-replace; ``<db>.<table>__log`` a view of their rows with ``_commit`` and ``<db>.<table>`` a view of the current table.
-They are recreated on every commit.  One writer per table; commit numbers increase.
+Catalog: ``<db>.<table>__rows`` is the external table over ``rows``, ``<table>__log`` the view of the commits since the last replace,
+``<table>`` the current table; ``<db>__<table>__as_of(n)`` and ``<db>__<table>__changes(n)`` are table functions of the session
+over the log.  One writer per table.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
-from collections.abc import Callable, Sequence
-from dataclasses import asdict, dataclass, field
+from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonelake.operators.dedup import keep_latest
 from zonelake.operators.projection import as_list, lower_columns
-from zonelake.plans.checks import assert_key, union_all
+from zonelake.plans.checks import assert_key
 from zonelake.sinks.changelog import COMMIT, DELETED, META, changes_since, missing_keys, snapshot
 from zonelake.sources.catalog import DEFAULT_ZONES, Zones
 
 COMMITS_SCHEMA = (
-    "commit long, kind string, keys array<string>, order_by array<string>, partition_by array<string>,"
-    " order string, directory string, columns string, batch string"
+    "commit long, kind string, keys array<string>, order_by array<string>, partition_by array<string>, order string, columns string, batch string"
 )
+#: type -> the wider one that keeps all its values
+WIDER = {"smallint": "int", "int": "bigint", "float": "double"}
 
 
 @dataclass(frozen=True)
@@ -53,20 +48,32 @@ class Commit:
     order_by: list[str]
     partition_by: list[str]
     order: str = "commit"
-    directory: str = ""
-    columns: str = ""  # schema of the rows, as JSON
-    batch: str | None = field(default=None)  # name of the source batch, if it came from a stream
+    columns: str = ""  # the table's columns after this commit, as JSON
+    batch: str | None = None  # name of the source batch, if it came from a stream
 
     @property
     def schema(self) -> T.StructType:
         return T.StructType.fromJson(json.loads(self.columns))
 
 
-def _list(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder; empty if the folder does not exist.  Any other failure is raised."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
+def _wide(name: str) -> list[str]:
+    """The types that ``name`` widens to, itself first."""
+    out = [name]
+    while out[-1] in WIDER:
+        out.append(WIDER[out[-1]])
+    return out
+
+
+def merge_columns(known: T.StructType | None, new: T.StructType) -> T.StructType:
+    """``known`` with the added columns of ``new``, each in the wider of its two types; other changes of type are refused."""
+    out = {f.name: f.dataType for f in known.fields} if known else {}
+    for f in new.fields:
+        old = out.setdefault(f.name, f.dataType)
+        a, b = old.simpleString(), f.dataType.simpleString()
+        if b not in _wide(a) and a not in _wide(b):
+            raise ValueError(f"column {f.name} is {a}, not {b}; replace the table")
+        out[f.name] = f.dataType if b in _wide(a) else old
+    return T.StructType([T.StructField(c, t) for c, t in out.items()])
 
 
 @dataclass(frozen=True)
@@ -81,17 +88,15 @@ class ZoneStore:
         self.zones.database(zone)
         return f"{self.root.rstrip('/')}/{zone}/{table}"
 
-    # ---------------------------------------------------------------- commits
-
     def commits(self, spark: SparkSession, zone: str, table: str) -> list[Commit]:
-        """Finished commits in order (a tiny read: one record per commit).  No records folder means no commit; a
-        folder that cannot be read is an error."""
-        path = f"{self.path(zone, table)}/_commits"
-        if not _list(spark, path):
+        """Finished commits in order (a row each).  A table without the folder has none; any other failure is raised."""
+        try:
+            rows = spark.read.schema(COMMITS_SCHEMA).parquet(f"{self.path(zone, table)}/commits").collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return []
-        rows = spark.read.schema(COMMITS_SCHEMA).json(f"{path}/*").collect()
-        done = [Commit(**r.asDict()) for r in rows if r["commit"] is not None]
-        return sorted(done, key=lambda c: c.commit)
+        return sorted((Commit(**r.asDict()) for r in rows), key=lambda c: c.commit)
 
     def _done(self, spark: SparkSession, zone: str, table: str, as_of: int | None = None) -> list[Commit]:
         done = [c for c in self.commits(spark, zone, table) if as_of is None or c.commit <= as_of]
@@ -101,46 +106,35 @@ class ZoneStore:
 
     # ------------------------------------------------------------------ reads
 
-    def _rows(self, spark: SparkSession, zone: str, table: str, commit: Commit) -> DataFrame:
-        rows = spark.read.schema(commit.schema).parquet(f"{self.path(zone, table)}/data/{commit.directory}")
-        return rows.withColumn(COMMIT, F.lit(commit.commit).cast("long"))
-
-    def log(self, spark: SparkSession, zone: str, table: str, commits: list[Commit] | None = None, done: list[Commit] | None = None) -> DataFrame:
-        """Rows of ``commits`` (default: those since the last replace) with ``_commit`` and ``_deleted``, in the columns of all
-        commits since the last replace; a column that a commit lacks is null in its rows."""
-        live = _since_replace(self._done(spark, zone, table) if done is None else done)
-        commits = live if commits is None else commits
-        known = {f.name: f.dataType for c in live for f in c.schema.fields}
-        rows = union_all([self._rows(spark, zone, table, c) for c in commits], missing=True)
-        absent = {c: F.lit(None).cast(t) for c, t in known.items() if c not in rows.columns}
-        data = [c for c in known if c != DELETED]
-        return rows.withColumns(absent).select(*data, *META) if absent else rows.select(*data, *META)
+    def _rows(self, spark: SparkSession, zone: str, table: str, head: Commit, first: int, last: int) -> DataFrame:
+        """Rows of the commits first..last in the columns that ``head`` states; other commits' partitions are pruned."""
+        rows = spark.read.schema(head.schema.add(COMMIT, T.LongType())).parquet(f"{self.path(zone, table)}/rows")
+        data = [f.name for f in head.schema.fields if f.name != DELETED]
+        return rows.where(F.col(COMMIT).between(first, last)).select(*data, *META)
+
+    def log(self, spark: SparkSession, zone: str, table: str, *, as_of: int | None = None) -> DataFrame:
+        """Rows of all commits since the last replace (up to ``as_of``) with ``_commit`` and ``_deleted``; a column that a commit
+        lacks is null in its rows."""
+        live = _since_replace(self._done(spark, zone, table, as_of))
+        return self._rows(spark, zone, table, live[-1], live[0].commit, live[-1].commit)
 
     def read(self, spark: SparkSession, zone: str, table: str, *, as_of: int | None = None) -> DataFrame:
         """The table as of commit ``as_of`` (default: the latest)."""
-        live = _since_replace(self._done(spark, zone, table, as_of))
-        log, head = self.log(spark, zone, table, live, live), live[-1]
-        if head.kind == "replace":  # a full snapshot on its own
-            return log.drop(*META)
-        return snapshot(log, head.keys, head.order_by, order=head.order)
+        head, log = self._done(spark, zone, table, as_of)[-1], self.log(spark, zone, table, as_of=as_of)
+        return log.drop(*META) if head.kind == "replace" else snapshot(log, head.keys, head.order_by, order=head.order)
 
     def changes(self, spark: SparkSession, zone: str, table: str, since: int) -> DataFrame:
         """Latest version of every key written after commit ``since``, with ``_commit`` and ``_deleted``
         (incremental read).  Keys that a replace left out are reported as deleted by it."""
         done = self._done(spark, zone, table)
-        head, after = done[-1], [c for c in done if c.commit > since]
-        if not after:
-            return self.log(spark, zone, table).where(F.lit(False))
-        live = _since_replace(after)
-        if head.order == "event" and live[0].kind != "replace":
-            live = _since_replace(done)
-        found = changes_since(self.log(spark, zone, table, live, done), head.keys, head.order_by, since, order=head.order)
-        if live[0].kind != "replace" or live[0].commit <= since:
-            return found
-        if done[0].commit > since:
+        head, live = done[-1], _since_replace(done)
+        replaced = live[0].kind == "replace" and live[0].commit > since
+        first = live[0].commit if replaced or head.order == "event" else max(live[0].commit, since + 1)
+        found = changes_since(self._rows(spark, zone, table, head, first, head.commit), head.keys, head.order_by, since, order=head.order)
+        if not replaced or done[0].commit > since:
             return found
-        old = self.read(spark, zone, table, as_of=since)
-        return found.unionByName(missing_keys(old, found, head.keys, live[0].commit), allowMissingColumns=True)
+        gone = missing_keys(self.read(spark, zone, table, as_of=since), found, head.keys, live[0].commit)
+        return found.unionByName(gone, allowMissingColumns=True)
 
     # ----------------------------------------------------------------- writes
 
@@ -166,101 +160,64 @@ class ZoneStore:
         ``unique=True`` says the key is unique by construction (a ``(key, rn)`` pair), which saves a shuffle.
         ``order`` says which row of a key wins over upserts: of the later commit (``commit``) or of the larger
         ``order_by`` value, whatever the commit (``event``; late records then change nothing).  With ``validate`` the
-        written commit is checked before it is recorded: a null key part (refused by keyed writers) fails the write;
+        written commit is checked before it counts: a null key part (refused by keyed writers) fails the write;
         ``check_unique`` also verifies a key claimed unique (one more shuffle of the written rows).  The checks
-        read the written files, not the job's lineage.  ``batch`` names a source batch: one that is already
-        committed is not committed again.
+        read the written files, not the job's lineage.  ``partition_by`` is the table's from its first commit on.  ``batch``
+        names a source batch: one that is already committed is not committed again.
         """
         if mode not in ("replace", "upsert"):
             raise ValueError(f"mode must be 'replace' or 'upsert', not {mode!r}")
         if order not in ("commit", "event"):
             raise ValueError(f"order must be 'commit' or 'event', not {order!r}")
-        keys, order_by = as_list(keys), as_list(order_by)
-        done = self.commits(df.sparkSession, zone, table)
+        spark, keys, order_by, parts = df.sparkSession, as_list(keys), as_list(order_by), as_list(partition_by)
+        done = self.commits(spark, zone, table)
         for c in done:
             if batch is not None and c.batch == batch:
                 return c.commit
+        if done and parts != done[-1].partition_by and (partition_by is not None or mode == "replace"):
+            raise ValueError(f"{zone}.{table} is partitioned by {done[-1].partition_by}, not {parts}")
+        parts = done[-1].partition_by if done else parts
         df = lower_columns(df)
-        if mode == "upsert" and done:
-            _check_types(df.schema, _since_replace(done), zone, table)
-        if not unique:
-            df = keep_latest(df, keys, order_by)
-        rows = df.withColumn(DELETED, F.lit(False))
-        check = (lambda written: self._validate(written, zone, table, keys, unique and check_unique)) if validate else None
-        new = Commit(0, mode, keys, order_by, as_list(partition_by), order, batch=batch)
-        return self._commit(rows, zone, table, new, done, check)
-
-    @staticmethod
-    def _validate(written: DataFrame, zone: str, table: str, keys: list[str], unique: bool) -> None:
-        if not written.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).isEmpty():
-            raise ValueError(f"{zone}.{table}: rows with a null record key {keys}")
-        if unique:
-            assert_key(written, keys)
+        rows = (df if unique else keep_latest(df, keys, order_by)).withColumn(DELETED, F.lit(False))
+        try:
+            columns = merge_columns(done[-1].schema if done and mode == "upsert" else None, rows.schema)
+        except ValueError as e:
+            raise ValueError(f"{zone}.{table}: {e}") from None
+        new = Commit(done[-1].commit + 1 if done else 1, mode, keys, order_by, parts, order, columns.json(), batch)
+        self._put(rows, zone, table, new)
+        if validate:
+            written = self._rows(spark, zone, table, new, new.commit, new.commit)
+            if not written.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).isEmpty():
+                raise ValueError(f"{zone}.{table}: rows with a null record key {keys}")
+            if unique and check_unique:
+                assert_key(written, keys)
+        return self._finish(spark, zone, table, [*done, new])
 
     def delete(self, keys_df: DataFrame, zone: str, table: str) -> int:
-        """Commit tombstones for the record keys in ``keys_df`` (stored without partitions)."""
-        done = self._done(keys_df.sparkSession, zone, table)
+        """Commit tombstones for the record keys in ``keys_df``."""
+        spark, done = keys_df.sparkSession, self._done(keys_df.sparkSession, zone, table)
         head = done[-1]
         marks = lower_columns(keys_df).select(*head.keys).distinct().withColumn(DELETED, F.lit(True))
-        return self._commit(marks, zone, table, Commit(0, "delete", head.keys, head.order_by, [], head.order), done)
+        new = Commit(head.commit + 1, "delete", head.keys, head.order_by, head.partition_by, head.order, head.columns)
+        self._put(marks, zone, table, new)
+        return self._finish(spark, zone, table, [*done, new])
 
-    def _commit(
-        self, rows: DataFrame, zone: str, table: str, new: Commit, done: list[Commit], check: Callable[[DataFrame], None] | None = None
-    ) -> int:
-        spark, base = rows.sparkSession, self.path(zone, table)
-        # past every number in use, recorded or left over
-        number = 1 + max([0, *(int(n) for n in _list(spark, f"{base}/_commits") if n.isdigit()), *(c.commit for c in done)])
-        directory = f"{number}-{uuid.uuid4().hex[:12]}"
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
-        writer = rows.write.mode("errorifexists")
-        if new.partition_by:
-            writer = writer.partitionBy(*new.partition_by)
-        writer.parquet(f"{base}/data/{directory}")
-        commit = Commit(**asdict(new) | {"commit": number, "directory": directory, "columns": schema.json()})
-        if check is not None:
-            check(self._rows(spark, zone, table, commit))
-        record = spark.createDataFrame([(json.dumps(asdict(commit)),)], "value string")
-        record.coalesce(1).write.mode("errorifexists").text(f"{base}/_commits/{number}")
-        self.register(spark, zone, table, [*done, commit])
-        return number
-
-    # ---------------------------------------------------------------- catalog
-
-    def register(self, spark: SparkSession, zone: str, table: str, done: list[Commit] | None = None) -> None:
-        """(Re)create the catalog entries of the commits since the last replace and the two views over them."""
-        done = self._done(spark, zone, table) if done is None else done
-        live, db = _since_replace(done), self.zones.database(zone)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-        name = f"`{db}`.`{table}"  # the closing quote follows
-        for c in done[:-1] if done[-1].kind == "replace" else []:
-            spark.sql(f"DROP TABLE IF EXISTS {name}__{c.commit}`")
-        columns: dict[str, T.DataType] = {}
-        for c in live:
-            columns |= {f.name: f.dataType for f in c.schema.fields}
-        parts = []
-        for c in live:
-            own = {f.name for f in c.schema.fields}
-            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in c.schema.fields)
-            by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in c.partition_by)})" if c.partition_by else ""
-            spark.sql(f"DROP TABLE IF EXISTS {name}__{c.commit}`")
-            spark.sql(f"CREATE TABLE {name}__{c.commit}` ({ddl}) USING parquet {by} LOCATION '{self.path(zone, table)}/data/{c.directory}'")
-            if c.partition_by:
-                spark.sql(f"ALTER TABLE {name}__{c.commit}` RECOVER PARTITIONS")
-            picks = [f"`{x}`" if x in own else f"CAST(NULL AS {t.simpleString()}) AS `{x}`" for x, t in columns.items()]
-            parts.append(f"SELECT {', '.join(picks)}, CAST({c.commit} AS BIGINT) AS {COMMIT} FROM {name}__{c.commit}`")
-        spark.sql(f"CREATE OR REPLACE VIEW {name}__log` AS {' UNION ALL '.join(parts)}")
-        head, data = live[-1], [c for c in columns if c != DELETED]
-        plain = ", ".join(f"`{c}`" for c in data)
-        body = f"SELECT {plain} FROM {name}__log` WHERE NOT {DELETED}"
-        if head.kind != "replace":
-            keys = ", ".join(f"`{k}`" for k in head.keys)
-            order = [COMMIT, *head.order_by] if head.order == "commit" else [*head.order_by, COMMIT]
-            packed = ", ".join(f"`{c}`" for c in [*order, *(c for c in data if c not in head.keys and c not in order), DELETED])
-            picks = ", ".join(f"`{c}`" if c in head.keys else f"_latest.`{c}` AS `{c}`" for c in data)
-            rows = f"SELECT *, max(CASE WHEN {DELETED} THEN {COMMIT} END) OVER (PARTITION BY {keys}) AS _gone FROM {name}__log`"
-            source = f"({rows}) WHERE {COMMIT} >= coalesce(_gone, 0)" if head.order == "event" else f"{name}__log`"
-            body = f"SELECT {picks} FROM (SELECT {keys}, max(struct({packed})) AS _latest FROM {source} GROUP BY {keys}) WHERE NOT _latest.{DELETED}"
-        spark.sql(f"CREATE OR REPLACE VIEW {name}` AS {body}")
+    def _put(self, rows: DataFrame, zone: str, table: str, new: Commit) -> None:
+        """The rows of a commit, in the table's types; replaces what an unfinished attempt at this number left."""
+        types = {f.name: f.dataType for f in new.schema.fields}
+        rows = rows.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in rows.columns], *[F.lit(None).cast(types[p]).alias(p) for p in new.partition_by if p not in rows.columns])
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(*new.partition_by) if new.partition_by else writer).parquet(f"{self.path(zone, table)}/rows/{COMMIT}={new.commit}")
+
+    def register(self, spark: SparkSession, zone: str, table: str) -> None:
+        """Make the catalog entries and the session's table functions of a table that another application wrote."""
+        register(spark, self.zones.database(zone), table, f"{self.path(zone, table)}/rows", _since_replace(self._done(spark, zone, table)))
+
+    def _finish(self, spark: SparkSession, zone: str, table: str, done: list[Commit]) -> int:
+        record = spark.createDataFrame([tuple(asdict(done[-1]).values())], COMMITS_SCHEMA)
+        record.coalesce(1).write.mode("append").parquet(f"{self.path(zone, table)}/commits")
+        register(spark, self.zones.database(zone), table, f"{self.path(zone, table)}/rows", _since_replace(done))
+        return done[-1].commit
 
 
 def _since_replace(done: list[Commit]) -> list[Commit]:
@@ -269,9 +226,38 @@ def _since_replace(done: list[Commit]) -> list[Commit]:
     return done[at:]
 
 
-def _check_types(schema: T.StructType, live: list[Commit], zone: str, table: str) -> None:
-    """An upsert may add columns; a column of another type must come by a replace."""
-    known = {f.name: f.dataType for c in live for f in c.schema.fields}
-    for f in schema.fields:
-        if f.name in known and known[f.name] != f.dataType:
-            raise ValueError(f"{zone}.{table}: column {f.name} is {known[f.name].simpleString()}, not {f.dataType.simpleString()}; replace the table")
+def register(spark: SparkSession, db: str, table: str, path: str, live: list[Commit]) -> None:
+    """(Re)create the catalog entries of a log: its rows, the views and the table functions."""
+    head, name = live[-1], f"`{db}`.`{table}"  # the closing quote follows
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in head.schema.fields]
+    data = [f.name for f in head.schema.fields if f.name != DELETED]
+    quoted = lambda names: ", ".join(f"`{c}`" for c in names)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    spark.sql(f"DROP TABLE IF EXISTS {name}__rows`")
+    spark.sql(f"CREATE TABLE {name}__rows` ({', '.join(fields)}, {COMMIT} BIGINT) USING parquet PARTITIONED BY ({quoted([COMMIT, *head.partition_by])}) LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {name}__rows` RECOVER PARTITIONS")
+    spark.sql(f"CREATE OR REPLACE VIEW {name}__log` AS SELECT {quoted([*data, *META])} FROM {name}__rows` WHERE {COMMIT} BETWEEN {live[0].commit} AND {head.commit}")
+    keys = quoted(head.keys)
+    order = [COMMIT, *head.order_by] if head.order == "commit" else [*head.order_by, COMMIT]
+    packed = quoted([*order, *(c for c in [*data, *META] if c not in head.keys and c not in order)])
+    picks = ", ".join(f"`{c}`" if c in head.keys else f"_latest.`{c}` AS `{c}`" for c in data)
+
+    def winners(commits: str) -> str:
+        source = f"(SELECT * FROM {name}__log` WHERE {commits})"
+        if head.order == "event":  # since the key's last delete
+            source = f"(SELECT *, max(CASE WHEN {DELETED} THEN {COMMIT} END) OVER (PARTITION BY {keys}) AS _gone FROM {source}) WHERE {COMMIT} >= coalesce(_gone, 0)"
+        return f"(SELECT {keys}, max(struct({packed})) AS _latest FROM {source} GROUP BY {keys})"
+
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name}` AS "
+        + (f"SELECT {quoted(data)} FROM {name}__log`" if head.kind == "replace" else f"SELECT {picks} FROM {winners('true')} WHERE NOT _latest.{DELETED}")
+    )
+    returned = ", ".join(f for f in fields if not f.startswith(f"`{DELETED}`"))
+    after = f"{COMMIT} > _n" if head.order == "commit" else "true"
+    functions = {
+        "as_of": (returned, f"SELECT {picks} FROM {winners(f'{COMMIT} <= _n')} WHERE NOT _latest.{DELETED}"),
+        "changes": (f"{returned}, {COMMIT} BIGINT, {DELETED} BOOLEAN", f"SELECT {picks}, _latest.{COMMIT}, _latest.{DELETED} FROM {winners(after)} WHERE _latest.{COMMIT} > _n"),
+    }
+    for suffix, (columns, body) in functions.items():
+        # table functions take no database name, so they are the session's
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION `{db}__{table}__{suffix}`(_n BIGINT) RETURNS TABLE ({columns}) RETURN {body}")
