@@ -85,6 +85,39 @@ def test_duplicates_edge(edge, none):
     assert ngram_join.near_duplicates(none).collect() == []
 
 
+def brute_rows(rows):
+    """Rows of any ids -> sorted (id, class, links): links to other rows, versions of an id in one class."""
+    sets = [grams(t) for _, t in rows]
+    n = len(rows)
+    linked = [[j for j in range(n) if j != i and sets[i] & sets[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])] for i in range(n)]
+    out = []
+    for i in range(n):
+        seen, todo = {i}, [i]
+        while todo:
+            k = todo.pop()
+            for j in [*linked[k], *(j for j in range(n) if sets[k] and sets[j] and rows[j][0] == rows[k][0])]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        out.append((rows[i][0], min(rows[j][0] for j in seen), len(linked[i])))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_duplicates_repeated_ids(spark, monkeypatch, block):
+    """Repeated rows and versions of one id, also where the id is the least of its class."""
+    monkeypatch.setattr(ngram_join, "BLOCK_TEXTS", block)
+    a = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, a), (1, a), (2, a + " tail"), (3, "something else entirely different here")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert tuples(ngram_join.near_duplicates(frame), "doc_id", "class_id", "n_links") == [(1, 1, 2), (1, 1, 2), (2, 1, 2), (3, 3, 0)]
+    rng = random.Random(4)
+    some = [t for _, t in variants(2)]
+    rows = [(rng.randrange(40), rng.choice(some)) for _ in range(150)] + [(-3, some[0])] * 20
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert tuples(ngram_join.near_duplicates(frame), "doc_id", "class_id", "n_links") == brute_rows(rows)
+
+
 def test_choose_bands():
     for similarity, recall in ((0.8, 0.9999), (0.5, 0.9), (0.95, 0.999)):
         bands, rows = ngram_join.choose_bands(similarity, recall)

@@ -89,8 +89,8 @@ def _signatures(n: int, bands: int, rows_each: int):
             flat = keys[have].reshape(-1).view(np.int64)
             offsets = np.concatenate([[0], np.cumsum((size > 0) * bands)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(size), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                ["id", "d1", "d2", "grams", "bands"],
+                [batch.column("id"), batch.column("th"), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(size), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                ["id", "th", "d1", "d2", "grams", "bands"],
             )
 
     return run
@@ -169,36 +169,42 @@ def near_duplicates(
     """One row per row of ``docs``: (id, class_id, n_links).
 
     Two texts are linked if the Jaccard similarity of their sets of word n-grams (words of any case, as they
-    are; a text of under n words is one n-gram) is at least ``similarity``; n_links counts the other documents linked,
-    exact copies included.  class_id is the least id of all documents connected by links.  A text without
+    are; a text of under n words is one n-gram) is at least ``similarity``; n_links counts the other rows linked,
+    exact copies and repeated rows included.  class_id is the least id of all documents connected by links.  A text without
     words (null or empty) has no links and is its own class.  A null id is not compared: class_id null,
-    no links.  Rows of equal id count as versions of one document and share a class.  An empty table gives an empty result;
-    other columns are ignored.
+    no links.  Rows of equal id but different texts are versions of one document: each has its own links, and they share a
+    class.  Ids are integers.  An empty table gives an empty result; other columns are ignored.  Words and n-grams are
+    compared by 64-bit hashes, sets of n-grams that are equal by 128-bit digests.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    base = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("th"))
     bands, rows = choose_bands(float(similarity), recall)
-    signed = materialize(base.mapInArrow(_signatures(words, bands, rows), f"id {kind}, d1 long, d2 long, grams long, bands array<long>"))
+    signed = materialize(base.mapInArrow(_signatures(words, bands, rows), f"id {kind}, th long, d1 long, d2 long, grams long, bands array<long>"))
+    compared = signed.filter("grams > 0 AND id IS NOT NULL")
+    # a class of equal sets has a node of its own; the text of one of its rows stands for all
     classes = materialize(
-        signed.filter("grams > 0 AND id IS NOT NULL")
-        .groupBy("d1", "d2", "grams")
-        .agg(F.min(F.col("id").cast("long")).alias("node"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+        compared.groupBy("d1", "d2", "grams")
+        .agg(F.min(F.struct(F.col("id").cast("long").alias("id"), "th")).alias("head"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+        .withColumn("node", F.monotonically_increasing_id())
     )
     met = classes.select("node", "bands").mapInArrow(_meet, "h long, a long, b long")
     # a batch sends a hash once, so a window holds at most a row for each batch
     stars = met.select(F.min("a").over(Window.partitionBy("h")).alias("a"), "b")
-    candidates = connected_components(stars)
-    candidates = materialize(
-        candidates.join(classes.groupBy("node").agg(F.max("copies").alias("copies"), F.max("grams").alias("grams")), "node")
-    )
+    candidates = materialize(connected_components(stars).join(classes.select("node", "copies", "grams", "head"), "node"))
     sizes = materialize(
         candidates.groupBy("component")
         .agg(F.count(F.lit(1)).alias("texts"), F.sum("grams").alias("grams"))
         .select("component", F.greatest(F.ceil(F.col("texts") / BLOCK_TEXTS), F.ceil(F.col("grams") / BLOCK_GRAMS), F.lit(1)).cast("int").alias("blocks"))
     )
-    dealt = candidates.select("node", "component", "copies").join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = dealt.join(base, F.col("node") == F.col("id")).drop("id")
+    dealt = candidates.select("node", "component", "copies", "head").join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # repeated rows of the head meet it too; one of them goes on, combined where they were joined
+    members = (
+        dealt.join(base, (F.col("head.id") == F.col("id").cast("long")) & (F.col("head.th") == F.col("th")))
+        .groupBy("node", "component", "copies", "blocks", "block")
+        .agg(F.first("text").alias("text"))
+    )
     # every pair of blocks once; a block alone where there is only one
     tasks = members.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).withColumn(
         "task", F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other"))
@@ -209,13 +215,19 @@ def near_duplicates(
         .sortWithinPartitions("task")
         .mapInArrow(_verify(words, similarity), "node long, links long, hub long")
     )
-    joined = connected_components(verified.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    # versions of one document share a class
+    digest = ["d1", "d2", "grams"]
+    several = compared.groupBy("id").agg(F.min(F.struct(*digest)).alias("low"), F.max(F.struct(*digest)).alias("high")).filter("low <> high").select("id")
+    versions = materialize(compared.select("id", *digest).join(several, "id").distinct().join(classes.select(*digest, "node"), digest).select("id", "node"))
+    same = versions.join(versions.groupBy("id").agg(F.min("node").alias("b")), "id").select(F.col("node").alias("a"), "b")
+    joined = materialize(connected_components(verified.select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(same)))
+    least = joined.join(classes.select("node", "head"), "node").groupBy("component").agg(F.min("head.id").alias("class"))
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     found = materialize(
-        classes.select("d1", "d2", "grams", "node", "copies")
+        classes.select(*digest, "node", "copies", F.col("head.id").alias("first"))
         .join(links, "node", "left")
-        .join(joined.withColumnRenamed("component", "class"), "node", "left")
-        .select("d1", "d2", "grams", F.coalesce("class", "node").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+        .join(joined.join(least, "component").select("node", "class"), "node", "left")
+        .select(*digest, F.coalesce("class", "first").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     )
     return (
         signed.select("id", "d1", "d2", "grams", F.col("id").isNotNull().alias("named"))
