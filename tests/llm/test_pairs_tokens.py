@@ -8,6 +8,7 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -291,6 +292,28 @@ def check_pieces(frame, vocabulary, rows):
     assert sorted(((r.doc_id, r.ids, r.decoded) for r in got), key=str) == want
 
 
+def test_long_units_are_the_library(vocabulary):
+    """Time and memory in proportion to a unit: a million spaces, megabytes without a space, with and without safe borders."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=str(vocabulary_file("piece_bpe_32k.model")))
+    rng = random.Random(3)
+    letters = [chr(c) for c in range(33, 127)]
+    texts = [
+        "a" + " " * 1_000_000 + "b",
+        " " * 70 + "x" + " " * 33,
+        "a" * 300_000,
+        "thetioning" * 30_000,
+        "".join(rng.choice(letters) for _ in range(3_000_000)),
+        "".join(rng.choice(["the", "ing", "\u65e5", "a", "Z", "\u00e9", "\U0001f642", "x0"]) for _ in range(100_000)),
+        *["".join(rng.choice("abeint") for _ in range(n)) for n in (2040, 2050, 2100, 4100, 9000)],
+        *["=" * n + " " * (n % 40) + "-" * n for n in range(2040, 2060, 3)],
+    ]
+    ids, starts = pieces._encode(pa.array([f" {t}" for t in texts]), pieces.Encoder(vocabulary))
+    for text, a, b in zip(texts, starts, starts[1:]):
+        assert ids[a:b].tolist() == model.encode(text)
+
+
 def test_pieces_are_the_library(spark, edge, none, sf, vocabulary, monkeypatch):
     rows = list(enumerate(TEXTS))
     frame = spark.createDataFrame([(i, t, i) for i, t in rows], "doc_id long, text string, extra long")

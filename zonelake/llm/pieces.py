@@ -12,11 +12,16 @@ Per slice of texts, in NumPy inside a Spark task:
    unit up to there: the edge whose piece fits the piece kept at its start.
 4. Characters that are no piece become bytes (byte fallback).
 
+A long unit is cut between two characters that stand side by side in no piece: nothing merges over such a border.  A stretch that is
+still long is indexed window by window and relaxed edge by edge, since a position looks back no further than the longest piece; so
+are runs of spaces.  Time and memory thus grow in proportion to a unit, whatever it holds.
+
 The vocabulary (pieces, scores) is a parameter of a few MB and is broadcast.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +35,8 @@ from .words import binary, coded_runs, slices, worker_cache
 CACHED_UNITS, CACHED_PAIRS = 700_000, 500_000
 #: bytes of units that are indexed at once (an edge takes about 60 bytes, a byte has about five)
 INDEX_BYTES = 400_000
+#: bytes of a unit that is cut where no piece can stand, and bytes of a stretch without such a place that are indexed at once
+LONG, WINDOW = 2048, 100_000
 
 _SPACE = "▁"
 
@@ -123,6 +130,9 @@ class Encoder:
         self.long = [(k, b[8 * self.depth :]) for k, (b, _) in enumerate(listed) if len(b) > 8 * self.depth]
         self.low, self.high = (x.reshape(-1).view(">u8").astype(np.uint64).reshape(-1, self.depth) for x in (low, high))
         self.alone = np.array([u and self.merge(p) == [p] for p, u in zip(self.pieces, usable)] + [True])
+        pairs = {(ord(x) << 32) | ord(y) for p in self.ids for x, y in zip(p, p[1:])}
+        self.beside = np.array(sorted(pairs) or [0], np.int64)
+        self.spaces = sorted(len(p) for p in self.ids if p and not p.strip(" "))
         self.pairs = PairTable()
         self.units: dict[bytes, bytes] = {}
 
@@ -256,12 +266,93 @@ class Encoder:
             out[k] = np.array(spelled, np.int32).tobytes()
         return out
 
-    def learn(self, units: list[bytes]) -> None:
-        """Encode units: spaces beyond the first are a run of their own, joined by the first if that stays alone."""
+    def _stretches(self, core: bytes) -> list[bytes]:
+        """``core`` cut between characters that are neighbours in no piece."""
+        chars = np.frombuffer(core.decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+        pairs = (chars[:-1] << 32) | chars[1:]
+        apart = self.beside[np.minimum(np.searchsorted(self.beside, pairs), len(self.beside) - 1)] != pairs
+        sizes = np.cumsum(1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000))
+        cuts = [0, *sizes[:-1][apart].tolist(), len(core)]
+        return [core[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _encode_long(self, core: bytes) -> bytes:
+        """Ids of a stretch of any length: its edges window by window, relaxed one after another."""
+        size, reach = len(core), int(self.lengths.max())
+        kept, origin = array("i", [-1]) * (size + 1), array("i", [0]) * (size + 1)
+        alone, unknown, fits, width = self.alone.tolist(), self.unknown_edge, {}, len(self.pieces) + 1
+        for low in range(0, size, WINDOW):
+            begin, stop = max(low - reach, 0), min(low + WINDOW + reach, size)  # the pieces that end in the window are whole in it
+            text = np.frombuffer(core[begin:stop], np.uint8)
+            start, end, piece = self._edges(text)
+            head = np.flatnonzero((text & 0xC0) != 0x80)
+            tail = np.append(head[1:], len(text))
+            single = np.isin(head, start[np.isin(end, tail) & (np.append(tail, -1)[np.minimum(np.searchsorted(head, start), len(head))] == end)])
+            start = np.concatenate([start, head[~single]]) + begin
+            end = np.concatenate([end, tail[~single]]) + begin
+            piece = np.concatenate([piece, np.full(int((~single).sum()), unknown)])
+            here = (end > low) & (end <= low + WINDOW)
+            start, end, piece = start[here], end[here], piece[here]
+            order = np.argsort(end, kind="stable")
+            if len(fits) > CACHED_PAIRS:
+                fits.clear()
+            for s, e, p in zip(start[order].tolist(), end[order].tolist(), piece[order].tolist()):
+                if s == 0:
+                    good = alone[p]
+                elif kept[s] < 0:
+                    continue
+                else:
+                    pair = kept[s] * width + p
+                    good = fits.get(pair)
+                    if good is None:
+                        good = fits[pair] = self._fit(kept[s], p)
+                if good:
+                    kept[e], origin[e] = p, s
+        ids, at = array("i"), size
+        while at > 0:
+            if kept[at] < 0:
+                raise ValueError("a unit without an encoding")
+            if kept[at] == unknown:
+                ids.extend(self.byte_ids[np.frombuffer(core[origin[at] : at][::-1], np.uint8)].tolist())
+            else:
+                ids.append(kept[at])
+            at = origin[at]
+        ids.reverse()
+        return ids.tobytes()
+
+    def _encode_spaces(self, n: int) -> bytes:
+        """Ids of a run of spaces: the same relaxation, where a piece is its length."""
+        if n <= 2 * self.spaces[-1]:
+            return np.array([self.ids[p] for p in self.merge(" " * n)], np.int32).tobytes()
+        fit = {(a, b): self.merge(" " * (a + b)) == [" " * a, " " * b] for a in self.spaces for b in self.spaces}
+        before = {b: {a for a in self.spaces if fit[a, b]} for b in self.spaces}
+        first = {b for b in self.spaces if self.merge(" " * b) == [" " * b]}
+        kept = array("i", [0]) * (n + 1)
+        for e in range(1, n + 1):
+            for b in self.spaces:
+                if b > e:
+                    break
+                if (b in first) if b == e else kept[e - b] in before[b]:
+                    kept[e] = b
+                    break
+        ids, at = array("i"), n
+        while at > 0:
+            ids.append(self.ids[" " * kept[at]])
+            at -= kept[at]
+        ids.reverse()
+        return ids.tobytes()
+
+    def learn(self, units: list[bytes]) -> dict[bytes, bytes]:
+        """Encode units (the shorter ones are kept): spaces beyond the first are a run of their own, joined by the first if that
+        stays alone."""
         extra = {u: len(u) - len(u.lstrip(b" ")) - 1 for u in units if u[:2] == b"  "}
-        cores = list({u[extra[u] :] if u in extra else u for u in units} - {b""}) if extra else units
+        wanted = list({u[extra[u] :] if u in extra else u for u in units} - {b""}) if extra else units
+        cut = {c: self._stretches(c) for c in wanted if len(c) > LONG}
+        cores = list({s for c in wanted for s in cut.get(c, (c,))}) if cut else wanted
         ids, part, size = {}, [], 0
         for core in cores:
+            if len(core) > LONG:
+                ids[core] = self._encode_long(core)
+                continue
             part.append(core)
             size += len(core)
             if size >= INDEX_BYTES:
@@ -269,13 +360,14 @@ class Encoder:
                 part, size = [], 0
         if part:
             ids.update(zip(part, self._encode_cores(part)))
+        ids.update({c: b"".join(ids[s] for s in stretches) for c, stretches in cut.items()})
         space = self.ids.get(" ")
         for u, n in extra.items():
             found = np.frombuffer(ids[u[n:]], np.int32)
             joins = bool(len(found)) and found[0] == space
-            run = [self.ids[p] for p in self.merge(" " * (n + joins))]
-            ids[u] = np.array(run, np.int32).tobytes() + found[int(joins) :].tobytes()
-        self.units.update((u, ids[u]) for u in units)
+            ids[u] = self._encode_spaces(n + joins) + found[int(joins) :].tobytes()
+        self.units.update((u, ids[u]) for u in units if len(u) <= LONG)
+        return ids
 
 
 def _cut_units(texts: pa.Array):
@@ -315,8 +407,8 @@ def _encode(texts: pa.Array, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
         if len(cache) + len(new) > CACHED_UNITS:  # keep what this slice has
             cache.clear()
             cache.update((u, ids) for u, ids in zip(units, pieces) if ids is not None)
-        encoder.learn(new)
-        pieces = list(map(cache.get, units))
+        learnt = encoder.learn(new)
+        pieces = [learnt[u] if ids is None else ids for u, ids in zip(units, pieces)]
     size = np.array([len(p) >> 2 for p in pieces], np.int64)
     flat = np.frombuffer(b"".join(pieces), np.int32)
     n = size[codes] if len(codes) else size[:0]
