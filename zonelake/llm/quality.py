@@ -134,8 +134,8 @@ def calibrate(counts: DataFrame, labels: DataFrame, risk: float = RISK, delta: f
     )
 
 
-def calibrate_jointly(counts: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """(stratum, rule, cutoff) of the strictest admitted vector of ``JOINT`` for each stratum of ``counts``.
+def calibrate_jointly(counts: DataFrame, labels: DataFrame, strata: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """(stratum, rule, cutoff) of the strictest admitted vector of ``JOINT`` for each row of ``strata`` (distinct strata).
 
     A stratum whose good documents are too few to admit a vector that rejects none of them takes the strictest vector that the good
     documents of all strata together admit; its bound then holds for all strata pooled.  Those strata share one test, so there are never more
@@ -149,7 +149,7 @@ def calibrate_jointly(counts: DataFrame, labels: DataFrame, risk: float = RISK,
             F.array(*[F.struct(F.lit(step).alias("step"), F.count(F.when(F.expr(f"NOT ({BASE}) AND ({f})"), 1)).alias("k")) for step, f in enumerate(fails)]).alias("t"),
         )
     )
-    strata = materialize(counts.select("stratum").distinct())
+    strata = materialize(strata)
     level = delta / max(strata.count(), 1)
     cells = tested.select("stratum", "n", F.inline("t"))
     pooled = cells.groupBy("step").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).filter(_admitted(risk, level)).agg(F.max("step")).first()[0]
@@ -179,22 +179,27 @@ def judge_quality(
     words in repeated three-word windows.  ``kept`` is false if base_failed or if a rule's admitted cutoff
     for the document's stratum is passed.  A null text counts as empty.  A stratum without labelled good
     documents enough for the test (a null one too, unless labelled) has no cutoffs, so only the base rule acts; with ``joint``
-it takes the pooled cutoffs, if all strata together have documents enough (see ``calibrate_jointly``).  Repeated rows stay; an
+    it takes the pooled cutoffs, if all strata together have documents enough (see ``calibrate_jointly``).  Repeated rows stay; an
     empty table gives an empty result; labels of unknown documents and null labels are ignored.
     """
     keep, stratum = keep or {}, {"stratum": F.col(stratum_col).cast("string")}
-    counts = text_counts(docs, id_col, text_col, stratum)
-    narrow = counts if keep else materialize(counts)  # with further columns, texts perhaps, counting again is cheaper than storing them
+    marked = labels.select(F.col(id_col).alias("_id"), F.expr(good).alias("good"))
     if keep:
+        # with further columns, texts perhaps, counting again is cheaper than storing them; for the cutoffs only the documents
+        # labelled good are counted
+        known = marked.filter("good").select(F.col("_id").alias(id_col)).distinct()
+        narrow = text_counts(docs.select(*dict.fromkeys((id_col, text_col, stratum_col))).join(known, id_col, "left_semi"), id_col, text_col, stratum)
         # a generator: the optimizer would copy the counting into every condition on it
         counts = text_counts(docs, id_col, text_col, stratum | keep)
         names = [c for c in counts.columns if c not in ("_id", "stratum", *keep)]
         counts = counts.select("_id", "stratum", *keep, F.inline(F.array(F.struct(*names))))
     else:
-        counts = narrow
-    marked = labels.select(F.col(id_col).alias("_id"), F.expr(good).alias("good"))
-    cutoffs = (calibrate_jointly if joint else calibrate)(narrow, marked, risk, delta).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cut"))
-    cutoffs = cutoffs.withColumnRenamed("stratum", "_stratum")
+        counts = narrow = materialize(text_counts(docs, id_col, text_col, stratum))
+    if joint:
+        admitted = calibrate_jointly(narrow, marked, docs.select(stratum["stratum"].alias("stratum")).distinct(), risk, delta)
+    else:
+        admitted = calibrate(narrow, marked, risk, delta)
+    cutoffs = admitted.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cut")).withColumnRenamed("stratum", "_stratum")
     base = F.expr(BASE)
     passed = [F.coalesce(_fails(rule, F.col("cut")[rule]), F.lit(False)) for rule in RULES]
     failed = passed[0]
