@@ -36,9 +36,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of every near-duplicate class; documents without words or without an id stay."""
+    """The document of the least id of every near-duplicate class.  Texts without words (null, empty, or emptied by the line stage)
+    are equal, so they are one class here; documents without an id stay."""
     gone = ngram_join.near_duplicates(docs).filter("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    least = docs.filter(wordless).agg(F.min("doc_id")).first()[0]
+    one = ~wordless | F.col("doc_id").isNull() | (F.col("doc_id") == F.lit(least))
+    return docs.filter(F.coalesce(one, F.lit(True))).join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
