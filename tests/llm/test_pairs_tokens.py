@@ -185,6 +185,37 @@ def test_tiling_is_the_plain_one():
         assert decontaminate.tile(*hashed) == plain_tiles(doc, item)
 
 
+@pytest.mark.parametrize("bound", [decontaminate.MAX_SEEDS, 0])
+def test_short_items(spark, monkeypatch, bound):
+    """Items of one to four words leak where all of them stand side by side."""
+    monkeypatch.setattr(decontaminate, "MAX_SEEDS", bound)
+    items = [(1, "Zebra!"), (2, "green ideas"), (3, "colourless green ideas"), (4, "one two three four"), (5, ""), (6, "..."), (7, "a b c d e f")]
+    docs = [(1, "a zebra, and Green  ideas."), (2, "green new ideas"), (3, "so colourless green ideas sleep"), (4, "one two three"), (5, "x one-two one two, three; FOUR"), (6, None), (7, "a b c d e")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = tuples(decontaminate.find_leaks(frame, bench), "doc_id", "item_id", "n_item_words", "n_covered", "n_tiles")
+    assert got == [(1, 1, 1, 1, 1), (1, 2, 2, 2, 1), (3, 2, 2, 2, 1), (3, 3, 3, 3, 1), (5, 4, 4, 4, 1), (7, 7, 6, 5, 1)]
+    assert tuples(decontaminate.drop_leaks(frame, bench), "doc_id") == [(2,), (4,), (6,)]
+
+
+def test_a_very_long_document_meets_many_items():
+    """A million words and 600 items in seconds: the document is hashed once and looked at around its seeds only."""
+    import time
+
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    items = [" ".join(rng.choice(words) for _ in range(40)) for _ in range(600)]
+    text = [rng.choice(words) for _ in range(1_000_000)]
+    for k in range(0, 600, 2):
+        item = items[k].split()
+        text[k * 1500 : k * 1500 + 40] = item[20:] + item[:20]
+    index = decontaminate._index(pa.table({"text": items}))
+    begin = time.time()
+    found = decontaminate._leaks_of(pa.RecordBatch.from_pydict({"text": [" ".join(text)]}), index, 0.5)
+    assert time.time() - begin < 30
+    assert [f[1] for f in found] == list(range(0, 600, 2)) and all(f[3] == 40 and f[4] == 2 for f in found)
+
+
 @pytest.mark.parametrize("bound", [decontaminate.MAX_SEEDS, 0])
 def test_leaks(spark, edge, none, monkeypatch, bound):
     """Whole, edited, reordered and partial passages, by broadcast and by join."""

@@ -1,12 +1,14 @@
 """Benchmark decontamination by greedy string tiling.
 
-1. *Seeds.*  Documents and benchmark items are sequences of normalised words (letters and digits, lower case).  A pair that
-   shares a run of SEED words is a candidate.  A benchmark within MAX_SEEDS runs is broadcast as an index
+1. *Seeds.*  Documents and benchmark items are sequences of normalised words (letters and digits, lower case), each hashed once.  A
+   pair that shares a run of SEED words (of all words of a shorter item) is a candidate.  A benchmark within MAX_SEEDS runs is broadcast as an index
    and documents are judged in one pass without a shuffle; a larger one is joined on seed hashes.
-2. *Tiles.*  For a candidate pair the longest common runs of unmarked words are marked, longest first, until none of SEED words is
-   left.  The length of the longest run is found by bisection over Karp-Rabin hashes of all unmarked windows.
+2. *Tiles.*  Of a candidate's document only the words under shared seeds are looked at: no tile lies elsewhere.  The longest
+   common runs of unmarked words are marked, longest first, until none as long as a seed is left.  The length of the longest run is found by bisection over Karp-Rabin hashes of all unmarked windows.
 3. *Threshold.*  The item counts as leaked if its tiles cover at least COVERAGE of its words, in whatever order they
    stand in the document.
+
+Words are compared by 64-bit hashes; what is found is not compared letter by letter.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .words import Names, hash_words, slices, split_words
 
-#: words of the shortest tile, and the share of an item that tiles must cover
+#: words of a seed and of the shortest tile (all words of an item that has fewer), and the share of an item that tiles must cover
 SEED, COVERAGE = 5, 0.5
 #: item words whose index is broadcast (about 60 bytes each)
 MAX_SEEDS = 1_000_000
@@ -39,12 +41,30 @@ def _normal(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes[words.codes[real]] if len(words.codes) else hashes, np.concatenate([[0], np.cumsum(real)])[words.starts]
 
 
-def _seeds(hashes: np.ndarray, starts: np.ndarray):
-    """(row, name) of every run of SEED words."""
-    at = np.arange(max(len(hashes) - SEED + 1, 0))
+def _seeds(hashes: np.ndarray, starts: np.ndarray, length: int = SEED):
+    """(row, name, place) of every run of ``length`` words."""
+    at = np.arange(max(len(hashes) - length + 1, 0))
     ends = np.repeat(starts[1:], np.diff(starts))
-    at = at[ends[: len(at)] - at >= SEED]
-    return np.repeat(np.arange(len(starts) - 1), np.diff(starts))[at], Names(hashes).of(at, SEED)
+    at = at[ends[: len(at)] - at >= length]
+    return np.repeat(np.arange(len(starts) - 1), np.diff(starts))[at], Names(hashes).of(at, length), at
+
+
+def _item_seeds(hashes: np.ndarray, starts: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """{length: (row, name)} of the items' seeds: an item of fewer than SEED words is one seed."""
+    size = np.diff(starts)
+    out = {}
+    for length in np.unique(np.minimum(size[size > 0], SEED)).tolist():
+        row, name, _ = _seeds(hashes, starts, length)
+        own = np.minimum(size[row], SEED) == length
+        out[length] = row[own], name[own]
+    return out
+
+
+def _under(doc: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """The words of ``doc`` under seeds at ``at``; where others lie between, a value that is no word's."""
+    places = np.unique(at[:, None] + np.arange(length))
+    gap = np.flatnonzero(np.diff(places) > 1) + 1
+    return np.insert(doc[places], gap, np.arange(len(gap), dtype=np.uint64))
 
 
 def tile(doc: np.ndarray, item: np.ndarray, least: int = SEED) -> tuple[int, int]:
@@ -77,7 +97,8 @@ def tile(doc: np.ndarray, item: np.ndarray, least: int = SEED) -> tuple[int, int
         most = low
         (doc_at, item_at), (doc_names, item_names), hit = common(low)
         places: dict[int, list[int]] = {}
-        for name, at in zip(doc_names.tolist(), doc_at.tolist()):
+        wanted = np.isin(doc_names, item_names[hit])
+        for name, at in zip(doc_names[wanted].tolist(), doc_at[wanted].tolist()):
             places.setdefault(name, []).append(at)
         for name, at in zip(item_names[hit].tolist(), item_at[hit].tolist()):
             if not free[1][at : at + low].all():
@@ -90,35 +111,45 @@ def tile(doc: np.ndarray, item: np.ndarray, least: int = SEED) -> tuple[int, int
 
 
 def _judge(doc: np.ndarray, item: np.ndarray, coverage: float):
-    covered, tiles = tile(doc, item)
+    covered, tiles = tile(doc, item, min(SEED, len(item)))
     return (len(item), covered, tiles) if covered >= coverage * len(item) and covered else None
 
 
 def _index(benchmark: pa.Table) -> dict:
-    """Sorted seed names with their items, the items' words, and a table of the names' low bits to skip by."""
+    """By seed length: sorted seed names with their items and a table of the names' low bits to skip by; the items' words."""
     hashes, starts = _normal(benchmark.column("text").combine_chunks().cast(pa.large_string()) if benchmark.num_rows else pa.array([], pa.large_string()))
-    row, name = _seeds(hashes, starts)
-    order = np.lexsort((row, name))
-    low = np.zeros(1 << 22, dtype=bool)
-    low[(name & np.uint64(len(low) - 1)).astype(np.int64)] = True
-    return {"name": name[order], "row": row[order], "hashes": hashes, "starts": starts, "low": low}
+    seeds = {}
+    for length, (row, name) in _item_seeds(hashes, starts).items():
+        order = np.lexsort((row, name))
+        low = np.zeros(1 << 22, dtype=bool)
+        low[(name & np.uint64(len(low) - 1)).astype(np.int64)] = True
+        seeds[length] = name[order], row[order], low
+    return {"seeds": seeds, "hashes": hashes, "starts": starts}
 
 
 def _leaks_of(batch: pa.RecordBatch, index: dict, coverage: float):
     """(row of the batch, item, item words, covered, tiles) of the leaks in a batch."""
     hashes, starts = _normal(batch.column("text"))
-    row, name = _seeds(hashes, starts)
-    maybe = index["low"][(name & np.uint64(len(index["low"]) - 1)).astype(np.int64)]
-    row, name = row[maybe], name[maybe]
-    first, last = (np.searchsorted(index["name"], name, side) for side in ("left", "right"))
-    n = last - first
-    items = index["row"][np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if n.sum() else np.zeros(0, np.int64)
     out = []
-    for r, i in np.unique(np.stack([np.repeat(row, n), items]), axis=1).T.tolist():
-        found = _judge(hashes[starts[r] : starts[r + 1]], index["hashes"][index["starts"][i] : index["starts"][i + 1]], coverage)
-        if found:
-            out.append((r, i, *found))
-    return out
+    for length, (names, rows, low) in index["seeds"].items():
+        row, name, at = _seeds(hashes, starts, length)
+        maybe = low[(name & np.uint64(len(low) - 1)).astype(np.int64)]
+        row, name, at = row[maybe], name[maybe], at[maybe]
+        first, last = (np.searchsorted(names, name, side) for side in ("left", "right"))
+        n = last - first
+        if not n.sum():
+            continue
+        items = rows[np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())]
+        row, at = np.repeat(row, n), np.repeat(at, n)
+        order = np.lexsort((at, items, row))
+        row, items, at = row[order], items[order], at[order]
+        new = np.append(np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (items[1:] != items[:-1]))), len(row)).tolist()
+        for a, b in zip(new, new[1:]):
+            i = items[a]
+            found = _judge(_under(hashes, at[a:b], length), index["hashes"][index["starts"][i] : index["starts"][i + 1]], coverage)
+            if found:
+                out.append((int(row[a]), int(i), *found))
+    return sorted(out)
 
 
 def _small(benchmark: DataFrame) -> bool:
@@ -140,7 +171,7 @@ def find_leaks(
 ) -> DataFrame:
     """The leaks only: (id, item id, n_item_words, n_covered, n_tiles), a row for each document row and item.
 
-    Null texts are empty and leak nothing; items of under 5 words cannot be found; null ids are
+    Null texts are empty and leak nothing; an item of under 5 words leaks where all of them stand side by side; null ids are
     reported as they are; repeated rows of either table give repeated leaks; empty tables give none.  Other columns are ignored.
     """
     items = _items(benchmark, item_col, text_col)
@@ -165,26 +196,39 @@ def find_leaks(
     return leaks.withColumnsRenamed({"id": id_col, "item": item_col})
 
 
-def _exploded(frame: DataFrame, id_kind: str) -> DataFrame:
-    """(seed, id, dig) with each row's distinct seeds; ``dig`` tells texts of equal id apart."""
+def _exploded(frame: DataFrame, id_kind: str, lengths: list[int] | None = None) -> DataFrame:
+    """(seed, id, dig) with each row's distinct seeds of ``lengths`` (None: an item's own); ``dig`` tells texts of equal id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            row, name = _seeds(*_normal(batch.column("text")))
-            row, name = np.unique(np.stack([row.astype(np.uint64), name]), axis=1)
-            row = pa.array(row.astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), batch.column("id").take(row), batch.column("dig").take(row)], ["seed", "id", "dig"])
+            hashes, starts = _normal(batch.column("text"))
+            seeds = [_seeds(hashes, starts, length)[:2] for length in lengths] if lengths is not None else list(_item_seeds(hashes, starts).values())
+            for row, name in seeds:
+                row, name = np.unique(np.stack([row.astype(np.uint64), name]), axis=1)
+                row = pa.array(row.astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), batch.column("id").take(row), batch.column("dig").take(row)], ["seed", "id", "dig"])
 
     return frame.mapInArrow(run, f"seed long, id {id_kind}, dig long")
 
 
+def _seed_lengths(items: DataFrame) -> list[int]:
+    """The seed lengths of a benchmark: SEED and fewer."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            size = np.diff(_normal(batch.column("text"))[1])
+            yield pa.RecordBatch.from_pydict({"length": pa.array(np.unique(np.minimum(size[size > 0], SEED)).astype(np.int64))})
+
+    return sorted(r[0] for r in items.select("text").mapInArrow(run, "length long").distinct().collect())
+
+
 def _leaks_by_join(base: DataFrame, items: DataFrame, coverage: float, kind: str) -> DataFrame:
     """Leaks of a benchmark of any size: pairs meet on seeds (both sides plain shuffles, so AQE splits a seed that very many
     documents hold), then each pair fetches its two texts."""
     docs = base.withColumn("dig", F.xxhash64("text"))
     marked = items.withColumnRenamed("item", "id").withColumn("dig", F.xxhash64("text"))
     theirs = _exploded(marked, "long").withColumnsRenamed({"id": "item", "dig": "item_dig"})
-    pairs = materialize(_exploded(docs, kind).join(theirs, "seed").select("id", "dig", "item", "item_dig").distinct())
+    pairs = materialize(_exploded(docs, kind, _seed_lengths(items)).join(theirs, "seed").select("id", "dig", "item", "item_dig").distinct())
     withheld = marked.withColumnsRenamed({"id": "item", "dig": "item_dig", "text": "item_text"})
     same = lambda a, b, x, y: a[x].eqNullSafe(b[x]) & (a[y] == b[y])
     with_item = pairs.join(withheld, same(pairs, withheld, "item", "item_dig")).select(pairs["*"], "item_text")
@@ -196,7 +240,11 @@ def _leaks_by_join(base: DataFrame, items: DataFrame, coverage: float, kind: str
             others, other_starts = _normal(batch.column("item_text"))
             found = []
             for r in range(len(batch)):
-                judged = _judge(hashes[starts[r] : starts[r + 1]], others[other_starts[r] : other_starts[r + 1]], coverage)
+                doc, item = hashes[starts[r] : starts[r + 1]], others[other_starts[r] : other_starts[r + 1]]
+                length = min(SEED, len(item))
+                ends = np.array([0, len(doc)]), np.array([0, len(item)])
+                _, name, at = _seeds(doc, ends[0], length)
+                judged = _judge(_under(doc, at[np.isin(name, _seeds(item, ends[1], length)[1])], length), item, coverage)
                 if judged:
                     found.append((r, *judged))
             if found:
@@ -213,9 +261,11 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """The rows of ``docs``, with all their columns, in which no item leaks (see ``find_leaks``)."""
     items = _items(benchmark, item_col, text_col)
     if not _small(items):
-        found = find_leaks(docs.withColumn("_row", F.struct(F.col(id_col), F.xxhash64(text_col))).select(F.xxhash64("_row").alias(id_col), text_col), benchmark, id_col, text_col, item_col, coverage)
-        gone = found.select(F.col(id_col).alias("_gone")).distinct()
-        return docs.join(gone, F.xxhash64(F.struct(F.col(id_col), F.xxhash64(text_col))) == F.col("_gone"), "left_anti")
+        # a text leaks whatever its id: rows are found by 128 bits of their text
+        text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+        key = F.struct(F.xxhash64(F.lit(1), text), F.xxhash64(F.lit(2), text))
+        found = find_leaks(docs.select(F.to_json(key).alias("_key"), F.col(text_col)), benchmark, "_key", text_col, item_col, coverage)
+        return docs.join(found.select(F.col("_key").alias("_gone")).distinct(), F.to_json(key) == F.col("_gone"), "left_anti")
     index, _ = _broadcast_index(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
