@@ -83,7 +83,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
     if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
+        spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
 
     warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
     if os.path.isdir(warm_dir):

@@ -28,7 +28,7 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     configure(session)
     if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
+        session.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
     yield session
     session.stop()
 

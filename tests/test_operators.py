@@ -239,3 +239,25 @@ def test_bounds_from_session_settings(spark):
     finally:
         spark.conf.unset("spark.zonelake.hotRows")
         spark.conf.unset("spark.zonelake.broadcastKeys")
+
+
+def test_numbering_violations(spark):
+    """Repeated and missing numbers, nulls and numbers far apart, against a count per key and number."""
+    from zonelake.plans.checks import assert_numbering, numbering_violations
+
+    good = [(k, i) for k, n in (("a", 200), ("b", 1), ("c", 64), ("d", 63)) for i in range(1, n + 1)]
+    frame = lambda data: spark.createDataFrame(data, "k string, rn long").repartition(3)
+    assert numbering_violations(frame(good), "k", table_name="t").collect() == [("t", 0, 0, 0)]
+    assert_numbering(frame(good), "k")
+    bad = [r for r in good if r not in (("a", 70), ("a", 128))] + [("a", 5), ("a", 5), ("c", 64), (None, 1), ("e", None), ("f", 0), ("g", 3)]
+    assert numbering_violations(frame(bad), "k").collect() == [("", 3, 3, 4)]
+    with pytest.raises(ValueError, match="3 rows without key or number, 3 duplicated, 4 missing"):
+        assert_numbering(frame(bad), "k")
+    assert numbering_violations(frame(good).limit(0), "k").collect() == [("", 0, 0, 0)]
+
+
+def test_counts_of_hot_keys_are_skipped_only_where_none_can_be(spark):
+    from zonelake.operators.skew import no_hot_keys
+
+    assert no_hot_keys(["k"], 10, spark, 10).frame is None
+    assert no_hot_keys(["k"], 11, spark, 10) is None

@@ -175,14 +175,15 @@ def fuse_on_time(
 
 def _fuse(
     devices: DataFrame, accel: DataFrame, *, same_user: bool, weight: str, accel_weight: str | None, persist: bool
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """Pair device readings with accelerometer readings of the same time.
 
     The original feature table joins on time alone: a reading of another user
     at the same instant is paired with the device too (``same_user=True``
     also requires ``email == user``).  Returns distinct feature tuples with
     their multiplicity in ``weight``; ``ml_features`` numbers and expands them.
-    Accelerometer rows count once each, or ``accel_weight`` times.  Also returns the two stored inputs.
+    Accelerometer rows count once each, or ``accel_weight`` times.  Also returns the two stored inputs
+    and the number of all copies (over all users).
 
     The accelerometer side is first reduced to distinct tuples with a count
     (combined map-side; the two zeros of a coordinate stay apart).  The join is many-to-many, so one busy instant makes
@@ -200,10 +201,22 @@ def _fuse(
     stored = (lambda df: df.persist(StorageLevel.MEMORY_AND_DISK)) if persist else materialize
     acc = stored(group_keeping_zeros(accel, keys, copies.cast("long").alias(weight)))
     devices = stored(devices)
-    return _fused(devices, acc, same_user, weight), devices, acc
+    rows, copies = _pair_counts(devices, acc, weight)
+    limit = skew.hot_threshold(None, devices.sparkSession)
+    return _fused(devices, acc, same_user, weight, rows > limit), devices, acc, copies
+
+
+def _pair_counts(devices: DataFrame, acc: DataFrame, weight: str) -> tuple[int, int]:
+    """(pairs, their copies) of all instants, from two tables of counts: where these are within the bound of one task, no instant
+    and no email needs counting."""
+    n = devices.groupBy("sensorreadingtime").agg(F.count(F.lit(1)).alias("_n"))
+    m = acc.groupBy("timestamp").agg(F.count(F.lit(1)).alias("_m"), F.sum(weight).alias("_w"))
+    wide = lambda c: F.coalesce(F.sum(F.col("_n").cast("decimal(38,0)") * F.col(c)), F.lit(0))
+    got = n.join(m, F.col("sensorreadingtime") == F.col("timestamp")).agg(wide("_m").alias("rows"), wide("_w").alias("copies")).first()
+    return int(got["rows"]), int(got["copies"])
 
 
-def _fused(devices: DataFrame, acc: DataFrame, same_user: bool, weight: str) -> DataFrame:
+def _fused(devices: DataFrame, acc: DataFrame, same_user: bool, weight: str, many: bool) -> DataFrame:
     out = ["email", "sensorreadingtime", "serialnumber", "distancefromobject", "x", "y", "z", weight]
 
     def pairs(dev: DataFrame, tuples: DataFrame, extra: Column | None = None) -> DataFrame:
@@ -214,7 +227,7 @@ def _fused(devices: DataFrame, acc: DataFrame, same_user: bool, weight: str) ->
             cond = cond & extra
         return dev.join(tuples, cond, "inner").select(*out)
 
-    busy = _busy_instants(devices, acc)
+    busy = _busy_instants(devices, acc) if many else None
     if busy is None:
         return pairs(devices, acc)
     instants = F.broadcast(busy)  # _busy_t, _a, _b; at most MAX_HOT_KEYS rows
@@ -271,6 +284,6 @@ def ml_features(
     devices: DataFrame, accel: DataFrame, *, same_user: bool = False, accel_weight: str | None = None, persist: bool = False
 ) -> DataFrame:
     """Feature rows numbered per email in time order (one row per pair)."""
-    fused, devices, acc = _fuse(devices, accel, same_user=same_user, weight="_w", accel_weight=accel_weight, persist=persist)
-    hot = _hot_emails(devices, acc, same_user, "_w")
+    fused, devices, acc, copies = _fuse(devices, accel, same_user=same_user, weight="_w", accel_weight=accel_weight, persist=persist)
+    hot = skew.no_hot_keys(["email"], copies, devices.sparkSession) or _hot_emails(devices, acc, same_user, "_w")
     return number_rows(fused, "email", ML_ORDER, weight="_w", distinct_input=True, hot=hot)

@@ -63,6 +63,12 @@ def collect_hot(counts: DataFrame, keys: Sequence[str], size: str, *more: str) -
     return HotKeys(tuple(columns), spark.createDataFrame(rows, top.schema) if rows else None)
 
 
+def no_hot_keys(keys: Sequence[str], rows: int, spark: SparkSession, threshold: int | None = None) -> HotKeys | None:
+    """The empty set of hot keys if all ``rows`` together are within the threshold, so that no key can pass it; None if the keys
+    have to be counted."""
+    return HotKeys(tuple(keys), None) if rows <= hot_threshold(threshold, spark) else None
+
+
 def find_hot_keys(
     df: DataFrame, keys: Sequence[str], *, weight: Column | None = None, threshold: int | None = None
 ) -> HotKeys:

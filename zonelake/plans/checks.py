@@ -59,6 +59,40 @@ def key_violations(df: DataFrame, keys: str | Sequence[str], table_name: str = "
     ).select(F.lit(table_name).alias("table_name"), "null_keys", "duplicate_keys")
 
 
+def numbering_violations(df: DataFrame, key: str, number: str = "rn", table_name: str = "") -> DataFrame:
+    """``(table_name, null_keys, repeated, missing)``: rows with a null key or number, numbers that a key holds again, and numbers
+    between 1 and a key's largest that it lacks.
+
+    Exact, at a fraction of the shuffle of a count per (key, number): 64 neighbouring numbers of a key are one row, their count
+    and a mask of those seen, combined map-side.  A table whose check is (0, 0, 0) holds every (key, number) once.
+    """
+    named = F.col(key).isNotNull() & (F.col(number) >= 1)
+    bit = F.expr(f"shiftleft(1L, cast(`{number}` % 64 AS INT))")
+    blocks = df.groupBy(F.col(key).alias("_k"), F.expr(f"`{number}` div 64").alias("_b"), F.coalesce(named, F.lit(False)).alias("_ok")).agg(
+        F.count(F.lit(1)).alias("_n"), F.bit_count(F.bit_or(F.when(named, bit))).cast("long").alias("_d"), F.max(number).alias("_last")
+    )
+    keys = blocks.groupBy("_k", "_ok").agg(F.sum("_n").alias("_n"), F.sum("_d").alias("_d"), F.max("_last").alias("_last"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return keys.agg(
+        total(F.when(~F.col("_ok"), F.col("_n"))).alias("null_keys"),
+        total(F.when(F.col("_ok"), F.col("_n") - F.col("_d"))).alias("repeated"),
+        total(F.when(F.col("_ok"), F.col("_last") - F.col("_d"))).alias("missing"),
+    ).select(F.lit(table_name).alias("table_name"), "null_keys", "repeated", "missing")
+
+
+def assert_numbering(df: DataFrame, key: str, number: str = "rn") -> None:
+    """Raise unless every key's rows are numbered 1, 2, ... without a repetition or a gap."""
+    row = numbering_violations(df, key, number).first()
+    if any(row[c] for c in ("null_keys", "repeated", "missing")):
+        raise ValueError(f"numbers {number} of {key}: {row['null_keys']} rows without key or number, {row['repeated']} duplicated, {row['missing']} missing")
+
+
+def count_check(tables: Mapping[str, DataFrame], expected: DataFrame) -> DataFrame:
+    """``(table_name, row_count, expected, ok)``: the counts of ``tables`` against ``expected`` (table_name, expected)."""
+    found = zone_counts(tables).join(expected, "table_name", "full")
+    return found.select("table_name", "row_count", "expected", F.col("row_count").eqNullSafe(F.col("expected")).alias("ok"))
+
+
 def assert_key(df: DataFrame, keys: str | Sequence[str]) -> None:
     """Raise when a record key part is null or a key is not unique."""
     row = key_violations(df, keys).first()

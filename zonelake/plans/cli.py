@@ -39,7 +39,7 @@ def _commit(store: ZoneStore, spark: SparkSession, df: DataFrame, zone: str, tab
     # every job output is unique per record key by construction (keep-latest,
     # or a (key, rn) pair), so the writer skips its own deduplication
     keys, order = refine.TABLE_KEYS[table]
-    store.write(df, zone, table, keys, order, mode=mode, unique=True)
+    store.write(df, zone, table, keys, order, mode=mode, unique=True, numbered="rn" if "rn" in keys else None)
     return read_zone(spark, zone, table, store.zones)
 
 

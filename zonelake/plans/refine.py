@@ -17,6 +17,7 @@ run on any frames, and ``refine`` chains them through the zone tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from zonelake.operators.dedup import keep_latest
 from zonelake.operators.filters import consent_filter
@@ -29,8 +30,9 @@ from zonelake.operators.joins import (
 )
 from zonelake.operators.numbering import number_rows
 from zonelake.operators.projection import keep_columns, lower_columns
+from zonelake.operators.skew import no_hot_keys
 from zonelake.schemas import ACCELEROMETER_COLUMNS, CUSTOMER_COLUMNS, STEP_TRAINER_COLUMNS
-from zonelake.session import materialize
+from zonelake.session import materialize, materialize_counted
 
 # Count columns of the gated (not yet numbered) sensor frames.
 DEVICES = "_devices"
@@ -61,13 +63,13 @@ def gated_accelerometer(readings: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def _numbered(readings: DataFrame, customers: DataFrame, row_key: str, gate_key: str, order: str, weight: str) -> DataFrame:
-    """Gated readings with their copies, numbered.  The landing rows are parsed once: the gated frame is stored, and the hot
-    keys of the numbering are counted on what is stored."""
+    """Gated readings with their copies, numbered.  The landing rows are parsed once: the gated frame is stored, its copies are
+    added up while it is written, and hot keys are counted on what is stored where one task could not take all copies."""
     matches = gate_matches(customers, gate_key)
     if not matches[1]:  # the gate then counts keys before it joins
         readings = materialize(readings)
-    gated = materialize(gate(readings, customers, row_key, gate_key, weight=weight, matches=matches))
-    return number_rows(gated, row_key, order, weight=weight)
+    gated, _, copies = materialize_counted(gate(readings, customers, row_key, gate_key, weight=weight, matches=matches), F.col(weight))
+    return number_rows(gated, row_key, order, weight=weight, hot=no_hot_keys([row_key], copies, readings.sparkSession))
 
 
 def accelerometer_trusted(readings: DataFrame, customers: DataFrame) -> DataFrame:

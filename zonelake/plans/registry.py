@@ -337,6 +337,37 @@ def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(stored)
 
 
+def q_numbering_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbered tables as they are stored: every key's rows are numbered once each, without a gap."""
+    zones = _lake(spark, sf_dir).zones
+    keys = {"accelerometer_trusted": ("trusted", "user"), "step_trainer_trusted": ("trusted", "serialnumber"), "machine_learning_curated": ("curated", "email")}
+    return checks.union_all([checks.numbering_violations(read_zone(spark, zone, t, zones), key, table_name=t) for t, (zone, key) in keys.items()])
+
+
+def q_count_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the stored tables against what the landing feeds lead to, counted from keys without making the rows."""
+    zones = _lake(spark, sf_dir).zones
+    stored = {n: read_zone(spark, "curated" if n in ("customer_curated", "machine_learning_curated") else "trusted", n, zones) for n in refine.TABLE_KEYS}
+    feeds = {n: landing(spark, sf_dir, n) for n in mapped.FEEDS}
+    customers = consent_filter(feeds["customer_landing"])
+    devices = keep_latest(customers, "serialnumber", "registrationdate").select("serialnumber", "email")
+    per_email, per_device = (devices.groupBy(c).agg(F.count(F.lit(1)).alias("n")) for c in ("email", "serialnumber"))
+    readings = feeds["accelerometer_landing"].groupBy("user", "timestamp").agg(F.count(F.lit(1)).alias("m"))
+    readings = readings.join(per_email, F.col("user") == F.col("email")).select("user", "timestamp", (F.col("m") * F.col("n")).alias("m"))
+    steps = feeds["step_trainer_landing"].join(per_device, "serialnumber")
+    owners = devices.join(readings, F.col("email") == F.col("user"), "left_semi")
+    owned = feeds["step_trainer_landing"].select("sensorreadingtime", "serialnumber", "distancefromobject").distinct().join(owners, "serialnumber")
+    at = readings.groupBy("timestamp").agg(F.sum("m").alias("m"))
+    counts = {
+        "customer_trusted": customers.agg(F.count_distinct("serialnumber").alias("expected")),
+        "accelerometer_trusted": readings.agg(F.sum("m").alias("expected")),
+        "step_trainer_trusted": steps.agg(F.sum("n").alias("expected")),
+        "customer_curated": owners.agg(F.count(F.lit(1)).alias("expected")),
+        "machine_learning_curated": owned.join(at, F.col("sensorreadingtime") == F.col("timestamp")).agg(F.sum("m").alias("expected")),
+    }
+    return checks.count_check(stored, checks.union_all([df.select(F.lit(t).alias("table_name"), F.coalesce("expected", F.lit(0)).cast("long").alias("expected")) for t, df in counts.items()]))
+
+
 QUERIES: dict[str, Query] = {
     "customer_landing": lambda s, d: landing(s, d, "customer_landing"),
     "accelerometer_landing": lambda s, d: landing(s, d, "accelerometer_landing"),
@@ -377,6 +408,8 @@ QUERIES: dict[str, Query] = {
     "evolved_table": q_evolved_table,
     "ml_curated_persisted": q_ml_curated_persisted,
     "run_report": q_run_report,
+    "numbering_check": q_numbering_check,
+    "count_check": q_count_check,
 }
 
 
@@ -599,4 +632,16 @@ FROM log QUALIFY row_number() OVER (PARTITION BY serialnumber ORDER BY _commit D
         )
         + ")"
     ),
+    "numbering_check": _chain(
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) FILTER ({k} IS NULL OR rn IS NULL) AS null_keys, count(*) - count(DISTINCT struct_pack(k := {k}, rn := rn)) AS repeated, "
+            f"CAST(coalesce((SELECT sum(last) FROM (SELECT max(rn) AS last FROM {t} GROUP BY {k})), 0) AS BIGINT) - count(DISTINCT struct_pack(k := {k}, rn := rn)) AS missing FROM {t}"
+            for t, k in {"accelerometer_trusted": '"user"', "step_trainer_trusted": "serialnumber", "machine_learning_curated": "email"}.items()
+        )
+    ),
+    "count_check": _chain(
+        "SELECT table_name, n AS row_count, n AS expected, true AS ok FROM ("
+        + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in refine.TABLE_KEYS)
+        + ")"
+    ),
 }

@@ -60,7 +60,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="zonelake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)  # makes a fresh subfolder per application
     return spark.sparkContext.getCheckpointDir() or configured
 

@@ -12,7 +12,7 @@ after a commit are ``changelog`` functions over a range of ``_commit``, which pr
 
 Catalog: ``<db>.<table>__rows`` is the external table over ``rows``, ``<table>__log`` the view of the commits since the last replace,
 ``<table>`` the current table; ``<db>__<table>__as_of(n)`` and ``<db>__<table>__changes(n)`` are table functions of the session
-over the log.  One writer per table.
+over the log, from its second commit on.  One writer per table.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from zonelake.operators.dedup import keep_latest
 from zonelake.operators.projection import as_list, lower_columns
-from zonelake.plans.checks import assert_key
+from zonelake.plans.checks import assert_key, assert_numbering
 from zonelake.sinks.changelog import COMMIT, DELETED, META, changes_since, missing_keys, snapshot
 from zonelake.sources.catalog import DEFAULT_ZONES, Zones
 
@@ -152,6 +152,7 @@ class ZoneStore:
         partition_by: str | Sequence[str] | None = None,
         validate: bool = True,
         check_unique: bool = False,
+        numbered: str | None = None,
         batch: str | None = None,
     ) -> int:
         """Commit ``df`` to the table and refresh its catalog entries; returns the commit number.
@@ -162,7 +163,8 @@ class ZoneStore:
         ``order_by`` value, whatever the commit (``event``; late records then change nothing).  With ``validate`` the
         written commit is checked before it counts: a null key part (refused by keyed writers) fails the write;
         ``check_unique`` also verifies a key claimed unique (one more shuffle of the written rows).  The checks
-        read the written files, not the job's lineage.  ``partition_by`` is the table's from its first commit on.  ``batch``
+        read the written files, not the job's lineage.  ``numbered`` names the number column of a key ``(k, number)``: the written rows
+        of each k must be numbered 1, 2, ... (one row per 64 of them is shuffled).  ``partition_by`` is the table's from its first commit on.  ``batch``
         names a source batch: one that is already committed is not committed again.
         """
         if mode not in ("replace", "upsert"):
@@ -191,6 +193,8 @@ class ZoneStore:
                 raise ValueError(f"{zone}.{table}: rows with a null record key {keys}")
             if unique and check_unique:
                 assert_key(written, keys)
+            if numbered:
+                assert_numbering(written, next(k for k in keys if k != numbered), numbered)
         return self._finish(spark, zone, table, [*done, new])
 
     def delete(self, keys_df: DataFrame, zone: str, table: str) -> int:
@@ -252,6 +256,8 @@ def register(spark: SparkSession, db: str, table: str, path: str, live: list[Com
         f"CREATE OR REPLACE VIEW {name}` AS "
         + (f"SELECT {quoted(data)} FROM {name}__log`" if head.kind == "replace" else f"SELECT {picks} FROM {winners('true')} WHERE NOT _latest.{DELETED}")
     )
+    if len(live) == 1:
+        return
     returned = ", ".join(f for f in fields if not f.startswith(f"`{DELETED}`"))
     after = f"{COMMIT} > _n" if head.order == "commit" else "true"
     functions = {
