@@ -134,8 +134,9 @@ def calibrate(counts: DataFrame, labels: DataFrame, risk: float = RISK, delta: f
     )
 
 
-def calibrate_jointly(counts: DataFrame, labels: DataFrame, strata: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """(stratum, rule, cutoff) of the strictest admitted vector of ``JOINT`` for each row of ``strata`` (distinct strata).
+def calibrate_jointly(counts: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, strata: DataFrame | None = None) -> DataFrame:
+    """(stratum, rule, cutoff) of the strictest admitted vector of ``JOINT`` for each row of ``strata`` (distinct
+    strata; by default those of ``counts``).
 
     A stratum whose good documents are too few to admit a vector that rejects none of them takes the strictest vector that the good
     documents of all strata together admit; its bound then holds for all strata pooled.  Those strata share one test, so there are never more
@@ -149,7 +150,7 @@ def calibrate_jointly(counts: DataFrame, labels: DataFrame, strata: DataFrame, r
             F.array(*[F.struct(F.lit(step).alias("step"), F.count(F.when(F.expr(f"NOT ({BASE}) AND ({f})"), 1)).alias("k")) for step, f in enumerate(fails)]).alias("t"),
         )
     )
-    strata = materialize(strata)
+    strata = materialize(strata if strata is not None else counts.select("stratum").distinct())
     level = delta / max(strata.count(), 1)
     cells = tested.select("stratum", "n", F.inline("t"))
     pooled = cells.groupBy("step").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).filter(_admitted(risk, level)).agg(F.max("step")).first()[0]
@@ -196,7 +197,7 @@ def judge_quality(
     else:
         counts = narrow = materialize(text_counts(docs, id_col, text_col, stratum))
     if joint:
-        admitted = calibrate_jointly(narrow, marked, docs.select(stratum["stratum"].alias("stratum")).distinct(), risk, delta)
+        admitted = calibrate_jointly(narrow, marked, risk, delta, docs.select(stratum["stratum"].alias("stratum")).distinct())
     else:
         admitted = calibrate(narrow, marked, risk, delta)
     cutoffs = admitted.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cut")).withColumnRenamed("stratum", "_stratum")
