@@ -165,3 +165,21 @@ def test_stream_replay_leaves_table_unchanged(spark, tmp_dir):
         ).awaitTermination()
     assert len(store.commits(spark, "trusted", "customer_trusted")) == 2
     assert rows(store.read(spark, "trusted", "customer_trusted"), "serialnumber", "registrationdate") == [("s1", 3)]
+
+
+def test_independent_jobs_run_at_once(spark):
+    """Both have started before either ends; local properties are the caller's and a failure is raised."""
+    import threading
+
+    from zonelake.session import at_once
+
+    both = threading.Barrier(2, timeout=60)
+    spark.sparkContext.setLocalProperty("zonelake.test", "yes")
+
+    def job(n):
+        both.wait()
+        return spark.range(n).count(), spark.sparkContext.getLocalProperty("zonelake.test")
+
+    assert at_once(spark, lambda: job(5), lambda: job(7)) == [(5, "yes"), (7, "yes")]
+    with pytest.raises(ZeroDivisionError):
+        at_once(spark, lambda: spark.range(3).count(), lambda: 1 // 0)

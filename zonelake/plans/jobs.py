@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonelake.plans import checks, refine
+from zonelake.session import at_once
 from zonelake.sinks.zone import ZoneStore
 from zonelake.sources.catalog import read_zone
 
@@ -42,17 +43,11 @@ def refine_all(
         return read_zone(spark, zone, table, store.zones)  # through the catalog, as the original jobs did
 
     customers = commit(refine.customer_trusted(landing["customer_landing"]), "trusted", "customer_trusted", True)
-    accel = commit(
-        refine.accelerometer_trusted(landing["accelerometer_landing"], customers),
-        "trusted",
-        "accelerometer_trusted",
-        True,
-    )
-    steps = commit(
-        refine.step_trainer_trusted(landing["step_trainer_landing"], customers),
-        "trusted",
-        "step_trainer_trusted",
-        True,
+    # the two sensor jobs need the customers only
+    accel, steps = at_once(
+        spark,
+        lambda: commit(refine.accelerometer_trusted(landing["accelerometer_landing"], customers), "trusted", "accelerometer_trusted", True),
+        lambda: commit(refine.step_trainer_trusted(landing["step_trainer_landing"], customers), "trusted", "step_trainer_trusted", True),
     )
     curated = commit(refine.customer_curated(accel, customers), "curated", "customer_curated", True)
     ml = commit(

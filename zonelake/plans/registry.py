@@ -22,7 +22,7 @@ from zonelake.operators.projection import lower_columns
 from zonelake.plans import checks, refine
 from zonelake.plans.jobs import refine_all, report
 from zonelake.schemas import REQUIRED_KEYS
-from zonelake.session import checkpoint_dir, configure, materialize
+from zonelake.session import at_once, checkpoint_dir, configure, materialize
 from zonelake.sinks.partitions import replace_partitions
 from zonelake.sinks.zone import ZoneStore
 from zonelake.sources import mapped
@@ -63,7 +63,8 @@ def _step_trusted(spark: SparkSession, sf_dir: str, customers: DataFrame | None
 def _trusted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three trusted tables."""
     customers = _stored_customers(configure(spark), sf_dir)
-    return customers, _accel_trusted(spark, sf_dir, customers), _step_trusted(spark, sf_dir, customers)
+    sensors = at_once(spark, lambda: _accel_trusted(spark, sf_dir, customers), lambda: _step_trusted(spark, sf_dir, customers))
+    return customers, *sensors
 
 
 def q_consent_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +68,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
+def at_once(spark: SparkSession, *jobs: Callable[[], Any]) -> list:
+    """The results of independent ``jobs``, each started in a thread of its own with the caller's local properties: while the
+    tail of one stage holds few cores, the other's tasks take the free ones (``spark.scheduler.mode`` FAIR shares them
+    evenly).  All are waited for; the first failure is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [s.result() for s in started]
+
+
 def local_session(app: str = "zonelake", cores: str = "*", partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench (no UI, small shuffle count)."""
     builder = (
