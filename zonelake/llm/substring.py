@@ -1,17 +1,18 @@
-"""Removal of repeated passages through prefix-partitioned suffix trees over words.
+"""Removal of repeated passages by hashes of fixed windows of words, dealt by prefix classes.
 
-A suffix is a word position with SPAN words to come; only its first SPAN words matter, so a tree is cut at that depth.
+A suffix is a word position with SPAN words to come; only its first SPAN words matter.  No suffix tree is built: the repeats asked
+for are the unions of equal windows of SPAN words, so windows are hashed, sorted by hash and compared with their neighbours
+(there is no lexical order and no LCP value; see the README).
 
 1. *Prune.*  Every window of SPAN words is represented by the least hash of its SEED-word runs (a minimizer).  Two equal
    windows share it at two different places, so a window whose minimizer value stands at one place in
    the corpus cannot be repeated.  Values that stand at two or more places are counted by a shuffle of about
    one value in seven positions and kept in a bit table of bounded size (false positives cost work, not results).
-2. *Partition.*  The remaining suffixes go to groups by a prefix of variable length: 5 words; 10 where the 5-word
+2. *Deal.*  The remaining suffixes go to groups by a prefix of variable length: 5 words; 10 where the 5-word
    class holds more than its share of all suffixes; all SPAN words where that is still too much.  Equal windows of one
    slice of documents are merged before the shuffle, so a passage in a third of all documents sends one suffix per slice.
-3. *Subtrees.*  A group's suffixes are sorted (by Spark, spilling) and read as a stream: neighbours that share all
-   SPAN words hang under one internal node of that depth, a maximal repeat; its least leaf is the first
-   occurrence and all others are marked.  A stream holds one batch, whatever the group's size.
+3. *Mark.*  A group's suffixes are sorted by hash (by Spark, spilling) and read as a stream: neighbours of equal hash are one repeated
+   window; its least place is the first occurrence and all others are marked.  A stream holds one batch, whatever the group's size.
 4. *Remove.*  Marked spans meet their document and are cut out.
 
 Suffixes are named by two 64-bit hashes, of their first and their last ten words.
