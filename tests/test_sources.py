@@ -157,3 +157,27 @@ def test_both_ways_of_reading_agree(spark, tmp_dir):
     assert "FileScan json" in _scan(one) and "FileScan text" in _scan(other)
     assert rows(one.where("user IS NOT NULL")) == rows(other.where("user IS NOT NULL"))
     assert rows(one) == rows(other)
+
+
+def test_statistics_of_a_catalog_table(spark, tmp_dir):
+    """The planner sees sizes, and with the cost-based optimizer rows; files are counted from their metadata."""
+    from zonelake.sinks.zone import ZoneStore
+    from zonelake.sources.catalog import analyze_table, file_statistics
+
+    store = ZoneStore(tmp_dir, Zones("stats"))
+    store.write(spark.range(0, 1000, 1, 4).selectExpr("id AS k", "id AS o"), "trusted", "t", "k", "o")
+    name = "stats_trusted.t__rows"
+    files = [os.path.join(d, f) for d, _, fs in os.walk(os.path.join(tmp_dir, "trusted", "t", "rows")) for f in fs if f.endswith(".parquet")]
+    size = sum(os.path.getsize(f) for f in files)
+    got = file_statistics(spark.table(name), "t").first()
+    assert (got["records"], got["objects"], got["size_bytes"]) == (1000, len(files), size)
+    assert got["mean_record_bytes"] == pytest.approx(size / 1000)
+    assert "ReadSchema: struct<>" in _scan(file_statistics(spark.table(name)))
+    assert analyze_table(spark, name)[1] == 1000 and store.analyze(spark, "trusted", "t")[0] >= size
+    cost = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("cost")
+    spark.conf.set("spark.sql.cbo.enabled", "true")
+    try:
+        assert "rowCount=1.00E+3" in spark.table("stats_trusted.t")._jdf.queryExecution().explainString(cost)
+    finally:
+        spark.conf.unset("spark.sql.cbo.enabled")
+    assert file_statistics(spark.table(name).where("_commit > 5")).first()["records"] == 0

@@ -26,9 +26,11 @@ def refine_all(
     *,
     same_user: bool = False,
     expected: Mapping[str, int] | None = None,
+    analyze: bool = False,
 ) -> DataFrame:
     """Run the five jobs in dependency order; return the run report: ``(table_name, row_count, columns)``, the
-    schema of each table as it was written.  The numbers of the numbered tables are verified before they count.  Counts other than ``expected`` are an error.
+    schema of each table as it was written.  The numbers of the numbered tables are verified before they count.  ``analyze``
+    stores each table's statistics in the catalog before the next job plans its reads.  Counts other than ``expected`` are an error.
 
     ``landing`` holds the three landing feeds (``customer_landing``,
     ``accelerometer_landing``, ``step_trainer_landing``), read with
@@ -40,6 +42,8 @@ def refine_all(
     def commit(df: DataFrame, zone: str, table: str, unique: bool) -> DataFrame:
         key, order = keys[table]
         store.write(df, zone, table, key, order, unique=unique, numbered="rn" if "rn" in key else None)
+        if analyze:
+            store.analyze(spark, zone, table)
         return read_zone(spark, zone, table, store.zones)  # through the catalog, as the original jobs did
 
     customers = commit(refine.customer_trusted(landing["customer_landing"]), "trusted", "customer_trusted", True)

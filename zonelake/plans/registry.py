@@ -26,7 +26,7 @@ from zonelake.session import at_once, checkpoint_dir, configure, materialize
 from zonelake.sinks.partitions import replace_partitions
 from zonelake.sinks.zone import ZoneStore
 from zonelake.sources import mapped
-from zonelake.sources.catalog import Zones, read_zone
+from zonelake.sources.catalog import Zones, analyze_table, file_statistics, read_zone
 from zonelake.sources.landing import infer_landing_schema, landing_stats, read_landing, register_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -338,6 +338,17 @@ def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(stored)
 
 
+def q_zone_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the stored tables by their files and by the catalog's statistics, and whether files and bytes are known."""
+    zones, frames = _lake(spark, sf_dir).zones, []
+    for table in refine.TABLE_KEYS:
+        name = f"{zones.database('curated' if table in ('customer_curated', 'machine_learning_curated') else 'trusted')}.{table}__rows"
+        size, records = analyze_table(spark, name)
+        stats = file_statistics(spark.table(name), table)
+        frames.append(stats.select("table_name", "records", F.lit(records).cast("long").alias("catalog_records"), ((F.col("objects") > 0) & (F.col("size_bytes") <= size)).alias("sized")))
+    return checks.union_all(frames)
+
+
 def q_numbering_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The numbered tables as they are stored: every key's rows are numbered once each, without a gap."""
     zones = _lake(spark, sf_dir).zones
@@ -409,6 +420,7 @@ QUERIES: dict[str, Query] = {
     "evolved_table": q_evolved_table,
     "ml_curated_persisted": q_ml_curated_persisted,
     "run_report": q_run_report,
+    "zone_statistics": q_zone_statistics,
     "numbering_check": q_numbering_check,
     "count_check": q_count_check,
 }
@@ -633,6 +645,11 @@ FROM log QUALIFY row_number() OVER (PARTITION BY serialnumber ORDER BY _commit D
         )
         + ")"
     ),
+    "zone_statistics": _chain(
+        "SELECT table_name, n AS records, n AS catalog_records, true AS sized FROM ("
+        + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in refine.TABLE_KEYS)
+        + ")"
+    ),
     "numbering_check": _chain(
         " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, count(*) FILTER ({k} IS NULL OR rn IS NULL) AS null_keys, count(*) - count(DISTINCT struct_pack(k := {k}, rn := rn)) AS repeated, "

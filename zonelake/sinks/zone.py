@@ -31,7 +31,7 @@ from zonelake.operators.dedup import keep_latest
 from zonelake.operators.projection import as_list, lower_columns
 from zonelake.plans.checks import assert_key, assert_numbering
 from zonelake.sinks.changelog import COMMIT, DELETED, META, changes_since, missing_keys, snapshot
-from zonelake.sources.catalog import DEFAULT_ZONES, Zones
+from zonelake.sources.catalog import DEFAULT_ZONES, Zones, analyze_table
 
 COMMITS_SCHEMA = (
     "commit long, kind string, keys array<string>, order_by array<string>, partition_by array<string>, order string, columns string, batch string"
@@ -213,6 +213,10 @@ class ZoneStore:
         writer = rows.write.mode("overwrite")
         (writer.partitionBy(*new.partition_by) if new.partition_by else writer).parquet(f"{self.path(zone, table)}/rows/{COMMIT}={new.commit}")
 
+    def analyze(self, spark: SparkSession, zone: str, table: str) -> tuple[int, int]:
+        """Statistics of the table's rows (of all commits) for the planner: (bytes, rows)."""
+        return analyze_table(spark, f"`{self.zones.database(zone)}`.`{table}__rows`")
+
     def register(self, spark: SparkSession, zone: str, table: str) -> None:
         """Make the catalog entries and the session's table functions of a table that another application wrote."""
         register(spark, self.zones.database(zone), table, f"{self.path(zone, table)}/rows", _since_replace(self._done(spark, zone, table)))
