@@ -235,3 +235,16 @@ def test_partitions_of_the_batch_are_replaced_and_no_others(spark, tmp_dir):
     want = [("b", 1, "x"), ("d", 1, "007"), ("e", 1, None), ("f", 1, "new")]
     assert rows(spark.table(name)) == rows(read_partitions(spark, path, spark.createDataFrame([], schema).schema)) == want
     assert "PartitionFilters: [isnotnull(part" in _plan(spark.table(name).where("part = 'x'"))
+
+
+def test_rows_are_counted_while_they_are_written(spark, store):
+    """Also of an empty batch, a delete and a partitioned table; a null key is told with its count."""
+    schema = "k string, o long, part string"
+    put = lambda data, **kw: store.write(spark.createDataFrame(data, schema), "trusted", "t", "k", "o", mode="upsert", partition_by="part", **kw)
+    put([("a", 1, "x"), ("a", 2, "x"), ("b", 1, None)])
+    put([])
+    store.delete(spark.createDataFrame([("a",), ("a",)], "k string"), "trusted", "t")
+    with pytest.raises(ValueError, match="2 rows with a null record key"):
+        put([(None, 1, "x"), (None, 2, "x"), ("c", 1, "x")], unique=True)
+    assert [(c.commit, c.kind, c.rows) for c in store.commits(spark, "trusted", "t")] == [(1, "upsert", 2), (2, "upsert", 0), (3, "delete", 1)]
+    assert rows(store.read(spark, "trusted", "t")) == [("b", 1, None)]

@@ -19,11 +19,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,7 @@ from zonelake.sinks.changelog import COMMIT, DELETED, META, changes_since, missi
 from zonelake.sources.catalog import DEFAULT_ZONES, Zones, analyze_table
 
 COMMITS_SCHEMA = (
-    "commit long, kind string, keys array<string>, order_by array<string>, partition_by array<string>, order string, columns string, batch string"
+    "commit long, kind string, keys array<string>, order_by array<string>, partition_by array<string>, order string, columns string, batch string, rows long"
 )
 #: type -> the wider one that keeps all its values
 WIDER = {"smallint": "int", "int": "bigint", "float": "double"}
@@ -50,6 +50,7 @@ class Commit:
     order: str = "commit"
     columns: str = ""  # the table's columns after this commit, as JSON
     batch: str | None = None  # name of the source batch, if it came from a stream
+    rows: int = 0  # as they were counted while they were written
 
     @property
     def schema(self) -> T.StructType:
@@ -160,10 +161,10 @@ class ZoneStore:
         Column names are lower-cased.  Rows are reduced to one per record key (largest ``order_by``) unless
         ``unique=True`` says the key is unique by construction (a ``(key, rn)`` pair), which saves a shuffle.
         ``order`` says which row of a key wins over upserts: of the later commit (``commit``) or of the larger
-        ``order_by`` value, whatever the commit (``event``; late records then change nothing).  With ``validate`` the
-        written commit is checked before it counts: a null key part (refused by keyed writers) fails the write;
-        ``check_unique`` also verifies a key claimed unique (one more shuffle of the written rows).  The checks
-        read the written files, not the job's lineage.  ``numbered`` names the number column of a key ``(k, number)``: the written rows
+        ``order_by`` value, whatever the commit (``event``; late records then change nothing).  Rows and null keys are
+        counted while they are written, before the commit counts: with ``validate`` a null key part (refused by keyed
+        writers) fails the write.  ``check_unique`` also verifies a key claimed unique (one more shuffle of the written rows);
+        it reads the written files, not the job's lineage.  ``numbered`` names the number column of a key ``(k, number)``: the written rows
         of each k must be numbered 1, 2, ... (one row per 64 of them is shuffled).  ``partition_by`` is the table's from its first commit on.  ``batch``
         names a source batch: one that is already committed is not committed again.
         """
@@ -185,12 +186,11 @@ class ZoneStore:
             columns = merge_columns(done[-1].schema if done and mode == "upsert" else None, rows.schema)
         except ValueError as e:
             raise ValueError(f"{zone}.{table}: {e}") from None
-        new = Commit(done[-1].commit + 1 if done else 1, mode, keys, order_by, parts, order, columns.json(), batch)
-        self._put(rows, zone, table, new)
+        new, nulls = self._put(rows, zone, table, Commit(done[-1].commit + 1 if done else 1, mode, keys, order_by, parts, order, columns.json(), batch))
         if validate:
             written = self._rows(spark, zone, table, new, new.commit, new.commit)
-            if not written.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).isEmpty():
-                raise ValueError(f"{zone}.{table}: rows with a null record key {keys}")
+            if nulls:
+                raise ValueError(f"{zone}.{table}: {nulls} rows with a null record key {keys}")
             if unique and check_unique:
                 assert_key(written, keys)
             if numbered:
@@ -202,16 +202,18 @@ class ZoneStore:
         spark, done = keys_df.sparkSession, self._done(keys_df.sparkSession, zone, table)
         head = done[-1]
         marks = lower_columns(keys_df).select(*head.keys).distinct().withColumn(DELETED, F.lit(True))
-        new = Commit(head.commit + 1, "delete", head.keys, head.order_by, head.partition_by, head.order, head.columns)
-        self._put(marks, zone, table, new)
+        new, _ = self._put(marks, zone, table, Commit(head.commit + 1, "delete", head.keys, head.order_by, head.partition_by, head.order, head.columns))
         return self._finish(spark, zone, table, [*done, new])
 
-    def _put(self, rows: DataFrame, zone: str, table: str, new: Commit) -> None:
-        """The rows of a commit, in the table's types; replaces what an unfinished attempt at this number left."""
+    def _put(self, rows: DataFrame, zone: str, table: str, new: Commit) -> tuple[Commit, int]:
+        """Write the rows of a commit, in the table's types; replaces what an unfinished attempt at this number left.  The commit with
+        its number of rows, and how many of them have a null key part."""
         types = {f.name: f.dataType for f in new.schema.fields}
         rows = rows.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in rows.columns], *[F.lit(None).cast(types[p]).alias(p) for p in new.partition_by if p not in rows.columns])
-        writer = rows.write.mode("overwrite")
+        seen, null = Observation(), reduce(lambda a, b: a | b, [F.col(k).isNull() for k in new.keys])
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(null).alias("nulls")).write.mode("overwrite")
         (writer.partitionBy(*new.partition_by) if new.partition_by else writer).parquet(f"{self.path(zone, table)}/rows/{COMMIT}={new.commit}")
+        return replace(new, rows=int(seen.get["rows"])), int(seen.get["nulls"])
 
     def analyze(self, spark: SparkSession, zone: str, table: str) -> tuple[int, int]:
         """Statistics of the table's rows (of all commits) for the planner: (bytes, rows)."""
