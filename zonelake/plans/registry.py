@@ -197,6 +197,17 @@ def _cataloged(name: str) -> Query:
     return query
 
 
+def q_single_file_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer feed as one JSON file, read by the file's own path (as the original customer job did)."""
+
+    def make(folder: str) -> str:
+        mapped.customer_feed(spark, sf_dir).coalesce(1).write.json(folder)
+        return spark.read.text(folder).inputFiles()[0]
+
+    path = _once(spark, sf_dir, "single", make)
+    return lower_columns(read_landing(spark, path, mapped.customer_feed(spark, sf_dir).schema, required=REQUIRED_KEYS["customer_landing"]))
+
+
 def q_landing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _json_files(spark, sf_dir)
     stats = [
@@ -399,6 +410,7 @@ QUERIES: dict[str, Query] = {
     "catalog_customer_landing": _cataloged("customer_landing"),
     "catalog_accelerometer_landing": _cataloged("accelerometer_landing"),
     "catalog_step_trainer_landing": _cataloged("step_trainer_landing"),
+    "single_file_landing": q_single_file_landing,
     "landing_stats": q_landing_stats,
     "landing_schemas": q_landing_schemas,
     "stored_customer_trusted": _stored("trusted", "customer_trusted"),
@@ -645,6 +657,7 @@ FROM log QUALIFY row_number() OVER (PARTITION BY serialnumber ORDER BY _commit D
         )
         + ")"
     ),
+    "single_file_landing": CUSTOMER_LANDING_SQL,
     "zone_statistics": _chain(
         "SELECT table_name, n AS records, n AS catalog_records, true AS sized FROM ("
         + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in refine.TABLE_KEYS)
