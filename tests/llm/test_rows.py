@@ -272,3 +272,55 @@ def test_html_template_in_articles(spark):
     rows = [(i, f"http://h.org/{i}", page.format(i, "<p>rare line</p>" * (i % 5 == 0))) for i in range(20)]
     got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
     assert got == {i: f"Head {i}\n\ntext {i}" + "\n\nrare line" * (i % 5 == 0) for i in range(20)}
+
+
+def _made_up_pages() -> list[tuple[int, str, str, str]]:
+    """(page_id, url, html, main text) of two hosts: template lines in articles, a second layout, comments of readers, a forum."""
+    who = ["Ann", "Bo", "Cy", "Di", "Ed"]
+
+    def comments(i: int, n: int, member: str) -> str:
+        return "".join(member.format(who=who[(i + k) % 5], at=f"{(i + k) % 24}:0{k % 9}", say=f"I say {i} and {k} " * (1 + k % 3)) for k in range(n))
+
+    listed = "<li><span class=author>{who}</span> <time>{at}</time><p>{say}</p></li>"
+    nested = "<article><footer><p class=byline>{who}</p></footer><p>{say}</p></article>"
+    post = "<div class=post><b class=user>{who}</b> <time>{at}</time><p>{say}</p></div>"
+    out = []
+    for i in range(60):
+        url = f"http://{'news' if i % 2 else 'blog'}.org/{i}"
+        n = i % 5
+        words = f"the text of article {i} " + "goes on " * (5 + i % 7)
+        text = f"Head {i}\n\n{words.strip()}"
+        head = f"<h1>Head {i}</h1><p>{words}</p>"
+        if i % 2:  # a line of every page, comments in a list (none, one or several)
+            more = f"<section class=discussion><h2>{n} answers</h2><ol class=x>{comments(i, n, listed)}</ol></section>" if n else ""
+            page = f"<body><div class=top>News of the day</div><article>{head}<p>Read our letter</p>{more}</article></body>"
+        elif i % 10 != 4:  # nested articles beside the article of a main element
+            more = f"<div class=responses>{comments(i, n + 1, nested)}</div>"
+            page = f"<body><main><article>{head}</article>{more}</main></body>"
+        else:  # a second layout: a forum, whose members are the main text
+            page = f"<body><main><h1>Thread {i}</h1>{comments(i, 3, post)}</main></body>"
+            text = f"Thread {i}\n\n" + "\n\n".join(f"{who[(i + k) % 5]} {(i + k) % 24}:0{k}\n\n" + (f"I say {i} and {k} " * (1 + k % 3)).strip() for k in range(3))
+        out.append((i, url, page, text))
+    return out
+
+
+def test_html_wrapper_decides_on_made_up_hosts(spark):
+    """Every text is the page's own main text; 37 of the 60 pages, read alone, give another one (all 30 with the template line, 7 with longer answers than text)."""
+    pages = _made_up_pages()
+    frame = spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in html_text.main_text(frame).collect()}
+    assert got == {i: text for i, _, _, text in pages}
+    assert sum(html_text.extract(page, None) != text for _, _, page, text in pages) == 37
+
+
+def test_html_comments_need_persons_and_dates():
+    """Lists of an article without persons or dates of their own are main text; so is a page of nothing but such groups."""
+    item = "<li><b>{0}</b> <time>{0}:00</time><p>news {0}</p></li>"
+    live = "<article><p>all day long the news of this day</p><ul>" + "".join(map(item.format, range(4))) + "</ul></article>"
+    assert "news 3" in html_text.extract(f"<body>{live}</body>", None)
+    signed = live.replace("<b>", "<b class=author>")
+    assert html_text.extract(f"<body>{signed}</body>", None) == "all day long the news of this day"
+    assert "news 3" in html_text.extract(f"<body>{signed.replace('<p>all day long the news of this day</p>', '')}</body>", None)
+    for mark in ("commentlist", "user-comments", "commentarea"):
+        assert html_text.extract(f"<body><article><p>text of it</p><ol class='{mark}'><li>me</li></ol></article></body>", None) == "text of it"
+    assert html_text.extract("<body><article><p>text of it</p><div class=commentary>and more</div></article></body>", None) == "text of it\n\nand more"

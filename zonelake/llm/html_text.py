@@ -13,7 +13,9 @@ different skeletons of a host are aligned, in SALTS parts that are then aligned
 Each skeleton then says where its pages' main text is (the ``article``-like element whose slots hold the most text, else the
 body); the host's wrapper says what is template: elements whose text is mostly links, and texts that no page (or no page
 of a skeleton) changes.  An element with a class or id of MARKS is excluded, unless the page's only article is in it, or most of the text where there
-is no article.  Every page is read whole; a page that is all template is read by its own structure.
+is no article.  Repeated groups of an article whose members each have a person and a date of their own are comments of readers (nested
+articles need one of both), on pages with a single member too, since the host's wrapper knows the group.  Every page is read whole; a page
+that is all template is read by its own structure.
 """
 
 from __future__ import annotations
@@ -64,15 +66,23 @@ CLOSES = {  # an opening tag ends an open element of these, up to the given boun
     "th": ("td th", "tr table"),
     "option": ("option", "select"),
 }
-# what is never main text: elements, roles, and words of a class or id
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# elements that are never main text
 NEVER = frozenset("aside button canvas dialog footer form head iframe math menu nav noembed noframes noscript object script select style svg template textarea title".split())
+MAIN = frozenset("article main".split())
+
+# a choice of this module, not fixed by HTML: roles, and words that authors of pages use in a class or id; where they stand in the way of the main
+# text, the wrapper overrules them
 ROLES = frozenset("alert banner complementary contentinfo dialog form navigation search".split())
 MARKS = frozenset(
-    "ad ads advert advertisement alert banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer masthead menu modal nav navbar"
+    "ad ads advert advertisement alert banner breadcrumb breadcrumbs consent cookie cookies disqus footer masthead menu modal nav navbar"
     " navigation newsletter notice pager pagination popup promo promotion related replies share sharing sidebar signup skip social sponsor sponsored subscribe toolbar".split()
 )
-MAIN = frozenset("article main".split())
+COMMENT_MARK = re.compile(r"comment(?!ar(?:y|ies))")
+PERSON_MARKS = frozenset("author byline commenter nickname poster user username vcard".split())
 MAIN_MARKS = frozenset("article content entry main post story".split())
+#: share of an article's text that must be outside of its groups of comments, or they are the main text (a forum, say)
+OUTSIDE = 0.05
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)",
@@ -104,7 +114,7 @@ class Node:
                 else:
                     self.never |= name == "hidden" or value == "true"
             if tag not in ("html", "body", *MAIN):
-                self.marked = bool(marks & MARKS) and not self.never
+                self.marked = (bool(marks & MARKS) or any(map(COMMENT_MARK.search, marks))) and not self.never
                 self.main |= bool(marks & MAIN_MARKS) and tag in ("div", "section") and not self.never and not self.marked
         self.key = key
 
@@ -362,18 +372,85 @@ def _shut(wrapper: Part, different: int) -> frozenset:
     return frozenset(out)
 
 
+def _has_slot(part: Part) -> bool:
+    return part.text is None and part.chars > 0 if part.key == "#" else any(map(_has_slot, part.parts))
+
+
+def _own(part: Part, kind) -> int:
+    """Characters of the first element of a kind that every member of a group has, with a text of its own."""
+    for p in part.parts:
+        if p.optional or p.key == "#":
+            continue
+        if chars := (p.chars if kind(p.key.split(".")) and _has_slot(p) else _own(p, kind)):
+            return chars
+    return 0
+
+
+def _by_readers(part: Part, nested: bool) -> bool:
+    """Whether a part is a group whose members each name their own person and date (a nested article: one of both) beside other text."""
+    if not part.repeated or part.key == "#":
+        return False
+    person = _own(part, lambda key: key[0] == "address" or not PERSON_MARKS.isdisjoint(key[1:]))
+    date = _own(part, lambda key: key[0] == "time")
+    enough = (person and date) or (nested and part.key.split(".")[0] == "article" and (person or date))
+    return bool(enough) and part.chars > person + date
+
+
+def _prose(part: Part, without: set) -> int:
+    """Characters outside of headings, of excluded elements and of some parts."""
+    if part.key == "#":
+        return part.chars
+    return 0 if part.never or part in without or part.key.split(".")[0] in HEADINGS else sum(_prose(p, without) for p in part.parts)
+
+
+def _comments(part: Part, nested: bool = False, inside: bool = False) -> set:
+    """The groups of readers' comments in article-like elements, each with the container that holds but headings and forms beside it."""
+    tag = part.key.split(".")[0]
+    nested, inside = nested or tag == "article", inside or part.main
+    found: set = set()
+    for p in part.parts:
+        if p.never or p.key == "#":
+            continue
+        found |= {p} if inside and _by_readers(p, nested) else _comments(p, nested, inside)
+    if found and part.main:
+        rest = _prose(part, found)
+        return found if rest and rest >= OUTSIDE * part.chars else set()
+    if found and not _prose(part, found):
+        return {part}
+    return found
+
+
+def _refused(part: Part, groups: frozenset, path: str) -> tuple[dict, set]:
+    """(parts at the paths ``groups``, and those of the paths beside which an article-like element of this page has no prose: there
+    they are its main text)."""
+    found, refused = {}, set()
+    for p in part.parts:
+        where = f"{path}/{p.key}"
+        if where in groups:
+            found[p] = where
+        elif p.key != "#" and not p.never:
+            more, no = _refused(p, groups, where)
+            found, refused = found | more, refused | no
+    if found and part.main and not _prose(part, set(found)):
+        return {}, refused.union(found.values())
+    return found, refused
+
+
 def _mark(path: str, text: int) -> int:
     """A text at a path, as one number."""
     return xxhash.xxh3_64_intdigest(f"{path}\0{text}")
 
 
 def plan(wrapper: Part, different: int, proof: int = PROOF) -> dict:
-    """Where the main text is (a path of keys, or none), which paths are menus, and which texts at which paths are template."""
+    """Where the main text is (a path of keys, or none), which paths are menus or comments, and which texts at which paths are template."""
     best, best_chars, drop, texts = None, 0, [], set()
-    shut, opened = _shut(wrapper, different), []
+    comments = _comments(wrapper)
+    shut, opened, groups = _shut(wrapper, different) | comments, [], []
     stack = [(wrapper, (wrapper.key,), False)]
     while stack:
         part, path, inside = stack.pop()
+        if part in comments:
+            groups.append("/".join(path))
         if part.never or part in shut or part.key == "#":
             continue
         if part.marked:
@@ -391,7 +468,7 @@ def plan(wrapper: Part, different: int, proof: int = PROOF) -> dict:
         least = max(proof, ARTICLE_PROOF, different / 2) if inside else proof
         texts.update(_mark("/".join(path), t) for p in part.parts if p.key == "#" and min(different, p.pages) >= least for t in p.always)
         stack += [(p, (*path, p.key), inside) for p in part.parts]
-    return {"main": "/".join(best) if best else None, "open": sorted(set(opened)), "drop": sorted(set(drop)), "texts": sorted(texts)}
+    return {"main": "/".join(best) if best else None, "open": sorted(set(opened)), "drop": sorted(set(drop)), "texts": sorted(texts), "comments": sorted(set(groups))}
 
 
 def _choices(part: Part) -> int:
@@ -458,13 +535,17 @@ def extract(page: str | None, how: dict | None) -> str:
     mains = how.get("mains")
     mine = (mains.get(str(xxhash.xxh3_64_intdigest(skeleton(folded)))) if mains else None) or own
     choices = [(c["main"], frozenset(c["open"])) for c in ((mine, own) if mine is not own else (own,))]
-    template = frozenset(how.get("texts", ()))
-    for texts in (template, frozenset()) if template else (template,):
+    template, comments = frozenset(how.get("texts", ())), frozenset(own["comments"]).union(how.get("comments", ()))
+    if comments:
+        comments -= _refused(folded, comments, folded.key)[1]
+    # a page that is all template, or all comments, is read with them
+    tries = [(template, comments), (frozenset(), comments), (frozenset(), frozenset())]
+    for texts, groups in dict.fromkeys(tries):
         for path, opened in choices:
-            found = [b for n in _find(root, path.split("/"), opened) for b in _blocks(n, path, frozenset(), True, texts, opened)] if path else []
+            found = [b for n in _find(root, path.split("/"), opened) for b in _blocks(n, path, groups, True, texts, opened)] if path else []
             if found:
                 return "\n\n".join(found)
-        drop = frozenset(own["drop"]) | frozenset(how.get("drop", ()) if not mine["main"] else ())
+        drop = groups.union(own["drop"]) | frozenset(how.get("drop", ()) if not mine["main"] else ())
         found = _blocks(root, root.key, drop, False, texts, choices[0][1])
         if found:
             break
@@ -518,23 +599,24 @@ def _plans(rows: DataFrame) -> DataFrame:
                 part, seen = part or other, set(sorted(seen | set(row["seen"]))[:SKELETON_PROOF])
             _seen(part, len(seen))
             how = plan(part, len(seen), SKELETON_PROOF)
-            more = {"mains": {str(name % (1 << 64)): {"main": how["main"], "open": how["open"]}} if (how["main"] or how["open"]) and _choices(part) > 1 else {}, "texts": how["texts"]}
+            more = {"mains": {str(name % (1 << 64)): {"main": how["main"], "open": how["open"]}} if (how["main"] or how["open"]) and _choices(part) > 1 else {}, "texts": how["texts"], "comments": how["comments"]}
             yield pa.RecordBatch.from_pylist([{"host": host, "skeleton": name, "part": _dump(part), "more": json.dumps(more)}], _ALIGNED)
 
     def align_all(batches: Iterator[pa.RecordBatch], keys: list[str], last: bool) -> Iterator[pa.RecordBatch]:
         for (host, *_), group in _grouped(batches, keys):
-            wrapper, mains, texts, first = None, {}, set(), 0
+            wrapper, mains, texts, groups, first = None, {}, set(), set(), 0
             for row in group:
                 other = _load(row["part"])
                 wrapper, first = (align(wrapper, other), first) if wrapper else (other, row["skeleton"])
                 more = json.loads(row["more"])
                 mains |= more["mains"]
                 texts.update(more["texts"])
+                groups.update(more["comments"])
             if last:
                 how = plan(wrapper, wrapper.pages)
-                yield pa.RecordBatch.from_pylist([{"host": host, "plan": json.dumps({"drop": how["drop"], "texts": sorted(texts.union(how["texts"])), "mains": mains})}])
+                yield pa.RecordBatch.from_pylist([{"host": host, "plan": json.dumps({"drop": how["drop"], "texts": sorted(texts.union(how["texts"])), "comments": sorted(groups.union(how["comments"])), "mains": mains})}])
             else:
-                yield pa.RecordBatch.from_pylist([{"host": host, "skeleton": first, "part": _dump(wrapper), "more": json.dumps({"mains": mains, "texts": sorted(texts)})}], _ALIGNED)
+                yield pa.RecordBatch.from_pylist([{"host": host, "skeleton": first, "part": _dump(wrapper), "more": json.dumps({"mains": mains, "texts": sorted(texts), "comments": sorted(groups)})}], _ALIGNED)
 
     kinds = "host string, skeleton long, part binary, more string"
     folded = rows.select("host", "html").mapInArrow(fold_pages, "host string, skeleton long, part binary, seen array<long>")
