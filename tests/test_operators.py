@@ -261,3 +261,37 @@ def test_counts_of_hot_keys_are_skipped_only_where_none_can_be(spark):
 
     assert no_hot_keys(["k"], 10, spark, 10).frame is None
     assert no_hot_keys(["k"], 11, spark, 10) is None
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 1 << 20])
+def test_hot_keys_by_hash_buckets(spark, monkeypatch, buckets):
+    """Whatever shares a bucket, the hot keys are those of a plain count; weights, nulls and key tuples too."""
+    import zonelake.operators.skew as skew
+
+    monkeypatch.setattr(skew, "HASH_BUCKETS", buckets)
+    data = [(None if k == 3 else f"k{k}", k % 2, 1 + k) for k in range(12) for _ in range(3 * k)]
+    df = spark.createDataFrame(data, "k string, part int, w long").repartition(5)
+    for keys, weight, limit in ((["k"], None, 20), (["k", "part"], None, 8), (["k"], "w", 150), (["k"], None, 33), (["part"], None, 0)):
+        size = F.sum(weight) if weight else F.count(F.lit(1))
+        want = rows(df.groupBy(*keys).agg(size.alias("n")).where(F.col("n") > limit).drop("n"))
+        got = skew.find_hot_keys(df, keys, weight=F.col(weight) if weight else None, threshold=limit)
+        assert (rows(got.frame) if got.frame else []) == want
+    assert skew.find_hot_keys(df.limit(0), ["k"]).frame is None
+
+
+@pytest.mark.parametrize("kind", ["string", "long", "int", "double", "date"])
+def test_key_filter_drops_no_match(spark, monkeypatch, kind):
+    """Rows of gate keys all pass, most others do not; a full bitmap or keys of another type filter nothing."""
+    import zonelake.operators.joins as joins
+
+    column = F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")) if kind == "date" else F.col("id").cast(kind)
+    data = spark.range(20_000).select(column.alias("user"), "id").union(spark.createDataFrame([(None, -1)], f"user {kind}, id long"))
+    gate_rows = data.where("id % 100 = 7 or id < 0").select(F.col("user").alias("email"))
+    passed = {r.id for r in joins.may_match(data, "user", gate_rows.where("email is not null"), "email", 200).collect()}
+    assert passed >= set(range(7, 20_000, 100)) and len(passed) < 20_000 / 8
+    monkeypatch.setattr(joins, "BROADCAST_KEYS", 0)
+    assert sorted(r.id for r in joins.gate(data, gate_rows, "user", "email").collect()) == list(range(7, 20_000, 100))
+    assert joins.may_match(data, "user", gate_rows, "email", joins.FILTER_BITS) is data
+    other = gate_rows.select(F.col("email").cast("string" if kind == "long" else "long" if kind == "int" else "binary" if kind == "string" else "string"))
+    assert joins.may_match(data, "user", other, "email", 200) is data
+    assert joins.may_match(data, "user", gate_rows.limit(0), "email", 0).count() == 0

@@ -29,6 +29,9 @@ ML_ORDER = "sensorreadingtime"
 # Gate tables up to this many keys and bytes of keys are broadcast; both are
 # taken before the join is planned.
 BROADCAST_KEYS, BROADCAST_BYTES = 1_000_000, 64 << 20
+# Beyond them a bitmap of the gate's key hashes is broadcast: so many bits for each key, at most FILTER_BITS (32 MB), in pages of
+# PAGE_BITS (what one bitmap of Spark holds).  Past half as many keys as bits it would let most rows through and is left out.
+BITS_PER_KEY, FILTER_BITS, PAGE_BITS = 16, 1 << 28, 1 << 15
 
 
 def broadcast_keys(spark) -> int:
@@ -36,12 +39,12 @@ def broadcast_keys(spark) -> int:
     return skew.bound(spark, "broadcastKeys", BROADCAST_KEYS)
 
 
-def gate_matches(gate_rows: DataFrame, gate_key: str) -> tuple[DataFrame, bool]:
+def gate_matches(gate_rows: DataFrame, gate_key: str) -> tuple[DataFrame, bool, int]:
     """The gate's per-key table (``_gate_key``, ``_matches``), materialised
-    once and measured while written, and whether it may be broadcast."""
+    once and measured while written, whether it may be broadcast, and its keys."""
     per_key = _matches(gate_rows, gate_key)
     table, keys, size = materialize_counted(per_key, F.octet_length(F.col("_gate_key").cast("string")).cast("long") + 16)
-    return table, keys <= broadcast_keys(gate_rows.sparkSession) and size <= BROADCAST_BYTES
+    return table, keys <= broadcast_keys(gate_rows.sparkSession) and size <= BROADCAST_BYTES, keys
 
 
 def _matches(gate_rows: DataFrame, gate_key: str) -> DataFrame:
@@ -82,7 +85,7 @@ def gate(
     *,
     weight: str | None = None,
     hot: HotKeys | None = None,
-    matches: tuple[DataFrame, bool] | None = None,
+    matches: tuple[DataFrame, bool, int] | None = None,
 ) -> DataFrame:
     """Rows of ``rows`` whose ``row_key`` equals a ``gate_key`` of ``gate_rows``.
 
@@ -94,16 +97,18 @@ def gate(
     Null keys never match.
 
     Strategy: with at most ``BROADCAST_KEYS`` gate keys in ``BROADCAST_BYTES``, the
-    per-key table is broadcast and ``rows`` is not shuffled.  Otherwise the
-    keys of ``rows`` over ``HOT_ROWS`` (``hot``, found here when not given)
+    per-key table is broadcast and ``rows`` is not shuffled.  Otherwise rows whose key
+    cannot be a gate key are dropped by a broadcast bitmap of key hashes (``may_match``) before anything is shuffled; the
+    keys of the other rows over ``HOT_ROWS`` (``hot``, found here when not given)
     join a broadcast of just their matches, and the remaining rows, whose
     keys are all of bounded size, take a shuffled join.  ``matches`` passes
     a ``gate_matches`` result computed by the caller.
     """
-    matches, small = matches if matches is not None else gate_matches(gate_rows, gate_key)
+    matches, small, keys = matches if matches is not None else gate_matches(gate_rows, gate_key)
     cond = F.col(row_key) == F.col("_gate_key")
     if small:
         return _gated(rows.join(F.broadcast(matches), cond, "inner"), rows.columns, weight)
+    rows = may_match(rows, row_key, matches, "_gate_key", keys)
     if hot is None:
         hot = find_hot_keys(rows.where(F.col(row_key).isNotNull()), [row_key])
     if hot.frame is None:
@@ -117,6 +122,29 @@ def gate(
     return _gated(joined, rows.columns, weight)
 
 
+def may_match(rows: DataFrame, row_key: str, table: DataFrame, key: str, keys: int) -> DataFrame:
+    """The rows whose key may be one of the ``keys`` keys of ``table``: all that are, and about one of BITS_PER_KEY others.
+
+    A Bloom filter with one hash, in Spark's own bitmaps: a page of PAGE_BITS bits per row, broadcast (its size is fixed by
+    ``keys`` and FILTER_BITS) and probed by a join on the page.  Rows pass unfiltered where the two keys differ in type (their
+    hashes would too) or where the bitmap would be too full.
+    """
+    if 2 * keys > FILTER_BITS or rows.schema[row_key].dataType != table.schema[key].dataType:
+        return rows
+    bits = min(FILTER_BITS, max(PAGE_BITS, 1 << (BITS_PER_KEY * keys).bit_length()))
+
+    def spot(column: Column) -> tuple[Column, Column]:
+        at = F.pmod(F.xxhash64(column), F.lit(bits))
+        return F.floor(at / PAGE_BITS).cast("int"), (at % PAGE_BITS).cast("int")
+
+    page, bit = spot(F.col(key))
+    bitmap = table.select(page.alias("_page"), bit.alias("_bit")).groupBy("_page").agg(F.bitmap_construct_agg(F.col("_bit")).alias("_bits"))
+    page, bit = spot(F.col(row_key))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(bit / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    is_set = F.floor(byte / F.pow(F.lit(2), bit % 8)) % 2 == 1
+    return rows.join(F.broadcast(bitmap), page == F.col("_page"), "inner").where(is_set).select(*rows.columns)
+
+
 def _gated(joined: DataFrame, columns: list[str], weight: str | None) -> DataFrame:
     if weight is not None:
         return joined.select(*[F.col(c) for c in columns], F.col("_matches").alias(weight))

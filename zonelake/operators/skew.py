@@ -1,7 +1,8 @@
 """Hot keys: keys holding more rows than one task should take.
 
-Found with one aggregate (counts per key, combined map-side, so the count
-itself is skew-safe).  The largest ``MAX_HOT_KEYS`` of them are brought to the driver, a set small enough to
+Found in two steps, both combined map-side and so skew-safe themselves: rows are counted per hash bucket, of which there
+is a fixed number however many keys there are, and keys are counted only in buckets that hold enough rows for a hot key.  Every hot key
+is in such a bucket, so nothing is missed.  The largest ``MAX_HOT_KEYS`` of them are brought to the driver, a set small enough to
 broadcast, and callers route the rows of those keys through a path that does
 not gather them into one task.
 """
@@ -19,6 +20,9 @@ from pyspark.sql import functions as F
 HOT_ROWS = 4_000_000
 # Largest set of hot keys that is broadcast.
 MAX_HOT_KEYS = 10_000
+# Hash buckets of the first count.  With up to HOT_ROWS times as many rows the mean bucket is not hot; beyond that more keys than
+# needed are counted.
+HASH_BUCKETS = 1 << 20
 
 
 def bound(spark: SparkSession | None, name: str, default: int) -> int:
@@ -72,10 +76,17 @@ def no_hot_keys(keys: Sequence[str], rows: int, spark: SparkSession, threshold:
 def find_hot_keys(
     df: DataFrame, keys: Sequence[str], *, weight: Column | None = None, threshold: int | None = None
 ) -> HotKeys:
-    """Keys of ``df`` with more than ``threshold`` rows (or summed ``weight``);
-    the threshold defaults to ``HOT_ROWS``."""
-    threshold = hot_threshold(threshold, df.sparkSession)
+    """Keys of ``df`` with more than ``threshold`` rows (or summed ``weight``, never negative);
+    the threshold defaults to ``HOT_ROWS``.  ``df`` is read once, and a second time where a hash bucket is hot."""
+    spark = df.sparkSession
+    threshold = hot_threshold(threshold, spark)
     size = F.sum(weight) if weight is not None else F.count(F.lit(1))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS))
+    buckets = df.groupBy(bucket.alias("_bucket")).agg(size.alias("_n")).where(F.col("_n") > F.lit(threshold)).select("_bucket").toArrow()
+    if not buckets.num_rows:
+        return HotKeys(tuple(keys), None)
+    if buckets.num_rows < HASH_BUCKETS:  # 8 MB at most
+        df = df.join(F.broadcast(spark.createDataFrame(buckets)), bucket == F.col("_bucket"), "left_semi")
     counts = df.groupBy(*keys).agg(size.alias("_n")).where(F.col("_n") > F.lit(threshold))
     return collect_hot(counts, list(keys), "_n")
 
