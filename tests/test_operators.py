@@ -295,3 +295,20 @@ def test_key_filter_drops_no_match(spark, monkeypatch, kind):
     other = gate_rows.select(F.col("email").cast("string" if kind == "long" else "long" if kind == "int" else "binary" if kind == "string" else "string"))
     assert joins.may_match(data, "user", other, "email", 200) is data
     assert joins.may_match(data, "user", gate_rows.limit(0), "email", 0).count() == 0
+
+
+def test_gate_by_the_size_of_stored_customers(spark, monkeypatch):
+    """Customers that are measured as stored give the plain result; beyond the bound their keys are stored and counted as before."""
+    import zonelake.operators.joins as joins
+    from zonelake.plans import refine
+
+    readings = spark.createDataFrame([(f"u{k % 7}", k, 1.0, 2.0, 3.0) for k in range(50)], "user string, timestamp long, x double, y double, z double")
+    people = spark.createDataFrame([(f"u{k % 4}" if k else None, k) for k in range(9)], "email string, serialnumber long")
+    want = rows(refine.accelerometer_trusted(readings, people))
+    stored, at_most = refine.stored_customers(people)
+    assert at_most == refine.customer_size(people) == (9, 9 * 16 + 8 * 2 + 1)
+    for limit in (None, 8, 3, 0):
+        if limit is not None:
+            monkeypatch.setattr(joins, "BROADCAST_KEYS", limit)
+        assert joins.gate_matches(stored, "email", at_most)[1] == (limit in (None, 8))
+        assert rows(refine.accelerometer_trusted(readings, stored, at_most=at_most)) == want

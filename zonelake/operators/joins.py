@@ -39,12 +39,22 @@ def broadcast_keys(spark) -> int:
     return skew.bound(spark, "broadcastKeys", BROADCAST_KEYS)
 
 
-def gate_matches(gate_rows: DataFrame, gate_key: str) -> tuple[DataFrame, bool, int]:
-    """The gate's per-key table (``_gate_key``, ``_matches``), materialised
-    once and measured while written, whether it may be broadcast, and its keys."""
+def key_bytes(*keys: str) -> Column:
+    """Bytes that a broadcast row of the longest of these keys takes, roughly."""
+    sizes = [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)).cast("long") for k in keys]
+    return (F.greatest(*sizes) if len(sizes) > 1 else sizes[0]) + 16
+
+
+def gate_matches(gate_rows: DataFrame, gate_key: str, at_most: tuple[int, int] | None = None) -> tuple[DataFrame, bool, int]:
+    """The gate's per-key table (``_gate_key``, ``_matches``), whether it may be broadcast, and its keys.  ``at_most`` states the gate's
+    measured (rows, bytes of keys), where it is stored: if these may be broadcast, so may its keys.  Otherwise the table is materialised
+    once and measured while it is written."""
     per_key = _matches(gate_rows, gate_key)
-    table, keys, size = materialize_counted(per_key, F.octet_length(F.col("_gate_key").cast("string")).cast("long") + 16)
-    return table, keys <= broadcast_keys(gate_rows.sparkSession) and size <= BROADCAST_BYTES, keys
+    fits = lambda keys, size: keys <= broadcast_keys(gate_rows.sparkSession) and size <= BROADCAST_BYTES
+    if at_most and fits(*at_most):
+        return per_key, True, at_most[0]
+    table, keys, size = materialize_counted(per_key, key_bytes("_gate_key"))
+    return table, fits(keys, size), keys
 
 
 def _matches(gate_rows: DataFrame, gate_key: str) -> DataFrame:

@@ -67,10 +67,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, tuple[int, s
         df = refine.customer_trusted(landing("customer_landing", args.customer))
         done["customer_trusted"] = _commit(store, spark, df, "trusted", "customer_trusted", args.mode)
     if args.job in ("accelerometer-trusted", "all"):
-        df = refine.accelerometer_trusted(landing("accelerometer_landing", args.accelerometer), customers())
+        df = refine.accelerometer_trusted(landing("accelerometer_landing", args.accelerometer), customers(), at_most=refine.customer_size(customers()))
         done["accelerometer_trusted"] = _commit(store, spark, df, "trusted", "accelerometer_trusted", "replace")
     if args.job in ("step-trainer-trusted", "all"):
-        df = refine.step_trainer_trusted(landing("step_trainer_landing", args.step_trainer), customers())
+        df = refine.step_trainer_trusted(landing("step_trainer_landing", args.step_trainer), customers(), at_most=refine.customer_size(customers()))
         done["step_trainer_trusted"] = _commit(store, spark, df, "trusted", "step_trainer_trusted", "replace")
     if args.job in ("curated", "all"):
         accel = table("trusted", "accelerometer_trusted")

@@ -47,11 +47,12 @@ def refine_all(
         return read_zone(spark, zone, table, store.zones)  # through the catalog, as the original jobs did
 
     customers = commit(refine.customer_trusted(landing["customer_landing"]), "trusted", "customer_trusted", True)
+    at_most = refine.customer_size(customers)
     # the two sensor jobs need the customers only
     accel, steps = at_once(
         spark,
-        lambda: commit(refine.accelerometer_trusted(landing["accelerometer_landing"], customers), "trusted", "accelerometer_trusted", True),
-        lambda: commit(refine.step_trainer_trusted(landing["step_trainer_landing"], customers), "trusted", "step_trainer_trusted", True),
+        lambda: commit(refine.accelerometer_trusted(landing["accelerometer_landing"], customers, at_most=at_most), "trusted", "accelerometer_trusted", True),
+        lambda: commit(refine.step_trainer_trusted(landing["step_trainer_landing"], customers, at_most=at_most), "trusted", "step_trainer_trusted", True),
     )
     curated = commit(refine.customer_curated(accel, customers), "curated", "customer_curated", True)
     ml = commit(

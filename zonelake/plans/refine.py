@@ -26,6 +26,7 @@ from zonelake.operators.joins import (
     device_readings_with_owner,
     gate,
     gate_matches,
+    key_bytes,
     ml_features,
 )
 from zonelake.operators.numbering import number_rows
@@ -54,45 +55,62 @@ def customer_trusted(customers: DataFrame) -> DataFrame:
     return keep_latest(consent_filter(lower_columns(customers)), keys, order)
 
 
-def gated_accelerometer(readings: DataFrame, customers: DataFrame) -> DataFrame:
+def gated_accelerometer(readings: DataFrame, customers: DataFrame, *, at_most: tuple[int, int] | None = None) -> DataFrame:
     """Accelerometer readings of consenting users, before numbering: each
     reading once, with the number of trusted devices of its user in
     ``_devices`` (the original email join repeated it that many times)."""
     readings = keep_columns(lower_columns(readings), ACCELEROMETER_COLUMNS)
-    return gate(readings, lower_columns(customers), "user", "email", weight=DEVICES)
+    customers = lower_columns(customers)
+    return gate(readings, customers, "user", "email", weight=DEVICES, matches=gate_matches(customers, "email", at_most))
 
 
-def _numbered(readings: DataFrame, customers: DataFrame, row_key: str, gate_key: str, order: str, weight: str) -> DataFrame:
+def stored_customers(customers: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The trusted customers written once, and their measured ``at_most`` for the sensor jobs."""
+    table, rows, size = materialize_counted(lower_columns(customers), key_bytes("email", "serialnumber"))
+    return table, (rows, size)
+
+
+def customer_size(customers: DataFrame) -> tuple[int, int]:
+    """``at_most`` of customers that are stored already (a scan of two columns)."""
+    got = lower_columns(customers).agg(F.count(F.lit(1)), F.coalesce(F.sum(key_bytes("email", "serialnumber")), F.lit(0))).first()
+    return int(got[0]), int(got[1])
+
+
+def _numbered(
+    readings: DataFrame, customers: DataFrame, row_key: str, gate_key: str, order: str, weight: str, at_most: tuple[int, int] | None
+) -> DataFrame:
     """Gated readings with their copies, numbered.  The landing rows are parsed once: the gated frame is stored, its copies are
     added up while it is written, and hot keys are counted on what is stored where one task could not take all copies."""
-    matches = gate_matches(customers, gate_key)
+    matches = gate_matches(customers, gate_key, at_most)
     if not matches[1]:  # the gate then counts keys before it joins
         readings = materialize(readings)
     gated, _, copies = materialize_counted(gate(readings, customers, row_key, gate_key, weight=weight, matches=matches), F.col(weight))
     return number_rows(gated, row_key, order, weight=weight, hot=no_hot_keys([row_key], copies, readings.sparkSession))
 
 
-def accelerometer_trusted(readings: DataFrame, customers: DataFrame) -> DataFrame:
+def accelerometer_trusted(readings: DataFrame, customers: DataFrame, *, at_most: tuple[int, int] | None = None) -> DataFrame:
     """Accelerometer readings of consenting users, numbered per user in time order.
 
     A reading is kept once per trusted device of its user (the email join of
-    the original job); the copies travel as a count until the numbering.
+    the original job); the copies travel as a count until the numbering.  ``at_most``: the (rows, bytes of keys) of stored
+    customers (``stored_customers``, ``customer_size``), which spares storing their keys.
     """
     readings = keep_columns(lower_columns(readings), ACCELEROMETER_COLUMNS)
-    return _numbered(readings, lower_columns(customers), "user", "email", "timestamp", DEVICES)
+    return _numbered(readings, lower_columns(customers), "user", "email", "timestamp", DEVICES, at_most)
 
 
-def gated_step_trainer(readings: DataFrame, customers: DataFrame) -> DataFrame:
+def gated_step_trainer(readings: DataFrame, customers: DataFrame, *, at_most: tuple[int, int] | None = None) -> DataFrame:
     """Step-trainer readings of consenting devices, before numbering, with
     the number of trusted customer rows of the device in ``_owners``."""
     readings = keep_columns(lower_columns(readings), STEP_TRAINER_COLUMNS)
-    return gate(readings, lower_columns(customers), "serialnumber", "serialnumber", weight=OWNERS)
+    customers = lower_columns(customers)
+    return gate(readings, customers, "serialnumber", "serialnumber", weight=OWNERS, matches=gate_matches(customers, "serialnumber", at_most))
 
 
-def step_trainer_trusted(readings: DataFrame, customers: DataFrame) -> DataFrame:
-    """Step-trainer readings of consenting devices, numbered per device in time order."""
+def step_trainer_trusted(readings: DataFrame, customers: DataFrame, *, at_most: tuple[int, int] | None = None) -> DataFrame:
+    """Step-trainer readings of consenting devices, numbered per device in time order.  ``at_most``: see ``accelerometer_trusted``."""
     readings = keep_columns(lower_columns(readings), STEP_TRAINER_COLUMNS)
-    return _numbered(readings, lower_columns(customers), "serialnumber", "serialnumber", "sensorreadingtime", OWNERS)
+    return _numbered(readings, lower_columns(customers), "serialnumber", "serialnumber", "sensorreadingtime", OWNERS, at_most)
 
 
 def curated_owners(accel_trusted: DataFrame, customers: DataFrame) -> DataFrame:

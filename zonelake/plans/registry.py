@@ -44,27 +44,30 @@ def _customer_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine.customer_trusted(mapped.customer_feed(configure(spark), sf_dir))
 
 
-def _stored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trusted customers written once, as the refinement stores them before
+Stored = tuple[DataFrame, tuple[int, int]]
+
+
+def _stored_customers(spark: SparkSession, sf_dir: str) -> Stored:
+    """Trusted customers written once and measured, as the refinement stores them before
     the sensor jobs read them (each composite query uses them several times)."""
-    return materialize(_customer_trusted(spark, sf_dir))
+    return refine.stored_customers(_customer_trusted(spark, sf_dir))
 
 
-def _accel_trusted(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
-    customers = customers if customers is not None else _customer_trusted(spark, sf_dir)
-    return refine.accelerometer_trusted(mapped.accelerometer_feed(spark, sf_dir), customers)
+def _accel_trusted(spark: SparkSession, sf_dir: str, stored: Stored | None = None) -> DataFrame:
+    customers, at_most = stored or (_customer_trusted(spark, sf_dir), None)
+    return refine.accelerometer_trusted(mapped.accelerometer_feed(spark, sf_dir), customers, at_most=at_most)
 
 
-def _step_trusted(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
-    customers = customers if customers is not None else _customer_trusted(spark, sf_dir)
-    return refine.step_trainer_trusted(mapped.step_trainer_feed(spark, sf_dir), customers)
+def _step_trusted(spark: SparkSession, sf_dir: str, stored: Stored | None = None) -> DataFrame:
+    customers, at_most = stored or (_customer_trusted(spark, sf_dir), None)
+    return refine.step_trainer_trusted(mapped.step_trainer_feed(spark, sf_dir), customers, at_most=at_most)
 
 
 def _trusted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three trusted tables."""
-    customers = _stored_customers(configure(spark), sf_dir)
-    sensors = at_once(spark, lambda: _accel_trusted(spark, sf_dir, customers), lambda: _step_trusted(spark, sf_dir, customers))
-    return customers, *sensors
+    stored = _stored_customers(configure(spark), sf_dir)
+    sensors = at_once(spark, lambda: _accel_trusted(spark, sf_dir, stored), lambda: _step_trusted(spark, sf_dir, stored))
+    return stored[0], *sensors
 
 
 def q_consent_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,21 +78,21 @@ def q_customer_reading_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings per trusted device before the curated dedup (the fan-out of
     the customer join), counted without building the fan-out: a device of
     email e meets every trusted reading of e."""
-    customers = _stored_customers(configure(spark), sf_dir)
-    accel = _accel_trusted(spark, sf_dir, customers)
+    stored = _stored_customers(configure(spark), sf_dir)
+    customers, accel = stored[0], _accel_trusted(spark, sf_dir, stored)
     per_user = accel.groupBy("user").agg(F.count(F.lit(1)).alias("_r"))
     joined = customers.join(per_user, F.col("email") == F.col("user"), "inner")
     return joined.groupBy("serialnumber").agg(F.sum("_r").alias("readings"))
 
 
 def q_customer_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = _stored_customers(configure(spark), sf_dir)
-    return refine.customer_curated(_accel_trusted(spark, sf_dir, customers), customers)
+    stored = _stored_customers(configure(spark), sf_dir)
+    return refine.customer_curated(_accel_trusted(spark, sf_dir, stored), stored[0])
 
 
 def q_device_readings_with_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = _stored_customers(configure(spark), sf_dir)
-    return refine.device_readings(_step_trusted(spark, sf_dir, customers), _accel_trusted(spark, sf_dir, customers), customers)
+    customers, accel, steps = _trusted(spark, sf_dir)
+    return refine.device_readings(steps, accel, customers)
 
 
 def q_device_readings_raw_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,9 +101,7 @@ def q_device_readings_raw_lineage(spark: SparkSession, sf_dir: str) -> DataFrame
     accelerometer reading), collapsed by a whole-row distinct (DST-1).  Kept
     to exercise the distinct on a real fan-out; ``device_readings_with_owner``
     is the form to use."""
-    customers = _stored_customers(spark, sf_dir)
-    accel = _accel_trusted(spark, sf_dir, customers)
-    steps = _step_trusted(spark, sf_dir, customers)
+    customers, accel, steps = _trusted(spark, sf_dir)
     fan_out = accel.join(customers, F.col("user") == F.col("email"), "inner").select("serialnumber", "email",
                                                                                     "registrationdate")
     joined = steps.join(fan_out, "serialnumber", "inner").select(
@@ -122,8 +123,8 @@ def q_ml_curated_from_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     gated readings with their copy count stand for accelerometer_trusted, and the raw step readings for
     step_trainer_trusted.
     """
-    customers = _stored_customers(configure(spark), sf_dir)
-    accel = refine.gated_accelerometer(landing(spark, sf_dir, "accelerometer_landing"), customers)
+    customers, at_most = _stored_customers(configure(spark), sf_dir)
+    accel = refine.gated_accelerometer(landing(spark, sf_dir, "accelerometer_landing"), customers, at_most=at_most)
     steps = landing(spark, sf_dir, "step_trainer_landing")
     return refine.ml_curated(steps, accel, customers, same_user=False, accel_weight=refine.DEVICES)
 
