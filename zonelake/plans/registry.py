@@ -44,29 +44,29 @@ def _customer_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine.customer_trusted(mapped.customer_feed(configure(spark), sf_dir))
 
 
-Stored = tuple[DataFrame, tuple[int, int]]
+Size = tuple[int, int]
 
 
-def _stored_customers(spark: SparkSession, sf_dir: str) -> Stored:
+def _stored_customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Size]:
     """Trusted customers written once and measured, as the refinement stores them before
     the sensor jobs read them (each composite query uses them several times)."""
     return refine.stored_customers(_customer_trusted(spark, sf_dir))
 
 
-def _accel_trusted(spark: SparkSession, sf_dir: str, stored: Stored | None = None) -> DataFrame:
-    customers, at_most = stored or (_customer_trusted(spark, sf_dir), None)
+def _accel_trusted(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None, at_most: Size | None = None) -> DataFrame:
+    customers = customers if customers is not None else _customer_trusted(spark, sf_dir)
     return refine.accelerometer_trusted(mapped.accelerometer_feed(spark, sf_dir), customers, at_most=at_most)
 
 
-def _step_trusted(spark: SparkSession, sf_dir: str, stored: Stored | None = None) -> DataFrame:
-    customers, at_most = stored or (_customer_trusted(spark, sf_dir), None)
+def _step_trusted(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None, at_most: Size | None = None) -> DataFrame:
+    customers = customers if customers is not None else _customer_trusted(spark, sf_dir)
     return refine.step_trainer_trusted(mapped.step_trainer_feed(spark, sf_dir), customers, at_most=at_most)
 
 
 def _trusted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three trusted tables."""
     stored = _stored_customers(configure(spark), sf_dir)
-    sensors = at_once(spark, lambda: _accel_trusted(spark, sf_dir, stored), lambda: _step_trusted(spark, sf_dir, stored))
+    sensors = at_once(spark, lambda: _accel_trusted(spark, sf_dir, *stored), lambda: _step_trusted(spark, sf_dir, *stored))
     return stored[0], *sensors
 
 
@@ -79,7 +79,7 @@ def q_customer_reading_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     the customer join), counted without building the fan-out: a device of
     email e meets every trusted reading of e."""
     stored = _stored_customers(configure(spark), sf_dir)
-    customers, accel = stored[0], _accel_trusted(spark, sf_dir, stored)
+    customers, accel = stored[0], _accel_trusted(spark, sf_dir, *stored)
     per_user = accel.groupBy("user").agg(F.count(F.lit(1)).alias("_r"))
     joined = customers.join(per_user, F.col("email") == F.col("user"), "inner")
     return joined.groupBy("serialnumber").agg(F.sum("_r").alias("readings"))
@@ -87,7 +87,7 @@ def q_customer_reading_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_customer_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored_customers(configure(spark), sf_dir)
-    return refine.customer_curated(_accel_trusted(spark, sf_dir, stored), stored[0])
+    return refine.customer_curated(_accel_trusted(spark, sf_dir, *stored), stored[0])
 
 
 def q_device_readings_with_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
