@@ -258,7 +258,8 @@ def _leaks_by_join(base: DataFrame, items: DataFrame, coverage: float, kind: str
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", coverage: float = COVERAGE) -> DataFrame:
-    """The rows of ``docs``, with all their columns, in which no item leaks (see ``find_leaks``)."""
+    """The rows of ``docs``, with all their columns, in which no item leaks (see ``find_leaks``).  Ids don't matter here: with a benchmark
+    that is too large to broadcast, rows are matched by 128 bits of their text's hash."""
     items = _items(benchmark, item_col, text_col)
     if not _small(items):
         # a text leaks whatever its id: rows are found by 128 bits of their text

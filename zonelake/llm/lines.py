@@ -31,7 +31,8 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Lines are what stands between line feeds, compared as they are; texts of under three lines have no window and stay.
     A text all of whose lines go becomes empty; a null text stays null (no lines).  Null ids come before all others.
     Rows of equal id and text are one document and get the same result; of rows that share an id only, windows
-    at the same place don't remove each other.  An empty table gives an empty result.
+    at the same place don't remove each other.  An empty table gives an empty result.  Windows are compared by 128 bits of hashes of their
+    lines, not letter by letter.
     """
     keep = keep or {}
     text = F.col(text_col).cast("string")

@@ -15,7 +15,7 @@ for are the unions of equal windows of SPAN words, so windows are hashed, sorted
    window; its least place is the first occurrence and all others are marked.  A stream holds one batch, whatever the group's size.
 4. *Remove.*  Marked spans meet their document and are cut out.
 
-Suffixes are named by two 64-bit hashes, of their first and their last ten words.
+Suffixes are named by two 64-bit hashes, of their first and their last ten words; equal names are not compared word by word.
 """
 
 from __future__ import annotations
@@ -218,7 +218,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A word goes if a window of 20 words that covers it begins earlier too: in a document of smaller id,
     or earlier in the same one.  Null ids come before all others; a null text has no words.  Rows of one id are
     ordered by a hash of their text; rows of equal id and text are one document and get the same result.  Texts of under 20
-    words stay as they are.  An empty table gives an empty result; other columns are ignored.
+    words stay as they are.  Ids are integers.  An empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

@@ -224,7 +224,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, id_col: str =
     """Encode every whole text (null: empty), end each with END_ID and write the segments under ``path``.
 
     Rows are dealt by ranges of (id, hash of the text) and sorted in each, so files ascend by id; null ids come first, rows of equal id
-    stand next to each other.  An empty table writes no segments.  Other columns are ignored.
+    stand next to each other.  Ids are integers.  An empty table writes no segments.  Other columns are ignored.
     """
     from tokenizers import Tokenizer
 
