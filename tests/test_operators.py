@@ -9,9 +9,10 @@ from conftest import null_first, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from zonelake.operators import joins, numbering, skew
 from zonelake.operators.dedup import distinct_rows, keep_latest
 from zonelake.operators.filters import consent_filter
-from zonelake.operators.joins import gate
+from zonelake.operators.joins import fuse_on_time, gate
 from zonelake.operators.numbering import number_rows
 from zonelake.operators.projection import lower_columns
 
@@ -312,3 +313,43 @@ def test_gate_by_the_size_of_stored_customers(spark, monkeypatch):
             monkeypatch.setattr(joins, "BROADCAST_KEYS", limit)
         assert joins.gate_matches(stored, "email", at_most)[1] == (limit in (None, 8))
         assert rows(refine.accelerometer_trusted(readings, stored, at_most=at_most)) == want
+
+
+def _feature_inputs(spark):
+    devices = [(t, s, s % 3, s // 2, s) for s in range(6) for t in range(5)] + [(1, 0, 0, 0, 9), (2, None, None, None, None)]
+    accel = [(u, t, float(v), -0.0 if v else 0.0, None) for u in range(3) for t in range(1, 7) for v in range(4)] + [(0, 1, 1.0, 0.0, None)] * 3
+    return (
+        spark.createDataFrame(devices, "sensorreadingtime long, serialnumber long, distancefromobject int, email long, registrationdate long"),
+        spark.createDataFrame(accel, "user long, timestamp long, x double, y double, z double"),
+    )
+
+
+@pytest.mark.parametrize("same_user", [False, True])
+@pytest.mark.parametrize("hot_rows", [1, 20, 10**9])
+def test_features_are_numbered_without_moving_pairs(spark, monkeypatch, hot_rows, same_user):
+    """Against ``number_rows`` on the pairs; no window or sort stands above the join that makes them."""
+    devices, accel = _feature_inputs(spark)
+    expected = number_rows(fuse_on_time(devices, accel, same_user=same_user), "email", "sensorreadingtime", weight="_w")
+    show = lambda df: sorted(map(repr, df.select("email", "sensorreadingtime", "serialnumber", "distancefromobject", "x", "y", "z", "rn").collect()))
+    expected = show(expected)
+    monkeypatch.setattr(skew, "HOT_ROWS", hot_rows)
+    got = joins.ml_features(devices, accel, same_user=same_user)
+    assert show(got) == expected
+    above = got._jdf.queryExecution().optimizedPlan().toString().partition("Join")[0]
+    assert "Window" not in above and "Sort" not in above and "Generate" in above
+
+
+@pytest.mark.parametrize("hot", [0, 10**9])
+def test_sums_before(spark, hot):
+    data = [(k, t, w) for k in (None, 1, 2) for t in range(20) for w in (k or 3,)]
+    df = spark.createDataFrame(data, "k long, t long, w long").repartition(3)
+    frame = None if hot else df.select("k").distinct()
+    got = numbering.sums_before(df, "k", "t", "w", name="b", hot=skew.HotKeys(("k",), frame), partitions=5)
+    assert rows(got) == sorted(((k, t, w, t * w) for k, t, w in data), key=lambda r: tuple((v is not None, v) for v in r))
+
+
+def test_copies_in_chunks(spark):
+    df = spark.createDataFrame([("a", 0, 5), ("a", 5, 1), ("b", 0, 4)], "k string, lo long, n long")
+    expected = [("a", i) for i in range(1, 7)] + [("b", i) for i in range(1, 5)]
+    for chunk in (1, 2, 4, 100):
+        assert rows(numbering.numbered_copies(df, ["k"], F.col("lo"), F.col("n"), "rn", 5, chunk)) == expected

@@ -15,17 +15,22 @@ aggregate), hot keys are split off explicitly (``operators.skew``).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonelake.functions.columns import group_keeping_zeros
-from zonelake.operators.numbering import CHUNK_ROWS, number_rows
-from zonelake.session import materialize, materialize_counted
+from zonelake.operators.numbering import CHUNK_ROWS, numbered_copies, sums_before
+from zonelake.session import materialize_counted, shuffle_partitions
 from zonelake.operators import skew
 from zonelake.operators.skew import HotKeys, collect_hot, find_hot_keys, split_hot
 
-ML_ORDER = "sensorreadingtime"
+# The columns of a pair in the order of its number: those of the device reading, then those of the tuple.
+PAIR = ["email", "sensorreadingtime", "serialnumber", "distancefromobject", "x", "y", "z"]
+# A join that makes many pairs is dealt over at most so many times the session's shuffle partitions.
+TASKS_BY_PAIRS = 16
 # Gate tables up to this many keys and bytes of keys are broadcast; both are
 # taken before the join is planned.
 BROADCAST_KEYS, BROADCAST_BYTES = 1_000_000, 64 << 20
@@ -207,21 +212,13 @@ def fuse_on_time(
     accel_weight: str | None = None,
     persist: bool = False,
 ) -> DataFrame:
-    """The pairs of ``_fuse``."""
-    return _fuse(devices, accel, same_user=same_user, weight=weight, accel_weight=accel_weight, persist=persist)[0]
-
-
-def _fuse(
-    devices: DataFrame, accel: DataFrame, *, same_user: bool, weight: str, accel_weight: str | None, persist: bool
-) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """Pair device readings with accelerometer readings of the same time.
 
     The original feature table joins on time alone: a reading of another user
     at the same instant is paired with the device too (``same_user=True``
     also requires ``email == user``).  Returns distinct feature tuples with
-    their multiplicity in ``weight``; ``ml_features`` numbers and expands them.
-    Accelerometer rows count once each, or ``accel_weight`` times.  Also returns the two stored inputs
-    and the number of all copies (over all users).
+    their multiplicity in ``weight``.
+    Accelerometer rows count once each, or ``accel_weight`` times.
 
     The accelerometer side is first reduced to distinct tuples with a count
     (combined map-side; the two zeros of a coordinate stay apart).  The join is many-to-many, so one busy instant makes
@@ -234,38 +231,53 @@ def _fuse(
     ``persist`` keeps the two inputs, which are read twice, in executor memory and disk instead of the checkpoint folder
     (the original job's choice); the caller unpersists them by ``spark.catalog.clearCache()``.
     """
-    keys = ["timestamp", "x", "y", "z"] + (["user"] if same_user else [])
-    copies = F.sum(accel_weight) if accel_weight else F.count(F.lit(1))
-    stored = (lambda df: df.persist(StorageLevel.MEMORY_AND_DISK)) if persist else materialize
-    acc = stored(group_keeping_zeros(accel, keys, copies.cast("long").alias(weight)))
-    devices = stored(devices)
-    rows, copies = _pair_counts(devices, acc, weight)
-    limit = skew.hot_threshold(None, devices.sparkSession)
-    return _fused(devices, acc, same_user, weight, rows > limit), devices, acc, copies
+    devices, acc, weight = _stored_inputs(devices, accel, same_user, weight, accel_weight, persist)[:3]
+    return _fused(devices, acc, same_user, [*PAIR, weight], *_pair_counts(devices, acc, weight)[::2])
 
 
-def _pair_counts(devices: DataFrame, acc: DataFrame, weight: str) -> tuple[int, int]:
-    """(pairs, their copies) of all instants, from two tables of counts: where these are within the bound of one task, no instant
-    and no email needs counting."""
+def _stored_inputs(
+    devices: DataFrame, accel: DataFrame, same_user: bool, weight: str, accel_weight: str | None, persist: bool
+) -> tuple[DataFrame, DataFrame, str, int, int]:
+    """The two inputs of the fusion, stored: the device readings, the accelerometer tuples with their copies in ``weight``; and the
+    rows of each."""
+    keys = ["timestamp", "x", "y", "z"] + (["user"] if same_user else [])
+    copies = F.sum(accel_weight) if accel_weight else F.count(F.lit(1))
+    acc = group_keeping_zeros(accel, keys, copies.cast("long").alias(weight))
+    if persist:
+        devices, acc = devices.persist(StorageLevel.MEMORY_AND_DISK), acc.persist(StorageLevel.MEMORY_AND_DISK)
+        return devices, acc, weight, devices.count(), acc.count()
+    acc, tuples, _ = materialize_counted(acc, F.lit(0))
+    devices, readings, _ = materialize_counted(devices, F.lit(0))
+    return devices, acc, weight, readings, tuples
+
+
+def _pair_counts(devices: DataFrame, acc: DataFrame, weight: str) -> tuple[int, int, DataFrame | None]:
+    """(pairs, their copies) of all instants, from two tables of counts, and the busy instants: where the pairs are within the bound of
+    one task, no instant needs counting."""
     n = devices.groupBy("sensorreadingtime").agg(F.count(F.lit(1)).alias("_n"))
     m = acc.groupBy("timestamp").agg(F.count(F.lit(1)).alias("_m"), F.sum(weight).alias("_w"))
     wide = lambda c: F.coalesce(F.sum(F.col("_n").cast("decimal(38,0)") * F.col(c)), F.lit(0))
     got = n.join(m, F.col("sensorreadingtime") == F.col("timestamp")).agg(wide("_m").alias("rows"), wide("_w").alias("copies")).first()
-    return int(got["rows"]), int(got["copies"])
+    many = int(got["rows"]) > skew.hot_threshold(None, devices.sparkSession)
+    return int(got["rows"]), int(got["copies"]), _busy_instants(devices, acc) if many else None
 
 
-def _fused(devices: DataFrame, acc: DataFrame, same_user: bool, weight: str, many: bool) -> DataFrame:
-    out = ["email", "sensorreadingtime", "serialnumber", "distancefromobject", "x", "y", "z", weight]
+def _fused(devices: DataFrame, acc: DataFrame, same_user: bool, out: list[str], rows: int, busy: DataFrame | None) -> DataFrame:
+    """The ``rows`` pairs (over all users), ``out`` of their columns.  The planner sizes the tasks of a join by its inputs; where the
+    pairs are more than one task's bound, the join is dealt over so many tasks that a task makes about ``HOT_ROWS`` of them."""
+    limit = skew.hot_threshold(None, devices.sparkSession)
+    least = shuffle_partitions(devices.sparkSession)
+    tasks = min(max(least, -(-rows // max(limit, 1))), TASKS_BY_PAIRS * least)
 
-    def pairs(dev: DataFrame, tuples: DataFrame, extra: Column | None = None) -> DataFrame:
-        cond = F.col("sensorreadingtime") == F.col("timestamp")
+    def pairs(dev: DataFrame, tuples: DataFrame, *cell: str) -> DataFrame:
+        left, right = ["sensorreadingtime", *cell], ["timestamp", *(c.replace("_d_", "_t_") for c in cell)]
         if same_user:
-            cond = cond & (F.col("email") == F.col("user"))
-        if extra is not None:
-            cond = cond & extra
+            left, right = [*left, "email"], [*right, "user"]
+        if rows > limit:
+            dev, tuples = dev.repartition(tasks, *left), tuples.repartition(tasks, *right)
+        cond = reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in zip(left, right)])
         return dev.join(tuples, cond, "inner").select(*out)
 
-    busy = _busy_instants(devices, acc) if many else None
     if busy is None:
         return pairs(devices, acc)
     instants = F.broadcast(busy)  # _busy_t, _a, _b; at most MAX_HOT_KEYS rows
@@ -282,8 +294,7 @@ def _fused(devices: DataFrame, acc: DataFrame, same_user: bool, weight: str, man
 
     dev_hot = dealt(devices, "sensorreadingtime", "_a", "_b", "_d")
     acc_hot = dealt(acc, "timestamp", "_b", "_a", "_t")
-    cell = (F.col("_d_a") == F.col("_t_a")) & (F.col("_d_b") == F.col("_t_b"))
-    return cold.unionByName(pairs(dev_hot, acc_hot, cell))
+    return cold.unionByName(pairs(dev_hot, acc_hot, "_d_a", "_d_b"))
 
 
 def _busy_instants(devices: DataFrame, acc: DataFrame) -> DataFrame | None:
@@ -305,23 +316,26 @@ def _busy_instants(devices: DataFrame, acc: DataFrame) -> DataFrame | None:
     return collect_hot(busy, ["_busy_t"], "_pairs", "_a", "_b").frame
 
 
-def _hot_emails(devices: DataFrame, acc: DataFrame, same_user: bool, weight: str) -> HotKeys:
-    """Emails with the most feature rows, from two tables of counts; the pairs themselves are not made for it."""
-    by = ["timestamp"] + (["user"] if same_user else [])
-    per_time = acc.groupBy(*by).agg(F.sum(weight).alias("_m"))
-    per_email = devices.groupBy("email", "sensorreadingtime").agg(F.count(F.lit(1)).alias("_n"))
-    cond = F.col("sensorreadingtime") == F.col("timestamp")
-    if same_user:
-        cond = cond & (F.col("email") == F.col("user"))
-    counts = per_email.join(per_time, cond, "inner").groupBy("email").agg(F.sum(F.col("_n") * F.col("_m")).alias("_rows"))
-    limit = skew.hot_threshold(None, devices.sparkSession)
-    return collect_hot(counts.where(F.col("_rows") > F.lit(limit)), ["email"], "_rows")
-
-
 def ml_features(
     devices: DataFrame, accel: DataFrame, *, same_user: bool = False, accel_weight: str | None = None, persist: bool = False
 ) -> DataFrame:
-    """Feature rows numbered per email in time order (one row per pair)."""
-    fused, devices, acc, copies = _fuse(devices, accel, same_user=same_user, weight="_w", accel_weight=accel_weight, persist=persist)
-    hot = skew.no_hot_keys(["email"], copies, devices.sparkSession) or _hot_emails(devices, acc, same_user, "_w")
-    return number_rows(fused, "email", ML_ORDER, weight="_w", distinct_input=True, hot=hot)
+    """Feature rows numbered per email in time order (one row per pair).
+
+    The pairs are many times their inputs (devices x readings of every instant), so they are neither moved nor sorted: a pair's
+    first number follows from its two rows.  Before it come all pairs of the email's earlier device readings, whose number is the
+    sum of their instants' copies, and its own reading's pairs with the tuples before.  Both sums run over the inputs
+    (``sums_before``); the join then adds them and makes the copies in place.
+    """
+    devices, acc, _, readings, tuples = _stored_inputs(devices, accel, same_user, "_w", accel_weight, persist)
+    rows, copies, busy = _pair_counts(devices, acc, "_w")
+    spark, at, user = devices.sparkSession, ["timestamp"], F.lit(True)
+    if same_user:
+        at, user = [*at, "user"], F.col("email") == F.col("user")
+    # equal device readings (of two registrations) are one row, so that equal pairs get neighbouring numbers
+    dev = group_keeping_zeros(devices, PAIR[:4], F.count(F.lit(1)).alias("_c"))
+    per_time = acc.groupBy(*at).agg(F.sum("_w").alias("_m"))
+    dev = dev.join(per_time, (F.col("sensorreadingtime") == F.col("timestamp")) & user, "inner").select(*PAIR[:4], "_c", (F.col("_c") * F.col("_m")).alias("_m"))
+    dev = sums_before(dev, "email", PAIR[1:4], "_m", name="_before", hot=skew.no_hot_keys(["email"], readings, spark))
+    acc = sums_before(acc, at, PAIR[4:], "_w", name="_within", hot=skew.no_hot_keys(at, tuples, spark))
+    fused = _fused(dev, acc, same_user, [*PAIR, "_c", "_w", "_before", "_within"], rows, busy)
+    return numbered_copies(fused, PAIR, F.col("_before") + F.col("_c") * F.col("_within"), F.col("_c") * F.col("_w"), "rn", copies)

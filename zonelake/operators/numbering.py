@@ -36,13 +36,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonelake.functions.columns import group_keeping_zeros, key_struct, total_order
 from zonelake.operators.projection import as_list
 from zonelake.operators.skew import HotKeys, find_hot_keys, split_hot
-from zonelake.session import checkpoint_dir, shuffle_partitions
+from zonelake.session import checkpoint_dir, materialize, shuffle_partitions
 
 CHUNK_ROWS = 1 << 16
 
@@ -111,6 +111,47 @@ def _windowed(df: DataFrame, data: list[str], by: list[str], order_by: list[str]
     return numbered.select(*[F.col(c) for c in data], F.explode(F.sequence(lo, F.col("_hi"))).alias(name))
 
 
+def sums_before(
+    df: DataFrame, by: str | Sequence[str], order_by: str | Sequence[str], weight: str, *, name: str, hot: HotKeys | None = None, partitions: int | None = None
+) -> DataFrame:
+    """Append ``name``: the sum of ``weight`` over the rows of the same ``by`` group that come before, in the order of ``order_by`` and then
+    of all other columns.  What a product of two such tables is numbered by, without making or moving its rows.
+
+    As in ``number_rows`` a window does it for groups of bounded size.  Hot groups (by rows; found here when not given) are cut by
+    ranges of the full order, summed per range and, in a second window, within it.
+    """
+    by, order_by = as_list(by), as_list(order_by)
+    order = order_by + [c for c in df.columns if c not in by and c not in order_by and c != weight]
+    hot = find_hot_keys(df, by) if hot is None else hot
+
+    def summed(rows: DataFrame, groups: list[str]) -> DataFrame:
+        running = Window.partitionBy(*groups).orderBy(*total_order(rows, order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return rows.withColumn(name, F.sum(weight).over(running) - F.col(weight))
+
+    if hot.frame is None:
+        return summed(df, by)
+    cold, warm = split_hot(df, hot, by)
+    full = total_order(warm, by + order)
+    ranged = warm.repartitionByRange(partitions or shuffle_partitions(df.sparkSession), *full).withColumn("_part", F.spark_partition_id())
+    ranged = materialize(ranged)  # one and the same assignment for the sums per range and those within
+    earlier = Window.partitionBy("_c_key").orderBy("_c_part").rowsBetween(Window.unboundedPreceding, -1)
+    cells = ranged.groupBy(F.col("_part").alias("_c_part"), key_struct(by).alias("_c_key")).agg(F.sum(weight).alias("_n"))
+    cells = cells.withColumn("_earlier", F.coalesce(F.sum("_n").over(earlier), F.lit(0).cast("long"))).drop("_n")
+    same = (F.col("_part") == F.col("_c_part")) & key_struct(by).eqNullSafe(F.col("_c_key"))
+    warm = summed(ranged, ["_part", *by]).join(F.broadcast(cells), same, "inner").withColumn(name, F.col(name) + F.col("_earlier"))
+    return summed(cold, by).unionByName(warm.select(*df.columns, name))
+
+
+def numbered_copies(df: DataFrame, data: list[str], before: Column, copies: Column, name: str, most: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``data`` as often as ``copies`` says, with ``name``: before + 1, before + 2, ...  No row has more than ``most`` copies; beyond
+    ``chunk_rows`` they are made in chunks, so that no row makes an unbounded array."""
+    df = df.select(*data, (before + 1).alias("_lo"), (before + copies).alias("_hi"))
+    if most > chunk_rows:
+        df = df.select(*data, F.explode(F.sequence("_lo", "_hi", F.lit(chunk_rows).cast("long"))).alias("_lo"), "_hi")
+        df = df.withColumn("_hi", F.least("_hi", F.col("_lo") + (chunk_rows - 1)))
+    return df.select(*data, F.explode(F.sequence("_lo", "_hi")).alias(name))
+
+
 def _ranged(
     df: DataFrame,
     data: list[str],
