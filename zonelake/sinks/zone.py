@@ -36,6 +36,8 @@ from zonelake.sources.catalog import DEFAULT_ZONES, Zones, analyze_table
 COMMITS_SCHEMA = (
     "commit long, kind string, keys array<string>, order_by array<string>, partition_by array<string>, order string, columns string, batch string, rows long"
 )
+#: files whose numbers are stored as differences: the running numbers and times of a key take a bit or two, not eight bytes
+ENCODING = {"parquet.writer.version": "PARQUET_2_0", "compression": "zstd"}
 #: type -> the wider one that keeps all its values
 WIDER = {"smallint": "int", "int": "bigint", "float": "double"}
 
@@ -211,7 +213,7 @@ class ZoneStore:
         types = {f.name: f.dataType for f in new.schema.fields}
         rows = rows.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in rows.columns], *[F.lit(None).cast(types[p]).alias(p) for p in new.partition_by if p not in rows.columns])
         seen, null = Observation(), reduce(lambda a, b: a | b, [F.col(k).isNull() for k in new.keys])
-        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(null).alias("nulls")).write.mode("overwrite")
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(null).alias("nulls")).write.mode("overwrite").options(**ENCODING)
         (writer.partitionBy(*new.partition_by) if new.partition_by else writer).parquet(f"{self.path(zone, table)}/rows/{COMMIT}={new.commit}")
         return replace(new, rows=int(seen.get["rows"])), int(seen.get["nulls"])
 
