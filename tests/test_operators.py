@@ -15,6 +15,7 @@ from zonelake.operators.filters import consent_filter
 from zonelake.operators.joins import fuse_on_time, gate
 from zonelake.operators.numbering import number_rows
 from zonelake.operators.projection import lower_columns
+from zonelake.plans import checks
 
 
 def _plain_numbering(df, by, order):
@@ -353,3 +354,16 @@ def test_copies_in_chunks(spark):
     expected = [("a", i) for i in range(1, 7)] + [("b", i) for i in range(1, 5)]
     for chunk in (1, 2, 4, 100):
         assert rows(numbering.numbered_copies(df, ["k"], F.col("lo"), F.col("n"), "rn", 5, chunk)) == expected
+
+
+def test_key_violations_counts_only_suspects(spark):
+    """Blocks of neighbouring numbers that hold each key once are sorted out before keys are counted."""
+    whole = spark.range(20_000).select((F.col("id") % 7).alias("k"), F.expr("id div 7 - 1000").alias("rn"))
+    assert checks._suspects(whole, ["k", "rn"]).count() == 0
+    assert checks.key_violations(whole, ["k", "rn"]).first()[1:] == (0, 0)
+    bad = spark.createDataFrame([(None, 1), (None, 1), (2, None), (3, -1000), (3, -1000), (4, 5), (99, 1), (99, 1)], "k long, rn long")
+    mixed = whole.unionByName(bad)
+    assert checks.key_violations(mixed, ["k", "rn"]).first()[1:] == (3, 3)
+    assert checks._suspects(mixed, ["k", "rn"]).count() < 1000
+    assert checks.key_violations(mixed.select(F.col("k").cast("string"), F.col("rn").cast("string")), ["k", "rn"]).first()[1:] == (3, 3)
+    assert checks.key_violations(bad.select("k"), "k").first()[1:] == (2, 2)
