@@ -259,3 +259,30 @@ def test_running_numbers_are_stored_as_differences(spark, store):
     size = sum(p.stat().st_size for p in Path(store.path("trusted", "numbers")).rglob("*.parquet"))
     assert size < 200_000, size
     assert store.read(spark, "trusted", "numbers").exceptAll(numbered).count() == 0
+
+
+def test_stored_pairs_cost_less_than_their_columns(spark, store):
+    """The feature table repeats an instant's tuples for each of its devices: a pair takes a fraction of a byte, its number included."""
+    from zonelake.operators.joins import ml_features
+
+    steps = spark.range(24 * 100).select(F.floor(F.col("id") / 100).alias("t"), (F.col("id") % 100).alias("serialnumber")).where("(serialnumber * 7 + t * 3) % 5 > 0")
+    devices = steps.selectExpr("t AS sensorreadingtime", "serialnumber", "CAST(serialnumber % 9 AS INT) AS distancefromobject", "serialnumber div 2 AS email", "1L AS registrationdate")
+    draw = "(xxhash64(id) & 65535) / 100D"
+    accel = spark.range(24 * 250).selectExpr("id % 24 AS timestamp", f"{draw} AS x", f"2 * {draw} AS y", "CAST(id % 90 AS DOUBLE) AS z", "2L AS w")
+    pairs = ml_features(devices, accel, accel_weight="w")
+    store.write(pairs, "curated", "features", ["email", "rn"], "sensorreadingtime", unique=True, numbered="rn")
+    stored, size = store.read(spark, "curated", "features"), sum(p.stat().st_size for p in Path(store.path("curated", "features")).rglob("*.parquet"))
+    n = stored.count()
+    assert n == 24 * 80 * 250 * 2 and size < n / 2, (n, size)
+    assert stored.exceptAll(pairs).isEmpty() and pairs.exceptAll(stored).isEmpty()
+
+
+def test_numbers_of_short_keys_are_stored_as_differences(spark, store):
+    """A dictionary of the numbers does not overflow where keys are short; they are stored as differences all the same."""
+    import pyarrow.parquet as pq
+
+    numbered = spark.range(0, 200_000, numPartitions=1).selectExpr("id div 100 AS k", "id % 100 + 1 AS rn")
+    store.write(numbered, "trusted", "short", ["k", "rn"], "rn", unique=True, numbered="rn")
+    found = [pq.ParquetFile(p).metadata.row_group(0) for p in Path(store.path("trusted", "short")).rglob("_commit=1/*.parquet")]
+    assert {e for g in found for i in range(g.num_columns) if (c := g.column(i)).path_in_schema == "rn" for e in c.encodings} == {"DELTA_BINARY_PACKED"}
+    assert store.read(spark, "trusted", "short").exceptAll(numbered).isEmpty()

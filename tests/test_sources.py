@@ -8,6 +8,7 @@ import os
 import pytest
 from conftest import rows
 from fixture_data import write_landing
+from pyspark.sql import functions as F
 
 from zonelake import schemas
 from zonelake.operators.projection import lower_columns
@@ -181,3 +182,25 @@ def test_statistics_of_a_catalog_table(spark, tmp_dir):
     finally:
         spark.conf.unset("spark.sql.cbo.enabled")
     assert file_statistics(spark.table(name).where("_commit > 5")).first()["records"] == 0
+
+
+def test_landing_files_of_the_queries_are_small(spark, tmp_dir, monkeypatch):
+    """The JSON files that the queries read are compressed, of a bounded number of records each, and hold the feeds' rows."""
+    from zonelake.plans import registry
+    from zonelake.sources import mapped
+
+    made = spark.range(3000).withColumn("day", F.expr("TIMESTAMP_NTZ'1995-01-01' + make_interval(0, 0, 0, cast(id % 2000 as int))"))
+    orders = made.selectExpr("id AS o_orderkey", "id % 500 AS o_custkey", "if(id % 3 = 0, 'F', 'O') AS o_orderstatus", "day AS o_orderdate", "'2-HIGH' AS o_orderpriority")
+    events = made.selectExpr("day AS ts", "id % 90 AS user_id", "element_at(array('click', 'error', null), cast(id % 3 + 1 as int)) AS event_type", "id / 7D AS value", "concat('{\"k\": ', id % 40, '}') AS props")
+    orders.coalesce(1).write.parquet(f"{tmp_dir}/orders.parquet")
+    events.coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    monkeypatch.setattr(registry, "LANDING_RECORDS", 400, raising=False)
+    folder = registry._json_files(spark, tmp_dir)
+    for name, feed in mapped.FEEDS.items():
+        feed, lines = feed(spark, tmp_dir), spark.read.text(f"{folder}/{name}").select("value", F.input_file_name().alias("file"))
+        per_file = [r["count"] for r in lines.groupBy("file").count().collect()]
+        assert max(per_file) <= 400 and sum(per_file) == feed.count() > 400
+        packed = sum(os.path.getsize(f"{folder.removeprefix('file:')}/{name}/{f}") for f in os.listdir(f"{folder.removeprefix('file:')}/{name}"))
+        assert packed < lines.agg(F.sum(F.length("value"))).first()[0] / 2
+        read = read_landing(spark, f"{folder}/{name}", feed.schema, required=schemas.REQUIRED_KEYS[name])
+        assert rows(read) == rows(feed)
