@@ -258,6 +258,22 @@ def test_numbering_violations(spark):
     assert numbering_violations(frame(good).limit(0), "k").collect() == [("", 0, 0, 0)]
 
 
+def test_numbering_check_moves_few_rows(spark):
+    """One row for hundreds of neighbouring numbers is shuffled; repeated and missing numbers on either side of its bounds are found."""
+    import re
+
+    from zonelake.plans.checks import numbering_violations
+
+    good = spark.range(100_000, numPartitions=2).selectExpr("id % 2 AS k", "id div 2 + 1 AS rn")
+    found = numbering_violations(good, "k")
+    assert found.collect() == [("", 0, 0, 0)]
+    formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    moved = [float(n) for n in re.findall(r"rowCount=([0-9.E+]+)", found._jdf.queryExecution().explainString(formatted))]
+    assert moved and max(moved) < 100_000 / 400, moved
+    bad = good.where("rn NOT IN (1, 64, 511, 512, 513, 1024, 4096)").unionByName(good.where("rn IN (63, 510, 514, 1025, 4095)"))
+    assert numbering_violations(bad.repartition(3), "k").collect() == [("", 0, 10, 14)]
+
+
 def test_counts_of_hot_keys_are_skipped_only_where_none_can_be(spark):
     from zonelake.operators.skew import no_hot_keys
 
